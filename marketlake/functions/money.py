@@ -186,6 +186,21 @@ def parse_salary_range(c) -> Column:
     return F.struct(lo.cast("double").alias("min"), hi.cast("double").alias("max"))
 
 
+def with_salary_range(df, src: str, lo: str, hi: str):
+    """B4 as staged projections: the parsed value array is one column, so the
+    higher-order functions run once per row however often lo/hi use it."""
+    vals = f"__{lo}_vals"
+    x = F.col(f"`{src}`")
+    s = F.regexp_replace(F.replace(x, F.lit(" "), F.lit("")), "[€£$]", "")
+    df = df.withColumn(vals, F.filter(F.transform(F.split(s, "[–\\-]", -1), _range_value),
+                                      lambda v: v.isNotNull()))
+    v = F.col(vals)
+    n = F.size(v)
+    df = df.withColumn(lo, F.when(n >= 1, F.when(n <= 2, v[0])).cast("double"))
+    df = df.withColumn(hi, F.when(n == 2, v[1]).when(n == 1, v[0]).cast("double"))
+    return df.drop(vals)
+
+
 def row_mean_skipna(lo, hi) -> Column:
     """Mean of two values ignoring missing ones, 2 dp."""
     a, b = as_col(lo), as_col(hi)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.money import with_normalized_currency
+from ..functions.money import with_normalized_currency, with_salary_range
 from ..functions import (
     map_country_iso2, normalize_skill_label, parse_salary_range,
     range_midpoint_strict, row_mean_skipna, split_skill_list, thousands_int, fill_zero_int,
@@ -60,13 +60,13 @@ def clean_board(rows: DataFrame, source: str = "indeed") -> DataFrame:
 
 def clean_ranges(rows: DataFrame, source: str = "glassdoor") -> DataFrame:
     """M3: salary-site CSV (range text) -> silver; midpoint strict, no company."""
-    r = rows.select("*", parse_salary_range("salary_range").alias("_r"))
+    r = with_salary_range(rows, "salary_range", "_lo", "_hi")
     return project_contract(r.select(
         _null("string").alias("company"),
         normalize_skill_label("skill").alias("skill"),
         map_country_iso2("Pays").alias("country_iso2"),
-        F.col("_r.min").alias("min_salary_eur"), F.col("_r.max").alias("max_salary_eur"),
-        range_midpoint_strict("_r.min", "_r.max").alias("salary_eur"),
+        F.col("_lo").alias("min_salary_eur"), F.col("_hi").alias("max_salary_eur"),
+        range_midpoint_strict("_lo", "_hi").alias("salary_eur"),
         F.col("date_posted").alias("date_posted"),
         F.lit(source).alias("source"),
     ))
@@ -135,8 +135,16 @@ def quality_rule():
 
 
 def quality_filter(df: DataFrame) -> DataFrame:
-    """Drop rows without country, skill or salary; keep salary > 0."""
-    return df.dropna(subset=["country_iso2", "skill", "salary_eur"]).where(F.col("salary_eur") > 0)
+    """Drop rows without country, skill or salary; keep salary > 0.
+
+    Written as a generator (``inline`` of a one-element array that is null
+    for rejected rows) rather than a ``where``: Catalyst pushes a filter below
+    the cleaning projections and substitutes every parsing expression into
+    the predicate (evaluated twice, and the generated code outgrows the JVM
+    method limit).  The generator is evaluated once, on the cleaned columns.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(F.inline(F.when(quality_rule(), F.array(row))))
 
 
 def reject_rate(silver_raw: DataFrame) -> DataFrame:

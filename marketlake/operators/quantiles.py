@@ -14,9 +14,10 @@ instead:
 4. only the 1-2 rows each requested percentile needs are fetched back, by an
    equi-join on the unique global rank.
 
-Both uses of the sorted data read the same range exchange (ReusedExchange),
-whose partitioner is fixed once computed, so retried tasks see the same
-partition assignment.
+The sorted data is written once to the shared checkpoint folder
+(``session.materialize``): the partition ids and positions become stored
+values, so every consumer sees the same ranks, retried tasks included, and
+the (expensive) input plan runs once.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _PART_SHIFT = 1 << 33  # monotonically_increasing_id = partition << 33 | row
 
 
@@ -33,6 +36,9 @@ def _ranked(df: DataFrame, keys: list[str], value: str, carry: list[str]) -> Dat
     s = base.orderBy(*[F.col(k).asc_nulls_first() for k in keys], F.col("_v").asc_nulls_first())
     s = s.withColumn("_pid", F.spark_partition_id()) \
          .withColumn("_pos", F.monotonically_increasing_id() - F.col("_pid").cast("long") * _PART_SHIFT)
+    # Materialised once: partition ids and positions are then stored values,
+    # so every consumer below sees the same ranks (and the input is computed once).
+    s = materialize(s, "ranked")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pn"))
     offs = counts.select(
         "_pid",

@@ -151,3 +151,8 @@ def _nearest(p: float) -> str:
 def q_latency_summary(spark, sf):
     from ..sources.tables import load
     return ind.latency_summary(load(spark, sf, "events", "event_type", "value"), "event_type", "value")
+
+
+# The other query groups register themselves on import.
+from . import catalog_sources  # noqa: E402,F401
+from . import catalog_gold  # noqa: E402,F401

@@ -75,3 +75,40 @@ def trends_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def company_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_na_tokens(adapter.company_register(spark, sf_dir))
+
+
+def salary_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Per-source gold input (silver after C1, B12 applied)."""
+    return [gold.salary_frame(p) for p in silver_parts(spark, sf_dir)]
+
+
+def distinct_over_sources(spark: SparkSession, sf_dir: str, fn) -> DataFrame:
+    """``fn(part).distinct()`` per source, then a final distinct: each branch
+    de-duplicates next to its scan, the union only merges small results."""
+    parts = [fn(p).distinct() for p in salary_parts(spark, sf_dir)]
+    return functools.reduce(DataFrame.unionByName, parts).distinct()
+
+
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 over every source's dates."""
+    dates = distinct_over_sources(spark, sf_dir, gold.distinct_dates)
+    return gold.build_dim_date(dates)
+
+
+def dim_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies present in the facts, left-joined to the register."""
+    names = distinct_over_sources(spark, sf_dir, gold.distinct_companies)
+    return names.join(company_register(spark, sf_dir), "company_name", "left")
+
+
+def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """M9: the star schema (five dimensions with surrogate ids + fact_job)."""
+    from ..operators import warehouse as wh
+    countries, skills, sources = wh.d_country(spark), wh.d_skill(spark), wh.d_source(spark)
+    companies = wh.d_company(dim_company(spark, sf_dir))
+    f = fact(spark, sf_dir)
+    return {
+        "d_date": dim_date(spark, sf_dir), "d_country": countries, "d_company": companies,
+        "d_skill": skills, "d_source": sources,
+        "fact_job": wh.fact_job(f, countries, companies, skills, sources),
+    }

@@ -111,3 +111,39 @@ def fact_sql(body: str, extended: bool = False) -> str:
 
 def pct(x: str, p: float) -> str:
     return f"quantile_cont(CAST({x} AS DOUBLE), {p})"
+
+
+REG = f"""reg AS (SELECT s_name AS company_name,
+  ({lst(config.WORKFORCE_SIZES)})[s_suppkey % 5 + 1] AS workforce_size,
+  ({lst(config.SECTORS)})[s_suppkey % 7 + 1] AS sector FROM supplier)"""
+
+DIM_COMPANY = """dim_company AS (SELECT c.company_name, reg.workforce_size, reg.sector
+  FROM (SELECT DISTINCT company AS company_name FROM salary WHERE company IS NOT NULL) c
+  LEFT JOIN reg ON c.company_name = reg.company_name)"""
+
+D_COMPANY = """d_company AS (SELECT CAST(row_number() OVER (ORDER BY company_name, workforce_size, sector) AS INTEGER)
+  AS id_company, company_name, workforce_size, sector FROM dim_company)"""
+
+DIM_DATE = """dim_date AS (SELECT date_posted AS date_key,
+  CAST(dayofmonth(CAST(date_posted AS DATE)) AS INTEGER) AS day, CAST(month(CAST(date_posted AS DATE)) AS INTEGER) AS month,
+  CAST(quarter(CAST(date_posted AS DATE)) AS INTEGER) AS quarter, CAST(year(CAST(date_posted AS DATE)) AS INTEGER) AS year,
+  CAST(isodow(CAST(date_posted AS DATE)) - 1 AS INTEGER) AS day_week
+  FROM (SELECT DISTINCT date_posted FROM salary WHERE date_posted IS NOT NULL))"""
+
+ISO2_LIST = lst([c[0] for c in config.COUNTRIES])
+SKILL_LIST = lst([s[0] for s in config.SKILLS])
+SOURCE_LIST = lst(config.ALL_SOURCES)
+
+FACT_JOB = f"""fact_job AS (SELECT CAST(row_number() OVER (ORDER BY date_posted NULLS FIRST, country_iso2 NULLS FIRST,
+    skill NULLS FIRST, company NULLS FIRST, source NULLS FIRST) AS BIGINT) AS id_fact,
+  date_posted AS date_key, CAST(nullif(list_position({ISO2_LIST}, country_iso2), 0) AS INTEGER) AS id_country,
+  d_company.id_company, CAST(nullif(list_position({SKILL_LIST}, skill), 0) AS INTEGER) AS id_skill,
+  CAST(nullif(list_position({SOURCE_LIST}, source), 0) AS INTEGER) AS id_source,
+  avg_salary, min_salary, max_salary, job_count
+  FROM fact LEFT JOIN d_company ON fact.company = d_company.company_name)"""
+
+STAR = UP_TO_FACT + (REG, DIM_COMPANY, D_COMPANY, DIM_DATE, FACT_JOB)
+
+
+def star_sql(body: str) -> str:
+    return with_ctes(*STAR) + body

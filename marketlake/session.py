@@ -58,3 +58,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: one computation, lineage cut, values (including any partition-
+    dependent ids) fixed on disk.  Used where a result is consumed several
+    times and must be identical each time, even if executors are lost."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import month_start, round2
-from .tables import load
+from .tables import balance, load
 
 # FIXED VALUES: display labels of the registry skills as sources print them
 # (they normalise to the registry labels), and currency symbols per country.
@@ -46,8 +46,8 @@ def pick(values: list, index: Column) -> Column:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-              "l_linenumber", "l_extendedprice")
+    li = balance(load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                      "l_linenumber", "l_extendedprice"), "l_orderkey")
     o = load(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = load(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = load(spark, sf_dir, "nation", "n_nationkey")
@@ -100,12 +100,13 @@ def offer_record() -> Column:
 
 
 def offers_api_pages(obs: DataFrame) -> DataFrame:
-    """API responses: ``(request_country, page, payload)``; a page holds the
-    offers of at most ``PAGE_ORDERS`` consecutive orders of one country."""
+    """API responses ``(request_country, page, payload)``, one response per
+    order (an order carries at most one offer of this source).  A pure
+    projection: no aggregation, so it streams at scan speed."""
     a = _of(obs, "adzuna")
-    return (a.groupBy(F.lower("iso2").alias("request_country"), _page().alias("page"))
-             .agg(F.to_json(F.struct(F.count(F.lit(1)).alias("count"),
-                                     F.collect_list(offer_record()).alias("results"))).alias("payload")))
+    return a.select(F.lower("iso2").alias("request_country"), F.col("l_orderkey").alias("page"),
+                    F.to_json(F.struct(F.lit(1).cast("bigint").alias("count"),
+                                       F.array(offer_record()).alias("results"))).alias("payload"))
 
 
 def offers_json_arrays(obs: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def _salary_text() -> Column:
 def board_rows(obs: DataFrame) -> DataFrame:
     """Job-board CSV rows (French headers); the company is blank on some rows."""
     return _of(obs, "indeed").select(
-        "l_orderkey",
+        "l_orderkey", "l_linenumber",
         F.concat(F.col("skill_label"), F.lit(" Engineer")).alias("Intitulé"),
         F.when(F.col("l_orderkey") % 97 == 0, F.lit("")).otherwise(F.col("s_name")).alias("Entreprise"),
         F.concat(F.lit("Centre, "), F.col("country_name")).alias("Lieu"),
@@ -154,7 +155,7 @@ BOARD_COLUMNS = ["Intitulé", "Entreprise", "Lieu", "Salaire annoncé", "Requêt
 def board_csv_lines(obs: DataFrame) -> DataFrame:
     """Job-board rows rendered as CSV text lines (``to_csv``), one per row."""
     b = board_rows(obs)
-    return b.select("l_orderkey", F.to_csv(F.struct(*[F.col(c) for c in BOARD_COLUMNS])).alias("line"))
+    return b.select("l_orderkey", "l_linenumber", F.to_csv(F.struct(*[F.col(c) for c in BOARD_COLUMNS])).alias("line"))
 
 
 def board_csv_chunks(obs: DataFrame) -> DataFrame:
@@ -172,7 +173,7 @@ def range_rows(obs: DataFrame) -> DataFrame:
     lo = F.floor(F.col("price") * 0.9 / 1000).cast("string")
     hi = F.floor(F.col("price") * 1.1 / 1000).cast("string")
     return _of(obs, "glassdoor").select(
-        "l_orderkey",
+        "l_orderkey", "l_linenumber",
         F.concat(F.col("skill_label"), F.lit(" Developer")).alias("Rôle"),
         F.lit("Centre").alias("Ville"),
         F.col("country_name").alias("Pays"),
@@ -187,7 +188,7 @@ def range_rows(obs: DataFrame) -> DataFrame:
 
 def survey_rows(obs: DataFrame) -> DataFrame:
     return _of(obs, "so_survey").select(
-        "l_orderkey",
+        "l_orderkey", "l_linenumber",
         F.col("country_name").alias("Country"),
         F.floor(F.col("price")).cast("bigint").cast("string").alias("ConvertedCompYearly"),
         F.concat_ws(";", F.col("skill_label"), F.col("skill2_label")).alias("LanguageHaveWorkedWith"),
@@ -212,14 +213,15 @@ def compensation_records(obs: DataFrame) -> DataFrame:
 
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trending repositories, one per part: stars as '1,234' text, forks
-    missing on some rows."""
+    missing on some rows, a blank language on others (its skill is null)."""
     p = load(spark, sf_dir, "part", "p_partkey", "p_name", "p_size", "p_retailprice")
     return p.select(
         F.col("p_name").alias("repo"),
         F.concat(F.lit("Repository "), F.col("p_partkey").cast("string")).alias("description"),
         F.format_number(F.floor(F.col("p_retailprice") * 10).cast("bigint"), 0).alias("stars"),
         F.when(F.col("p_partkey") % 11 != 0, F.col("p_size").cast("bigint")).alias("forks"),
-        pick(SKILL_DISPLAY, F.col("p_partkey") % 12).alias("language"),
+        F.when(F.col("p_partkey") % 13 != 0, pick(SKILL_DISPLAY, F.col("p_partkey") % 12))
+         .otherwise(F.lit("")).alias("language"),
         F.lit("daily").alias("period"),
     )
 

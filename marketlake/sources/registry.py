@@ -30,15 +30,15 @@ def _offers(obs: DataFrame) -> DataFrame:
 
 
 def _board(obs: DataFrame) -> DataFrame:
-    return readers.with_na_tokens(adapter.board_rows(obs).drop("l_orderkey"))
+    return readers.with_na_tokens(adapter.board_rows(obs).drop("l_orderkey", "l_linenumber"))
 
 
 def _ranges(obs: DataFrame) -> DataFrame:
-    return readers.with_na_tokens(adapter.range_rows(obs).drop("l_orderkey"))
+    return readers.with_na_tokens(adapter.range_rows(obs).drop("l_orderkey", "l_linenumber"))
 
 
 def _survey(obs: DataFrame) -> DataFrame:
-    return readers.with_na_tokens(adapter.survey_rows(obs).drop("l_orderkey"))
+    return readers.with_na_tokens(adapter.survey_rows(obs).drop("l_orderkey", "l_linenumber"))
 
 
 REGISTRY: list[SalarySource] = [

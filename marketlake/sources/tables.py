@@ -16,3 +16,19 @@ def load(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Read one table; naming the columns keeps the parquet ReadSchema pruned."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
+
+
+def balance(df: DataFrame, *keys: str) -> DataFrame:
+    """Scan-parallelism guard.
+
+    A parquet file with a single row group is read by one task however large
+    it is, and everything fused after the scan then runs on one core.  When a
+    plan yields fewer partitions than the default parallelism it is spread
+    (hash-partitioned on ``keys`` when given, which needs no sort; else
+    round-robin); on a large input (thousands of splits) the guard never fires,
+    so no extra shuffle is added at scale.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
