@@ -44,14 +44,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; we only pick our own
     (a fresh scratch folder) when it is unset, which happens in local tests.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
+    if sc is not None:
         sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        return sc.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

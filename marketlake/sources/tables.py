@@ -28,7 +28,11 @@ def balance(df: DataFrame, *keys: str) -> DataFrame:
     round-robin); on a large input (thousands of splits) the guard never fires,
     so no extra shuffle is added at scale.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
