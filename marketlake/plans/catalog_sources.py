@@ -421,3 +421,15 @@ TRENDS_SILVER_SQL = OBS + """SELECT date_posted AS date, lower(skill_label) AS s
 def q_clean_search_trends(spark, sf):
     """M6: search interest wide -> long -> silver; country passes unchanged."""
     return md.trends_silver(spark, sf)
+
+
+@query("sql_function_surface", r"""SELECT p_partkey, p_name || '/' || p_type || ' ' || p_brand AS raw,
+  nullif(regexp_replace(regexp_replace(lower(p_name || '/' || p_type || ' ' || p_brand), '[^a-z0-9]+', '_', 'g'),
+         '^_+|_+$', '', 'g'), '') AS label FROM part""")
+def q_sql_function_surface(spark, sf):
+    """2.L: the same label rule called from SQL as a registered SQL function."""
+    from ..functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    load(spark, sf, "part", "p_partkey", "p_name", "p_type", "p_brand").createOrReplaceTempView("ml_part")
+    return spark.sql("""SELECT p_partkey, concat(p_name, '/', p_type, ' ', p_brand) AS raw,
+                        normalize_skill_label(concat(p_name, '/', p_type, ' ', p_brand)) AS label FROM ml_part""")

@@ -115,3 +115,12 @@ def test_split_skill_list(spark):
     df = spark.createDataFrame([("Python;;C++;+++;python",), (None,)], "x string")
     r = df.select(F.explode(M.split_skill_list("x")).alias("s")).where("s is not null").collect()
     assert [x["s"] for x in r] == ["python", "c", "python"]
+
+
+def test_sql_functions_match_column_functions(spark):
+    from marketlake.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    r = spark.sql("select normalize_skill_label('Python/C++') a, normalize_currency('GBP60k') b, "
+                  "map_country_iso2(' united') c, timestamp_to_date_coerce('2026-06-01T09:00:00Z') d, "
+                  "usd_prefix_amount(12345.0) e, fill_unknown_company('') f, round2(2.675) g").first()
+    assert tuple(r) == ("python_c", 70200.0, "GB", "2026-06-01", 11357.4, "Unknown", 2.68)
