@@ -128,7 +128,7 @@ def normalize_currency(c) -> Column:
     return round2(parse_number(digits) * rate_to_eur(currency))
 
 
-def with_normalized_currency(df, src: str, dst: str):
+def with_normalized_currency(df, src: str | Column, dst: str):
     """B1 as staged projections: ``df`` plus ``dst`` = normalize_currency(src).
 
     Each intermediate (cleaned text, symbol, code) is its own column, so
@@ -137,7 +137,8 @@ def with_normalized_currency(df, src: str, dst: str):
     row and the generated code stays small.
     """
     s0, sym, s1, code = (f"__{dst}_{k}" for k in ("s0", "sym", "s1", "code"))
-    df = df.withColumn(s0, F.regexp_replace(F.col(f"`{src}`"), "[\\u00a0 ]", ""))
+    text = src if isinstance(src, Column) else F.col(f"`{src}`")
+    df = df.withColumn(s0, F.regexp_replace(text, "[\\u00a0 ]", ""))
     df = df.withColumn(sym, _first_symbol(F.col(s0)))
     df = df.withColumn(s1, F.replace(F.col(s0), F.coalesce(F.col(sym), F.lit("")), F.lit("")))
     df = df.withColumn(code, F.regexp_extract(F.col(s1), "^([A-Za-z]{3})", 1))
@@ -186,11 +187,11 @@ def parse_salary_range(c) -> Column:
     return F.struct(lo.cast("double").alias("min"), hi.cast("double").alias("max"))
 
 
-def with_salary_range(df, src: str, lo: str, hi: str):
+def with_salary_range(df, src: str | Column, lo: str, hi: str):
     """B4 as staged projections: the parsed value array is one column, so the
     higher-order functions run once per row however often lo/hi use it."""
     vals = f"__{lo}_vals"
-    x = F.col(f"`{src}`")
+    x = src if isinstance(src, Column) else F.col(f"`{src}`")
     s = F.regexp_replace(F.replace(x, F.lit(" "), F.lit("")), "[€£$]", "")
     df = df.withColumn(vals, F.filter(F.transform(F.split(s, "[–\\-]", -1), _range_value),
                                       lambda v: v.isNotNull()))

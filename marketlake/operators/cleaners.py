@@ -6,10 +6,11 @@ row multiplication is the survey's skill-list explode (G1).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..sources import readers
 from ..functions.money import with_normalized_currency, with_salary_range
 from ..functions import (
     map_country_iso2, normalize_skill_label, parse_salary_range,
@@ -18,78 +19,117 @@ from ..functions import (
 )
 
 
+SILVER_TYPES = {"source": "string", "date_posted": "string", "country_iso2": "string", "skill": "string",
+                "company": "string", "salary_eur": "double", "min_salary_eur": "double",
+                "max_salary_eur": "double"}
+
+
 def _null(type_: str):
     return F.lit(None).cast(type_)
 
 
 def project_contract(df: DataFrame) -> DataFrame:
     """Select the 8-column silver contract, in order, with its types."""
-    types = {"source": "string", "date_posted": "string", "country_iso2": "string", "skill": "string",
-             "company": "string", "salary_eur": "double", "min_salary_eur": "double",
-             "max_salary_eur": "double"}
-    return df.select(*[F.col(c).cast(types[c]).alias(c) for c in config.SALARY_COLS])
+    return df.select(*[F.col(c).cast(SILVER_TYPES[c]).alias(c) for c in config.SALARY_COLS])
+
+
+def silver_row(**cols: Column) -> Column:
+    """B15 for one row: a struct in contract order and types (missing -> null)."""
+    return F.struct(*[(cols[c] if c in cols else _null(SILVER_TYPES[c])).cast(SILVER_TYPES[c]).alias(c)
+                      for c in config.SALARY_COLS])
+
+
+# Each ``parse_*`` takes a frame holding a bronze record column ``rec`` (a
+# struct in the source's native shape, null on rows of other sources) and
+# returns the frame with its parse stages added plus an ``array<silver row>``
+# Column.  Multi-step parsers are staged as their own columns, so every regexp
+# runs once per row.  The same functions serve one source (``_clean``) and the
+# single pass over all registered sources (``sources.registry.silver_all``).
+
+
+def offer_row(o: Column, source: str = "adzuna") -> Column:
+    """M1 for one bronze offer record (company/category structs)."""
+    lo, hi = o["salary_min"].cast("double"), o["salary_max"].cast("double")
+    return silver_row(
+        source=F.lit(source),
+        date_posted=timestamp_to_date_coerce(o["created"]),
+        country_iso2=map_country_iso2(o["country"]),
+        skill=normalize_skill_label(o["category"]["tag"]),
+        company=o["company"]["display_name"],
+        salary_eur=row_mean_skipna(lo, hi), min_salary_eur=lo, max_salary_eur=hi,
+    )
+
+
+def parse_api_pages(df: DataFrame, rec: str, source: str = "adzuna") -> tuple[DataFrame, Column]:
+    """A9 + M1: an API response ``(request_country, payload)`` -> one silver row per result."""
+    r, offers = F.col(rec), f"{rec}__offers"
+    df = df.withColumn(offers, F.transform(readers.payload_results(r["payload"]),
+                                           lambda m: readers.api_offer(m, r["request_country"])))
+    return df, F.transform(F.col(offers), lambda o: offer_row(o, source))
+
+
+def parse_board(df: DataFrame, rec: str, source: str = "indeed") -> tuple[DataFrame, Column]:
+    """M2: job-board CSV row (salary as local-currency text)."""
+    r, eur = F.col(rec), f"{rec}__eur"
+    df = with_normalized_currency(df, r["Salaire annoncé"], eur)
+    return df, F.array(silver_row(
+        source=F.lit(source), date_posted=r["Date"],
+        country_iso2=map_country_iso2(r["Zone"]), skill=normalize_skill_label(r["Requête"]),
+        company=r["Entreprise"], salary_eur=F.col(eur)))
+
+
+def parse_ranges(df: DataFrame, rec: str, source: str = "glassdoor") -> tuple[DataFrame, Column]:
+    """M3: salary-site CSV row (range text); midpoint strict, no company."""
+    r, lo, hi = F.col(rec), f"{rec}__lo", f"{rec}__hi"
+    df = with_salary_range(df, r["salary_range"], lo, hi)
+    return df, F.array(silver_row(
+        source=F.lit(source), date_posted=r["date_posted"],
+        country_iso2=map_country_iso2(r["Pays"]), skill=normalize_skill_label(r["skill"]),
+        salary_eur=range_midpoint_strict(lo, hi), min_salary_eur=F.col(lo), max_salary_eur=F.col(hi)))
+
+
+def parse_survey(df: DataFrame, rec: str, source: str = "so_survey") -> tuple[DataFrame, Column]:
+    """M4 + G1: one silver row per respondent x skill.
+
+    The amount is read as USD whatever the respondent's currency; empty list
+    parts are dropped; labels that normalise to null are dropped (C4); the
+    salary repeats on each skill row; the date is the fixed survey date.
+    """
+    r, country, eur = F.col(rec), f"{rec}__country", f"{rec}__eur"
+    df = (df.withColumn(country, map_country_iso2(r["Country"]))
+            .withColumn(eur, usd_prefix_amount(r["ConvertedCompYearly"].cast("double"))))
+    skills = F.filter(split_skill_list(r["LanguageHaveWorkedWith"]), lambda x: x.isNotNull())
+    return df, F.transform(skills, lambda sk: silver_row(
+        source=F.lit(source), date_posted=F.lit(config.AS_OF_DATE),
+        country_iso2=F.col(country), skill=sk, salary_eur=F.col(eur)))
+
+
+def _clean(df: DataFrame, parse, source: str) -> DataFrame:
+    """Run one parser over a bronze frame (its columns are the record)."""
+    b = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_rec"))
+    b, rows = parse(b, "_rec", source)
+    return b.select(F.inline(rows))
 
 
 def clean_offers(records: DataFrame, source: str = "adzuna") -> DataFrame:
     """M1: nested offer records (company/category structs) -> silver."""
-    lo, hi = F.col("salary_min").cast("double"), F.col("salary_max").cast("double")
-    return project_contract(records.select(
-        F.col("company.display_name").alias("company"),
-        normalize_skill_label(F.col("category.tag")).alias("skill"),
-        map_country_iso2("country").alias("country_iso2"),
-        lo.alias("min_salary_eur"), hi.alias("max_salary_eur"),
-        row_mean_skipna(lo, hi).alias("salary_eur"),
-        timestamp_to_date_coerce("created").alias("date_posted"),
-        F.lit(source).alias("source"),
-    ))
+    rec = F.struct(*[F.col(f"`{c}`") for c in records.columns])
+    return records.select(offer_row(rec, source).alias("s")).select("s.*")
 
 
 def clean_board(rows: DataFrame, source: str = "indeed") -> DataFrame:
     """M2: job-board CSV (salary as local-currency text) -> silver."""
-    rows = with_normalized_currency(rows, "Salaire annoncé", "_salary_eur")
-    return project_contract(rows.select(
-        F.col("Entreprise").alias("company"),
-        normalize_skill_label("Requête").alias("skill"),
-        map_country_iso2("Zone").alias("country_iso2"),
-        F.col("_salary_eur").alias("salary_eur"),
-        _null("double").alias("min_salary_eur"), _null("double").alias("max_salary_eur"),
-        F.col("Date").alias("date_posted"),
-        F.lit(source).alias("source"),
-    ))
+    return _clean(rows, parse_board, source)
 
 
 def clean_ranges(rows: DataFrame, source: str = "glassdoor") -> DataFrame:
-    """M3: salary-site CSV (range text) -> silver; midpoint strict, no company."""
-    r = with_salary_range(rows, "salary_range", "_lo", "_hi")
-    return project_contract(r.select(
-        _null("string").alias("company"),
-        normalize_skill_label("skill").alias("skill"),
-        map_country_iso2("Pays").alias("country_iso2"),
-        F.col("_lo").alias("min_salary_eur"), F.col("_hi").alias("max_salary_eur"),
-        range_midpoint_strict("_lo", "_hi").alias("salary_eur"),
-        F.col("date_posted").alias("date_posted"),
-        F.lit(source).alias("source"),
-    ))
+    """M3: salary-site CSV (range text) -> silver."""
+    return _clean(rows, parse_ranges, source)
 
 
 def clean_survey(rows: DataFrame, source: str = "so_survey") -> DataFrame:
-    """M4: survey CSV -> silver, one row per respondent x skill (G1).
-
-    The amount is read as USD whatever the respondent's currency; empty list
-    parts are dropped; labels that normalise to null are dropped (C4); the
-    salary repeats on each skill row; the date is the fixed survey date.
-    """
-    exploded = rows.select(
-        map_country_iso2("Country").alias("country_iso2"),
-        usd_prefix_amount(F.col("ConvertedCompYearly").cast("double")).alias("salary_eur"),
-        F.explode(split_skill_list("LanguageHaveWorkedWith")).alias("skill"),
-    ).where(F.col("skill").isNotNull())
-    return project_contract(exploded.select(
-        _null("string").alias("company"), "skill", "country_iso2", "salary_eur",
-        _null("double").alias("min_salary_eur"), _null("double").alias("max_salary_eur"),
-        F.lit(config.AS_OF_DATE).alias("date_posted"),
-        F.lit(source).alias("source"),
-    ))
+    """M4: survey CSV -> silver, one row per respondent x skill (G1)."""
+    return _clean(rows, parse_survey, source)
 
 
 def clean_compensation(records: DataFrame, source: str = "wttj") -> DataFrame:
@@ -128,10 +168,12 @@ def clean_trends(long: DataFrame) -> DataFrame:
     )
 
 
-def quality_rule():
-    """C1 as a predicate: country, skill and salary present, salary > 0."""
-    return (F.col("country_iso2").isNotNull() & F.col("skill").isNotNull()
-            & F.col("salary_eur").isNotNull() & (F.col("salary_eur") > 0))
+def quality_rule(row: Column | None = None) -> Column:
+    """C1 as a predicate: country, skill and salary present, salary > 0.
+    Over the frame's columns, or over the fields of a silver-row struct."""
+    get = F.col if row is None else (lambda c: row[c])
+    return (get("country_iso2").isNotNull() & get("skill").isNotNull()
+            & get("salary_eur").isNotNull() & (get("salary_eur") > 0))
 
 
 def quality_filter(df: DataFrame) -> DataFrame:

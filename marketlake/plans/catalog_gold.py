@@ -47,7 +47,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 FROM silver_raw GROUP BY source""")
 def q_reject_rate(spark, sf):
     """Rows before, kept and rejected by the quality filter, per source, one pass."""
-    return _union([cleaners.reject_rate(p) for p in md.silver_parts(spark, sf, filtered=False)])
+    return cleaners.reject_rate(md.silver_raw(spark, sf))
 
 
 @query("filter_common", o.fact_sql("""SELECT * FROM fact WHERE country_iso2 = 'US' AND skill = 'python'
@@ -74,7 +74,7 @@ def q_fresh_since_watermark(spark, sf):
     """Offers newer than the watermark, and exactly the next day."""
     prev = F.date_sub(F.to_date(F.lit(REPLAY_DATE)), 1).cast("string")
     parts = []
-    for p in md.silver_parts(spark, sf):
+    for p in [md.silver(spark, sf)]:
         after = mb.fresh_since(p, WATERMARK).groupBy("date_posted", "source") \
                   .agg(F.count(F.lit(1)).cast("bigint").alias("rows")).withColumn("mode", F.lit("after"))
         nxt = p.where(F.col("date_posted") == F.date_add(F.to_date(prev), 1).cast("string")) \
@@ -195,7 +195,7 @@ def q_table_counts(spark, sf):
   FROM salary WHERE date_posted = '{BATCH_DATE}' AND company IS NOT NULL""")
 def q_dim_company_increment(spark, sf):
     """companies of one day's batch, attributes null."""
-    names = md.distinct_over_sources(
+    names = md.distinct_salary(
         spark, sf, lambda p: gold.distinct_companies(p.where(F.col("date_posted") == BATCH_DATE)))
     return names.select("company_name", F.lit(None).cast("string").alias("workforce_size"),
                         F.lit(None).cast("string").alias("sector"))
@@ -248,9 +248,9 @@ def q_percentile_cont(spark, sf):
 UNION ALL SELECT DISTINCT 'company', company FROM salary WHERE company IS NOT NULL""")
 def q_distinct_keys(spark, sf):
     """Distinct non-null dates and companies."""
-    d = md.distinct_over_sources(spark, sf, gold.distinct_dates).select(
+    d = md.distinct_salary(spark, sf, gold.distinct_dates).select(
         F.lit("date").alias("kind"), F.col("date_posted").alias("value"))
-    c = md.distinct_over_sources(spark, sf, gold.distinct_companies).select(
+    c = md.distinct_salary(spark, sf, gold.distinct_companies).select(
         F.lit("company").alias("kind"), F.col("company_name").alias("value"))
     return d.unionByName(c)
 
@@ -333,8 +333,7 @@ def _counts_sql(rules, table: str, dataset: str | None) -> str:
 @query("dq_silver_salary", SILVER_SQL + _counts_sql(_SILVER_RULES_SQL, "silver", "source"))
 def q_dq_silver_salary(spark, sf):
     """H1: failures per rule of the silver contract, per source, one pass each."""
-    return _union([quality.violation_counts(p, quality.silver_salary_rules(), "source")
-                   for p in md.silver_parts(spark, sf)])
+    return quality.violation_counts(md.silver(spark, sf), quality.silver_salary_rules(), "source")
 
 
 @query("dq_gold_fact", o.fact_sql(_counts_sql(_FACT_RULES_SQL, "fact", None)))
@@ -370,8 +369,7 @@ _CASES_SQL = SILVER_SQL + """SELECT source AS dataset, 'salary_eur' AS "column",
 
 
 def _failure_cases(spark, sf) -> DataFrame:
-    return _union([quality.failure_cases(p, quality.silver_salary_rules(), "source")
-                   for p in md.silver_parts(spark, sf)])
+    return quality.failure_cases(md.silver(spark, sf), quality.silver_salary_rules(), "source")
 
 
 @query("dq_failure_cases", _CASES_SQL)
@@ -391,7 +389,7 @@ def q_top_failures(spark, sf):
   CAST(count(*) AS BIGINT) AS n FROM salary GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1""")
 def q_dq_unique_grain(spark, sf):
     """H8: grain keys occurring more than once in silver (the fact collapses them)."""
-    return _union([quality.duplicate_keys(p, config.FACT_GRAIN) for p in md.salary_parts(spark, sf)])
+    return quality.duplicate_keys(md.salary(spark, sf), config.FACT_GRAIN)
 
 
 @query("dq_checks", o.star_sql("""SELECT '*' AS "column", 'ck_salary_order' AS "check",
@@ -453,9 +451,9 @@ def q_replay_idempotent(spark, sf):
 @query("micro_batch_day", FULL_FACT_SQL)
 def q_micro_batch_day(spark, sf):
     """One day's silver rows -> batch fact -> upsert into the fact."""
-    parts = [p.where(F.col("date_posted") == BATCH_DATE) for p in md.silver_parts(spark, sf)]
+    batch = md.silver(spark, sf).where(F.col("date_posted") == BATCH_DATE)
     target = _fact_without_batch(md.fact(spark, sf))
-    batch_fact = _union([gold.build_fact(gold.salary_frame(p)) for p in parts])
+    batch_fact = gold.build_fact(gold.salary_frame(batch))
     return wh.upsert_fact(target, batch_fact, config.FACT_GRAIN)
 
 
@@ -492,7 +490,7 @@ FROM (SELECT CAST(row_number() OVER (ORDER BY date_posted) AS BIGINT) AS step, d
 def q_watermark_state(spark, sf):
     """Watermark after each daily run (in date order, then a backfill of
     an older day): parity mode moves back, greatest mode does not."""
-    dates = md.distinct_over_sources(spark, sf, gold.distinct_dates).where(F.col("date_posted") != config.AS_OF_DATE)
+    dates = md.distinct_salary(spark, sf, gold.distinct_dates).where(F.col("date_posted") != config.AS_OF_DATE)
     runs = global_index(dates, [F.col("date_posted")], "step").select("step", F.col("date_posted").alias("batch_date"))
     backfill = dates.agg((F.count(F.lit(1)) + 1).cast("bigint").alias("step")) \
                     .select("step", F.lit(REPLAY_DATE).alias("batch_date"))

@@ -8,8 +8,6 @@ to the columns it needs and pushes the source predicates to the lineitem scan).
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,44 +22,35 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All registered salary sources, cleaned, before the quality filter."""
-    return registry.silver_union(observations(spark, sf_dir))
+    """All registered salary sources, cleaned in one pass, before the quality filter."""
+    return registry.silver_all(observations(spark, sf_dir))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7 (salary part): silver after C1."""
-    return cleaners.quality_filter(silver_raw(spark, sf_dir))
+    """M7 (salary part): silver after C1, all sources in one pass."""
+    return registry.silver_all(observations(spark, sf_dir), valid=True)
 
 
 def salary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold input: silver union with B12 applied."""
+    """Gold input: silver with B12 applied."""
     return gold.salary_frame(silver(spark, sf_dir))
 
 
 def silver_parts(spark: SparkSession, sf_dir: str, filtered: bool = True) -> list[DataFrame]:
-    """Silver of each registered source (after C1 unless ``filtered=False``)."""
+    """Silver of each registered source on its own (after C1 unless
+    ``filtered=False``), for results reported per source."""
     obs = observations(spark, sf_dir)
-    parts = [registry.silver_source(obs, s.name) for s in registry.REGISTRY]
-    return [cleaners.quality_filter(p) for p in parts] if filtered else parts
+    return [registry.silver_source(obs, s.name, valid=filtered) for s in registry.REGISTRY]
 
 
-def per_source(spark: SparkSession, sf_dir: str, fn, filtered: bool = True) -> DataFrame:
-    """``fn`` applied to each source's silver, results concatenated.
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 core: the gold fact table.
 
-    Used for every aggregation whose keys include ``source`` (the fact grain
-    does): aggregating per branch and concatenating is exact, keeps each
-    source's partial aggregation next to its own scan, and keeps every
-    whole-stage-codegen unit to one source's plan.
+    One join, one pass of every source's parser with C1 applied inside the
+    generator, one hash aggregation on the grain (partial aggregation before
+    the shuffle).
     """
-    return functools.reduce(DataFrame.unionByName, [fn(p) for p in silver_parts(spark, sf_dir, filtered)])
-
-
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8 core: the gold fact table (E1), aggregated per source branch, with
-    the C1 rule folded into the aggregation."""
-    return per_source(spark, sf_dir,
-                      lambda s: gold.build_fact(gold.salary_frame(s), valid=cleaners.quality_rule()),
-                      filtered=False)
+    return gold.build_fact(salary(spark, sf_dir))
 
 
 def repositories_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,27 +68,20 @@ def company_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_na_tokens(adapter.company_register(spark, sf_dir))
 
 
-def salary_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Per-source gold input (silver after C1, B12 applied)."""
-    return [gold.salary_frame(p) for p in silver_parts(spark, sf_dir)]
-
-
-def distinct_over_sources(spark: SparkSession, sf_dir: str, fn) -> DataFrame:
-    """``fn(part).distinct()`` per source, then a final distinct: each branch
-    de-duplicates next to its scan, the union only merges small results."""
-    parts = [fn(p).distinct() for p in salary_parts(spark, sf_dir)]
-    return functools.reduce(DataFrame.unionByName, parts).distinct()
+def distinct_salary(spark: SparkSession, sf_dir: str, fn) -> DataFrame:
+    """``fn(salary).distinct()``: partial de-duplication before the shuffle."""
+    return fn(salary(spark, sf_dir)).distinct()
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 over every source's dates."""
-    dates = distinct_over_sources(spark, sf_dir, gold.distinct_dates)
+    dates = distinct_salary(spark, sf_dir, gold.distinct_dates)
     return gold.build_dim_date(dates)
 
 
 def dim_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Companies present in the facts, left-joined to the register."""
-    names = distinct_over_sources(spark, sf_dir, gold.distinct_companies)
+    names = distinct_salary(spark, sf_dir, gold.distinct_companies)
     return names.join(company_register(spark, sf_dir), "company_name", "left")
 
 

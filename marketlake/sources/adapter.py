@@ -99,14 +99,21 @@ def offer_record() -> Column:
     )
 
 
+def api_page_fields() -> dict[str, Column]:
+    """One API response per order (an order carries at most one offer of this
+    source): ``request_country, page, payload``."""
+    return {
+        "request_country": F.lower("iso2"),
+        "page": F.col("l_orderkey"),
+        "payload": F.to_json(F.struct(F.lit(1).cast("bigint").alias("count"),
+                                      F.array(offer_record()).alias("results"))),
+    }
+
+
 def offers_api_pages(obs: DataFrame) -> DataFrame:
-    """API responses ``(request_country, page, payload)``, one response per
-    order (an order carries at most one offer of this source).  A pure
-    projection: no aggregation, so it streams at scan speed."""
-    a = _of(obs, "adzuna")
-    return a.select(F.lower("iso2").alias("request_country"), F.col("l_orderkey").alias("page"),
-                    F.to_json(F.struct(F.lit(1).cast("bigint").alias("count"),
-                                       F.array(offer_record()).alias("results"))).alias("payload"))
+    """API responses ``(request_country, page, payload)``.  A pure projection:
+    no aggregation, so it streams at scan speed."""
+    return _of(obs, "adzuna").select(*[v.alias(k) for k, v in api_page_fields().items()])
 
 
 def offers_json_arrays(obs: DataFrame) -> DataFrame:
@@ -135,18 +142,23 @@ def _salary_text() -> Column:
     return F.concat(sym, F.floor(F.col("price") / 1000).cast("string"), F.lit("k"))
 
 
+def board_fields() -> dict[str, Column]:
+    """Job-board CSV columns (French headers); the company is blank on some rows."""
+    return {
+        "Intitulé": F.concat(F.col("skill_label"), F.lit(" Engineer")),
+        "Entreprise": F.when(F.col("l_orderkey") % 97 == 0, F.lit("")).otherwise(F.col("s_name")),
+        "Lieu": F.concat(F.lit("Centre, "), F.col("country_name")),
+        "Salaire annoncé": _salary_text(),
+        "Requête": F.col("skill_label"),
+        "Zone": F.col("country_name"),
+        "Date": F.col("date_posted"),
+    }
+
+
 def board_rows(obs: DataFrame) -> DataFrame:
-    """Job-board CSV rows (French headers); the company is blank on some rows."""
-    return _of(obs, "indeed").select(
-        "l_orderkey", "l_linenumber",
-        F.concat(F.col("skill_label"), F.lit(" Engineer")).alias("Intitulé"),
-        F.when(F.col("l_orderkey") % 97 == 0, F.lit("")).otherwise(F.col("s_name")).alias("Entreprise"),
-        F.concat(F.lit("Centre, "), F.col("country_name")).alias("Lieu"),
-        _salary_text().alias("Salaire annoncé"),
-        F.col("skill_label").alias("Requête"),
-        F.col("country_name").alias("Zone"),
-        F.col("date_posted").alias("Date"),
-    )
+    """Job-board CSV rows, keyed by ``l_orderkey, l_linenumber``."""
+    return _of(obs, "indeed").select("l_orderkey", "l_linenumber",
+                                     *[v.alias(k) for k, v in board_fields().items()])
 
 
 BOARD_COLUMNS = ["Intitulé", "Entreprise", "Lieu", "Salaire annoncé", "Requête", "Zone", "Date"]
@@ -169,30 +181,40 @@ def board_csv_chunks(obs: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- glassdoor (CSV)
 
-def range_rows(obs: DataFrame) -> DataFrame:
+def range_fields() -> dict[str, Column]:
+    """Salary-site CSV columns: the salary is a range text."""
     lo = F.floor(F.col("price") * 0.9 / 1000).cast("string")
     hi = F.floor(F.col("price") * 1.1 / 1000).cast("string")
-    return _of(obs, "glassdoor").select(
-        "l_orderkey", "l_linenumber",
-        F.concat(F.col("skill_label"), F.lit(" Developer")).alias("Rôle"),
-        F.lit("Centre").alias("Ville"),
-        F.col("country_name").alias("Pays"),
-        F.lit("confirmé").alias("Niveau"),
-        F.col("skill_label").alias("skill"),
-        F.concat(lo, F.lit("k–"), hi, F.lit("k€")).alias("salary_range"),
-        F.col("date_posted").alias("date_posted"),
-    )
+    return {
+        "Rôle": F.concat(F.col("skill_label"), F.lit(" Developer")),
+        "Ville": F.lit("Centre"),
+        "Pays": F.col("country_name"),
+        "Niveau": F.lit("confirmé"),
+        "skill": F.col("skill_label"),
+        "salary_range": F.concat(lo, F.lit("k–"), hi, F.lit("k€")),
+        "date_posted": F.col("date_posted"),
+    }
+
+
+def range_rows(obs: DataFrame) -> DataFrame:
+    return _of(obs, "glassdoor").select("l_orderkey", "l_linenumber",
+                                        *[v.alias(k) for k, v in range_fields().items()])
 
 
 # ----------------------------------------------------------- so_survey (CSV)
 
+def survey_fields() -> dict[str, Column]:
+    """Survey CSV columns: USD amount as text and a ';'-separated skill list."""
+    return {
+        "Country": F.col("country_name"),
+        "ConvertedCompYearly": F.floor(F.col("price")).cast("bigint").cast("string"),
+        "LanguageHaveWorkedWith": F.concat_ws(";", F.col("skill_label"), F.col("skill2_label")),
+    }
+
+
 def survey_rows(obs: DataFrame) -> DataFrame:
-    return _of(obs, "so_survey").select(
-        "l_orderkey", "l_linenumber",
-        F.col("country_name").alias("Country"),
-        F.floor(F.col("price")).cast("bigint").cast("string").alias("ConvertedCompYearly"),
-        F.concat_ws(";", F.col("skill_label"), F.col("skill2_label")).alias("LanguageHaveWorkedWith"),
-    )
+    return _of(obs, "so_survey").select("l_orderkey", "l_linenumber",
+                                        *[v.alias(k) for k, v in survey_fields().items()])
 
 
 # ------------------------------------------------- extra source (nested JSON)

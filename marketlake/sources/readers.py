@@ -130,32 +130,41 @@ def raw_record_count(content, fmt) -> Column:
 _PAYLOAD_SCHEMA = "struct<count: bigint, results: array<map<string, string>>>"
 
 
-def flatten_api_payload(pages: DataFrame, payload: str = "payload", request_country: str = "request_country") -> DataFrame:
-    """Explode ``results`` of API responses into bronze offer records.
+def payload_results(payload) -> Column:
+    """The ``results`` of an API response text, each result a string map (so
+    absent and explicit-null keys stay distinct)."""
+    return F.from_json(as_col(payload), _PAYLOAD_SCHEMA)["results"]
+
 
-    ``country`` is added from the request only when the key is *absent*;
+def api_offer(m: Column, request_country: Column) -> Column:
+    """A9 for one result map: the bronze offer record.
+
+    ``country`` is taken from the request only when the key is *absent*;
     ``category.tag`` falls back to ``lower(category.label)`` (or '') only when
-    the ``tag`` key is absent.  Results are parsed as maps so absent and
-    explicit null keys stay distinct.
+    the ``tag`` key is absent.
     """
-    r = pages.select(F.col(request_country).alias("_rc"),
-                     F.explode(F.from_json(F.col(payload), _PAYLOAD_SCHEMA)["results"]).alias("m"))
-    m = F.col("m")
     cat = F.from_json(m["category"], "map<string, string>")
     tag = F.when(F.map_contains_key(cat, "tag"), cat["tag"]) \
            .otherwise(F.lower(F.coalesce(cat["label"], F.lit(""))))
-    return r.select(
+    return F.struct(
         m["title"].alias("title"),
         F.from_json(m["company"], "display_name string").alias("company"),
         F.from_json(m["location"], "display_name string").alias("location"),
         m["salary_min"].cast("double").alias("salary_min"),
         m["salary_max"].cast("double").alias("salary_max"),
         F.struct(tag.alias("tag")).alias("category"),
-        F.when(F.map_contains_key(m, "country"), m["country"]).otherwise(F.col("_rc")).alias("country"),
+        F.when(F.map_contains_key(m, "country"), m["country"]).otherwise(request_country).alias("country"),
         m["created"].alias("created"),
     )
 
 
+def flatten_api_payload(pages: DataFrame, payload: str = "payload", request_country: str = "request_country") -> DataFrame:
+    """Explode ``results`` of API responses into bronze offer records."""
+    r = pages.select(F.col(request_country).alias("_rc"),
+                     F.explode(payload_results(F.col(payload))).alias("m"))
+    return r.select(api_offer(F.col("m"), F.col("_rc")).alias("o")).select("o.*")
+
+
 def html_links(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
     """A10: listing items of raw pages: every ``<a href="...">text</a>`` with
     its position, the text without spaces (the reference strips them)."""

@@ -1,51 +1,50 @@
 """The salary-source registry.
 
-Adding a source is one entry: a name, a function that renders/reads its
-bronze frame, and its cleaner.  ``silver_union`` builds every registered
-source and concatenates them with ``unionByName`` (UNION ALL): no shuffle,
-each source keeps its own scan and partitioning.
+Adding a source is one entry: a name, the bronze record of one observation in
+the source's native shape, and the parser that turns a record into silver rows.
+
+``silver_source`` runs one entry over its own observations.  ``silver_all``
+runs every entry in a single pass over the observations: each row carries
+the record of its own source (null for the others), every parser adds its
+stages to the same projection, and one generator emits the silver rows of the
+row's source.  The observation join therefore runs once for all sources, not
+once per source, and no union or extra shuffle is needed.
 """
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from ..functions import na_tokens_to_null
 from ..operators import cleaners
-from . import adapter, readers
+from . import adapter
 
 
 @dataclass(frozen=True)
 class SalarySource:
     name: str
-    bronze: Callable[[DataFrame], DataFrame]   # observations -> bronze frame
-    clean: Callable[[DataFrame], DataFrame]    # bronze frame -> silver contract
+    record: Callable[[], Column]                                  # observation -> bronze record
+    parse: Callable[[DataFrame, str, str], tuple[DataFrame, Column]]  # -> (staged frame, array<silver row>)
 
 
-def _offers(obs: DataFrame) -> DataFrame:
-    return readers.flatten_api_payload(adapter.offers_api_pages(obs))
+def _csv_record(fields: dict[str, Column]) -> Column:
+    """A CSV row as the reader yields it: text columns, NA tokens as null (A3)."""
+    return F.struct(*[na_tokens_to_null(v).alias(k) for k, v in fields.items()])
 
 
-def _board(obs: DataFrame) -> DataFrame:
-    return readers.with_na_tokens(adapter.board_rows(obs).drop("l_orderkey", "l_linenumber"))
-
-
-def _ranges(obs: DataFrame) -> DataFrame:
-    return readers.with_na_tokens(adapter.range_rows(obs).drop("l_orderkey", "l_linenumber"))
-
-
-def _survey(obs: DataFrame) -> DataFrame:
-    return readers.with_na_tokens(adapter.survey_rows(obs).drop("l_orderkey", "l_linenumber"))
+def _api_record() -> Column:
+    return F.struct(*[v.alias(k) for k, v in adapter.api_page_fields().items()])
 
 
 REGISTRY: list[SalarySource] = [
-    SalarySource("adzuna", _offers, cleaners.clean_offers),
-    SalarySource("indeed", _board, cleaners.clean_board),
-    SalarySource("glassdoor", _ranges, cleaners.clean_ranges),
-    SalarySource("so_survey", _survey, cleaners.clean_survey),
+    SalarySource("adzuna", _api_record, cleaners.parse_api_pages),
+    SalarySource("indeed", lambda: _csv_record(adapter.board_fields()), cleaners.parse_board),
+    SalarySource("glassdoor", lambda: _csv_record(adapter.range_fields()), cleaners.parse_ranges),
+    SalarySource("so_survey", lambda: _csv_record(adapter.survey_fields()), cleaners.parse_survey),
 ]
 
 
@@ -53,12 +52,28 @@ def source(name: str) -> SalarySource:
     return next(s for s in REGISTRY if s.name == name)
 
 
-def silver_source(obs: DataFrame, name: str) -> DataFrame:
-    s = source(name)
-    return s.clean(s.bronze(obs))
+def _silver(obs: DataFrame, sources: list[SalarySource], valid: bool) -> DataFrame:
+    src = F.col("src")
+    df = obs.select("src", *[F.when(src == s.name, s.record()).alias(f"_b_{s.name}") for s in sources])
+    rows = None
+    for s in sources:
+        df, r = s.parse(df, f"_b_{s.name}", s.name)
+        rows = F.when(src == s.name, r) if rows is None else rows.when(src == s.name, r)
+    if valid:  # C1 inside the generator: evaluated once, on the parsed values
+        rows = F.filter(rows, lambda x: cleaners.quality_rule(x))
+    return df.select(F.inline(rows))
+
+
+def silver_source(obs: DataFrame, name: str, valid: bool = False) -> DataFrame:
+    """Silver of one registered source (before C1 unless ``valid``)."""
+    return _silver(obs.where(F.col("src") == name), [source(name)], valid)
+
+
+def silver_all(obs: DataFrame, valid: bool = False, registry: list[SalarySource] | None = None) -> DataFrame:
+    """Silver of every registered source in one pass (before C1 unless ``valid``)."""
+    return _silver(obs, registry or REGISTRY, valid)
 
 
 def silver_union(obs: DataFrame, registry: list[SalarySource] | None = None) -> DataFrame:
     """Cleaned silver of every registered source, concatenated (before C1)."""
-    parts = [s.clean(s.bronze(obs)) for s in (registry or REGISTRY)]
-    return functools.reduce(DataFrame.unionByName, parts)
+    return silver_all(obs, False, registry)
