@@ -41,10 +41,21 @@ def silver_row(**cols: Column) -> Column:
 
 # Each ``parse_*`` takes a frame holding a bronze record column ``rec`` (a
 # struct in the source's native shape, null on rows of other sources) and
-# returns the frame with its parse stages added plus an ``array<silver row>``
-# Column.  Multi-step parsers are staged as their own columns, so every regexp
-# runs once per row.  The same functions serve one source (``_clean``) and the
-# single pass over all registered sources (``sources.registry.silver_all``).
+# returns the frame with its parse stages added plus an ``array<row>`` Column.
+# The rows carry the *raw* country and skill text: ``finish_rows`` resolves
+# both once, after the generator, in one projection for every source (inside
+# whole-stage codegen rather than inside the array lambdas).  Multi-step
+# parsers are staged as their own columns, so every regexp runs once per row.
+# The same functions serve one source (``_clean``) and the single pass over
+# all registered sources (``sources.registry.silver_all``).
+
+
+def finish_rows(rows: DataFrame) -> DataFrame:
+    """B3 on the country text and B5 on the skill text of parsed rows; the
+    result is the silver contract."""
+    return rows.select(*[(map_country_iso2(F.col(c)) if c == "country_iso2" else
+                          normalize_skill_label(F.col(c)) if c == "skill" else F.col(c)).alias(c)
+                         for c in config.SALARY_COLS])
 
 
 def offer_row(o: Column, source: str = "adzuna") -> Column:
@@ -53,15 +64,14 @@ def offer_row(o: Column, source: str = "adzuna") -> Column:
     return silver_row(
         source=F.lit(source),
         date_posted=timestamp_to_date_coerce(o["created"]),
-        country_iso2=map_country_iso2(o["country"]),
-        skill=normalize_skill_label(o["category"]["tag"]),
+        country_iso2=o["country"], skill=o["category"]["tag"],
         company=o["company"]["display_name"],
         salary_eur=row_mean_skipna(lo, hi), min_salary_eur=lo, max_salary_eur=hi,
     )
 
 
 def parse_api_pages(df: DataFrame, rec: str, source: str = "adzuna") -> tuple[DataFrame, Column]:
-    """A9 + M1: an API response ``(request_country, payload)`` -> one silver row per result."""
+    """A9 + M1: an API response ``(request_country, payload)`` -> one row per result."""
     r, offers = F.col(rec), f"{rec}__offers"
     df = df.withColumn(offers, F.transform(readers.payload_results(r["payload"]),
                                            lambda m: readers.api_offer(m, r["request_country"])))
@@ -73,8 +83,7 @@ def parse_board(df: DataFrame, rec: str, source: str = "indeed") -> tuple[DataFr
     r, eur = F.col(rec), f"{rec}__eur"
     df = with_normalized_currency(df, r["Salaire annoncé"], eur)
     return df, F.array(silver_row(
-        source=F.lit(source), date_posted=r["Date"],
-        country_iso2=map_country_iso2(r["Zone"]), skill=normalize_skill_label(r["Requête"]),
+        source=F.lit(source), date_posted=r["Date"], country_iso2=r["Zone"], skill=r["Requête"],
         company=r["Entreprise"], salary_eur=F.col(eur)))
 
 
@@ -83,38 +92,38 @@ def parse_ranges(df: DataFrame, rec: str, source: str = "glassdoor") -> tuple[Da
     r, lo, hi = F.col(rec), f"{rec}__lo", f"{rec}__hi"
     df = with_salary_range(df, r["salary_range"], lo, hi)
     return df, F.array(silver_row(
-        source=F.lit(source), date_posted=r["date_posted"],
-        country_iso2=map_country_iso2(r["Pays"]), skill=normalize_skill_label(r["skill"]),
+        source=F.lit(source), date_posted=r["date_posted"], country_iso2=r["Pays"], skill=r["skill"],
         salary_eur=range_midpoint_strict(lo, hi), min_salary_eur=F.col(lo), max_salary_eur=F.col(hi)))
 
 
 def parse_survey(df: DataFrame, rec: str, source: str = "so_survey") -> tuple[DataFrame, Column]:
-    """M4 + G1: one silver row per respondent x skill.
+    """M4 + G1: one row per respondent x skill.
 
     The amount is read as USD whatever the respondent's currency; empty list
-    parts are dropped; labels that normalise to null are dropped (C4); the
-    salary repeats on each skill row; the date is the fixed survey date.
+    parts are dropped, and so are parts whose label normalises to null (C4:
+    no ASCII letter or digit once lower-cased); the salary repeats on each
+    skill row; the date is the fixed survey date.
     """
-    r, country, eur = F.col(rec), f"{rec}__country", f"{rec}__eur"
-    df = (df.withColumn(country, map_country_iso2(r["Country"]))
-            .withColumn(eur, usd_prefix_amount(r["ConvertedCompYearly"].cast("double"))))
-    skills = F.filter(split_skill_list(r["LanguageHaveWorkedWith"]), lambda x: x.isNotNull())
-    return df, F.transform(skills, lambda sk: silver_row(
+    r, eur = F.col(rec), f"{rec}__eur"
+    df = df.withColumn(eur, usd_prefix_amount(r["ConvertedCompYearly"].cast("double")))
+    parts = F.filter(F.split(F.coalesce(r["LanguageHaveWorkedWith"], F.lit("")), ";", -1),
+                     lambda x: F.lower(x).rlike("[a-z0-9]"))
+    return df, F.transform(parts, lambda sk: silver_row(
         source=F.lit(source), date_posted=F.lit(config.AS_OF_DATE),
-        country_iso2=F.col(country), skill=sk, salary_eur=F.col(eur)))
+        country_iso2=r["Country"], skill=sk, salary_eur=F.col(eur)))
 
 
 def _clean(df: DataFrame, parse, source: str) -> DataFrame:
     """Run one parser over a bronze frame (its columns are the record)."""
     b = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_rec"))
     b, rows = parse(b, "_rec", source)
-    return b.select(F.inline(rows))
+    return finish_rows(b.select(F.inline(rows)))
 
 
 def clean_offers(records: DataFrame, source: str = "adzuna") -> DataFrame:
     """M1: nested offer records (company/category structs) -> silver."""
     rec = F.struct(*[F.col(f"`{c}`") for c in records.columns])
-    return records.select(offer_row(rec, source).alias("s")).select("s.*")
+    return finish_rows(records.select(offer_row(rec, source).alias("s")).select("s.*"))
 
 
 def clean_board(rows: DataFrame, source: str = "indeed") -> DataFrame:

@@ -46,11 +46,12 @@ def silver_parts(spark: SparkSession, sf_dir: str, filtered: bool = True) -> lis
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 core: the gold fact table.
 
-    One join, one pass of every source's parser with C1 applied inside the
-    generator, one hash aggregation on the grain (partial aggregation before
+    One join, one pass of every source's parser, C1 folded into the
+    aggregation, one hash aggregation on the grain (partial aggregation before
     the shuffle).
     """
-    return gold.build_fact(salary(spark, sf_dir))
+    rows = gold.salary_frame(registry.silver_all(observations(spark, sf_dir)))
+    return gold.build_fact(rows, valid=cleaners.quality_rule())
 
 
 def repositories_silver(spark: SparkSession, sf_dir: str) -> DataFrame:

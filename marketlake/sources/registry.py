@@ -7,7 +7,8 @@ the source's native shape, and the parser that turns a record into silver rows.
 runs every entry in a single pass over the observations: each row carries
 the record of its own source (null for the others), every parser adds its
 stages to the same projection, and one generator emits the silver rows of the
-row's source.  The observation join therefore runs once for all sources, not
+row's source; country and skill are then resolved in one shared projection.
+The observation join therefore runs once for all sources, not
 once per source, and no union or extra shuffle is needed.
 """
 
@@ -59,9 +60,8 @@ def _silver(obs: DataFrame, sources: list[SalarySource], valid: bool) -> DataFra
     for s in sources:
         df, r = s.parse(df, f"_b_{s.name}", s.name)
         rows = F.when(src == s.name, r) if rows is None else rows.when(src == s.name, r)
-    if valid:  # C1 inside the generator: evaluated once, on the parsed values
-        rows = F.filter(rows, lambda x: cleaners.quality_rule(x))
-    return df.select(F.inline(rows))
+    silver = cleaners.finish_rows(df.select(F.inline(rows)))
+    return cleaners.quality_filter(silver) if valid else silver
 
 
 def silver_source(obs: DataFrame, name: str, valid: bool = False) -> DataFrame:
