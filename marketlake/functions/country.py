@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .. import config
-from ._util import as_col
+from ._util import as_col, lit_array, lit_map
 
 
 def alias_rows() -> list[tuple[str, str, int]]:
@@ -45,7 +45,7 @@ _NAMES_BY_ISO2 = sorted((iso2, name.upper()) for iso2, name, _r, _c in config.CO
 
 
 def exact_map() -> Column:
-    return F.create_map(*[x for k, v in _EXACT.items() for x in (F.lit(k), F.lit(v))])
+    return lit_map(_EXACT.items())
 
 
 # Names joined in ISO2 order: the first hit of a search is the smallest ISO2.
@@ -66,7 +66,7 @@ def name_search(key: Column) -> Column:
     prefix = F.instr(F.lit(_JOINED), F.concat(F.lit("|"), key))
     anywhere = F.instr(F.lit(_JOINED), key)
     pos = F.when(prefix > 0, prefix + 1).otherwise(anywhere)
-    iso = F.element_at(F.array(*[F.lit(x) for x in _ISO2_ORDER]), _name_index(pos))
+    iso = F.element_at(lit_array(_ISO2_ORDER), _name_index(pos))
     return F.when((F.length(key) >= 2) & ~key.contains("|") & (pos > 0), iso)
 
 

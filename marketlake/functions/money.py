@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config
-from ._util import as_col
+from ._util import as_col, lit_map
 
 # A decimal number as Python's float() accepts it once only digits and dots remain.
 _NUMBER_RE = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
@@ -54,10 +54,7 @@ def avg_tenths(c) -> Column:
 
 
 def rates_map() -> Column:
-    items = []
-    for k, v in config.EXCHANGE_RATES.items():
-        items += [F.lit(k), F.lit(float(v))]
-    return F.create_map(*items)
+    return lit_map((k, float(v)) for k, v in config.EXCHANGE_RATES.items())
 
 
 def rate_to_eur(currency) -> Column:
@@ -97,7 +94,7 @@ def _currency_text_parts(c) -> tuple[Column, Column]:
     s1 = F.replace(s0, F.coalesce(sym, F.lit("")), F.lit(""))
     code = F.regexp_extract(s1, "^([A-Za-z]{3})", 1)
     by_symbol = F.coalesce(F.try_element_at(
-        F.create_map(*[x for sym_, cur in _SYMBOL_CURRENCY for x in (F.lit(sym_), F.lit(cur))]), sym),
+        lit_map(_SYMBOL_CURRENCY), sym),
         F.lit("EUR"))
     currency = F.when(code != "", F.upper(code)).otherwise(by_symbol)
     digits = F.regexp_replace(
@@ -143,7 +140,7 @@ def with_normalized_currency(df, src: str | Column, dst: str):
     df = df.withColumn(s1, F.replace(F.col(s0), F.coalesce(F.col(sym), F.lit("")), F.lit("")))
     df = df.withColumn(code, F.regexp_extract(F.col(s1), "^([A-Za-z]{3})", 1))
     by_symbol = F.coalesce(F.try_element_at(
-        F.create_map(*[x for sym_, cur in _SYMBOL_CURRENCY for x in (F.lit(sym_), F.lit(cur))]), F.col(sym)),
+        lit_map(_SYMBOL_CURRENCY), F.col(sym)),
         F.lit("EUR"))
     currency = F.when(F.col(code) != "", F.upper(F.col(code))).otherwise(by_symbol)
     digits = F.regexp_replace(

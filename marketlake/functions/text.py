@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config
-from ._util import as_col
+from ._util import as_col, shared
 
 
 def normalize_skill_label(c) -> Column:
@@ -55,7 +55,8 @@ def struct_field_or_null(c, field: str) -> Column:
 def na_tokens_to_null(c) -> Column:
     """A3: the text tokens a pandas CSV reader treats as missing -> null."""
     x = as_col(c)
-    return F.when(~x.isin(*config.CSV_NA_TOKENS), x)
+    tokens = shared("na_tokens", lambda: [F.lit(t) for t in config.CSV_NA_TOKENS])
+    return F.when(~x.isin(*tokens), x)
 
 
 def split_skill_list(c, sep: str = ";") -> Column:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import month_start, round2
+from ..functions._util import lit_array, lit_map
 from .tables import balance, load
 
 # FIXED VALUES: display labels of the registry skills as sources print them
@@ -42,7 +43,7 @@ PAGE_ORDERS = 64  # orders per API page / CSV chunk: bounds every collected grou
 
 def pick(values: list, index: Column) -> Column:
     """values[index] for a 0-based integer Column (a literal array lookup)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.element_at(lit_array(values), (index + 1).cast("int"))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,9 +137,7 @@ def offers_json_arrays(obs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- indeed (CSV)
 
 def _salary_text() -> Column:
-    sym = F.coalesce(F.try_element_at(F.create_map(*[x for k, v in SYMBOL_BY_COUNTRY.items()
-                                                      for x in (F.lit(k), F.lit(v))]), F.col("iso2")),
-                     F.lit("€"))
+    sym = F.coalesce(F.try_element_at(lit_map(SYMBOL_BY_COUNTRY.items()), F.col("iso2")), F.lit("€"))
     return F.concat(sym, F.floor(F.col("price") / 1000).cast("string"), F.lit("k"))
 
 

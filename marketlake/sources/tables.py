@@ -12,9 +12,24 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_RELATIONS: dict = {}
+
+
+def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet relation of one driver table, resolved once per session.
+
+    Driver tables are read-only inputs, so the schema (one footer read on the
+    driver) and the file listing are looked up once and every plan of the
+    session starts from the same relation."""
+    key = (id(spark), table_path(sf_dir, name))
+    if key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(key[1])
+    return _RELATIONS[key]
+
+
 def load(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Read one table; naming the columns keeps the parquet ReadSchema pruned."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    df = relation(spark, sf_dir, name)
     return df.select(*cols) if cols else df
 
 
