@@ -1,7 +1,8 @@
 """Per-source cleaners (M1-M6): bronze shape -> silver contract.
 
-Every cleaner is a projection of native Column functions; the only shuffle-free
-row multiplication is the survey's skill-list explode (G1).
+Every cleaner is a projection of native Column functions plus one generator
+(``inline``) that emits a record's silver rows: one per API result, one per
+CSV row, one per survey skill (G1).  No cleaner shuffles.
 """
 
 from __future__ import annotations
