@@ -529,12 +529,19 @@ def _manifest(spark, sf) -> DataFrame:
         return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
             F.lit(layer).alias("layer"), F.lit(name).alias("dataset"), "rows")
 
-    parts = [rec("bronze", s, obs.where(F.col("src") == s)) for s in config.SALARY_SOURCES]
+    sources = spark.createDataFrame([(s,) for s in config.SALARY_SOURCES], "dataset string")
+
+    def per_source(layer, df, key):
+        """Rows per registered source in one aggregation; a source without rows reports 0."""
+        counts = df.groupBy(F.col(key).alias("dataset")).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+        return sources.join(counts, "dataset", "left").select(
+            F.lit(layer).alias("layer"), "dataset", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))
+
+    parts = [per_source("bronze", obs, "src")]
     parts.append(rec("bronze", "github_trending", adapter.repositories(spark, sf)))
     parts.append(rec("bronze", "google_trends", adapter.interest_wide(obs)))
     parts.append(rec("bronze", "reference", adapter.company_register(spark, sf)))
-    for name, p in zip(config.SALARY_SOURCES, md.silver_parts(spark, sf)):
-        parts.append(rec("silver", name, p))
+    parts.append(per_source("silver", md.silver(spark, sf), "source"))
     parts.append(rec("silver", "github_popularity", md.repositories_silver(spark, sf)))
     parts.append(rec("silver", "google_trends", md.trends_silver(spark, sf)))
     parts.append(rec("gold", "fact_job", md.fact(spark, sf)))
