@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kd_shards, line_dedup
+from . import kd_shards, line_dedup, quality_qda, toxicity_fm
+from .common import held_out
 
 QUERIES, ORACLE = {}, {}
 
@@ -19,6 +20,25 @@ def _query(f):
     return f
 
 
+def _scored(df: DataFrame, score: str, cut: float) -> DataFrame:
+    return df.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(score).alias("score"),
+                     (F.col(score) >= cut).cast("int").alias("predicted"))
+
+
+@_query
+def op1_toxicity_fm(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_fm.fit(docs, _table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return _scored(toxicity_fm.score(docs, model), toxicity_fm.SCORE, 0.5)
+
+
+@_query
+def op2_quality_qda(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_qda.fit(docs, _table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    return _scored(quality_qda.score(docs, model), quality_qda.SCORE, 0.3)
+
+
 @_query
 def op3_kd_tree_sharding(spark, sf_dir):
     out = kd_shards.kd_shards(_table(spark, sf_dir, "documents"), shards=16)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +54,26 @@ def crc32_text(c: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """Rows kept away from learning: crc32(doc_id as text) mod 5 = 0 (null id: as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, as ``--py-files`` would, once per application."""
+    sc = spark.sparkContext
+    if any(os.path.basename(p).startswith("corpus-ops-") for p in sc._python_includes):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    top, package = os.path.dirname(os.path.dirname(here)), os.path.basename(os.path.dirname(here))
+    path = os.path.join(tempfile.mkdtemp(prefix="corpus-ops-"), f"corpus-ops-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(top, package)):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, top))
+    sc.addPyFile(path)
+
+
+def map_arrow(df: DataFrame, f: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose function may use this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(f, schema)

@@ -100,11 +100,12 @@ def kd_shards(docs: DataFrame, shards: int = 16, dims: dict[str, Column] | None
     dims = dims or {"lang": F.crc32(F.coalesce(F.col("lang"), F.lit("")).cast("binary")), "size": size, "crc": crc}
     points = keep(docs.select(
         "doc_id", size.alias("size"), crc.alias("text_crc32"), F.coalesce("doc_id", F.lit(_LOWEST)).alias("ord_id"),
-        *[F.coalesce(c.cast("long"), F.lit(-1)).alias(f"d{i}") for i, c in enumerate(dims.values())]), "kd-points")
+        *[F.coalesce(c.cast("long"), F.lit(-1)).alias(f"d{i}") for i, c in enumerate(dims.values())],
+        F.lit(0).alias("first"), F.lit(shards).alias("k")), "kd-points")  # the root node, as stored columns
     axes = [f"d{i}" for i in range(len(dims))]
     whole = points.agg(*[f(a) for a in axes for f in (F.min, F.max)]).first()
     extents = [(whole[2 * i] or 0, whole[2 * i + 1] or 0) for i in range(len(axes))]
-    tree = points.withColumn("first", F.lit(0)).withColumn("k", F.lit(shards))
+    tree = points
     nodes = {0: shards}
     while any(k > 1 for k in nodes.values()):
         cuts = _cuts(tree, nodes, extents, len(axes))
