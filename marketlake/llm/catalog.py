@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kd_shards, line_dedup, quality_qda, toxicity_fm
+from . import kd_shards, line_dedup, quality_qda, tiling, toxicity_fm, warc_zip
 from .common import held_out
 
 QUERIES, ORACLE = {}, {}
@@ -63,3 +63,30 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.key) AS n_dropp
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN f ON k.key = f.key GROUP BY r
 """
+
+
+@_query
+def op5_greedy_string_tiling(spark, sf_dir):
+    """One row for each document and benchmark item found in it."""
+    return tiling.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op6_warc_zip(spark, sf_dir):
+    return warc_zip.round_trip(spark, _table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+ORACLE["op6_warc_zip"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS top FROM p),
+b AS (SELECT *, array_to_string(list_transform(string_split(hex, ''), lambda x: substr(
+        '0000000100100011010001010110011110001001101010111100110111101111', 4 * strpos('0123456789abcdef', x) - 3, 4)), '') AS bits FROM h)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+         + 16 * CAST(substr(bits, CAST(5 * i + 1 AS BIGINT), 1) AS INT) + 8 * CAST(substr(bits, CAST(5 * i + 2 AS BIGINT), 1) AS INT)
+         + 4 * CAST(substr(bits, CAST(5 * i + 3 AS BIGINT), 1) AS INT) + 2 * CAST(substr(bits, CAST(5 * i + 4 AS BIGINT), 1) AS INT)
+         + CAST(substr(bits, CAST(5 * i + 5 AS BIGINT), 1) AS INT) AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM b
+"""
