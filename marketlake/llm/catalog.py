@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kd_shards, line_dedup, quality_qda, tiling, toxicity_fm, warc_zip
+from . import kd_shards, line_dedup, pivot_index, quality_qda, tiling, toxicity_fm, warc_zip
 from .common import held_out
 
 QUERIES, ORACLE = {}, {}
@@ -90,3 +90,24 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM b
 """
+
+
+@_query
+def op9_pivot_permutation(spark, sf_dir):
+    return pivot_index.near_vectors(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+ORACLE["op9_pivot_permutation"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT a AS node, a AS seen FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a),
+c AS (SELECT node, least(min(seen), node) AS component_id FROM r GROUP BY node),
+n AS (SELECT a AS node, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+       e.vec_id = coalesce(c.component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.node = e.vec_id
+"""
