@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kd_shards, line_dedup, pivot_index, quality_qda, tiling, toxicity_fm, warc_zip
+from . import kd_shards, line_dedup, part_join, pivot_index, quality_qda, tiling, toxicity_fm, warc_zip
 from .common import held_out
 
 QUERIES, ORACLE = {}, {}
@@ -111,3 +111,25 @@ SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.component_id, e.vec_id)
        e.vec_id = coalesce(c.component_id, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.node = e.vec_id
 """
+
+
+@_query
+def op10_partition_jaccard(spark, sf_dir):
+    out = part_join.jaccard_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
+#: Words, distinct shingles of the width, links by exact counts, components by closure.
+ORACLE["op10_partition_jaccard"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 3], ' ') END AS sh
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT a AS node, a AS seen FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a),
+c AS (SELECT node, least(min(seen), node) AS component_id FROM r GROUP BY node)
+SELECT documents.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, documents.doc_id) AS component_id
+FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN c ON c.node = documents.doc_id
+"""
