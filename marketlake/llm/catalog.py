@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kd_shards, line_dedup, part_join, pivot_index, quality_qda, tiling, toxicity_fm, warc_zip
+from . import backoff_lm, kd_shards, line_dedup, part_join, pivot_index, quality_qda, tiling, toxicity_fm, warc_zip
 from .common import held_out
 
 QUERIES, ORACLE = {}, {}
@@ -133,3 +133,23 @@ c AS (SELECT node, least(min(seen), node) AS component_id FROM r GROUP BY node)
 SELECT documents.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, documents.doc_id) AS component_id
 FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN c ON c.node = documents.doc_id
 """
+
+
+@_query
+def op8_stupid_backoff(spark, sf_dir):
+    out = backoff_lm.score(_table(spark, sf_dir, "documents"), alpha=0.4, min_count=2)
+    return out.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+ORACLE["op8_stupid_backoff"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+t AS (SELECT r, unnest(ws) AS w, unnest(list_concat([NULL], ws[:-2])) AS before, unnest(range(len(ws))) AS i FROM d),
+u AS (SELECT w, count(*) AS n FROM t GROUP BY w),
+b AS (SELECT before, w, count(*) AS n FROM t WHERE before IS NOT NULL GROUP BY ALL),
+a AS (SELECT count(*) AS n FROM t),
+s AS (SELECT t.r, count(*) AS n_words, sum(CASE WHEN t.before IS NULL THEN ln(u.n / a.n)
+        WHEN b.n >= 2 THEN ln(b.n / v.n) ELSE ln(0.4 * u.n / a.n) END) AS total
+      FROM t JOIN u ON u.w = t.w LEFT JOIN u v ON v.w = t.before LEFT JOIN b ON b.before = t.before AND b.w = t.w, a GROUP BY t.r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, round(total / n_words, 6) AS mean_log_score FROM d LEFT JOIN s USING (r)
+"""
