@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, kd_shards, line_dedup, part_join, pivot_index, quality_qda, tiling, toxicity_fm, warc_zip
+from . import backoff_lm, kd_shards, line_dedup, nbest_pieces, part_join, pivot_index, quality_qda, tiling, toxicity_fm, warc_zip
 from .common import held_out
 
 QUERIES, ORACLE = {}, {}
+#: Where the public tokenizers' files are; a session may name another folder.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def piece_model(spark: SparkSession, name: str = "piece_bpe_32k.model") -> nbest_pieces.Model:
+    return nbest_pieces.load_model(f"{spark.conf.get('corpus.tokenizers', TOKENIZERS)}/{name}")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,3 +159,10 @@ s AS (SELECT t.r, count(*) AS n_words, sum(CASE WHEN t.before IS NULL THEN ln(u.
       FROM t JOIN u ON u.w = t.w LEFT JOIN u v ON v.w = t.before LEFT JOIN b ON b.before = t.before AND b.w = t.w, a GROUP BY t.r)
 SELECT doc_id, coalesce(n_words, 0) AS n_words, round(total / n_words, 6) AS mean_log_score FROM d LEFT JOIN s USING (r)
 """
+
+
+@_query
+def op7_nbest_sentencepiece(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = nbest_pieces.encode(docs, piece_model(spark), n_best=4)
+    return out.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_score", "piece_ids", "alternatives", "round_trip")
