@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,19 +70,21 @@ def postings(classes: DataFrame, pivots: dict[int, np.ndarray], prefix: int) ->
 
 def _links(least: float):
     """Sums of links and a spanning forest over whole groups (g1, g2 tell them apart) in sorted order."""
-    def work(held: pa.Table) -> pa.RecordBatch | None:
-        held = held.combine_chunks()
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        sizes = pc.list_value_length(table.column("embedding")).to_numpy()
+        for size in np.unique(sizes):  # a group's vectors are of one length, its neighbours' may differ
+            if (out := of_length(table.filter(pa.array(sizes == size)).combine_chunks())) is not None:
+                yield out
+
+    def of_length(held: pa.Table) -> pa.RecordBatch | None:
         col = lambda c: held.column(c).to_numpy()
         cid, n, side, q = col("cid"), col("n"), col("side"), col("q")
         g = np.flatnonzero(np.concatenate(([True], (np.diff(col("g1")) != 0) | (np.diff(col("g2")) != 0))))
         size = np.diff(np.append(g, len(cid)))
         after = np.repeat(g + size, size) - np.arange(len(cid)) - 1  # rows that follow in the group
         emb = held.column("embedding").chunk(0)
-        lens = emb.value_lengths().to_numpy()
         near = held.column("near").chunk(0)
-        x = _rows(emb) if (lens == lens[0]).all() else None
-        if x is None:
-            raise ValueError("a group holds vectors of one length")
+        x = _rows(emb)
         top = near.flatten().to_numpy().reshape(len(cid), -1)
         us, vs = [], []
         cut = np.cumsum(after)
@@ -129,10 +132,9 @@ def _links(least: float):
                 left = table
                 continue
             whole, left = table.slice(0, last[-1] + 1), table.slice(last[-1] + 1)
-            if (out := work(whole)) is not None:
-                yield out
-        if left is not None and left.num_rows and (out := work(left)) is not None:
-            yield out
+            yield from work(whole)
+        if left is not None and left.num_rows:
+            yield from work(left)
 
     return run
 

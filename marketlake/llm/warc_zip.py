@@ -96,6 +96,8 @@ def directory(read, size: int) -> list[tuple[str, int, int, int]]:
     back = min(size, 22 + MOST16)
     tail = read(size - back, back)
     at = tail.rfind(END)
+    while at >= 0 and at + 22 + int.from_bytes(tail[at + 20:at + 22], "little") != back:
+        at = tail.rfind(END, 0, at)  # these bytes belong to the comment
     if at < 0:
         raise ValueError("no end of a ZIP directory")
     count, length, start = struct.unpack("<10xHII", tail[at:at + 20])
