@@ -13,14 +13,20 @@ is indexed again under another seed until it does not, so the pair meets under
 the first seed that is good for either; after ``SEEDS`` seeds empty segments
 are indexed too.  Nothing is lost by any of this.
 
+A segment that holds nothing but common shingles (a line that many documents
+share) would bring strangers together as an empty one does, so the first seed
+treats it alike: it is not indexed and counts against E.  A set with too many of
+them is indexed under the further seeds, where only empty segments are left out.
+
 ``allocate`` chooses n1, n2 and E for a band by cost: index entries of all its
 sets, against the pairs of strangers expected to agree by short segments.
 
-Candidates come from equal keys.  First every set of a key meets the key's
-smallest set; what links forms components.  Then the pairs of a key that lie in
-different components are tried as well.  A parity sketch (a lower bound of the
-difference) drops most strangers without their sets; the rest are verified
-exactly on their whole sets.
+Candidates come from equal keys.  ``STARS`` times every set of a key meets one
+set of it (the hub, by a hash that changes) unless both are linked already; what
+links forms components.  Then all pairs of a key that still lie in different
+components are compared by their sketches, in blocks of bounded size: a parity
+sketch gives a lower bound of the difference, so what it drops cannot link.  The
+rest are verified exactly on their whole sets.
 
 Cases: null and empty texts, and texts of white space, have no set (size 0) and
 link with nothing; fewer words than a shingle: the whole sequence is the one
@@ -45,6 +51,9 @@ from .common import keep, map_arrow
 from .components import components
 
 SEEDS = 16
+STARS = 2
+BLOCK = 1024  # members of a key that are compared in one group with as many others
+SHARE = 200   # a shingle that one of so many distinct sets holds is common
 BAND = 1.4
 SKETCH = 8  # 64-bit words of parity sketch
 FILTER_BITS = 24
@@ -145,8 +154,9 @@ def sketches(at: np.ndarray, sets: np.ndarray) -> np.ndarray:
     return np.packbits(odd, axis=1).view(np.int64).reshape(n, SKETCH)
 
 
-def index_keys(at: np.ndarray, sets: np.ndarray, scheme: int, n1: int, n2: int, spare: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) entries of all sets under one scheme."""
+def index_keys(at: np.ndarray, sets: np.ndarray, scheme: int, n1: int, n2: int, spare: int,
+               common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) entries of all sets under one scheme; ``common``: the common shingles, sorted."""
     m, rows, keys = n1 + n2, [], []
     todo = np.flatnonzero(np.diff(at))
     for seed in range(SEEDS + 1):
@@ -160,25 +170,30 @@ def index_keys(at: np.ndarray, sets: np.ndarray, scheme: int, n1: int, n2: int,
         h = C.mixed(own ^ salt)
         segment = row * m + ((h >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         value = C.mixed(h)
+        strong = np.ones(len(own), bool)
+        if seed == 0 and common is not None and len(common):
+            strong = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own
         order = np.argsort(segment, kind="stable")
-        segment, value = segment[order], value[order]
-        full, begin, held = np.unique(segment, return_index=True, return_counts=True)
+        segment, value, strong = segment[order], value[order], strong[order]
+        full, begin = np.unique(segment, return_index=True)
+        held = np.add.reduceat(strong.astype(np.int64), begin)  # shingles that tell strangers apart
         total = np.add.reduceat(value, begin)
-        place = full % m
-        weight = np.bincount(full // m, np.where(place < n1, 1, 2), len(todo))
-        empty = n1 + 2 * n2 - weight
-        empty += np.bincount(full // m, (place >= n1) & (held == 1), len(todo)) * 2
+        place, whose = full % m, full // m
+        whole = place < n1
+        # a whole segment needs one such shingle, one with its neighbourhood two, to count in full
+        weight = np.bincount(whose, np.where(whole, held > 0, 2 * (held > 1)), len(todo))
+        bad = n1 + 2 * n2 - weight > spare
         spot = C.mixed(salt + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        rows.append(todo[full // m])
-        keys.append(C.mixed(total ^ spot))
+        some = held > 0
+        rows.append(todo[whose[some]])
+        keys.append(C.mixed(total ^ spot)[some])
         if n2:  # one shingle left out
-            which = np.repeat(np.arange(len(full)), held)
-            near = (place[which] >= n1) & (held[which] > 1)
-            rows.append(todo[full[which[near]] // m])
+            which = np.repeat(np.arange(len(full)), np.diff(np.append(begin, len(segment))))
+            near = ~whole[which] & (held[which] - strong > 0)
+            rows.append(todo[whose[which[near]]])
             keys.append(C.mixed((total[which[near]] - value[near]) ^ spot[which[near]]))
-        bad = empty > spare
-        if seed == SEEDS:  # the last seed indexes empty segments too
-            gone = np.setdiff1d((np.flatnonzero(bad)[:, None] * m + np.arange(m)).ravel(), full[held > (full % m >= n1)])
+        if seed == SEEDS and bad.any():  # the last seed indexes empty segments, and those of one shingle without it
+            gone = np.setdiff1d((np.flatnonzero(bad)[:, None] * m + np.arange(m)).ravel(), full[(held > 1) | whole])
             rows.append(todo[gone // m])
             keys.append(C.mixed(C.mixed(salt + (gone % m).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
         todo = todo[bad]
@@ -188,7 +203,8 @@ def index_keys(at: np.ndarray, sets: np.ndarray, scheme: int, n1: int, n2: int,
 # ---- Spark jobs ----------------------------------------------------------------------------------
 
 def _sized(docs: DataFrame, width: int) -> DataFrame:
-    """row_key, doc_id, n, cid, sketch of every row."""
+    """row_key, doc_id, n, cid, sketch of every row; beside them, with ``heavy``, the
+    shingles (as cid) that several distinct sets of a slice of rows hold, and how many (as n)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, "text"):
@@ -196,15 +212,27 @@ def _sized(docs: DataFrame, width: int) -> DataFrame:
                 cid = fingerprints(at, held)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row_key"), part.column("doc_id"), pa.array(np.diff(at)), pa.array(cid, mask=np.diff(at) == 0),
-                     pa.FixedSizeListArray.from_arrays(pa.array(sketches(at, held).ravel()), SKETCH).cast(pa.list_(pa.int64()))],
-                    names=["row_key", "doc_id", "n", "cid", "sketch"])
-
-    return map_arrow(docs.select("row_key", "doc_id", "text"), sets, "row_key bigint, doc_id bigint, n bigint, cid bigint, sketch array<bigint>")
-
-
-def _entries(docs: DataFrame, width: int, plan: dict[int, tuple]) -> DataFrame:
+                     pa.FixedSizeListArray.from_arrays(pa.array(sketches(at, held).ravel()), SKETCH).cast(pa.list_(pa.int64())),
+                     pa.array(np.zeros(part.num_rows, bool))], names=names)
+                once = np.unique(cid, return_index=True)[1]
+                size = np.diff(at)[once]
+                first = np.cumsum(size) - size
+                shingle, n = np.unique(held[np.repeat(at[:-1][once] - first, size) + np.arange(size.sum())], return_counts=True)
+                often = n >= max(3, len(once) // (2 * SHARE))
+                k = int(often.sum())
+                none = pa.nulls(k, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(n[often].astype(np.int64)), pa.array(shingle[often].view(np.int64)),
+                                                  pa.nulls(k, pa.list_(pa.int64())), pa.array(np.ones(k, bool))], names=names)
+
+    names = ["row_key", "doc_id", "n", "cid", "sketch", "heavy"]
+    return map_arrow(docs.select("row_key", "doc_id", "text"), sets,
+                     "row_key bigint, doc_id bigint, n bigint, cid bigint, sketch array<bigint>, heavy boolean")
+
+
+def _entries(docs: DataFrame, width: int, plan: dict[int, tuple], common: np.ndarray) -> DataFrame:
     """(key, cid) index entries; equal sets that one slice of rows holds are indexed once."""
     limits = sorted(plan)
+    known = docs.sparkSession.sparkContext.broadcast(common)  # at most SHARE times the mean size of a set
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +249,7 @@ def _entries(docs: DataFrame, width: int, plan: dict[int, tuple]) -> DataFrame:
                     n = size[pick]
                     first = np.cumsum(n) - n
                     own = sets[np.repeat(at[pick] - first, n) + np.arange(n.sum())]
-                    row, key = index_keys(np.concatenate(([0], np.cumsum(n))), own, scheme, n1, n2, spare)
+                    row, key = index_keys(np.concatenate(([0], np.cumsum(n))), own, scheme, n1, n2, spare, known.value)
                     for a in range(0, len(row), 500_000):
                         yield pa.RecordBatch.from_arrays([pa.array(key[a:a + 500_000]), pa.array(cid[pick][row[a:a + 500_000]])], names=["key", "cid"])
 
@@ -288,11 +316,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     the component's representative: its smallest (doc_id, class).
     """
     docs = docs.select("doc_id", "text", row_key("doc_id", "text").alias("row_key"))
-    sized = keep(_sized(docs, width), "sets")
+    both = keep(_sized(docs, width), "sets")
+    sized = both.filter(~F.col("heavy")).drop("heavy")
     classes = keep(sized.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("row_key").alias("row_key"),
                                                             F.min("doc_id").alias("least_id")), "classes")
+    heavy = both.filter("heavy").groupBy("cid").agg(F.sum("n").alias("n")).filter(F.col("n") * SHARE >= classes.count()).select("cid")
+    common = np.sort(heavy.toArrow().column("cid").to_numpy().view(np.uint64))
     plan = _plan(classes.select("n"), percent)
-    links = _find(docs, classes, plan, width, percent) if plan else classes.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
+    links = _find(docs, classes, plan, width, percent, common) if plan else classes.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
     comp = components(links).withColumnRenamed("node", "cid")
     of_class = classes.select("cid", "least_id").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = of_class.groupBy("component").agg(F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "cid")).alias("top"))
@@ -304,20 +335,83 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
                       (F.col("cid").isNull() | mine).alias("kept"))
 
 
-def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: int, percent: int) -> DataFrame:
+def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: int, percent: int, common: np.ndarray) -> DataFrame:
     own = Window.partitionBy("key")
-    seen = _entries(docs, width, plan).withColumn("hub", F.min("cid").over(own)).withColumn("far", F.max("cid").over(own))
-    shared = keep(seen.filter("hub <> far").select("key", "cid", "hub").distinct(), "shared-keys")
-    star = _verified(shared.filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct(), classes, docs, width, percent)
-    comp = components(star)
-    placed = shared.join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    # what a key holds beyond its hub, in more than one component: those pairs were not tried yet
-    rest = placed.filter("cid <> hub")
-    mixed = rest.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select("key")
-    rest = keep(rest.join(mixed, "key").select("key", "cid", "component"), "mixed-keys")
-    other = rest.select("key", F.col("cid").alias("b"), F.col("component").alias("component_b"))
-    tries = rest.withColumnRenamed("cid", "a").join(other, "key").filter("component < component_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return star.unionByName(_verified(tries, classes, docs, width, percent))
+    seen = _entries(docs, width, plan, common).withColumn("least", F.min("cid").over(own)).withColumn("most", F.max("cid").over(own))
+    shared = keep(seen.filter("least <> most").select("key", "cid").distinct(), "shared-keys")
+    links = None
+    for star in range(STARS):
+        placed = _placed(shared, links)
+        hubs = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64("cid", F.lit(star)).alias("h"), "cid", "component")).alias("hub"))
+        meet = placed.join(hubs, "key").filter(F.col("component") != F.col("hub.component"))
+        tried = meet.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
+        found = _verified(tried, classes, docs, width, percent)
+        links = found if links is None else links.unionByName(found)
+    placed = _placed(shared, links)
+    apart = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("members")) \
+                  .filter("c1 <> c2").select("key", "members")
+    rest = placed.join(apart, "key").join(classes.select("cid", "n", "sketch"), "cid")
+    return links.unionByName(_verified(_cross_pairs(rest, percent), classes, docs, width, percent))
+
+
+def _placed(shared: DataFrame, links: DataFrame | None) -> DataFrame:
+    """key, cid and the component that the links make of it so far."""
+    if links is None:
+        return shared.withColumn("component", F.col("cid"))
+    comp = components(links).withColumnRenamed("node", "cid")
+    return shared.join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+
+
+def _cross_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one key and two components whose sketches do not rule a link out.
+
+    A key's members are dealt to blocks; each two blocks are a group of at most 2 * BLOCK rows.
+    """
+    dealt = rest.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")) \
+                .withColumn("own", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int")) \
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    grouped = dealt.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "cid", "component", "n", "sketch")
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        col = lambda c: table.column(c).to_numpy()
+        key, low, high, cid, comp, n = (col(c) for c in ("key", "low", "high", "cid", "component", "n"))
+        side = np.where(low == high, 2, (col("own") == high).astype(int))
+        sketch = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, SKETCH)
+        first = np.flatnonzero(np.concatenate(([True], (np.diff(key) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0))))
+        size = np.diff(np.append(first, len(key)))
+        after = np.repeat(first + size, size) - np.arange(len(key)) - 1
+        cut, row, out = np.cumsum(after), 0, []
+        while row < len(key):
+            to = max(row + 1, int(np.searchsorted(cut, (cut[row - 1] if row else 0) + 500_000, "right")))
+            u = np.repeat(np.arange(row, to), after[row:to])
+            v = u + 1 + np.arange(len(u)) - np.repeat(np.cumsum(after[row:to]) - after[row:to], after[row:to])
+            ok = (comp[u] != comp[v]) & ((side[u] == 2) | (side[u] != side[v]))
+            u, v = u[ok], v[ok]
+            total = (n[u] + n[v]) * (100 - percent)
+            flips = np.zeros(len(u), np.int64)
+            for i in range(SKETCH):
+                flips += np.bitwise_count(sketch[u, i] ^ sketch[v, i])
+            near = flips * (100 + percent) <= total
+            u, v = u[near], v[near]
+            out.append(np.column_stack((np.minimum(cid[u], cid[v]), np.maximum(cid[u], cid[v]))))
+            row = to
+        pairs = np.unique(np.concatenate(out), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if left is None else pa.concat_tables([left, table])
+            ends = np.flatnonzero(np.any([np.diff(table.column(c).to_numpy()) != 0 for c in ("key", "low", "high")], axis=0))
+            if len(ends):
+                yield compare(table.slice(0, ends[-1] + 1))
+            left = table.slice(ends[-1] + 1) if len(ends) else table
+        if left is not None and left.num_rows:
+            yield compare(left)
+
+    order = ["key", "low", "high"]
+    return map_arrow(grouped.repartition(*order).sortWithinPartitions(*order, "cid"), run, "a bigint, b bigint").distinct()
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -48,8 +48,9 @@ def _near_rows():
     return rows
 
 
-@pytest.mark.parametrize("width,percent", [(4, 85), (5, 80)])
-def test_jaccard_against_all_pairs(frame, odd_rows, width, percent):
+@pytest.mark.parametrize("width,percent,block", [(4, 85, 1024), (5, 80, 2)])
+def test_jaccard_against_all_pairs(frame, odd_rows, width, percent, block, monkeypatch):
+    monkeypatch.setattr(part_join, "BLOCK", block)
     rows = [r for r in odd_rows if r[0] is not None] + _near_rows()
     sets = [_shingles(t, width) for _, t in rows]
     links = [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i)
@@ -88,14 +89,17 @@ def test_keys_meet_for_every_linked_pair(percent):
         inter, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
         if 100 * inter < percent * union or not len(b) or np.array_equal(a, b):
             continue
-        keys = []
-        for s in (a, b):
-            own = set()
-            for k, (low, high, below, n1, n2, spare) in plan.items():
-                if below <= len(s) <= high:
-                    own |= set(part_join.index_keys(np.array([0, len(s)]), s, k, n1, n2, spare)[1].tolist())
-            keys.append(own)
-        assert keys[0] & keys[1], (len(a), len(b), inter)
+        both = np.union1d(a, b)
+        for share in (0.0, 0.3, 1.0):  # of the shingles are common
+            common = both[rng.random(len(both)) < share]
+            keys = []
+            for s in (a, b):
+                own = set()
+                for k, (low, high, below, n1, n2, spare) in plan.items():
+                    if below <= len(s) <= high:
+                        own |= set(part_join.index_keys(np.array([0, len(s)]), s, k, n1, n2, spare, common)[1].tolist())
+                keys.append(own)
+            assert keys[0] & keys[1], (len(a), len(b), inter, share)
         x = part_join.sketches(np.array([0, len(a), len(a) + len(b)]), np.concatenate((a, b)))
         flips = sum(bin(int(p ^ q) & (2**64 - 1)).count("1") for p, q in zip(x[0], x[1]))
         assert flips <= union - inter
