@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 LETTER_UPPER, LETTER, DIGIT, SPACE, OTHER = range(5)
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000  # of text at a time: some 100 bytes of arrays for each
 
 
 @lru_cache(1)
@@ -35,10 +35,10 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
     return kind, low
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of ``batch`` with about ``SLICE_BYTES`` of text, whole rows always."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` with about ``size`` bytes of text, whole rows always."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    part = np.cumsum(sizes, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
     for a, b in zip(cuts, cuts[1:]):
         if b > a:

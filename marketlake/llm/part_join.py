@@ -207,7 +207,7 @@ def _sized(docs: DataFrame, width: int) -> DataFrame:
     shingles (as cid) that several distinct sets of a slice of rows hold, and how many (as n)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.slices(batch, "text"):
+            for part in C.slices(batch, "text", 2 * C.SLICE_BYTES):
                 at, held = shingle_sets(part.column("text"), width)
                 cid = fingerprints(at, held)
                 yield pa.RecordBatch.from_arrays(
