@@ -28,7 +28,7 @@ HEADLINE = [
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), driver_memory="16g")
     names = [q for q in HEADLINE if q in QUERIES]
     # warm-up (JVM, codegen caches)
     QUERIES["salary_daily"](spark, sf_dir).write.format("noop").mode("overwrite").save()

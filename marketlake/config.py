@@ -2,7 +2,8 @@
 
 FIXED VALUES — these must equal the reference's registries for the results to
 match (countries, skills, sectors, workforce sizes, exchange rates, as-of date,
-plausible salary band).  They are small lookup tables, broadcast on use.
+plausible salary band, unknown label, fact grain, silver columns, page limits,
+retention rules, freshness limit).  They are small lookup tables, broadcast on use.
 """
 
 # Fixed as-of date of the survey source and default watermark.
@@ -38,12 +39,6 @@ COUNTRIES = [
     ("AU", "Australia", "Oceania", "AUD"),
 ]
 
-# ISO alpha-3 codes of the registry countries (public ISO 3166 values).
-ISO3 = {
-    "FR": "FRA", "DE": "DEU", "GB": "GBR", "ES": "ESP", "IT": "ITA",
-    "NL": "NLD", "US": "USA", "CA": "CAN", "AU": "AUS",
-}
-
 # normalised label, group
 SKILLS = [
     ("python", "language"),
@@ -78,9 +73,6 @@ CSV_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "
                  "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
                  "n/a", "nan", "null"]
 
-# Cube dimensions accepted by the parametric cube, in public-name order.
-CUBE_DIMENSIONS = ["country", "skill", "source", "year", "month"]
-
 # Pagination defaults of the indicator API.
 PAGE_DEFAULT_LIMIT = 50
 PAGE_MAX_LIMIT = 500

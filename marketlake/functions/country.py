@@ -1,100 +1,89 @@
 """Country name or code -> ISO alpha-2.
 
-Order: alpha-2, then alpha-3, then name search (exact name, then a name that
-starts with the text, then a name that contains it; ties by ISO2).  The
-registry is a fixed table, so every alias is compiled into one literal map and
-resolution is a per-row hash lookup inside whole-stage codegen: no join, no
-shuffle, no Python.
-
-For a caller-supplied alias table (larger than the registry) use
-``resolve_with_table``: the distinct keys are resolved once and joined back.
+Every code and name of ISO 3166 resolves exactly (``iso3166``).  Keys of two or
+three letters are codes: they resolve exactly or to null, never by a search.
+Longer keys that are no name are sought as whole words in the names: first a
+name that begins with them, then one that holds them, ties by alpha-2.
+
+The table is fixed, so it is compiled into literal maps (one for each first
+letter, since a literal map is scanned) and resolution is a lookup in
+whole-stage codegen: no join, no shuffle, no Python.  For a caller's own alias
+table use ``resolve_with_table``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from .. import config
-from ._util import as_col, lit_array, lit_map
+from . import iso3166
+from ._util import as_col, lit_array, shared
+
+# FIXED PATTERN: white space of any kind at either end.
+_ENDS = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 
 
 def alias_rows() -> list[tuple[str, str, int]]:
-    """(ALIAS_UPPER, iso2, rank) exact aliases of the registry countries:
-    alpha-2 (rank 0), alpha-3 (rank 1), English name (rank 2)."""
-    rows = []
-    for iso2, name, _region, _cur in config.COUNTRIES:
-        rows.append((iso2, iso2, 0))
-        rows.append((config.ISO3[iso2], iso2, 1))
-        rows.append((name.upper(), iso2, 2))
-    return rows
+    """(ALIAS_UPPER, iso2, rank) of every exact alias."""
+    return iso3166.aliases()
 
 
-def _exact_dict() -> dict[str, str]:
-    best: dict[str, tuple[int, str]] = {}
-    for alias, iso2, rank in alias_rows():
-        cur = best.get(alias)
-        if cur is None or (rank, iso2) < cur:
-            best[alias] = (rank, iso2)
-    return {k: v[1] for k, v in sorted(best.items())}
+def country_key(c) -> Column:
+    """Upper-cased text without white space at its ends; empty -> null."""
+    return F.nullif(F.upper(F.regexp_replace(as_col(c), _ENDS, "")), F.lit(""))
 
 
-_EXACT = _exact_dict()
-_NAMES_BY_ISO2 = sorted((iso2, name.upper()) for iso2, name, _r, _c in config.COUNTRIES)
+def _slot(key: Column) -> Column:
+    """1-26 by the first letter, 27 for all else."""
+    code = F.ascii(key)
+    return F.when(code.between(65, 90), code - 64).otherwise(27)
 
 
-def exact_map() -> Column:
-    return lit_map(_EXACT.items())
+def _maps() -> Column:
+    slots: list[list[tuple[str, str]]] = [[] for _ in range(27)]
+    for alias, iso2 in iso3166.exact().items():
+        slots[ord(alias[0]) - 65 if "A" <= alias[0] <= "Z" else 26].append((alias, iso2))
+    return F.array(*[F.create_map(*[F.lit(x) for kv in (s or [("", "")]) for x in kv]) for s in slots])
 
 
-# Names joined in ISO2 order: the first hit of a search is the smallest ISO2.
-_JOINED = "|" + "|".join(name for _iso2, name in _NAMES_BY_ISO2) + "|"
-_ISO2_ORDER = [iso2 for iso2, _name in _NAMES_BY_ISO2]
+def exact_lookup(key: Column) -> Column:
+    """alpha-2 of an upper-cased alias, or null."""
+    return F.try_element_at(F.element_at(shared("iso3166", _maps), _slot(key)), key)
 
 
-def _name_index(pos: Column) -> Column:
-    """1-based index of the name holding position ``pos`` of the joined names."""
-    head = F.substring(F.lit(_JOINED), F.lit(1), pos)
-    return F.length(head) - F.length(F.replace(head, F.lit("|"), F.lit("")))
+@lru_cache(1)
+def _search_text() -> tuple[str, tuple[str, ...]]:
+    """All names in alpha-2 order as ``| NAME | NAME |``, and the codes in that order."""
+    rows = [(iso2, iso3166.plain(name)) for iso2, _, name in iso3166.table()]
+    return "| " + " | ".join(name for _, name in rows) + " |", tuple(iso2 for iso2, _ in rows)
 
 
 def name_search(key: Column) -> Column:
-    """Fuzzy name search: a name starting with the key, else a name containing
-    it (keys of 2+ characters, no '|'); ties by ISO2.  Two ``locate`` calls
-    over one joined string: the key is referenced a handful of times."""
-    prefix = F.instr(F.lit(_JOINED), F.concat(F.lit("|"), key))
-    anywhere = F.instr(F.lit(_JOINED), key)
-    pos = F.when(prefix > 0, prefix + 1).otherwise(anywhere)
-    iso = F.element_at(lit_array(_ISO2_ORDER), _name_index(pos))
-    return F.when((F.length(key) >= 2) & ~key.contains("|") & (pos > 0), iso)
+    """Names that hold a key of four or more characters as whole words."""
+    text, codes = _search_text()
+    begins = F.instr(F.lit(text), F.concat(F.lit("| "), key, F.lit(" ")))
+    at = F.when(begins > 0, begins + 1).otherwise(F.instr(F.lit(text), F.concat(F.lit(" "), key, F.lit(" "))))
+    head = F.substring(F.lit(text), F.lit(1), at)
+    index = F.length(head) - F.length(F.replace(head, F.lit("|"), F.lit("")))
+    return F.when((F.length(key) >= 4) & ~key.contains("|") & (at > 0), F.element_at(lit_array(codes), index))
 
 
 def map_country_iso2(c) -> Column:
-    """Trimmed text -> ISO2: exact alias, else name search; unknown/empty -> null."""
-    key = F.upper(F.trim(as_col(c)))
-    return F.coalesce(F.try_element_at(exact_map(), key), name_search(key))
-
-
-def with_country_iso2(df: DataFrame, src: str, dst: str) -> DataFrame:
-    """``map_country_iso2`` as staged projections: the key is one column, so
-    the search expressions reference an attribute, not a copy of the input."""
-    k = f"__{dst}_key"
-    df = df.withColumn(k, F.upper(F.trim(F.col(src))))
-    return df.withColumn(dst, F.coalesce(F.try_element_at(exact_map(), F.col(k)), name_search(F.col(k)))).drop(k)
+    """Text -> ISO2: exact alias, else a search by word; unknown or empty -> null."""
+    key = country_key(c)
+    return F.coalesce(exact_lookup(key), name_search(key))
 
 
 def resolve_with_table(df: DataFrame, col: str, aliases: DataFrame, out: str = "country_iso2") -> DataFrame:
     """Resolve ``col`` against an alias table ``(alias_upper, iso2, rank)``.
 
-    Only the distinct keys are matched (the reference memoises per key); the
-    small key->iso2 result is joined back and Spark's size-checked broadcast
-    threshold decides the join strategy.
+    Of equal aliases the one of lowest rank, then alpha-2, stands (``min`` of a
+    struct, combined before the shuffle).  The table holds one row per alias
+    then, so a key that many rows share can be split by the join, and Spark's
+    size check decides whether the table is broadcast.
     """
-    keys = df.select(F.upper(F.trim(F.col(col))).alias("_key")).where("_key is not null").distinct()
-    w = Window.partitionBy("_key").orderBy("rank", "iso2")
-    resolved = (keys.join(aliases, keys["_key"] == aliases["alias_upper"])
-                .withColumn("_rn", F.row_number().over(w))
-                .where("_rn = 1").select("_key", F.col("iso2").alias(out)))
-    return (df.withColumn("_key", F.upper(F.trim(F.col(col))))
-              .join(resolved, "_key", "left").drop("_key"))
+    best = aliases.groupBy(F.col("alias_upper").alias("_key")).agg(F.min(F.struct("rank", "iso2")).alias("_best"))
+    return (df.withColumn("_key", country_key(F.col(col)))
+              .join(best.select("_key", F.col("_best.iso2").alias(out)), "_key", "left").drop("_key"))

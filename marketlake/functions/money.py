@@ -11,28 +11,41 @@ from pyspark.sql import functions as F
 from .. import config
 from ._util import as_col, lit_map
 
-# A decimal number as Python's float() accepts it once only digits and dots remain.
-_NUMBER_RE = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
+# FIXED PATTERNS: a decimal number as Python's float() accepts it (white space at its
+# ends, a sign, an exponent), and the parts of a salary text.
+_NUMBER_RE = r"^[\s\p{Z}]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)[\s\p{Z}]*$"
+_SPACES_RE = "[\u00a0 ]"
+_CODE_RE = "^([A-Za-z]{3})"
+_THOUSAND_RE = "(?i)k(?=$|[^0-9])"
+
+# From here on a double has no cents left to round, and its cents leave bigint.
+_NO_CENTS = 1e14
+
+
+def _rounded(x: Column, parts: int) -> Column:
+    # floor() is a bigint; larger values are whole already
+    return F.when(F.abs(x) < _NO_CENTS, F.floor(x * parts + 0.5) / parts).otherwise(x)
 
 
 def round2(c) -> Column:
     """Half-up rounding to cents, ``floor(x*100+0.5)/100``.
 
     Gives the same bits in Spark and DuckDB (plain ``round`` and decimal casts
-    differ between engines at half-cent ties).
+    differ between engines at half-cent ties).  Values of 1e14 and more stay.
     """
-    x = as_col(c)
-    return F.floor(x * 100 + 0.5) / 100
+    return _rounded(as_col(c), 100)
 
 
 def round1(c) -> Column:
-    x = as_col(c)
-    return F.floor(x * 10 + 0.5) / 10
+    return _rounded(as_col(c), 10)
 
 
 def cents(c) -> Column:
-    """Integer cents of a value (half-up), as bigint: exact and order-free to sum."""
-    return F.floor(as_col(c) * 100 + 0.5).cast("bigint")
+    """Integer cents of a value (half-up), as bigint: exact and order-free to sum.
+    A value whose cents a bigint does not hold is refused, not clipped."""
+    x = as_col(c)
+    fits = F.when(F.abs(x) < 9e16, F.floor(x * 100 + 0.5).cast("bigint"))
+    return F.coalesce(fits, F.when(x.isNotNull(), F.raise_error(F.concat(F.lit("no cents of "), x.cast("string"))).cast("bigint")))
 
 
 def avg_cents(c, count_col: Column | None = None) -> Column:
@@ -63,12 +76,12 @@ def rate_to_eur(currency) -> Column:
 
 
 def parse_number(c) -> Column:
-    """Text of digits and dots -> double; anything float() would reject -> null.
+    """Text -> double as float() reads it; anything it would reject -> null.
 
     One reference to the input (regexp_extract + nullif), so callers can pass
     large expressions without duplicating them in the plan.
     """
-    return F.nullif(F.regexp_extract(as_col(c), _NUMBER_RE, 0), F.lit("")).cast("double")
+    return F.nullif(F.regexp_extract(as_col(c), _NUMBER_RE, 1), F.lit("")).cast("double")
 
 
 _SYMBOL_CURRENCY = (("€", "EUR"), ("£", "GBP"), ("$", "USD"))
@@ -82,37 +95,34 @@ def _first_symbol(s: Column) -> Column:
     return out
 
 
-def _currency_text_parts(c) -> tuple[Column, Column]:
-    """(currency code, digits-and-dots text) of a salary text (B1 steps 2-6).
+def _inline(_name: str, value: Column) -> Column:
+    return value
 
-    Each intermediate is referenced once or twice, so the expression tree
-    stays linear in size (a nested ``when`` over a repeated subtree would
-    grow exponentially and break whole-stage codegen).
-    """
-    s0 = F.regexp_replace(as_col(c), "[\u00a0 ]", "")
-    sym = _first_symbol(s0)
-    s1 = F.replace(s0, F.coalesce(sym, F.lit("")), F.lit(""))
-    code = F.regexp_extract(s1, "^([A-Za-z]{3})", 1)
-    by_symbol = F.coalesce(F.try_element_at(
-        lit_map(_SYMBOL_CURRENCY), sym),
-        F.lit("EUR"))
-    currency = F.when(code != "", F.upper(code)).otherwise(by_symbol)
-    digits = F.regexp_replace(
-        F.regexp_replace(
-            F.regexp_replace(F.regexp_replace(s1, "^[A-Za-z]{3}", ""), ",", ""),
-            "(?i)k(?=$|[^0-9])", "000"),
-        "[^0-9.]", "")
-    return currency, digits
 
+class _Staged:
+    """Keeps a parser's intermediates as columns of ``df``, each in a projection of
+    its own: Catalyst does not inline a costly expression that is used twice, so
+    every regular expression runs once per row."""
 
-def currency_of(c) -> Column:
-    """Currency code a salary text is expressed in (B1 steps 2-4)."""
-    return _currency_text_parts(c)[0]
+    def __init__(self, df, prefix: str):
+        self.df, self.prefix, self.names = df, prefix, []
 
+    def __call__(self, name: str, value: Column) -> Column:
+        self.names.append(f"__{self.prefix}_{name}")
+        self.df = self.df.withColumn(self.names[-1], value)
+        return F.col(self.names[-1])
 
-def salary_amount(c) -> Column:
-    """Numeric amount of a salary text before conversion (B1 steps 2-7)."""
-    return parse_number(_currency_text_parts(c)[1])
+
+def _currency_eur(text: Column, stage) -> Column:
+    """B1; ``stage(name, column)`` says what becomes of an intermediate."""
+    s0 = stage("s0", F.regexp_replace(text, _SPACES_RE, ""))
+    sym = stage("sym", _first_symbol(s0))
+    s1 = stage("s1", F.replace(s0, F.coalesce(sym, F.lit("")), F.lit("")))
+    code = stage("code", F.regexp_extract(s1, _CODE_RE, 1))
+    by_symbol = F.coalesce(F.try_element_at(lit_map(_SYMBOL_CURRENCY), sym), F.lit("EUR"))
+    currency = F.when(code != "", F.upper(code)).otherwise(by_symbol)
+    digits = F.regexp_replace(F.replace(F.regexp_replace(s1, _CODE_RE, ""), F.lit(","), F.lit("")), _THOUSAND_RE, "000")
+    return round2(parse_number(F.regexp_replace(digits, "[^0-9.]", "")) * rate_to_eur(currency))
 
 
 def normalize_currency(c) -> Column:
@@ -121,51 +131,38 @@ def normalize_currency(c) -> Column:
     A leading three-letter code overrides the symbol; ``k`` becomes ``000``
     textually (so ``40.5k`` is 40.5); commas vanish; unparsable -> null.
     """
-    currency, digits = _currency_text_parts(c)
-    return round2(parse_number(digits) * rate_to_eur(currency))
+    return _currency_eur(as_col(c), _inline)
 
 
 def with_normalized_currency(df, src: str | Column, dst: str):
-    """B1 as staged projections: ``df`` plus ``dst`` = normalize_currency(src).
-
-    Each intermediate (cleaned text, symbol, code) is its own column, so
-    Catalyst keeps it in a separate projection (CollapseProject does not
-    inline a non-cheap expression used twice): every regexp runs once per
-    row and the generated code stays small.
-    """
-    s0, sym, s1, code = (f"__{dst}_{k}" for k in ("s0", "sym", "s1", "code"))
-    text = src if isinstance(src, Column) else F.col(f"`{src}`")
-    df = df.withColumn(s0, F.regexp_replace(text, "[\\u00a0 ]", ""))
-    df = df.withColumn(sym, _first_symbol(F.col(s0)))
-    df = df.withColumn(s1, F.replace(F.col(s0), F.coalesce(F.col(sym), F.lit("")), F.lit("")))
-    df = df.withColumn(code, F.regexp_extract(F.col(s1), "^([A-Za-z]{3})", 1))
-    by_symbol = F.coalesce(F.try_element_at(
-        lit_map(_SYMBOL_CURRENCY), F.col(sym)),
-        F.lit("EUR"))
-    currency = F.when(F.col(code) != "", F.upper(F.col(code))).otherwise(by_symbol)
-    digits = F.regexp_replace(
-        F.regexp_replace(
-            F.regexp_replace(F.regexp_replace(F.col(s1), "^[A-Za-z]{3}", ""), ",", ""),
-            "(?i)k(?=$|[^0-9])", "000"),
-        "[^0-9.]", "")
-    df = df.withColumn(dst, round2(parse_number(digits) * rate_to_eur(currency)))
-    return df.drop(s0, sym, s1, code)
+    """B1 with staged intermediates: ``df`` plus ``dst`` = normalize_currency(src)."""
+    stage = _Staged(df, dst)
+    value = _currency_eur(src if isinstance(src, Column) else F.col(f"`{src}`"), stage)
+    return stage.df.withColumn(dst, value).drop(*stage.names)
 
 
 def usd_prefix_amount(c) -> Column:
-    """Numeric USD amount -> EUR as the text path ``USD{v}`` would give.
+    """USD amount (a number, or its text) -> EUR as the text path ``USD{v}`` gives.
 
-    The text path drops the minus sign and keeps the digits, so the value is
-    ``abs(v) * rate(USD)`` rounded to cents.
+    Text that is a number counts by its size, the sign being lost; other text
+    keeps its digits ('1,234' is 1234), and without digits it is null.
     """
-    v = as_col(c).cast("double")
-    return round2(F.abs(v) * F.lit(config.EXCHANGE_RATES["USD"]))
+    text = as_col(c).cast("string")
+    digits = F.regexp_replace(F.regexp_replace(F.replace(text, F.lit(","), F.lit("")), _THOUSAND_RE, "000"), "[^0-9.]", "")
+    return round2(F.coalesce(F.abs(parse_number(text)), parse_number(digits)) * F.lit(config.EXCHANGE_RATES["USD"]))
 
 
 def _range_value(p: Column) -> Column:
     """One part of a range: 'k'/'K' suffix is x1000, unparsable -> null."""
-    return (F.when(F.lower(p).endswith(F.lit("k")), parse_number(F.regexp_replace(p, "[kK]$", "")) * 1000)
-             .otherwise(parse_number(p)))
+    return F.when(F.lower(p).endswith(F.lit("k")), parse_number(F.regexp_replace(p, "[kK]$", "")) * 1000).otherwise(parse_number(p))
+
+
+def _range_bounds(text: Column, stage) -> tuple[Column, Column]:
+    """B4; ``stage(name, column)`` says what becomes of an intermediate."""
+    s = F.regexp_replace(F.replace(text, F.lit(" "), F.lit("")), "[€£$]", "")
+    v = stage("vals", F.filter(F.transform(F.split(s, "[–\\-]", -1), _range_value), lambda x: x.isNotNull()))
+    n = F.size(v)
+    return F.when(n.isin(1, 2), v[0]).cast("double"), F.when(n == 2, v[1]).when(n == 1, v[0]).cast("double")
 
 
 def parse_salary_range(c) -> Column:
@@ -175,28 +172,15 @@ def parse_salary_range(c) -> Column:
     hyphen, ``k`` parts are x1000, unparsable parts are skipped.  Two values
     give (a, b) unswapped, one gives (a, a), anything else (null, null).
     """
-    x = as_col(c)
-    s = F.regexp_replace(F.replace(x, F.lit(" "), F.lit("")), "[€£$]", "")
-    vals = F.filter(F.transform(F.split(s, "[–\\-]", -1), _range_value), lambda v: v.isNotNull())
-    n = F.size(vals)
-    lo = F.when(n == 2, vals[0]).when(n == 1, vals[0])
-    hi = F.when(n == 2, vals[1]).when(n == 1, vals[0])
-    return F.struct(lo.cast("double").alias("min"), hi.cast("double").alias("max"))
+    lo, hi = _range_bounds(as_col(c), _inline)
+    return F.struct(lo.alias("min"), hi.alias("max"))
 
 
 def with_salary_range(df, src: str | Column, lo: str, hi: str):
-    """B4 as staged projections: the parsed value array is one column, so the
-    higher-order functions run once per row however often lo/hi use it."""
-    vals = f"__{lo}_vals"
-    x = src if isinstance(src, Column) else F.col(f"`{src}`")
-    s = F.regexp_replace(F.replace(x, F.lit(" "), F.lit("")), "[€£$]", "")
-    df = df.withColumn(vals, F.filter(F.transform(F.split(s, "[–\\-]", -1), _range_value),
-                                      lambda v: v.isNotNull()))
-    v = F.col(vals)
-    n = F.size(v)
-    df = df.withColumn(lo, F.when(n >= 1, F.when(n <= 2, v[0])).cast("double"))
-    df = df.withColumn(hi, F.when(n == 2, v[1]).when(n == 1, v[0]).cast("double"))
-    return df.drop(vals)
+    """B4 with the parsed values staged as one column."""
+    stage = _Staged(df, lo)
+    a, b = _range_bounds(src if isinstance(src, Column) else F.col(f"`{src}`"), stage)
+    return stage.df.withColumn(lo, a).withColumn(hi, b).drop(*stage.names)
 
 
 def row_mean_skipna(lo, hi) -> Column:

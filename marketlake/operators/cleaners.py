@@ -106,7 +106,7 @@ def parse_survey(df: DataFrame, rec: str, source: str = "so_survey") -> tuple[Da
     skill row; the date is the fixed survey date.
     """
     r, eur = F.col(rec), f"{rec}__eur"
-    df = df.withColumn(eur, usd_prefix_amount(r["ConvertedCompYearly"].cast("double")))
+    df = df.withColumn(eur, usd_prefix_amount(r["ConvertedCompYearly"]))
     parts = F.filter(F.split(F.coalesce(r["LanguageHaveWorkedWith"], F.lit("")), ";", -1),
                      lambda x: F.lower(x).rlike("[a-z0-9]"))
     return df, F.transform(parts, lambda sk: silver_row(
@@ -201,8 +201,7 @@ def quality_filter(df: DataFrame) -> DataFrame:
 
 def reject_rate(silver_raw: DataFrame) -> DataFrame:
     """Per source, rows before, kept and rejected by the quality filter, in one pass."""
-    ok = (F.col("country_iso2").isNotNull() & F.col("skill").isNotNull()
-          & F.col("salary_eur").isNotNull() & (F.col("salary_eur") > 0))
+    ok = quality_rule()
     return (silver_raw.groupBy("source")
             .agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(ok).alias("rows_kept"))
             .withColumn("rows_rejected", F.col("rows_before") - F.col("rows_kept")))

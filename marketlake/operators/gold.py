@@ -80,16 +80,6 @@ def distinct_companies(salary: DataFrame) -> DataFrame:
     return salary.select(F.col("company").alias("company_name")).where("company_name is not null").distinct()
 
 
-def build_dim_company(salary: DataFrame, register: DataFrame) -> DataFrame:
-    """Companies present in facts left-joined to the register.
-
-    Missing attributes stay null; duplicate register entries fan out.  The
-    join is a plain equi-join: Spark broadcasts the register only when its
-    measured size is under the broadcast threshold, otherwise shuffles.
-    """
-    return distinct_companies(salary).join(register, "company_name", "left")
-
-
 def company_increment(batch: DataFrame) -> DataFrame:
     """companies of a micro-batch, attributes null (they overwrite known ones)."""
     return distinct_companies(batch).select(

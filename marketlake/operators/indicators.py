@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import avg_cents, cents, date_parts, fold_country, fold_lower, indicator_pk, indicator_sk, round1, round2
+from ..session import materialize
 from .quantiles import grouped_percentiles
 
 # public cube dimension -> fact column
@@ -157,9 +158,10 @@ def paginate(df: DataFrame, order: list[Column | str], limit: int | None = None,
     """limit/offset page (default 50, max 500) over a total order, with the
     total row count on every row (the API returns it beside the page).
 
-    The count is a mergeable aggregate joined as one row; ``orderBy + offset +
-    limit`` is a distributed top-k (``TakeOrderedAndProject``)."""
+    ``df`` is computed once, into the shared folder; the total is the row count
+    of what was written, a constant for the plan.  The page is a distributed
+    top-k and is sorted last."""
     lim = min(limit or config.PAGE_DEFAULT_LIMIT, config.PAGE_MAX_LIMIT)
-    total = df.agg(F.count(F.lit(1)).alias("total_count")).withColumn("_one", F.lit(1))
-    page = df.orderBy(*order).offset(offset).limit(lim).withColumn("_one", F.lit(1))
-    return page.join(total, "_one").drop("_one")
+    rows = materialize(df, "page")
+    total = F.lit(rows.count()).cast("bigint").alias("total_count")
+    return rows.select("*", total).orderBy(*order).offset(offset).limit(lim)

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import date_parts
 from .ranking import global_index
 
 FACT_MEASURES = ["avg_salary", "min_salary", "max_salary", "job_count"]
@@ -50,10 +49,6 @@ def d_company(dim_company: DataFrame) -> DataFrame:
                                              "workforce_size", "sector")
 
 
-def d_date(dim_date: DataFrame) -> DataFrame:
-    return dim_date
-
-
 # ------------------------------------------------------------------ fact
 
 def fact_job(fact: DataFrame, countries: DataFrame, companies: DataFrame, skills: DataFrame,
@@ -182,8 +177,3 @@ def current_snapshot(spark: SparkSession, root: str) -> str:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{current_snapshot(spark, root)}/{name}")
-
-
-def dim_date_from(dates: DataFrame, col: str = "date_posted") -> DataFrame:
-    parts = date_parts(col)
-    return dates.select(F.col(col).alias("date_key"), *[v.alias(k) for k, v in parts.items()])

@@ -19,10 +19,10 @@ from . import oracle as o
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str | Callable[[], str]] = {}  # a function where the SQL needs the running JVM's tables
 
 
-def query(key: str, sql: str | None = None):
+def query(key: str, sql: str | Callable[[], str] | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[key] = fn
         if sql is not None:

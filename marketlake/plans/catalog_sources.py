@@ -12,6 +12,7 @@ from ..functions import (
     round1, round2, row_mean_skipna, thousands_int, fill_zero_int, timestamp_to_date_coerce,
     usd_prefix_amount, nan_to_null, cents,
 )
+from ..functions import iso3166
 from ..functions.country import alias_rows
 from ..functions.money import with_normalized_currency, with_salary_range, rate_to_eur
 from ..operators import cleaners
@@ -24,6 +25,9 @@ from .catalog import query
 OBS = o.with_ctes(o.OBS)
 R2, D = o.r2, o.d
 SYM_SQL = "CASE iso2 WHEN 'GB' THEN '£' WHEN 'US' THEN '$' WHEN 'CA' THEN '$' WHEN 'AU' THEN '$' ELSE '€' END"
+BOARD_TEXT_SQL = f"""CASE l_orderkey % 10 WHEN 1 THEN {SYM_SQL} || chr(160) || CAST(CAST(floor(price/1000) AS BIGINT) AS VARCHAR) || 'k'
+  WHEN 2 THEN {SYM_SQL} || ' ' || format('{{:,}}', CAST(floor(price/1000) AS BIGINT) * 1000)
+  ELSE {SYM_SQL} || CAST(CAST(floor(price/1000) AS BIGINT) AS VARCHAR) || 'k' END"""
 CUR_SQL = ("CASE iso2 WHEN 'GB' THEN 'GBP' WHEN 'US' THEN 'USD' WHEN 'CA' THEN 'CAD' "
            "WHEN 'AU' THEN 'AUD' ELSE 'EUR' END")
 CODE_RATE_SQL = ("CASE iso2 WHEN 'GB' THEN CAST(1.17 AS DOUBLE) WHEN 'US' THEN CAST(0.92 AS DOUBLE) "
@@ -52,9 +56,9 @@ def _records_out(r):
 
 
 def _records_sql(tag: str) -> str:
-    return OBS + f"""SELECT skill_label || ' Developer' AS title, s_name AS company_name, country_name AS location,
-  {R2('price*' + D(0.9))} AS salary_min, {R2('price*' + D(1.1))} AS salary_max, {tag} AS tag,
-  lower(iso2) AS country, date_posted || 'T09:00:00Z' AS created FROM obs WHERE src = 'adzuna'"""
+    return OBS + f"""SELECT skill_label || '{adapter.TITLE_A}' AS title, s_name AS company_name, country_name AS location,
+  {R2('price*' + D(adapter.LOW))} AS salary_min, {R2('price*' + D(adapter.HIGH))} AS salary_max, {tag} AS tag,
+  lower(iso2) AS country, date_posted || '{adapter.STAMP}' AS created FROM obs WHERE src = 'adzuna'"""
 
 
 @query("scan_json_nested", _records_sql("skill_label"))
@@ -85,10 +89,9 @@ def q_scan_json_flat(spark, sf):
     return texts.select(F.explode(readers.parse_json_records("json", readers.REPO_SCHEMA)).alias("r")).select("r.*")
 
 
-_BOARD_SQL = OBS + f"""SELECT l_orderkey, l_linenumber, skill_label || ' Engineer' AS "Intitulé",
+_BOARD_SQL = OBS + f"""SELECT l_orderkey, l_linenumber, skill_label || '{adapter.TITLE_B}' AS "Intitulé",
   CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE s_name END AS "Entreprise",
-  'Centre, ' || country_name AS "Lieu",
-  {SYM_SQL} || CAST(CAST(floor(price/1000) AS BIGINT) AS VARCHAR) || 'k' AS "Salaire annoncé",
+  '{adapter.PLACE}, ' || country_name AS "Lieu", {BOARD_TEXT_SQL} AS "Salaire annoncé",
   skill_label AS "Requête", country_name AS "Zone", date_posted AS "Date"
 FROM obs WHERE src = 'indeed'"""
 
@@ -166,8 +169,8 @@ def q_silver_union(spark, sf):
 
 @query("clean_compensation_json", OBS + f"""SELECT 'wttj' AS source, date_posted, iso2 AS country_iso2,
   lower(skill_label) AS skill, s_name AS company,
-  {R2(f"({R2('price*' + D(0.92))} + {R2('price*' + D(1.08))})/2")} AS salary_eur,
-  {R2('price*' + D(0.92))} AS min_salary_eur, {R2('price*' + D(1.08))} AS max_salary_eur FROM obs""")
+  {R2(f"({R2('price*' + D(adapter.PAY_LOW))} + {R2('price*' + D(adapter.PAY_HIGH))})/2")} AS salary_eur,
+  {R2('price*' + D(adapter.PAY_LOW))} AS min_salary_eur, {R2('price*' + D(adapter.PAY_HIGH))} AS max_salary_eur FROM obs""")
 def q_clean_compensation(spark, sf):
     """The example extra source (nested organisation/office/compensation)."""
     return cleaners.clean_compensation(adapter.compensation_records(_obs(spark, sf)))
@@ -176,7 +179,7 @@ def q_clean_compensation(spark, sf):
 # ------------------------------------------------------------ B: functions
 
 @query("normalize_currency", OBS + f"""SELECT l_orderkey, l_linenumber,
-  {SYM_SQL} || CAST(CAST(floor(price/1000) AS BIGINT) AS VARCHAR) || 'k' AS salary_text,
+  {BOARD_TEXT_SQL} AS salary_text,
   {R2(f"floor(price/1000)*1000*{o.RATE_SQL}")} AS salary_eur FROM obs WHERE src = 'indeed'""")
 def q_normalize_currency(spark, sf):
     """B1 on symbol texts ('€81k', '£40k', '$52k')."""
@@ -211,49 +214,52 @@ def q_rates_lookup(spark, sf):
             .select("currency", rate_to_eur("currency").alias("rate"), "observations"))
 
 
-def _country_variant():
-    iso3 = F.try_element_at(F.create_map(*[x for k, v in config.ISO3.items() for x in (F.lit(k), F.lit(v))]),
-                            F.col("iso2"))
+def _country_cases() -> list[tuple[str, str | None]]:
+    """Every code and name of the table with its alpha-2, then texts of no country."""
+    return [*iso3166.exact().items(), ("QQ", None), ("ZZZ", None), ("NO SUCH LAND", None), ("LA LA", None), ("", None)]
+
+
+def _country_texts(spark, sf):
+    """Observations with a country text: plain, in lower case, or among white space of several kinds."""
+    cases = _country_cases()
+    text = adapter.pick([a for a, _ in cases], F.col("l_orderkey") % len(cases))
     v = F.col("l_linenumber") % 4
-    return (F.when(v == 0, F.col("country_name"))
-             .when(v == 1, F.lower(iso3))
-             .when(v == 2, F.concat(F.lit(" "), F.lower("iso2"), F.lit(" ")))
-             .otherwise(F.substring(F.upper("country_name"), 1, 5)))
+    raw = (F.when(v == 1, F.lower(text)).when(v == 2, F.concat(F.lit(" \t"), text, F.lit(adapter.NBSP)))
+            .when(v == 3, F.concat(F.lit(adapter.NBSP), text, F.lit("\n"))).otherwise(text))
+    return load(spark, sf, "lineitem", "l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber", raw.alias("raw"))
 
 
-_ISO3_SQL = "CASE iso2 " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in config.ISO3.items()) + " END"
-_VARIANT_SQL = f"""CASE l_linenumber % 4 WHEN 0 THEN country_name WHEN 1 THEN lower({_ISO3_SQL})
-  WHEN 2 THEN ' ' || lower(iso2) || ' ' ELSE substr(upper(country_name), 1, 5) END"""
-_RESOLVED_SQL = "CASE WHEN l_linenumber % 4 = 3 AND iso2 = 'US' THEN 'GB' ELSE iso2 END"
+def _country_sql() -> str:
+    cases = _country_cases()
+    codes = ", ".join("NULL" if c is None else f"'{c}'" for _, c in cases)
+    return f"""SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 1 THEN lower(t) WHEN 2 THEN ' ' || chr(9) || t || chr(160)
+  WHEN 3 THEN chr(160) || t || chr(10) ELSE t END AS raw, country_iso2
+FROM (SELECT l_orderkey, l_linenumber, ({o.lst([a for a, _ in cases])})[l_orderkey % {len(cases)} + 1] AS t,
+        ([{codes}])[l_orderkey % {len(cases)} + 1] AS country_iso2 FROM lineitem)"""
 
 
-@query("map_country_iso2", OBS + f"""SELECT l_orderkey, l_linenumber, {_VARIANT_SQL} AS raw,
-  {_RESOLVED_SQL} AS country_iso2 FROM obs""")
+@query("map_country_iso2", _country_sql)
 def q_map_country_iso2(spark, sf):
-    """Names, lower ISO3, padded ISO2 and 5-letter name prefixes
-    ('UNITE' is ambiguous: the smaller ISO2 wins)."""
-    t = _obs(spark, sf).select("l_orderkey", "l_linenumber", _country_variant().alias("raw"))
-    return t.select("l_orderkey", "l_linenumber", "raw", map_country_iso2("raw").alias("country_iso2"))
+    """Every code and name of ISO 3166, and texts of no country."""
+    return _country_texts(spark, sf).withColumn("country_iso2", map_country_iso2("raw"))
 
 
-@query("country_table_resolve", OBS + f"""SELECT l_orderkey, l_linenumber, {_VARIANT_SQL} AS raw,
-  {_RESOLVED_SQL} AS country_iso2 FROM obs WHERE l_linenumber % 4 <> 3
-UNION ALL SELECT l_orderkey, l_linenumber, {_VARIANT_SQL},
-  CASE WHEN substr(upper(country_name), 1, 5) = upper(country_name) THEN iso2 END FROM obs WHERE l_linenumber % 4 = 3""")
+@query("country_table_resolve", _country_sql)
 def q_country_table_resolve(spark, sf):
-    """D7 table form: distinct keys resolved against an alias table (exact
-    aliases only: a 5-letter prefix resolves only when it is a whole name),
-    joined back."""
-    t = _obs(spark, sf).select("l_orderkey", "l_linenumber", _country_variant().alias("raw"))
+    """D7 table form: the same texts resolved by a join with the alias table."""
     aliases = spark.createDataFrame(alias_rows(), "alias_upper string, iso2 string, rank int")
-    return resolve_with_table(t, "raw", aliases).select("l_orderkey", "l_linenumber", "raw", "country_iso2")
+    return resolve_with_table(_country_texts(spark, sf), "raw", aliases).select("l_orderkey", "l_linenumber", "raw", "country_iso2")
+
+
+_LO, _HI = (f"CAST(CAST(floor(price*{D(x)}/1000) AS BIGINT) AS VARCHAR)" for x in (adapter.LOW, adapter.HIGH))
 
 
 @query("parse_salary_range", OBS + f"""SELECT l_orderkey, l_linenumber,
-  CAST(CAST(floor(price*{D(0.9)}/1000) AS BIGINT) AS VARCHAR) || 'k–' ||
-  CAST(CAST(floor(price*{D(1.1)}/1000) AS BIGINT) AS VARCHAR) || 'k€' AS salary_range,
-  floor(price*{D(0.9)}/1000)*1000 AS min_salary_eur, floor(price*{D(1.1)}/1000)*1000 AS max_salary_eur,
-  {R2(f"(floor(price*{D(0.9)}/1000)*1000 + floor(price*{D(1.1)}/1000)*1000)/2")} AS salary_eur
+  CASE l_orderkey % 10 WHEN 1 THEN {_LO} || chr(160) || 'k€–' || chr(160) || {_HI} || chr(160) || 'k€'
+    WHEN 2 THEN '+' || {_LO} || 'k–+' || {_HI} || 'K' WHEN 3 THEN {_LO} || '000' || chr(160) || '–' || chr(160) || {_HI} || '000'
+    ELSE {_LO} || 'k–' || {_HI} || 'k€' END AS salary_range,
+  floor(price*{D(adapter.LOW)}/1000)*1000 AS min_salary_eur, floor(price*{D(adapter.HIGH)}/1000)*1000 AS max_salary_eur,
+  {R2(f"(floor(price*{D(adapter.LOW)}/1000)*1000 + floor(price*{D(adapter.HIGH)}/1000)*1000)/2")} AS salary_eur
 FROM obs WHERE src = 'glassdoor'""")
 def q_parse_salary_range(spark, sf):
     """B4 + B8: range text -> (min, max) and strict midpoint."""
@@ -287,12 +293,12 @@ def q_struct_field_or_null(spark, sf):
 
 
 @query("row_mean_skipna", OBS + f"""SELECT l_orderkey, l_linenumber,
-  CASE WHEN l_orderkey % 7 = 0 THEN {R2(R2('price*' + D(0.9)))}
-       ELSE {R2(f"({R2('price*' + D(0.9))} + {R2('price*' + D(1.1))})/2")} END AS salary_eur FROM obs""")
+  CASE WHEN l_orderkey % 7 = 0 THEN {R2(R2('price*' + D(adapter.LOW)))}
+       ELSE {R2(f"({R2('price*' + D(adapter.LOW))} + {R2('price*' + D(adapter.HIGH))})/2")} END AS salary_eur FROM obs""")
 def q_row_mean_skipna(spark, sf):
     """Mean of min and max ignoring a missing max."""
-    lo = round2(F.col("price") * 0.9)
-    hi = F.when(F.col("l_orderkey") % 7 != 0, round2(F.col("price") * 1.1))
+    lo = round2(F.col("price") * adapter.LOW)
+    hi = F.when(F.col("l_orderkey") % 7 != 0, round2(F.col("price") * adapter.HIGH))
     t = _obs(spark, sf).select("l_orderkey", "l_linenumber", lo.alias("lo"), hi.alias("hi"))
     return t.select("l_orderkey", "l_linenumber", row_mean_skipna("lo", "hi").alias("salary_eur"))
 
@@ -302,7 +308,7 @@ def q_row_mean_skipna(spark, sf):
 def q_timestamp_to_date_coerce(spark, sf):
     """ISO timestamps with Z -> date; unparsable text -> null."""
     created = F.when(F.col("l_orderkey") % 10 == 0, F.lit("bad")) \
-               .otherwise(F.concat(F.col("date_posted"), F.lit("T09:00:00Z")))
+               .otherwise(F.concat(F.col("date_posted"), F.lit(adapter.STAMP)))
     t = _obs(spark, sf).select("l_orderkey", "l_linenumber", created.alias("created"))
     return t.select("l_orderkey", "l_linenumber", timestamp_to_date_coerce("created").alias("date_posted"))
 
@@ -344,20 +350,23 @@ def q_literal_columns(spark, sf):
         F.min("date_posted").alias("first_date"), F.max("date_posted").alias("last_date"))
 
 
-@query("usd_prefix_amount", OBS + f"""SELECT l_orderkey, l_linenumber, CAST(floor(price) AS BIGINT) AS amount_usd,
-  {R2(f"CAST(CAST(floor(price) AS BIGINT) AS DOUBLE)*{D(0.92)}")} AS salary_eur FROM obs WHERE src = 'so_survey'""")
+@query("usd_prefix_amount", OBS + f"""SELECT l_orderkey, l_linenumber,
+  CASE l_orderkey % 50 WHEN 1 THEN format('{{:,}}', CAST(floor(price) AS BIGINT)) WHEN 2 THEN 'unpaid'
+    ELSE CAST(CAST(floor(price) AS BIGINT) AS VARCHAR) END AS amount_usd,
+  CASE WHEN l_orderkey % 50 <> 2 THEN {R2(f"CAST(CAST(floor(price) AS BIGINT) AS DOUBLE)*{D(0.92)}")} END AS salary_eur
+FROM obs WHERE src = 'so_survey'""")
 def q_usd_prefix_amount(spark, sf):
-    """Numeric USD amount -> EUR as the 'USD{v}' text path gives."""
+    """USD amount text -> EUR as the 'USD{v}' text path gives; no number -> null."""
     s = adapter.survey_rows(_obs(spark, sf))
-    return s.select("l_orderkey", "l_linenumber", F.col("ConvertedCompYearly").cast("bigint").alias("amount_usd"),
-                    usd_prefix_amount(F.col("ConvertedCompYearly").cast("double")).alias("salary_eur"))
+    return s.select("l_orderkey", "l_linenumber", F.col("ConvertedCompYearly").alias("amount_usd"),
+                    usd_prefix_amount("ConvertedCompYearly").alias("salary_eur"))
 
 
-@query("round_measures", OBS + f"""SELECT l_orderkey, l_linenumber, {R2('price*' + D(1.1))} AS price_2dp,
+@query("round_measures", OBS + f"""SELECT l_orderkey, l_linenumber, {R2('price*' + D(adapter.HIGH))} AS price_2dp,
   {o.r1('price/1000')} AS price_k_1dp FROM obs""")
 def q_round_measures(spark, sf):
     """Engine-neutral half-up rounding to 2 and 1 decimals."""
-    return _obs(spark, sf).select("l_orderkey", "l_linenumber", round2(F.col("price") * 1.1).alias("price_2dp"),
+    return _obs(spark, sf).select("l_orderkey", "l_linenumber", round2(F.col("price") * adapter.HIGH).alias("price_2dp"),
                                   round1(F.col("price") / 1000).alias("price_k_1dp"))
 
 

@@ -1,9 +1,10 @@
 """Canonical medallion plans, lazily composed from the driver tables.
 
 ``observations -> bronze shapes -> silver (M1-M4, C1) -> gold fact (E1)``.
-Nothing here runs an action: each function returns a DataFrame plan and
-Catalyst optimises the whole chain at once (the fact plan prunes every scan
-to the columns it needs and pushes the source predicates to the lineitem scan).
+``silver``, ``salary`` and ``fact`` run no action: each returns a plan that
+Catalyst optimises as a whole, with every scan pruned to the columns it needs.
+``fact_once`` and ``star`` write the fact while the plan is built, since several
+consumers read it.
 """
 
 from __future__ import annotations
@@ -16,44 +17,20 @@ from ..sources import adapter, registry
 from ..sources.readers import with_na_tokens
 from ..session import materialize
 
-_PLANS: dict = {}
-
-
-def per_session(fn):
-    """Memoise a lazy plan builder per (session, input folder).
-
-    A DataFrame is an immutable logical plan, so the same object can serve
-    every query of the session that starts from it: nothing is cached but the
-    plan; each action still reads and computes everything.  Only pure lazy
-    builders use this, never anything that writes (``fact_once``).
-    """
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (fn.__name__, id(spark), sf_dir)
-        if key not in _PLANS:
-            _PLANS[key] = fn(spark, sf_dir)
-        return _PLANS[key]
-    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
-    return wrapper
-
-
-@per_session
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.observations(spark, sf_dir)
 
 
-@per_session
 def silver_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All registered salary sources, cleaned in one pass, before the quality filter."""
     return registry.silver_all(observations(spark, sf_dir))
 
 
-@per_session
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7 (salary part): silver after C1, all sources in one pass."""
     return registry.silver_all(observations(spark, sf_dir), valid=True)
 
 
-@per_session
 def salary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold input: silver with B12 applied."""
     return gold.salary_frame(silver(spark, sf_dir))
@@ -66,7 +43,6 @@ def silver_parts(spark: SparkSession, sf_dir: str, filtered: bool = True) -> lis
     return [registry.silver_source(obs, s.name, valid=filtered) for s in registry.REGISTRY]
 
 
-@per_session
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 core: the gold fact table.
 

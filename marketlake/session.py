@@ -25,14 +25,15 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "marketlake") -> SparkSession:
+                  app_name: str = "marketlake", driver_memory: str | None = None) -> SparkSession:
     master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     b = SparkSession.builder.master(master).appName(app_name)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-          .config("spark.driver.memory", "16g")
           .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)))
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -42,8 +43,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh scratch folder) when it is unset, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Where it is unset, a
+    local session (one machine) gets a fresh scratch folder; on a cluster each
+    executor would write to a disk of its own, so there it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -53,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     if not d:
+        if sc is None or not (sc.master.startswith("local[") or sc.master == "local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:

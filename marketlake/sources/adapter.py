@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import month_start, round2
 from ..functions._util import lit_array, lit_map
-from .tables import balance, load
+from .tables import load
 
 # FIXED VALUES: display labels of the registry skills as sources print them
 # (they normalise to the registry labels), and currency symbols per country.
@@ -40,6 +40,14 @@ ISO2 = [c[0] for c in config.COUNTRIES]
 NAMES = [c[1] for c in config.COUNTRIES]
 PAGE_ORDERS = 64  # orders per API page / CSV chunk: bounds every collected group
 
+# Made-up values of the rendered sources.
+LOW, HIGH = 0.85, 1.15            # bounds of an advertised range around the price
+PAY_LOW, PAY_HIGH = 0.95, 1.05    # bounds of a compensation record
+TITLE_A, TITLE_B, TITLE_C = " specialist", " builder", " analyst"
+STAMP = "T06:30:00Z"
+PLACE, LEVEL = "Harbour", "L3"
+NBSP = "\u00a0"
+
 
 def pick(values: list, index: Column) -> Column:
     """values[index] for a 0-based integer Column (a literal array lookup)."""
@@ -47,8 +55,9 @@ def pick(values: list, index: Column) -> Column:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = balance(load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-                      "l_linenumber", "l_extendedprice"), "l_orderkey")
+    # dealt by the key of the first (shuffle) join, however few splits the scan has
+    li = load(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+              "l_linenumber", "l_extendedprice").repartition("l_orderkey")
     o = load(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = load(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = load(spark, sf_dir, "nation", "n_nationkey")
@@ -89,14 +98,14 @@ def offer_record() -> Column:
     category = F.when(F.col("l_orderkey") % 3 == 0, F.create_map(F.lit("label"), F.col("skill_label"))) \
                 .otherwise(F.create_map(F.lit("tag"), F.col("skill_label")))
     return F.struct(
-        F.concat(F.col("skill_label"), F.lit(" Developer")).alias("title"),
+        F.concat(F.col("skill_label"), F.lit(TITLE_A)).alias("title"),
         F.struct(F.col("s_name").alias("display_name")).alias("company"),
         F.struct(F.col("country_name").alias("display_name")).alias("location"),
-        round2(F.col("price") * 0.9).alias("salary_min"),
-        round2(F.col("price") * 1.1).alias("salary_max"),
+        round2(F.col("price") * LOW).alias("salary_min"),
+        round2(F.col("price") * HIGH).alias("salary_max"),
         category.alias("category"),
         F.when(F.col("l_orderkey") % 5 != 0, F.lower("iso2")).alias("country"),
-        F.concat(F.col("date_posted"), F.lit("T09:00:00Z")).alias("created"),
+        F.concat(F.col("date_posted"), F.lit(STAMP)).alias("created"),
     )
 
 
@@ -122,14 +131,14 @@ def offers_json_arrays(obs: DataFrame) -> DataFrame:
     each record already aligned on the bronze contract (tag and country set)."""
     a = _of(obs, "adzuna")
     rec = F.struct(
-        F.concat(F.col("skill_label"), F.lit(" Developer")).alias("title"),
+        F.concat(F.col("skill_label"), F.lit(TITLE_A)).alias("title"),
         F.struct(F.col("s_name").alias("display_name")).alias("company"),
         F.struct(F.col("country_name").alias("display_name")).alias("location"),
-        round2(F.col("price") * 0.9).alias("salary_min"),
-        round2(F.col("price") * 1.1).alias("salary_max"),
+        round2(F.col("price") * LOW).alias("salary_min"),
+        round2(F.col("price") * HIGH).alias("salary_max"),
         F.struct(F.col("skill_label").alias("tag")).alias("category"),
         F.lower("iso2").alias("country"),
-        F.concat(F.col("date_posted"), F.lit("T09:00:00Z")).alias("created"),
+        F.concat(F.col("date_posted"), F.lit(STAMP)).alias("created"),
     )
     return a.groupBy(_page().alias("page")).agg(F.to_json(F.collect_list(rec)).alias("json"))
 
@@ -137,16 +146,21 @@ def offers_json_arrays(obs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- indeed (CSV)
 
 def _salary_text() -> Column:
+    """'€81k'; on a share of rows with a no-break space, or in full with separators ('€ 81,000')."""
     sym = F.coalesce(F.try_element_at(lit_map(SYMBOL_BY_COUNTRY.items()), F.col("iso2")), F.lit("€"))
-    return F.concat(sym, F.floor(F.col("price") / 1000).cast("string"), F.lit("k"))
+    thousands = F.floor(F.col("price") / 1000)
+    v = F.col("l_orderkey") % 10
+    return (F.when(v == 1, F.concat(sym, F.lit(NBSP), thousands.cast("string"), F.lit("k")))
+             .when(v == 2, F.concat(sym, F.lit(" "), F.format_number(thousands * 1000, 0)))
+             .otherwise(F.concat(sym, thousands.cast("string"), F.lit("k"))))
 
 
 def board_fields() -> dict[str, Column]:
     """Job-board CSV columns (French headers); the company is blank on some rows."""
     return {
-        "Intitulé": F.concat(F.col("skill_label"), F.lit(" Engineer")),
+        "Intitulé": F.concat(F.col("skill_label"), F.lit(TITLE_B)),
         "Entreprise": F.when(F.col("l_orderkey") % 97 == 0, F.lit("")).otherwise(F.col("s_name")),
-        "Lieu": F.concat(F.lit("Centre, "), F.col("country_name")),
+        "Lieu": F.concat(F.lit(PLACE + ", "), F.col("country_name")),
         "Salaire annoncé": _salary_text(),
         "Requête": F.col("skill_label"),
         "Zone": F.col("country_name"),
@@ -181,16 +195,21 @@ def board_csv_chunks(obs: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- glassdoor (CSV)
 
 def range_fields() -> dict[str, Column]:
-    """Salary-site CSV columns: the salary is a range text."""
-    lo = F.floor(F.col("price") * 0.9 / 1000).cast("string")
-    hi = F.floor(F.col("price") * 1.1 / 1000).cast("string")
+    """Salary-site CSV columns: the salary is a range text, on a share of rows with
+    no-break spaces, a plus sign, or in full."""
+    lo, hi = F.floor(F.col("price") * LOW / 1000).cast("string"), F.floor(F.col("price") * HIGH / 1000).cast("string")
+    v = F.col("l_orderkey") % 10
+    text = (F.when(v == 1, F.concat(lo, F.lit(NBSP + "k€–" + NBSP), hi, F.lit(NBSP + "k€")))
+             .when(v == 2, F.concat(F.lit("+"), lo, F.lit("k–+"), hi, F.lit("K")))
+             .when(v == 3, F.concat(lo, F.lit("000" + NBSP + "–" + NBSP), hi, F.lit("000")))
+             .otherwise(F.concat(lo, F.lit("k–"), hi, F.lit("k€"))))
     return {
-        "Rôle": F.concat(F.col("skill_label"), F.lit(" Developer")),
-        "Ville": F.lit("Centre"),
+        "Rôle": F.concat(F.col("skill_label"), F.lit(TITLE_C)),
+        "Ville": F.lit(PLACE),
         "Pays": F.col("country_name"),
-        "Niveau": F.lit("confirmé"),
+        "Niveau": F.lit(LEVEL),
         "skill": F.col("skill_label"),
-        "salary_range": F.concat(lo, F.lit("k–"), hi, F.lit("k€")),
+        "salary_range": text,
         "date_posted": F.col("date_posted"),
     }
 
@@ -203,10 +222,12 @@ def range_rows(obs: DataFrame) -> DataFrame:
 # ----------------------------------------------------------- so_survey (CSV)
 
 def survey_fields() -> dict[str, Column]:
-    """Survey CSV columns: USD amount as text and a ';'-separated skill list."""
+    """Survey CSV columns: USD amount as text (on a share of rows with separators, or
+    no amount at all) and a ';'-separated skill list."""
+    amount, v = F.floor(F.col("price")).cast("bigint"), F.col("l_orderkey") % 50
     return {
         "Country": F.col("country_name"),
-        "ConvertedCompYearly": F.floor(F.col("price")).cast("bigint").cast("string"),
+        "ConvertedCompYearly": F.when(v == 1, F.format_number(amount, 0)).when(v == 2, F.lit("unpaid")).otherwise(amount.cast("string")),
         "LanguageHaveWorkedWith": F.concat_ws(";", F.col("skill_label"), F.col("skill2_label")),
     }
 
@@ -224,7 +245,7 @@ def compensation_records(obs: DataFrame) -> DataFrame:
         F.struct(F.col("s_name").alias("name")).alias("organization"),
         F.struct(F.col("country_name").alias("country")).alias("office"),
         F.col("skill_label").alias("profession"),
-        F.struct(round2(F.col("price") * 0.92).alias("min"), round2(F.col("price") * 1.08).alias("max"),
+        F.struct(round2(F.col("price") * PAY_LOW).alias("min"), round2(F.col("price") * PAY_HIGH).alias("max"),
                  F.lit("EUR").alias("currency"), F.lit("yearly").alias("period")).alias("compensation"),
         F.col("date_posted").alias("published_at"),
     )

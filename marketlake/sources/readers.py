@@ -8,10 +8,6 @@ through it.
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,11 +69,16 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: bool = True) -> DataFrame:
     """A3/A4: headed CSV (accented headers are fine), all columns as text.
 
-    With ``na_tokens`` the pandas missing-value tokens (``NA``, ``null``,
-    ``N/A``, ...) become null, as the reference's reader does.
+    Columns are found by their header names, so a wider file, or one in another
+    order, is read as well; a column that the header lacks is an error.  With
+    ``na_tokens`` the pandas missing-value tokens (``NA``, ``null``, ``N/A``,
+    ...) become null, as the reference's reader does.
     """
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("enforceSchema", False).csv(path))
+    df = spark.read.option("header", True).option("multiLine", True).option("inferSchema", False).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {missing}; the header has {df.columns}")
+    df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     return with_na_tokens(df) if na_tokens else df
 
 
@@ -178,26 +179,6 @@ def html_links(pages: DataFrame, html: str = "html", key: str = "page_id") -> Da
         F.replace(F.col("it.text"), F.lit(" "), F.lit("")).alias("label"))
 
 
-def zip_member_rows(spark: SparkSession, path_glob: str, suffix: str, schema: T.StructType) -> DataFrame:
-    """Open each ZIP, take the first member whose lower-case name ends with
-    ``suffix`` and parse it as headed CSV.  One task per archive (mapInPandas);
-    rows stream out batch by batch, nothing goes through the driver."""
-    names = [f.name for f in schema.fields]
-
-    def unzip(batches):
-        for pdf in batches:
-            for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    member = next((n for n in z.namelist() if n.lower().endswith(suffix)), None)
-                    if member is None:
-                        continue
-                    with z.open(member) as fh:
-                        for chunk in pd.read_csv(fh, dtype=str, chunksize=50_000, keep_default_na=False):
-                            yield chunk.reindex(columns=names)
-
-    return spark.read.format("binaryFile").load(path_glob).select("content").mapInPandas(unzip, schema)
-
-
 def wide_to_long(df: DataFrame, ids: list[str], value_cols: list[str],
                  name_col: str = "keyword", value_col: str = "interest") -> DataFrame:
     """Wide interest table -> ``(ids..., keyword, interest)``; empty cells skipped."""

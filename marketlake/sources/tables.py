@@ -12,42 +12,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_RELATIONS: dict = {}
-
-
-def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet relation of one driver table, resolved once per session.
-
-    Driver tables are read-only inputs, so the schema (one footer read on the
-    driver) and the file listing are looked up once and every plan of the
-    session starts from the same relation."""
-    key = (id(spark), table_path(sf_dir, name))
-    if key not in _RELATIONS:
-        _RELATIONS[key] = spark.read.parquet(key[1])
-    return _RELATIONS[key]
-
-
 def load(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Read one table; naming the columns keeps the parquet ReadSchema pruned."""
-    df = relation(spark, sf_dir, name)
+    """Read one table as it stands now; naming the columns keeps the parquet ReadSchema pruned."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
-
-
-def balance(df: DataFrame, *keys: str) -> DataFrame:
-    """Scan-parallelism guard.
-
-    A parquet file with a single row group is read by one task however large
-    it is, and everything fused after the scan then runs on one core.  When a
-    plan yields fewer partitions than the default parallelism it is spread
-    (hash-partitioned on ``keys`` when given, which needs no sort; else
-    round-robin); on a large input (thousands of splits) the guard never fires,
-    so no extra shuffle is added at scale.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -33,7 +33,8 @@ def test_normalize_currency_staged_equals_column(spark):
 
 RANGES = [("40k–60k€", (40000.0, 60000.0)), ("50000-70000", (50000.0, 70000.0)), (None, (None, None)),
           ("-50000", (50000.0, 50000.0)), ("60k-40k", (60000.0, 40000.0)), ("40,000-60,000", (None, None)),
-          ("1-2-3", (None, None)), ("50K", (50000.0, 50000.0)), ("1d", (None, None)), ("k", (None, None))]
+          ("1-2-3", (None, None)), ("40\u00a0k€–60\u00a0k€", (40000.0, 60000.0)), ("40000\u00a0–\u00a060000", (40000.0, 60000.0)),
+          ("+40k", (40000.0, 40000.0)), ("1e3–2e3", (1000.0, 2000.0)), ("50K", (50000.0, 50000.0)), ("1d", (None, None)), ("k", (None, None))]
 
 
 def test_parse_salary_range(spark):
@@ -53,10 +54,48 @@ def test_normalize_skill_label(spark):
                                                           "brand_23"]
 
 
+COUNTRIES = [("France", "FR"), ("us", "US"), ("DEU", "DE"), (None, None), ("", None), ("  gbr ", "GB"), ("x", None),
+             ("Belgium", "BE"), ("Poland", "PL"), ("IN", "IN"), ("AL", "AL"), ("AD", "AD"), ("AN", None), ("GE", "GE"), ("NE", "NE"), ("LA", "LA"),
+             ("AND", "AD"), ("POL", "PL"), ("pl", "PL"), ("QQ", None), ("ZZZ", None), ("\u00a0FR\t", "FR"), ("\u2003India\n", "IN"),
+             ("United States of America", "US"), ("Viet Nam", "VN"), ("Cote d'Ivoire", "CI"), ("Côte d’Ivoire", "CI"), ("Türkiye", "TR"),
+             ("Bosnia and Herzegovina", "BA"), ("states", "US"), ("Kingdom", "GB"), ("NETH", None), ("Herzegovina", "BA"), ("land", None), ("a|b c", None)]
+
+
 def test_map_country_iso2(spark):
-    vals = ["France", "us", "DEU", None, "", "  gbr ", "United", "states", "Kingdom", "NETH", "x", "Belgium"]
-    assert _one(spark, vals, M.map_country_iso2) == ["FR", "US", "DE", None, None, "GB", "GB", "US", "GB", "NL",
-                                                     None, None]
+    assert _one(spark, [c[0] for c in COUNTRIES], M.map_country_iso2) == [c[1] for c in COUNTRIES]
+
+
+def test_every_code_of_the_country_table(spark):
+    from marketlake.functions import iso3166
+    rows = iso3166.table()
+    assert len(rows) > 240
+    for i in range(3):
+        assert _one(spark, [r[i] for r in rows], M.map_country_iso2) == [r[0] for r in rows]
+
+
+def test_alias_table_gives_the_same(spark):
+    from marketlake.functions.country import alias_rows
+    known = [c for c in COUNTRIES if c[0] not in ("states", "Kingdom", "Herzegovina")]  # a table has no search
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(known)], "i int, x string")
+    aliases = spark.createDataFrame(alias_rows(), "alias_upper string, iso2 string, rank int")
+    got = M.resolve_with_table(df, "x", aliases).orderBy("i").collect()
+    assert [r["country_iso2"] for r in got] == [c[1] for c in known]
+
+
+def test_no_numeric_cap(spark):
+    from pyspark.errors import PySparkException
+    from marketlake.functions.money import cents
+    vals = [1e20, -3e17, 1e13 + 0.005, 2.345, None]
+    assert _one(spark, vals, M.round2, "double") == [1e20, -3e17, 1e13 + 0.01, 2.35, None]
+    assert math.isnan(_one(spark, [float("nan")], M.round2, "double")[0])
+    assert _one(spark, ["€" + "9" * 20], M.normalize_currency) == [1e20]
+    with pytest.raises(PySparkException):
+        _one(spark, [1e20], cents, "double")
+
+
+def test_survey_amounts(spark):
+    vals = ["1000", "1,234", "abc", "", None, "-500", "1e3", "40k", " 50 "]
+    assert _one(spark, vals, M.usd_prefix_amount) == [920.0, 1135.28, None, None, None, 460.0, 920.0, 36800.0, 46.0]
 
 
 def test_timestamp_to_date_coerce_is_zone_independent(spark):
@@ -121,6 +160,6 @@ def test_sql_functions_match_column_functions(spark):
     from marketlake.functions.sql import register_sql_functions
     register_sql_functions(spark)
     r = spark.sql("select normalize_skill_label('Python/C++') a, normalize_currency('GBP60k') b, "
-                  "map_country_iso2(' united') c, timestamp_to_date_coerce('2026-06-01T09:00:00Z') d, "
+                  "map_country_iso2(' united kingdom') c, timestamp_to_date_coerce('2026-06-01T09:00:00Z') d, "
                   "usd_prefix_amount(12345.0) e, fill_unknown_company('') f, round2(2.675) g").first()
     assert tuple(r) == ("python_c", 70200.0, "GB", "2026-06-01", 11357.4, "Unknown", 2.68)

@@ -1,9 +1,8 @@
 """Bronze readers on files written to a scratch folder."""
 
-import io
 import json
-import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.session import scratch_path
@@ -39,15 +38,15 @@ def test_csv_headers_and_na_tokens(spark):
     assert [tuple(r) for r in rows] == [(None, "Paris, France", "€40k"), (None, "Lyon", None)]
 
 
-def test_zip_member(spark):
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("README.txt", "x")
-        z.writestr("data/survey_results_public.csv", "Country,ConvertedCompYearly,LanguageHaveWorkedWith\n"
-                                                     "France,1000,Python;Go\nSpain,,\n")
-    p = _write(spark, "survey.zip", buf.getvalue())
-    df = readers.zip_member_rows(spark, p, "survey_results_public.csv", readers.SURVEY_SCHEMA)
-    assert [tuple(r) for r in df.collect()] == [("France", "1000", "Python;Go"), ("Spain", "", "")]
+def test_csv_columns_are_found_by_header(spark):
+    names = ["Id", "Age", "LanguageHaveWorkedWith", "Remote", "Country", "Years", "ConvertedCompYearly", "Org", "Ed", "Note"]
+    rows = ["1,30,Python;Go,yes,France,3,1000,a,b,c", "2,31,,no,Spain,4,NA,a,b,\"x, y\""]
+    p = _write(spark, "survey.csv", ("\n".join([",".join(names), *rows]) + "\n").encode())
+    df = readers.read_csv(spark, p, readers.SURVEY_SCHEMA)
+    assert df.columns == readers.SURVEY_SCHEMA.names
+    assert [tuple(r) for r in df.collect()] == [("France", "1000", "Python;Go"), ("Spain", None, None)]
+    with pytest.raises(ValueError, match="no column"):
+        readers.read_csv(spark, p, readers.BOARD_SCHEMA)
 
 
 def test_raw_registry_and_counts(spark):
