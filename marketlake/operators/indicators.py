@@ -20,6 +20,25 @@ CUBE_COLUMNS = {"country": "country_iso2", "skill": "skill", "source": "source",
                 "year": "year", "month": "month"}
 
 
+def _mean_parts() -> dict:
+    """Mean of ``avg_salary`` in mergeable parts (see ``avg_cents``), and the row count."""
+    x = F.col("avg_salary")
+    return {"_cents": ("sum", cents(x)), "_values": ("sum", x.isNotNull().cast("bigint")), "_rows": ("sum", F.lit(1).cast("bigint"))}
+
+
+def _whole_cents(fact: DataFrame) -> DataFrame:
+    """``_cv``: the salary in whole cents, between which percentiles interpolate (half a cent is exact)."""
+    return fact.withColumn("_cv", cents("avg_salary").cast("double"))
+
+
+def _euros(c: str) -> Column:
+    return F.floor(F.col(c) + 0.5) / 100
+
+
+def _mean() -> Column:
+    return F.floor(F.col("_cents").cast("double") / F.col("_values") + 0.5) / 100
+
+
 def with_date_parts(fact: DataFrame) -> DataFrame:
     parts = date_parts("date_posted")
     return fact.withColumn("year", parts["year"]).withColumn("month", parts["month"])
@@ -43,12 +62,9 @@ def salary_stats(fact: DataFrame, **filters) -> DataFrame:
     """E5: median, p25, p75, mean of ``avg_salary`` and fact-row count; one row,
     nulls and 0 on empty input."""
     f = filter_common(fact, **filters)
-    r = grouped_percentiles(
-        f, [], "avg_salary", {"_median": 0.5, "_p25": 0.25, "_p75": 0.75},
-        extra_aggs={"avg": avg_cents("avg_salary"), "sample_size": F.count(F.lit(1))},
-        carry=["avg_salary"])
-    return r.select(round2("_median").alias("median"), round2("_p25").alias("p25"),
-                    round2("_p75").alias("p75"), "avg", F.col("sample_size").cast("bigint").alias("sample_size"))
+    r = grouped_percentiles(_whole_cents(f), [], "_cv", {"_median": 0.5, "_p25": 0.25, "_p75": 0.75}, _mean_parts())
+    return r.select(_euros("_median").alias("median"), _euros("_p25").alias("p25"), _euros("_p75").alias("p75"),
+                    _mean().alias("avg"), F.coalesce("_rows", F.lit(0)).cast("bigint").alias("sample_size"))
 
 
 def salary_daily(fact: DataFrame, **filters) -> DataFrame:
@@ -78,12 +94,8 @@ def salary_cube(fact: DataFrame, dimensions: str | None = None, **filters) -> Da
     dims = cube_dimensions(dimensions)
     f = with_date_parts(filter_common(fact, **filters))
     f = f.select(*[F.col(CUBE_COLUMNS[d]).alias(d) for d in dims], "avg_salary", "job_count")
-    r = grouped_percentiles(
-        f, dims, "avg_salary", {"_median": 0.5},
-        extra_aggs={"avg_salary": avg_cents("avg_salary"),
-                    "job_count": F.sum("job_count").cast("bigint")},
-        carry=["avg_salary", "job_count"])
-    return r.select(*dims, "avg_salary", round2("_median").alias("median_salary"), "job_count") \
+    r = grouped_percentiles(_whole_cents(f), dims, "_cv", {"_median": 0.5}, {**_mean_parts(), "_jobs": ("sum", F.col("job_count"))})
+    return r.select(*dims, _mean().alias("avg_salary"), _euros("_median").alias("median_salary"), F.col("_jobs").cast("bigint").alias("job_count")) \
             .orderBy(*dims)
 
 
@@ -100,11 +112,8 @@ def hot_indicators(fact: DataFrame) -> DataFrame:
     """Per country x skill (null keys dropped, as pandas does): median and
     mean of ``avg_salary``, total ``job_count`` as ``volume``."""
     f = fact.where(F.col("country_iso2").isNotNull() & F.col("skill").isNotNull())
-    r = grouped_percentiles(
-        f, ["country_iso2", "skill"], "avg_salary", {"_median": 0.5},
-        extra_aggs={"avg": avg_cents("avg_salary"), "volume": F.sum("job_count").cast("bigint")},
-        carry=["avg_salary", "job_count"])
-    return r.select("country_iso2", "skill", round2("_median").alias("median"), "avg", "volume")
+    r = grouped_percentiles(_whole_cents(f), ["country_iso2", "skill"], "_cv", {"_median": 0.5}, {**_mean_parts(), "_jobs": ("sum", F.col("job_count"))})
+    return r.select("country_iso2", "skill", _euros("_median").alias("median"), _mean().alias("avg"), F.col("_jobs").cast("bigint").alias("volume"))
 
 
 def hot_indicator_items(fact: DataFrame) -> DataFrame:
@@ -133,13 +142,11 @@ def median_by_country_ranked(fact: DataFrame, skill: str) -> DataFrame:
 def latency_summary(df: DataFrame, label: str, value: str) -> DataFrame:
     """Per label, p50/p95/p99 by nearest rank ``k = round(p*(n-1))``,
     mean and max, one decimal; plus n."""
-    r = grouped_percentiles(
-        df, [label], value, {"_p50": 0.5, "_p95": 0.95, "_p99": 0.99}, mode="nearest",
-        extra_aggs={"n": F.count(value).cast("bigint"),
-                    "_sum_c": F.sum(cents(value)), "_max": F.max(value)},
-        carry=[value])
+    v = F.col(value)
+    r = grouped_percentiles(df, [label], value, {"_p50": 0.5, "_p95": 0.95, "_p99": 0.99}, mode="nearest", aggs={
+        "n": ("sum", v.isNotNull().cast("bigint")), "_sum_c": ("sum", cents(v)), "_max": ("max", v)})
     return r.select(
-        label, "n",
+        label, F.col("n").cast("bigint").alias("n"),
         round1("_p50").alias("p50"), round1("_p95").alias("p95"), round1("_p99").alias("p99"),
         (F.floor(F.col("_sum_c").cast("double") / F.col("n") / 10 + 0.5) / 10).alias("mean"),
         round1("_max").alias("max"))

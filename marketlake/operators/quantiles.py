@@ -1,23 +1,16 @@
 """Exact grouped percentiles without sending a group to one task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, so a group holding a third of the rows lands in one task.
-Here the rank of each value is computed by a global range-partitioned sort
-instead:
-
-1. sort by ``(keys, value)``: Spark range-partitions on the *whole* key, so a
-   hot group is spread over many partitions by value;
-2. rank within partition = ``monotonically_increasing_id`` minus the partition
-   base; partition offsets come from per-partition counts (one row per
-   partition: a proven bound, broadcast);
-3. group start and size come from a mergeable ``min``/``count`` aggregation;
-4. only the 1-2 rows each requested percentile needs are fetched back, by an
-   equi-join on the unique global rank.
-
-The sorted data is written once to the shared checkpoint folder
-(``session.materialize``): the partition ids and positions become stored
-values, so every consumer sees the same ranks, retried tasks included, and
-the (expensive) input plan runs once.
+aggregation buffer.  Here equal values are folded first and ranks are counted:
+
+1. ``(keys, value)`` is aggregated to a count and partial sums, combined before
+   the shuffle: however many rows tie, they become one row;
+2. the folded rows are range-partitioned on the whole ``(keys, value)``, so a
+   hot group is spread by value, and written once with their partition number;
+3. counts run within a partition; a group that spans partitions (at most one
+   begins in each: a proven bound, broadcast) adds the counts before it;
+4. a folded row knows the ranks it covers, so the rows that hold a wanted rank
+   are picked in the same aggregation that merges the partial sums.
 """
 
 from __future__ import annotations
@@ -27,80 +20,61 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-_PART_SHIFT = 1 << 33  # monotonically_increasing_id = partition << 33 | row
-
-
-def _ranked(df: DataFrame, keys: list[str], value: str, carry: list[str]) -> DataFrame:
-    base = df.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("_v"),
-                     *[F.col(c) for c in carry if c not in keys])
-    s = base.orderBy(*[F.col(k).asc_nulls_first() for k in keys], F.col("_v").asc_nulls_first())
-    s = s.withColumn("_pid", F.spark_partition_id()) \
-         .withColumn("_pos", F.monotonically_increasing_id() - F.col("_pid").cast("long") * _PART_SHIFT)
-    # Materialised once: partition ids and positions are then stored values,
-    # so every consumer below sees the same ranks (and the input is computed once).
-    s = materialize(s, "ranked")
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pn"))
-    offs = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_pn").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    return s.join(F.broadcast(offs), "_pid").withColumn("_g", F.col("_off") + F.col("_pos"))
-
-
-def _targets(stats: DataFrame, keys: list[str], probs: list[float], mode: str) -> DataFrame:
-    """Rows ``(keys, _i, _side, _g, _frac)``: global ranks each percentile needs."""
-    n1 = (F.col("_n") - 1).cast("double")
-    specs = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * n1
-        if mode == "cont":
-            lo, hi = F.floor(pos), F.ceil(pos)
-            frac = pos - F.floor(pos)
-        else:  # nearest rank, k = round_half_up(p * (n - 1)) clamped to [0, n-1]
-            k = F.least(F.greatest(F.floor(pos + 0.5), F.lit(0)), F.col("_n") - 1)
-            lo, hi, frac = k, k, F.lit(0.0)
-        for side, r in (("lo", lo), ("hi", hi)):
-            specs.append(F.struct(F.lit(i).alias("_i"), F.lit(side).alias("_side"),
-                                  (F.col("_g0") + r.cast("long")).alias("_g"), frac.alias("_frac")))
-    return stats.select(*keys, F.explode(F.array(*specs)).alias("_t")).select(*keys, "_t.*")
+_MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
+def _ranks(p: float, n: Column, mode: str) -> tuple[Column, Column, Column]:
+    """0-based ranks below and above the p-quantile of n values, and the way between them."""
+    pos = F.lit(float(p)) * (n - 1).cast("double")
+    if mode == "cont":
+        return F.floor(pos), F.ceil(pos), pos - F.floor(pos)
+    # nearest rank, k = round_half_up(p * (n - 1)) clamped to [0, n-1]
+    k = F.least(F.greatest(F.floor(pos + 0.5), F.lit(0)), n - 1)
+    return k, k, F.lit(0.0)
+
+
+def folded_ranks(df: DataFrame, keys: list[str], value: str, aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+    """One row per ``(keys, value)``: ``_c`` rows, partial ``aggs``, ``_before`` (rows of
+    the group with smaller values) and ``_n`` (rows of the group with a value)."""
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"), *[c.alias(f"_in_{name}") for name, (_, c) in aggs.items()])
+    folded = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), *[_MERGE[how](f"_in_{name}").alias(name) for name, (how, _) in aggs.items()])
+    placed = materialize(folded.orderBy(*[F.col(k).asc_nulls_first() for k in keys], F.col("_v").asc_nulls_first())
+                               .withColumn("_pid", F.spark_partition_id()), "folded")
+    ranked = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)
+    part = Window.partitionBy("_pid", *keys)
+    local = placed.withColumn("_run", F.sum(ranked).over(part.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))) \
+                  .withColumn("_own", F.sum(ranked).over(part))
+    # groups that span partitions: what lies before a partition, and the whole
+    over = Window.partitionBy(*keys)
+    parts = placed.groupBy("_pid", *keys).agg(F.sum(ranked).alias("_pc"))
+    spans = parts.select("_pid", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                         F.sum("_pc").over(over.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
+                         F.sum("_pc").over(over).alias("_all"), F.count(F.lit(1)).over(over).alias("_parts")) \
+                 .filter("_parts > 1").withColumnRenamed("_pid", "_kp")
+    same = (F.col("_pid") == F.col("_kp"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = local.join(F.broadcast(spans), same, "left")
+    return joined.select(*keys, "_v", "_c", *aggs, (F.coalesce("_run", F.lit(0)) + F.coalesce("_earlier", F.lit(0))).alias("_before"),
+                         F.coalesce("_all", "_own").alias("_n"))
 
 
 def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                        extra_aggs: dict[str, Column] | None = None, mode: str = "cont",
-                        carry: list[str] | None = None) -> DataFrame:
-    """Per group of ``keys``: exact percentiles of ``value`` plus ``extra_aggs``.
+                        aggs: dict[str, tuple[str, Column]] | None = None, mode: str = "cont") -> DataFrame:
+    """Per group of ``keys``: exact percentiles of ``value`` plus ``aggs``.
 
     ``mode='cont'`` interpolates linearly (``percentile_cont``); ``'nearest'``
     picks rank ``round(p*(n-1))`` (half-up).  Null values are ignored; a group
     whose values are all null still appears, with null percentiles.  With no
-    keys, one global row is returned even for empty input.  ``extra_aggs``
-    (e.g. avg, sum) are computed in the same aggregation that measures the
-    groups, from columns listed in ``carry``.
+    keys, one row is returned even for empty input.  ``aggs``: name -> ('sum',
+    'max' or 'min', column of ``df``), mergeable so that they fold along.
     """
-    extra_aggs = extra_aggs or {}
-    carry = carry or []
-    names = list(probs)
-    ranked = _ranked(df, keys, value, carry)
-    stats = ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("_v").isNotNull(), F.col("_g"))).alias("_g0"),
-        F.count("_v").alias("_n"),
-        *[e.alias(k) for k, e in extra_aggs.items()])
-    targets = _targets(stats.where(F.col("_n") > 0), keys, [probs[n] for n in names], mode)
-    vals = targets.join(ranked.select("_g", "_v"), "_g")
-
-    def side(i, s_):
-        return F.max(F.when((F.col("_i") == i) & (F.col("_side") == s_), F.col("_v")))
-
-    picked = vals.groupBy(*keys).agg(*[
-        (side(i, "lo") + (side(i, "hi") - side(i, "lo")) * F.max(F.when(F.col("_i") == i, F.col("_frac"))))
-        .alias(name) for i, name in enumerate(names)])
-    if keys:
-        # Fresh names on one side: both sides descend from the same plan.
-        pk = picked.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *names)
-        cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        out = stats.join(pk, cond, "left")
-        return out.select(*keys, *extra_aggs, *names)
-    # Global: both sides are exactly one row; join them on a constant key.
-    one = F.lit(1).alias("_one")
-    out = stats.select(one, *extra_aggs).join(picked.select(one, *names), "_one")
-    return out.select(*extra_aggs, *names)
+    aggs = aggs or {}
+    ranked = folded_ranks(df, keys, value, aggs)
+    held = lambda rank: F.max(F.when((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")) & F.col("_v").isNotNull(), F.col("_v")))
+    picks = []
+    for name, p in probs.items():
+        low, high, way = _ranks(p, F.col("_n"), mode)
+        picks += [held(low).alias(f"_lo_{name}"), held(high).alias(f"_hi_{name}"), F.max(way).alias(f"_way_{name}")]
+    got = ranked.groupBy(*keys).agg(*[_MERGE[how](name).alias(name) for name, (how, _) in aggs.items()], *picks)
+    return got.select(*keys, *aggs, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_way_{n}")).alias(n) for n in probs])

@@ -41,8 +41,8 @@ def q_build_fact(spark, sf):
 # ----------------------------------------------------------- E5 stats
 
 def _stats_sql(where: str = "") -> str:
-    return o.fact_sql(f"""SELECT {o.r2(o.pct('avg_salary', 0.5))} AS median, {o.r2(o.pct('avg_salary', 0.25))} AS p25,
-  {o.r2(o.pct('avg_salary', 0.75))} AS p75, {o.avgc('avg_salary')} AS avg,
+    return o.fact_sql(f"""SELECT {o.pct2('avg_salary', 0.5)} AS median, {o.pct2('avg_salary', 0.25)} AS p25,
+  {o.pct2('avg_salary', 0.75)} AS p75, {o.avgc('avg_salary')} AS avg,
   CAST(count(*) AS BIGINT) AS sample_size FROM fact {where}""")
 
 
@@ -87,7 +87,7 @@ def _cube_sql(dims: list[str], where: str = "") -> str:
     sel = ", ".join(f"{_DIMCOL[x]} AS {x}" for x in dims)
     grp = ", ".join(_DIMCOL[x] for x in dims)
     return o.fact_sql(f"""SELECT {sel}, {o.avgc('avg_salary')} AS avg_salary,
-  {o.r2(o.pct('avg_salary', 0.5))} AS median_salary, CAST(sum(job_count) AS BIGINT) AS job_count
+  {o.pct2('avg_salary', 0.5)} AS median_salary, CAST(sum(job_count) AS BIGINT) AS job_count
   FROM factx {where} GROUP BY {grp} ORDER BY {grp}""", extended=True)
 
 
@@ -118,7 +118,7 @@ def q_cube_repeats(spark, sf):
 
 # ----------------------------------------------------------- E8 hot indicators
 
-_HOT_SQL = f"""SELECT country_iso2, skill, {o.r2(o.pct('avg_salary', 0.5))} AS median,
+_HOT_SQL = f"""SELECT country_iso2, skill, {o.pct2('avg_salary', 0.5)} AS median,
   {o.avgc('avg_salary')} AS avg, CAST(sum(job_count) AS BIGINT) AS volume
   FROM fact WHERE country_iso2 IS NOT NULL AND skill IS NOT NULL GROUP BY country_iso2, skill"""
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import avg_cents, indicator_pk, indicator_sk, split_skill_list, to_decimal_12_2
+from ..functions import avg_cents, cents, indicator_pk, indicator_sk, split_skill_list, to_decimal_12_2
 from ..operators import cleaners, gold, lake, quality, warehouse as wh
 from ..operators import indicators as ind
 from ..operators.quantiles import grouped_percentiles
@@ -85,7 +85,7 @@ def q_fresh_since_watermark(spark, sf):
 
 
 _HOT_ITEMS_SQL = f"""SELECT 'country#' || country_iso2 AS pk, 'skill#' || skill AS sk,
-  {o.r2(o.pct('avg_salary', 0.5))} AS median_salary_eur, {o.avgc('avg_salary')} AS avg_salary_eur,
+  {o.pct2('avg_salary', 0.5)} AS median_salary_eur, {o.avgc('avg_salary')} AS avg_salary_eur,
   CAST(sum(job_count) AS BIGINT) AS volume FROM fact
   WHERE country_iso2 IS NOT NULL AND skill IS NOT NULL GROUP BY country_iso2, skill"""
 
@@ -143,7 +143,7 @@ def q_star_fact(spark, sf):
 
 
 @query("star_cube_cs", o.fact_sql(f"""SELECT country_iso2 AS country, skill, {o.avgc('avg_salary')} AS avg_salary,
-  {o.r2(o.pct('avg_salary', 0.5))} AS median_salary, CAST(sum(job_count) AS BIGINT) AS job_count
+  {o.pct2('avg_salary', 0.5)} AS median_salary, CAST(sum(job_count) AS BIGINT) AS job_count
   FROM fact GROUP BY country_iso2, skill"""))
 def q_star_cube_cs(spark, sf):
     """D3: the country x skill cube answered through the star joins."""
@@ -233,14 +233,13 @@ _PROBS = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
 
 
 @query("percentile_cont", o.fact_sql("SELECT source, " + ", ".join(
-    f"{o.r2(o.pct('avg_salary', p))} AS {k}" for k, p in _PROBS.items())
+    f"{o.pct2('avg_salary', p)} AS {k}" for k, p in _PROBS.items())
     + ", CAST(count(*) AS BIGINT) AS n FROM fact GROUP BY source"))
 def q_percentile_cont(spark, sf):
     """Ordered-set percentiles (linear interpolation) per source."""
-    r = grouped_percentiles(md.fact(spark, sf), ["source"], "avg_salary", {f"_{k}": p for k, p in _PROBS.items()},
-                            extra_aggs={"n": F.count(F.lit(1)).cast("bigint")}, carry=["avg_salary"])
-    from ..functions import round2
-    return r.select("source", *[round2(f"_{k}").alias(k) for k in _PROBS], "n")
+    f = md.fact(spark, sf).select("source", cents("avg_salary").cast("double").alias("_cv"))
+    r = grouped_percentiles(f, ["source"], "_cv", {f"_{k}": p for k, p in _PROBS.items()}, {"n": ("sum", F.lit(1).cast("bigint"))})
+    return r.select("source", *[(F.floor(F.col(f"_{k}") + 0.5) / 100).alias(k) for k in _PROBS], F.col("n").cast("bigint").alias("n"))
 
 
 @query("distinct_keys", SALARY_SQL + """SELECT DISTINCT 'date' AS kind, date_posted AS value FROM salary
@@ -256,7 +255,7 @@ def q_distinct_keys(spark, sf):
 
 
 @query("median_by_country_ranked", o.fact_sql(f"""SELECT country_iso2 AS country, {o.avgc('avg_salary')} AS avg_salary,
-  {o.r2(o.pct('avg_salary', 0.5))} AS median_salary, CAST(sum(job_count) AS BIGINT) AS job_count
+  {o.pct2('avg_salary', 0.5)} AS median_salary, CAST(sum(job_count) AS BIGINT) AS job_count
   FROM fact WHERE skill = 'python' GROUP BY country_iso2"""))
 def q_median_by_country_ranked(spark, sf):
     """One skill's cube on country, by median descending."""
@@ -286,7 +285,7 @@ def q_split_explode_skills(spark, sf):
 
 
 @query("paginate", o.fact_sql(f"""SELECT * FROM (SELECT country_iso2 AS country, skill, source, year,
-  {o.avgc('avg_salary')} AS avg_salary, {o.r2(o.pct('avg_salary', 0.5))} AS median_salary,
+  {o.avgc('avg_salary')} AS avg_salary, {o.pct2('avg_salary', 0.5)} AS median_salary,
   CAST(sum(job_count) AS BIGINT) AS job_count, CAST(count(*) OVER () AS BIGINT) AS total_count
   FROM factx GROUP BY country_iso2, skill, source, year) ORDER BY country, skill, source, year
   LIMIT 20 OFFSET 10""", extended=True))

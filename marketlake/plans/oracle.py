@@ -109,8 +109,9 @@ def fact_sql(body: str, extended: bool = False) -> str:
     return with_ctes(*ctes) + body
 
 
-def pct(x: str, p: float) -> str:
-    return f"quantile_cont(CAST({x} AS DOUBLE), {p})"
+def pct2(x: str, p: float) -> str:
+    """Percentile to cents, interpolated between whole cents: half a cent is exact then."""
+    return f"(floor(quantile_cont(CAST(floor({x}*100+0.5) AS DOUBLE), {p})+0.5)/100)"
 
 
 REG = f"""reg AS (SELECT s_name AS company_name,

@@ -23,7 +23,7 @@ def _data(spark):
 def test_grouped_percentiles_match_numpy(spark):
     df = _data(spark)
     r = grouped_percentiles(df, ["g"], "v", {"p25": 0.25, "p50": 0.5, "p90": 0.9},
-                            extra_aggs={"n": F.count("v")}, carry=["v"]).collect()
+                            aggs={"n": ("sum", F.col("v").isNotNull().cast("bigint"))}).collect()
     pdf = df.toPandas()
     for row in r:
         vals = pdf[pdf.g == row["g"]].v.dropna().to_numpy()
@@ -38,7 +38,7 @@ def test_grouped_percentiles_match_numpy(spark):
 def test_nearest_rank_and_global(spark):
     df = _data(spark)
     r = grouped_percentiles(df, [], "v", {"p95": 0.95}, mode="nearest",
-                            extra_aggs={"n": F.count("v")}, carry=["v"]).first()
+                            aggs={"n": ("sum", F.col("v").isNotNull().cast("bigint"))}).first()
     vals = np.sort(df.toPandas().v.dropna().to_numpy())
     k = min(max(int(np.floor(0.95 * (len(vals) - 1) + 0.5)), 0), len(vals) - 1)
     assert r["p95"] == vals[k] and r["n"] == len(vals)
@@ -46,8 +46,33 @@ def test_nearest_rank_and_global(spark):
 
 def test_empty_global(spark):
     df = spark.createDataFrame([], "v double")
-    r = grouped_percentiles(df, [], "v", {"p50": 0.5}, extra_aggs={"n": F.count("v")}, carry=["v"]).collect()
-    assert len(r) == 1 and r[0]["p50"] is None and r[0]["n"] == 0
+    r = grouped_percentiles(df, [], "v", {"p50": 0.5}, aggs={"n": ("sum", F.col("v").isNotNull().cast("bigint"))}).collect()
+    assert len(r) == 1 and r[0]["p50"] is None and r[0]["n"] is None
+
+
+def test_ties_do_not_grow_a_task(spark):
+    """70 % of 200,000 values are one value: a task reads rows of the folded table, evenly dealt."""
+    tied = spark.range(200_000).select(F.lit("g").alias("g"), F.when(F.col("id") % 10 < 7, 5.0).otherwise(F.col("id").cast("double")).alias("v"))
+    seen = {}
+
+    def spy(df, name):
+        seen["df"] = kept = materialize(df, name)
+        return kept
+
+    import marketlake.operators.quantiles as q
+    from marketlake.session import materialize
+    old, q.materialize = q.materialize, spy
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        row = grouped_percentiles(tied, ["g"], "v", {"p50": 0.5, "p90": 0.9}, {"n": ("sum", F.lit(1))}).first()
+    finally:
+        q.materialize = old
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    vals = np.sort([5.0 if i % 10 < 7 else float(i) for i in range(200_000)])
+    assert row["n"] == 200_000 and row["p50"] == np.percentile(vals, 50) and row["p90"] == pytest.approx(np.percentile(vals, 90))
+    sizes = [r["count"] for r in seen["df"].groupBy("_pid").count().collect()]
+    assert len(sizes) > 1 and sum(sizes) == 60_001 and max(sizes) <= 2 * sum(sizes) / len(sizes)
 
 
 def test_global_index_dense(spark):
