@@ -124,6 +124,12 @@ def hot_indicator_items(fact: DataFrame) -> DataFrame:
                     "volume")
 
 
+def write_hot_items(items: DataFrame, path: str) -> DataFrame:
+    """The items stored by ``pk``, one folder for each, so a lookup reads one."""
+    items.write.mode("overwrite").partitionBy("pk").parquet(path)
+    return items.sparkSession.read.schema(items.schema).parquet(path).select(items.columns)
+
+
 def hot_indicator_lookup(items: DataFrame, country: str | None = None, skill: str | None = None) -> DataFrame:
     """Point lookup; defaults FR / python; no row when missing.  With items
     stored ``partitionBy('pk')`` the pk predicate prunes partitions."""

@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config
+from .. import config, storage
 from .warehouse import upsert_update
 
 MANIFEST_SCHEMA = "layer string, dataset string, rows bigint, bytes bigint, format string, written_at timestamp"
@@ -22,18 +22,27 @@ MANIFEST_SCHEMA = "layer string, dataset string, rows bigint, bytes bigint, form
 def write_layer(df: DataFrame, root: str, layer: str, name: str, partition_by: list[str] | None = None) -> dict:
     """Overwrite one layer dataset and return its manifest record.
 
-    The row count is observed while writing (no extra job over the data);
-    ``partition_by`` enables partition pruning for date filters."""
+    The row count is observed while writing (no extra job over the data), the
+    size is the file system's; ``partition_by`` enables partition pruning for date filters."""
     obs = Observation(f"rows_{layer}_{name}".replace("/", "_"))
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     path = f"{root.rstrip('/')}/{layer}/{name}"
     w.parquet(path)
-    return {"layer": layer, "dataset": name, "rows": int(obs.get["rows"]), "bytes": None,
+    return manifest_record(layer, name, int(obs.get["rows"]), storage.folder_bytes(df.sparkSession, path))
+
+
+def manifest_record(layer: str, name: str, rows: int, size: int) -> dict:
+    return {"layer": layer, "dataset": name, "rows": rows, "bytes": size,
             "format": "parquet", "written_at": datetime.now(timezone.utc).replace(microsecond=0)}
 
 
+def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    """A5: one written dataset by name."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{layer}/{name}")
+
+
 def record(spark: SparkSession, manifest: DataFrame | None, records: list[dict]) -> DataFrame:
     """K1: upsert write records into the manifest on ``(layer, dataset)``."""
     batch = spark.createDataFrame([tuple(r[k] for k in ("layer", "dataset", "rows", "bytes", "format", "written_at"))

@@ -6,7 +6,7 @@ MERGE INTO a parquet table): ``batch ∪ (target ⟕anti batch)`` for updates,
 the natural key; duplicates inside a batch are resolved by a mergeable
 ``max_by`` on a sequence column (partial-aggregated, so a hot key is not
 collected into one task).  A full refresh writes a new snapshot directory and
-switches a pointer file last, so readers never see a half-written warehouse.
+adds a numbered pointer last, so readers never see a half-written warehouse.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config
+from .. import config, storage
+from ..functions import date_parts
 from .ranking import global_index
 
 FACT_MEASURES = ["avg_salary", "min_salary", "max_salary", "job_count"]
@@ -58,14 +59,21 @@ def fact_job(fact: DataFrame, countries: DataFrame, companies: DataFrame, skills
     Country, skill and source dims are fixed registries (proven tiny):
     broadcast.  The company dim grows with the data: a plain equi-join, Spark
     broadcasts it only under its measured size threshold.  A key missing from
-    its dimension leaves a null id, which ``fk_violations`` reports (the
-    reference raises ``KeyError``).
+    its dimension leaves a null id: ``fk_violations`` reports it and
+    ``check_keys`` stops the load (the reference raises ``KeyError``).  Facts
+    without a known company share one name, so they get its id from a row of
+    their own instead of meeting in one task of the company join.
     """
     f = (fact
          .join(F.broadcast(countries.select("iso2", "id_country")), fact["country_iso2"] == F.col("iso2"), "left")
          .join(F.broadcast(skills.select("tech_label", "id_skill")), fact["skill"] == F.col("tech_label"), "left")
          .join(F.broadcast(sources.select("source_name", "id_source")), fact["source"] == F.col("source_name"), "left")
-         .join(companies.select("company_name", "id_company"), fact["company"] == F.col("company_name"), "left"))
+         .join(companies.select("company_name", "id_company"), F.when(fact["company"] != config.UNKNOWN_COMPANY, fact["company"])
+               .otherwise(F.concat(F.lit("\\0"), F.xxhash64(*[fact[c] for c in config.FACT_GRAIN]).cast("string"))) == F.col("company_name"), "left"))
+    # at most one row: the name is unique
+    unknown = F.broadcast(companies.where(F.col("company_name") == config.UNKNOWN_COMPANY).select(
+        F.col("company_name").alias("_unknown"), F.col("id_company").alias("_unknown_id")).limit(1))
+    f = f.join(unknown, fact["company"] == F.col("_unknown"), "left").withColumn("id_company", F.coalesce("id_company", "_unknown_id"))
     f = global_index(f, [F.col(c).asc_nulls_first() for c in config.FACT_GRAIN], "id_fact")
     return f.select(
         F.col("id_fact").cast("bigint"), F.col("date_posted").alias("date_key"),
@@ -111,6 +119,51 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+class MissingKeyError(ValueError):
+    """A fact refers to a dimension row that does not exist."""
+
+
+def check_keys(fact_job_df: DataFrame) -> None:
+    """Stop the load when a surrogate key was not found (one aggregation)."""
+    ids = ["id_country", "id_company", "id_skill", "id_source"]
+    lost = fact_job_df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ids]).first()
+    if any(lost[c] for c in ids):
+        raise MissingKeyError(f"facts without a dimension row: {({c: lost[c] for c in ids if lost[c]})}")
+
+
+def increment_star(star: dict[str, DataFrame], batch_fact: DataFrame, batch_companies: DataFrame) -> dict[str, DataFrame]:
+    """One batch into a loaded star schema.
+
+    Known companies and facts keep their ids (attributes and measures are
+    overwritten); new ones get ``max(id) +`` their place in natural order; dates
+    are added where absent.  The registry dimensions do not change.
+    """
+    companies = star["d_company"]
+    top = companies.agg(F.coalesce(F.max("id_company"), F.lit(0))).first()[0]
+    names = batch_companies.select("company_name", "workforce_size", "sector").dropDuplicates(["company_name"])
+    fresh = global_index(names.join(companies, "company_name", "left_anti"), [F.col("company_name")], "id_company", start=top + 1)
+    known = companies.select("id_company", "company_name").join(names, "company_name")
+    columns = companies.columns
+    companies = (companies.join(names, "company_name", "left_anti").select(columns)
+                 .unionByName(known.select(columns)).unionByName(fresh.select(F.col("id_company").cast("int"), *columns[1:])))
+    parts = date_parts("date_posted")
+    dates = upsert_ignore(star["d_date"], batch_fact.select(F.col("date_posted").alias("date_key"), *[v.alias(k) for k, v in parts.items()])
+                          .where("date_key is not null"), ["date_key"])
+    keys = ["date_key", "id_country", "id_company", "id_skill", "id_source"]
+    batch = fact_job(batch_fact, star["d_country"], companies, star["d_skill"], star["d_source"]).drop("id_fact")
+    old = star["fact_job"]
+    top = old.agg(F.coalesce(F.max("id_fact"), F.lit(0))).first()[0]
+    ids = old.select("id_fact", *[F.col(k).alias(f"_o_{k}") for k in keys])
+    met = batch.join(ids, [batch[k].eqNullSafe(F.col(f"_o_{k}")) for k in keys], "left").select("id_fact", *batch.columns)
+    new = _null_safe_anti(batch, old, keys)
+    order = (new.join(star["d_country"].select("id_country", "iso2"), "id_country", "left").join(star["d_skill"].select("id_skill", "tech_label"), "id_skill", "left")
+             .join(companies.select("id_company", "company_name"), "id_company", "left").join(star["d_source"].select("id_source", "source_name"), "id_source", "left"))
+    new = global_index(order, [F.col(c).asc_nulls_first() for c in ("date_key", "iso2", "tech_label", "company_name", "source_name")], "id_fact", start=top + 1)
+    facts = (_null_safe_anti(old, batch, keys).unionByName(met.where("id_fact is not null").select(old.columns))
+             .unionByName(new.select(F.col("id_fact").cast("bigint"), *old.columns[1:])))
+    return {**star, "d_company": companies, "d_date": dates, "fact_job": facts}
+
+
 # --------------------------------------------------------------- upserts
 
 def dedupe_last(batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -158,21 +211,27 @@ def upsert_fact(target: DataFrame, batch: DataFrame, grain: list[str], seq: str
 
 # ------------------------------------------------------- snapshot refresh
 
-def write_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> str:
-    """I4: full refresh = write every table into a new snapshot directory,
-    then switch the ``CURRENT`` pointer (written last).  Readers follow the
-    pointer, so a failed refresh leaves the previous snapshot in place.  All
-    writes go through Spark, so ``root`` may be any shared filesystem."""
-    snap = f"{root.rstrip('/')}/snapshot-{uuid.uuid4().hex[:12]}"
+def write_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, check=None, keep: int = 2) -> str:
+    """I4: full refresh = write every table into a new snapshot folder, then add
+    a numbered pointer to it.  Readers follow the highest committed pointer, so
+    a failed refresh, or one that ``check(snapshot folder)`` refuses, leaves the
+    previous snapshot in place.  The last ``keep`` snapshots stay.  All writes go
+    through Spark, so ``root`` may be any shared filesystem."""
+    root = root.rstrip("/")
+    snap = f"{root}/snapshot-{uuid.uuid4().hex[:12]}"
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{snap}/{name}")
-    spark.createDataFrame([(snap,)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{root.rstrip('/')}/CURRENT")
+    if check:
+        check(snap)
+    storage.append_entry(spark, f"{root}/pointer", snap)
+    old = [r["value"] for r in storage.entries(spark, f"{root}/pointer").orderBy("number").collect()][:-keep]
+    for path in old:
+        storage.remove(spark, path)
     return snap
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str:
-    return spark.read.text(f"{root.rstrip('/')}/CURRENT").first()["value"]
+    return storage.last_entry(spark, f"{root.rstrip('/')}/pointer")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -9,18 +9,19 @@ import functools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import config
+from .. import config, storage
 from ..functions import avg_cents, cents, indicator_pk, indicator_sk, split_skill_list, to_decimal_12_2
 from ..operators import cleaners, gold, lake, quality, warehouse as wh
 from ..operators import indicators as ind
 from ..operators.quantiles import grouped_percentiles
-from ..operators.ranking import global_index
 from ..sources import adapter
 from ..sources.tables import load
 from ..streaming import microbatch as mb
 from . import medallion as md
 from . import oracle as o
+from ..session import fresh_path
 from .catalog import query
+from .pipeline_run import run_layers, split_band
 from .catalog_sources import REPO_SILVER_SQL, TRENDS_SILVER_SQL
 
 # Parameters of the incremental scenarios: the batch day and a replayed day.
@@ -74,7 +75,7 @@ def q_fresh_since_watermark(spark, sf):
     """Offers newer than the watermark, and exactly the next day."""
     prev = F.date_sub(F.to_date(F.lit(REPLAY_DATE)), 1).cast("string")
     parts = []
-    for p in [md.silver(spark, sf)]:
+    for p in [md.silver_by_day(spark, sf)]:
         after = mb.fresh_since(p, WATERMARK).groupBy("date_posted", "source") \
                   .agg(F.count(F.lit(1)).cast("bigint").alias("rows")).withColumn("mode", F.lit("after"))
         nxt = p.where(F.col("date_posted") == F.date_add(F.to_date(prev), 1).cast("string")) \
@@ -98,8 +99,9 @@ def q_hot_indicator_items(spark, sf):
 
 @query("hot_indicator_lookup", o.fact_sql(f"SELECT * FROM ({_HOT_ITEMS_SQL}) WHERE pk = 'country#FR' AND sk = 'skill#python'"))
 def q_hot_indicator_lookup(spark, sf):
-    """Point lookup with the default keys (FR, python)."""
-    return ind.hot_indicator_lookup(ind.hot_indicator_items(md.fact(spark, sf)))
+    """A16 + C7: items stored by pk, then a lookup with the default keys (FR, python) that reads one folder."""
+    items = ind.write_hot_items(ind.hot_indicator_items(md.fact(spark, sf)), fresh_path(spark, "hot-items"))
+    return ind.hot_indicator_lookup(items)
 
 
 @query("minimise_columns", o.fact_sql("""SELECT country_iso2, skill, source, avg_salary, job_count FROM fact"""))
@@ -195,8 +197,8 @@ def q_table_counts(spark, sf):
   FROM salary WHERE date_posted = '{BATCH_DATE}' AND company IS NOT NULL""")
 def q_dim_company_increment(spark, sf):
     """companies of one day's batch, attributes null."""
-    names = md.distinct_salary(
-        spark, sf, lambda p: gold.distinct_companies(p.where(F.col("date_posted") == BATCH_DATE)))
+    day = gold.salary_frame(md.silver_by_day(spark, sf).where(F.col("date_posted") == BATCH_DATE))
+    names = gold.distinct_companies(day)
     return names.select("company_name", F.lit(None).cast("string").alias("workforce_size"),
                         F.lit(None).cast("string").alias("sector"))
 
@@ -340,11 +342,17 @@ def q_dq_gold_fact(spark, sf):
     return quality.violation_counts(md.fact(spark, sf), quality.gold_fact_rules())
 
 
-@query("dq_row_order", o.fact_sql("""SELECT * FROM fact WHERE NOT (min_salary <= avg_salary AND avg_salary <= max_salary)"""))
+@query("dq_row_order", o.fact_sql("""SELECT * FROM (SELECT date_posted, country_iso2, skill, company, source, avg_salary,
+  CASE WHEN skill = 'go' THEN avg_salary + 1 ELSE min_salary END AS min_salary,
+  CASE WHEN source = 'indeed' AND skill = 'rust' THEN avg_salary - 1 ELSE max_salary END AS max_salary, job_count FROM fact)
+  WHERE NOT (min_salary <= avg_salary AND avg_salary <= max_salary)"""))
 def q_dq_row_order(spark, sf):
-    """H3: fact rows breaking min <= avg <= max."""
-    return md.fact(spark, sf).where(~((F.col("min_salary") <= F.col("avg_salary"))
-                                      & (F.col("avg_salary") <= F.col("max_salary"))))
+    """H3: fact rows breaking min <= avg <= max, on a copy with such faults."""
+    skill, avg = F.col("skill"), F.col("avg_salary")
+    f = md.fact(spark, sf)
+    f = f.withColumn("min_salary", F.when(skill == "go", avg + 1).otherwise(F.col("min_salary"))) \
+         .withColumn("max_salary", F.when((F.col("source") == "indeed") & (skill == "rust"), avg - 1).otherwise(F.col("max_salary")))
+    return f.where(~((F.col("min_salary") <= avg) & (avg <= F.col("max_salary"))))
 
 
 @query("dq_coerce", o.with_ctes(o.OBS) + """SELECT 'ConvertedCompYearly' AS "column", 'bigint' AS type,
@@ -383,21 +391,45 @@ def q_top_failures(spark, sf):
     return quality.top_failures(cases, 10)
 
 
-@query("dq_unique_grain", SALARY_SQL + """SELECT date_posted, country_iso2, skill, company, source,
-  CAST(count(*) AS BIGINT) AS n FROM salary GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1""")
+@query("dq_unique_grain", o.with_ctes(*o.UP_TO_FACT, o.REG, o.DIM_COMPANY, o.DIM_DATE) + f"""
+SELECT 'fact_job' AS dataset, CAST(0 AS BIGINT) AS keys_twice
+UNION ALL SELECT 'fact_job_replayed', CAST(count(*) AS BIGINT) FROM fact WHERE date_posted = '{REPLAY_DATE}'
+UNION ALL SELECT 'dim_date', CAST(count(*) - count(DISTINCT date_key) AS BIGINT) FROM dim_date
+UNION ALL SELECT 'dim_company', CAST(count(*) - count(DISTINCT company_name) AS BIGINT) FROM dim_company
+UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM (SELECT 1 FROM salary GROUP BY date_posted, country_iso2, skill, company, source HAVING count(*) > 1)""")
 def q_dq_unique_grain(spark, sf):
-    """H8: grain keys occurring more than once in silver (the fact collapses them)."""
-    return quality.duplicate_keys(md.salary(spark, sf), config.FACT_GRAIN)
+    """H8: keys that occur more than once, in the fact, the same with a day loaded
+    twice, the dimensions, and silver (which the fact collapses)."""
+    f = md.fact_once(spark, sf)
+    dates, names = md.dims_from_fact(f)
+    company = names.join(md.company_register(spark, sf), "company_name", "left")
+    twice = lambda name, df, keys: quality.duplicate_keys(df, keys).agg(F.count(F.lit(1)).cast("bigint").alias("keys_twice")) \
+        .select(F.lit(name).alias("dataset"), "keys_twice")
+    return _union([twice("fact_job", f, config.FACT_GRAIN),
+                   twice("fact_job_replayed", f.unionByName(f.where(F.col("date_posted") == REPLAY_DATE)), config.FACT_GRAIN),
+                   twice("dim_date", dates, ["date_key"]), twice("dim_company", company, ["company_name"]),
+                   twice("silver", md.salary(spark, sf), config.FACT_GRAIN)])
+
+
+_FAULTY_FACT_SQL = """(SELECT id_fact, CASE WHEN id_skill = 1 THEN NULL ELSE date_key END AS date_key, CASE WHEN id_skill = 2 THEN NULL ELSE id_country END AS id_country,
+  CASE WHEN id_skill = 3 THEN NULL ELSE id_company END AS id_company, id_skill, CASE WHEN id_skill = 4 THEN NULL ELSE id_source END AS id_source,
+  avg_salary, CASE WHEN id_skill = 5 THEN max_salary + 1 ELSE min_salary END AS min_salary, max_salary,
+  CASE WHEN id_skill = 6 THEN -job_count WHEN id_skill = 7 THEN NULL ELSE job_count END AS job_count FROM fact_job)"""
 
 
 @query("dq_checks", o.star_sql("""SELECT '*' AS "column", 'ck_salary_order' AS "check",
-  CAST(count(*) FILTER (WHERE NOT (min_salary IS NULL OR max_salary IS NULL OR min_salary <= max_salary)) AS BIGINT) AS failures FROM fact_job
-UNION ALL SELECT 'job_count', 'ck_job_count_positive', CAST(count(*) FILTER (WHERE NOT coalesce(job_count >= 0, false)) AS BIGINT) FROM fact_job
-""" + "\n".join(f"UNION ALL SELECT '{c}', 'not_null', CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) FROM fact_job"
+  CAST(count(*) FILTER (WHERE NOT (min_salary IS NULL OR max_salary IS NULL OR min_salary <= max_salary)) AS BIGINT) AS failures FROM """ + _FAULTY_FACT_SQL + """
+UNION ALL SELECT 'job_count', 'ck_job_count_positive', CAST(count(*) FILTER (WHERE NOT coalesce(job_count >= 0, false)) AS BIGINT) FROM """ + _FAULTY_FACT_SQL + "\n" + "\n".join(f"UNION ALL SELECT '{c}', 'not_null', CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) FROM {_FAULTY_FACT_SQL}"
                for c in ("date_key", "id_country", "id_company", "id_skill", "id_source", "job_count"))))
 def q_dq_checks(spark, sf):
-    """H9: the warehouse CHECK and NOT NULL constraints on fact_job."""
-    return quality.violation_counts(md.star(spark, sf)["fact_job"], quality.warehouse_fact_rules())
+    """H9: the warehouse CHECK and NOT NULL constraints on a copy of fact_job with a fault of each kind."""
+    skill = F.col("id_skill")
+    f = md.star(spark, sf)["fact_job"]
+    for k, c in ((1, "date_key"), (2, "id_country"), (3, "id_company"), (4, "id_source")):
+        f = f.withColumn(c, F.when(~(skill == k), F.col(c)))
+    f = f.withColumn("min_salary", F.when(skill == 5, F.col("max_salary") + 1).otherwise(F.col("min_salary"))) \
+         .withColumn("job_count", F.when(skill == 6, -F.col("job_count")).when(~(skill == 7), F.col("job_count")))
+    return quality.violation_counts(f, quality.warehouse_fact_rules())
 
 
 @query("dq_freshness", """SELECT event_type, CAST(max(ts) AS VARCHAR) AS updated_at,
@@ -448,11 +480,35 @@ def q_replay_idempotent(spark, sf):
 
 @query("micro_batch_day", FULL_FACT_SQL)
 def q_micro_batch_day(spark, sf):
-    """One day's silver rows -> batch fact -> upsert into the fact."""
-    batch = md.silver(spark, sf).where(F.col("date_posted") == BATCH_DATE)
-    target = _fact_without_batch(md.fact(spark, sf))
-    batch_fact = gold.build_fact(gold.salary_frame(batch))
-    return wh.upsert_fact(target, batch_fact, config.FACT_GRAIN)
+    """One day's silver rows -> batch fact -> upsert into the fact.  Silver is
+    stored by day, so the batch reads one folder and the target the others."""
+    silver = md.silver_by_day(spark, sf)
+    day = F.col("date_posted") == BATCH_DATE
+    target, batch = (gold.build_fact(gold.salary_frame(silver.where(c))) for c in (~day, day))
+    return wh.upsert_fact(target, batch, config.FACT_GRAIN)
+
+
+@query("load_increment", o.with_ctes(*o.UP_TO_FACT, o.REG) + f"""
+, f0 AS (SELECT * FROM fact WHERE date_posted <> '{BATCH_DATE}'), fb AS (SELECT * FROM fact WHERE date_posted = '{BATCH_DATE}'),
+c0 AS (SELECT row_number() OVER (ORDER BY company) AS id, company FROM (SELECT DISTINCT company FROM f0)),
+c1 AS (SELECT (SELECT max(id) FROM c0) + row_number() OVER (ORDER BY company) AS id, company
+       FROM (SELECT DISTINCT company FROM fb WHERE company NOT IN (SELECT company FROM c0))),
+c AS (SELECT * FROM c0 UNION ALL SELECT * FROM c1),
+n AS (SELECT row_number() OVER (ORDER BY date_posted, country_iso2, skill, company, source) AS id_fact, * FROM f0
+      UNION ALL SELECT (SELECT count(*) FROM f0) + row_number() OVER (ORDER BY date_posted, country_iso2, skill, company, source), * FROM fb)
+SELECT CAST(id_fact AS BIGINT) AS id_fact, date_posted AS date_key, CAST(list_position({o.ISO2_LIST}, country_iso2) AS INTEGER) AS id_country,
+  CAST(c.id AS INTEGER) AS id_company, CAST(list_position({o.SKILL_LIST}, skill) AS INTEGER) AS id_skill,
+  CAST(list_position({o.SOURCE_LIST}, source) AS INTEGER) AS id_source, avg_salary, min_salary, max_salary, job_count
+FROM n JOIN c ON c.company = n.company""")
+def q_load_increment(spark, sf):
+    """A warehouse loaded without the batch day, then that day as an increment,
+    part of it loaded before: old ids stay, new keys count on from the largest."""
+    f = md.fact_once(spark, sf)
+    base, batch = _fact_without_batch(f), f.where(F.col("date_posted") == BATCH_DATE)
+    star = md.star_of(spark, sf, base)
+    again = batch.unionByName(base.where(F.col("date_posted") == REPLAY_DATE))  # known facts: measures overwritten by the same
+    companies = again.select(F.col("company").alias("company_name"), F.lit(None).cast("string").alias("workforce_size"), F.lit(None).cast("string").alias("sector"))
+    return wh.increment_star(star, again, companies)["fact_job"]
 
 
 _UPSERT_COMPANY_SQL = o.with_ctes(*o.UP_TO_FACT, o.REG, o.DIM_COMPANY) + f"""SELECT * FROM dim_company
@@ -478,27 +534,29 @@ def q_upsert_ignore(spark, sf):
     return wh.upsert_ignore(target, batch, ["date_key"])
 
 
-@query("watermark_state", SALARY_SQL + f"""SELECT step, batch_date, batch_date AS watermark_parity,
-  max(batch_date) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS watermark_greatest,
-  CAST(CAST(batch_date AS DATE) + INTERVAL 1 DAY AS DATE)::VARCHAR AS next_batch
-FROM (SELECT CAST(row_number() OVER (ORDER BY date_posted) AS BIGINT) AS step, date_posted AS batch_date
-      FROM (SELECT DISTINCT date_posted FROM salary WHERE date_posted <> '{config.AS_OF_DATE}')
-      UNION ALL SELECT CAST(count(DISTINCT date_posted) + 1 AS BIGINT), '{REPLAY_DATE}' FROM salary
-      WHERE date_posted <> '{config.AS_OF_DATE}')""")
+@query("watermark_state", SALARY_SQL + f"""SELECT step, day AS batch_date, day AS watermark_parity,
+  max(day) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS watermark_greatest,
+  CAST(CAST(day AS DATE) + INTERVAL 1 DAY AS DATE)::VARCHAR AS next_batch
+FROM (SELECT CAST(row_number() OVER (ORDER BY date_posted) AS INTEGER) AS step, date_posted AS day
+      FROM (SELECT DISTINCT date_posted FROM salary WHERE date_posted <> '{config.AS_OF_DATE}' ORDER BY 1 DESC LIMIT 3)
+      UNION ALL SELECT 4, '{REPLAY_DATE}')""")
 def q_watermark_state(spark, sf):
-    """Watermark after each daily run (in date order, then a backfill of
-    an older day): parity mode moves back, greatest mode does not."""
-    dates = md.distinct_salary(spark, sf, gold.distinct_dates).where(F.col("date_posted") != config.AS_OF_DATE)
-    runs = global_index(dates, [F.col("date_posted")], "step").select("step", F.col("date_posted").alias("batch_date"))
-    backfill = dates.agg((F.count(F.lit(1)) + 1).cast("bigint").alias("step")) \
-                    .select("step", F.lit(REPLAY_DATE).alias("batch_date"))
-    runs = runs.unionByName(backfill)
-    parity = mb.watermark_steps(runs, "step", "batch_date", "parity")
-    greatest = mb.watermark_steps(runs, "step", "batch_date", "greatest").select(
-        F.col("step").alias("_s"), F.col("watermark").alias("watermark_greatest"))
-    return (parity.join(greatest, parity["step"] == greatest["_s"])
-            .select("step", "batch_date", F.col("watermark").alias("watermark_parity"), "watermark_greatest",
-                    F.date_add(F.to_date("batch_date"), 1).cast("string").alias("next_batch")))
+    """I6 + I7: the latest three days run one after another, then a backfill of an
+    older day; the states as they are stored.  Parity mode moves back, greatest does not."""
+    silver, _ = split_band(md.silver_by_day(spark, sf))
+    days = [r[0] for r in silver.where(F.col("date_posted") != config.AS_OF_DATE).select("date_posted").distinct()
+                                .orderBy(F.desc("date_posted")).limit(3).collect()][::-1] + [REPLAY_DATE]
+    states = []
+    for mode in ("parity", "greatest"):
+        root = fresh_path(spark, f"increments-{mode}")
+        for day in days:
+            mb.run_day(spark, root, silver, day, mode, start="1900-01-01")
+        states.append(storage.entries(spark, f"{root}/watermark"))
+    parity, greatest = states
+    day = F.element_at(F.array(*[F.lit(d) for d in days]), F.col("number"))
+    return parity.join(greatest.select("number", F.col("value").alias("watermark_greatest")), "number").select(
+        F.col("number").alias("step"), day.alias("batch_date"), F.col("value").alias("watermark_parity"), "watermark_greatest",
+        F.date_add(F.to_date("value"), 1).cast("string").alias("next_batch"))
 
 
 @query("stream_daily_events", """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type,
@@ -510,7 +568,7 @@ def q_stream_daily_events(spark, sf):
     schema = load(spark, sf, "events").schema
     stream = mb.read_stream(spark, sf, schema, "events.parquet")
     agg = mb.daily_event_counts(stream, "ts", "event_type", "value")
-    out = mb.run_available_now(spark, agg, "daily_events")
+    out = mb.run_available_now(spark, agg, ["window", "event_type"], fresh_path(spark, "daily-events"))
     day = F.date_from_unix_date(F.floor(F.unix_micros(F.col("window.start")) / F.lit(86_400_000_000)).cast("int"))
     return out.select(day.cast("string").alias("day"), "event_type", F.col("events").cast("bigint"),
                       F.col("value_cents").cast("bigint"))
@@ -519,51 +577,29 @@ def q_stream_daily_events(spark, sf):
 # ------------------------------------------------------------------- K
 
 def _manifest(spark, sf) -> DataFrame:
-    """K1: one record per dataset written by a run, with observed row counts
-    (computed as aggregates; no driver loop)."""
-    obs = md.observations(spark, sf)
+    """K1: the manifest that a run has written, with observed row counts and stored bytes."""
+    root = fresh_path(spark, "run")
+    run_layers(spark, sf, root)
+    return spark.read.parquet(f"{root}/manifest")
+
 
-    def rec(layer, name, df):
-        return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("dataset"), "rows")
-
-    sources = spark.createDataFrame([(s,) for s in config.SALARY_SOURCES], "dataset string")
-
-    def per_source(layer, df, key):
-        """Rows per registered source in one aggregation; a source without rows reports 0."""
-        counts = df.groupBy(F.col(key).alias("dataset")).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
-        return sources.join(counts, "dataset", "left").select(
-            F.lit(layer).alias("layer"), "dataset", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))
-
-    parts = [per_source("bronze", obs, "src")]
-    parts.append(rec("bronze", "github_trending", adapter.repositories(spark, sf)))
-    parts.append(rec("bronze", "google_trends", adapter.interest_wide(obs)))
-    parts.append(rec("bronze", "reference", adapter.company_register(spark, sf)))
-    parts.append(per_source("silver", md.silver(spark, sf), "source"))
-    parts.append(rec("silver", "github_popularity", md.repositories_silver(spark, sf)))
-    parts.append(rec("silver", "google_trends", md.trends_silver(spark, sf)))
-    parts.append(rec("gold", "fact_job", md.fact(spark, sf)))
-    parts.append(rec("gold", "dim_date", md.dim_date(spark, sf)))
-    parts.append(rec("gold", "dim_company", md.dim_company(spark, sf)))
-    parts.append(rec("gold", "skill_popularity",
-                     gold.skill_popularity(md.repositories_silver(spark, sf), md.trends_silver(spark, sf))))
-    m = _union(parts)
-    return m.select("layer", "dataset", "rows", F.lit(None).cast("bigint").alias("bytes"),
-                    F.lit("parquet").alias("format"))
-
-
-_MANIFEST_SQL = o.with_ctes(*o.UP_TO_FACT, o.REG, o.DIM_COMPANY, o.DIM_DATE) + f"""
+_BAND_CTES = (o.OBS, o.SILVER_RAW, o.SILVER, f"band AS (SELECT * FROM silver WHERE salary_eur BETWEEN {config.EUR_MIN} AND {config.EUR_MAX})",
+              o.SALARY.replace("FROM silver", "FROM band"), o.FACT)
+_MANIFEST_SQL = o.with_ctes(*_BAND_CTES, o.REG, o.DIM_COMPANY, o.DIM_DATE) + f"""
 , m AS (
   SELECT 'bronze' AS layer, src AS dataset, CAST(count(*) AS BIGINT) AS rows FROM obs GROUP BY src
   UNION ALL SELECT 'bronze', 'github_trending', CAST(count(*) AS BIGINT) FROM part
   UNION ALL SELECT 'bronze', 'google_trends', CAST(count(DISTINCT (date_posted, iso2)) AS BIGINT) FROM obs
   UNION ALL SELECT 'bronze', 'reference', CAST(count(*) AS BIGINT) FROM supplier
-  UNION ALL SELECT 'silver', source, CAST(count(*) AS BIGINT) FROM silver GROUP BY source
+  UNION ALL SELECT 'silver', source, CAST(count(*) AS BIGINT) FROM band GROUP BY source
   UNION ALL SELECT 'silver', 'github_popularity', CAST(count(*) AS BIGINT) FROM part
   UNION ALL SELECT 'silver', 'google_trends', CAST(count(DISTINCT (date_posted, skill_label, iso2)) AS BIGINT) FROM obs
   UNION ALL SELECT 'gold', 'fact_job', CAST(count(*) AS BIGINT) FROM fact
   UNION ALL SELECT 'gold', 'dim_date', CAST(count(*) AS BIGINT) FROM dim_date
   UNION ALL SELECT 'gold', 'dim_company', CAST(count(*) AS BIGINT) FROM dim_company
+  UNION ALL SELECT 'gold', 'dim_country', CAST({len(config.COUNTRIES)} AS BIGINT)
+  UNION ALL SELECT 'gold', 'dim_skill', CAST({len(config.SKILLS)} AS BIGINT)
+  UNION ALL SELECT 'gold', 'dim_source', CAST({len(config.ALL_SOURCES)} AS BIGINT)
   UNION ALL SELECT 'gold', 'skill_popularity', CAST(count(DISTINCT k) AS BIGINT) FROM (
     SELECT lower(skill_label) AS k FROM obs
     UNION ALL SELECT CASE WHEN p_partkey % 13 <> 0 THEN lower(({o.lst(adapter.SKILL_DISPLAY)})[p_partkey % 12 + 1]) END FROM part))
@@ -578,16 +614,16 @@ def q_layer_totals(spark, sf):
 
 
 @query("manifest_report", _MANIFEST_SQL + """SELECT m.layer, t.datasets, t.layer_rows, m.dataset, m.rows,
-  CAST(0 AS DOUBLE) AS kb, 'parquet' AS format
+  true AS stored, 'parquet' AS format
 FROM m JOIN (SELECT layer, CAST(count(*) AS BIGINT) AS datasets, CAST(sum(coalesce(rows, 0)) AS BIGINT) AS layer_rows
              FROM m GROUP BY layer) t ON m.layer = t.layer ORDER BY m.layer, m.dataset""")
 def q_manifest_report(spark, sf):
-    """K1 + K2: manifest records upserted on (layer, dataset), reported per
-    layer then dataset."""
+    """K1 + K2: the written manifest, upserted once more on (layer, dataset) (a re-run
+    must not duplicate datasets), reported per layer then dataset; ``stored``: the
+    file system holds bytes for it."""
     m = _manifest(spark, sf)
-    # Recording twice (a re-run) must not duplicate datasets: upsert on the key.
-    m = wh.upsert_update(m, m, ["layer", "dataset"])
-    return lake.manifest_report(m)
+    m = wh.upsert_update(m.limit(5), m, ["layer", "dataset"])
+    return lake.manifest_report(m).withColumn("stored", F.col("kb") > 0).drop("kb")
 
 
 @query("retention_plan", f"""SELECT layer, tier, CAST(count(*) AS BIGINT) AS objects FROM (

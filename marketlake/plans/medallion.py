@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaners, gold
 from ..sources import adapter, registry
 from ..sources.readers import with_na_tokens
-from ..session import materialize
+from ..session import fresh_path, materialize
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.observations(spark, sf_dir)
@@ -31,6 +31,14 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.silver_all(observations(spark, sf_dir), valid=True)
 
 
+def silver_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once by ``date_posted``, as a run keeps it: a day's rows are one folder."""
+    rows = silver(spark, sf_dir)
+    path = fresh_path(spark, "silver-by-day")
+    rows.write.partitionBy("date_posted").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).select(rows.columns)
+
+
 def salary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold input: silver with B12 applied."""
     return gold.salary_frame(silver(spark, sf_dir))
@@ -103,9 +111,13 @@ def dims_from_fact(f: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """M9: the star schema (five dimensions with surrogate ids + fact_job)."""
+    return star_of(spark, sf_dir, fact_once(spark, sf_dir))
+
+
+def star_of(spark: SparkSession, sf_dir: str, f: DataFrame) -> dict[str, DataFrame]:
+    """The star schema of a (stored) fact."""
     from ..operators import warehouse as wh
     countries, skills, sources = wh.d_country(spark), wh.d_skill(spark), wh.d_source(spark)
-    f = fact_once(spark, sf_dir)
     dates, names = dims_from_fact(f)
     companies = wh.d_company(names.join(company_register(spark, sf_dir), "company_name", "left"))
     return {

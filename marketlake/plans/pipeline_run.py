@@ -9,75 +9,136 @@ no extra pass.
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config
-from ..operators import gold, lake, quality, warehouse as wh
+from .. import config, storage
+from ..operators import cleaners, gold, lake, quality, warehouse as wh
+from ..session import materialize
+from ..sources import adapter, readers, registry
+from ..sources.readers import wide_to_long
+from ..streaming import microbatch as mb
 from . import medallion as md
 
 
-def build_silver(spark: SparkSession, sf_dir: str, root: str, gate: bool = False) -> list[dict]:
-    """M7: clean every registered source, (optionally) gate it on its contract,
-    write it as ``silver/<source>`` partitioned by date; popularity sources are
-    written ungated.  Returns manifest records."""
+def split_band(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows inside the plausible salary band, and the others.
+
+    The rule of a run: a salary outside the band is no reason to stop, it is put
+    aside (``silver_aside/<source>``) before the gate.  Any other breach stops the run.
+    """
+    ok = F.coalesce(F.col("salary_eur").between(config.EUR_MIN, config.EUR_MAX), F.lit(False))
+    return silver.where(ok), silver.where(~ok)
+
+
+def build_bronze(spark: SparkSession, sf_dir: str, root: str) -> list[dict]:
+    """Observations as delivered, by source, and the popularity and reference inputs."""
+    obs = md.observations(spark, sf_dir)
+    seen = Observation(f"bronze_{uuid.uuid4().hex[:8]}")
+    names = config.SALARY_SOURCES
+    path = f"{root}/bronze/observations"
+    (obs.observe(seen, *[F.count_if(F.col("src") == s).alias(s) for s in names])
+        .write.mode("overwrite").partitionBy("src").parquet(path))
+    records = [lake.manifest_record("bronze", s, int(seen.get[s]), storage.folder_bytes(spark, f"{path}/src={s}")) for s in names]
+    held = spark.read.parquet(path)
+    return records + [lake.write_layer(df, root, "bronze", name) for name, df in (
+        ("github_trending", adapter.repositories(spark, sf_dir)), ("google_trends", adapter.interest_wide(held)),
+        ("reference", adapter.company_register(spark, sf_dir)))]
+
+
+def build_silver(spark: SparkSession, sf_dir: str, root: str, gate: bool = True) -> list[dict]:
+    """M7: clean every registered source of the written bronze, put rows outside
+    the salary band aside, gate the rest on its contract and write it as
+    ``silver/<source>`` by date; popularity sources are written ungated.  Returns
+    manifest records."""
     records = []
-    for name, part in zip(config.SALARY_SOURCES, md.silver_parts(spark, sf_dir)):
+    obs = spark.read.parquet(f"{root}/bronze/observations")
+    for name in config.SALARY_SOURCES:
+        part = registry.silver_source(obs, name, valid=True)
         if gate:
+            part, aside = split_band(materialize(part, f"silver-{name}"))
+            aside.write.mode("overwrite").parquet(f"{root}/silver_aside/{name}")
+            extra = quality.strict_columns(part, config.SALARY_COLS)
+            if extra:
+                raise quality.DataQualityError(f"silver:{name}: {extra}")
             quality.gate(quality.violation_counts(part, quality.silver_salary_rules()), f"silver:{name}")
         records.append(lake.write_layer(part, root, "silver", name, partition_by=["date_posted"]))
-    records.append(lake.write_layer(md.repositories_silver(spark, sf_dir), root, "silver", "github_popularity"))
-    records.append(lake.write_layer(md.trends_silver(spark, sf_dir), root, "silver", "google_trends"))
+    read = lambda name: lake.read_layer(spark, root, "bronze", name)
+    records.append(lake.write_layer(cleaners.clean_repositories(read("github_trending")), root, "silver", "github_popularity"))
+    long = wide_to_long(read("google_trends"), ["date", "country"], adapter.SKILL_DISPLAY)
+    records.append(lake.write_layer(cleaners.clean_trends(long), root, "silver", "google_trends"))
     return records
 
 
-def build_gold(spark: SparkSession, root: str) -> list[dict]:
-    """M8: gold fact, dimensions and popularity from the written silver layer."""
-    parts = [spark.read.parquet(f"{root}/silver/{s}") for s in config.SALARY_SOURCES]
+def build_gold(spark: SparkSession, root: str, gate: bool = True) -> list[dict]:
+    """M8: the seven gold datasets from the written silver layer: the fact (gated on
+    its contract and on a unique grain), five dimensions and the popularity table."""
     fact = None
-    for p in parts:
+    for s in config.SALARY_SOURCES:
+        p = lake.read_layer(spark, root, "silver", s).withColumn("date_posted", F.col("date_posted").cast("string"))
         f = gold.build_fact(gold.salary_frame(p.select(*config.SALARY_COLS)))
         fact = f if fact is None else fact.unionByName(f)
     recs = [lake.write_layer(fact, root, "gold", "fact_job")]
-    f = spark.read.parquet(f"{root}/gold/fact_job")
+    f = lake.read_layer(spark, root, "gold", "fact_job")
     dates, names = md.dims_from_fact(f)
-    recs.append(lake.write_layer(dates, root, "gold", "dim_date"))
-    recs.append(lake.write_layer(names, root, "gold", "dim_company_names"))
-    pop = gold.skill_popularity(spark.read.parquet(f"{root}/silver/github_popularity"),
-                                spark.read.parquet(f"{root}/silver/google_trends"))
-    recs.append(lake.write_layer(pop, root, "gold", "skill_popularity"))
+    register = readers.with_na_tokens(lake.read_layer(spark, root, "bronze", "reference"))
+    company = names.join(register, "company_name", "left")
+    if gate:
+        quality.gate(quality.violation_counts(f, quality.gold_fact_rules()), "gold:fact_job")
+        for name, df, keys in (("fact_job", f, config.FACT_GRAIN), ("dim_company", company, ["company_name"]), ("dim_date", dates, ["date_key"])):
+            if twice := quality.duplicate_keys(df, keys).limit(5).collect():
+                raise quality.DataQualityError(f"gold:{name}: keys occur more than once: {twice}")
+    popularity = gold.skill_popularity(lake.read_layer(spark, root, "silver", "github_popularity"), lake.read_layer(spark, root, "silver", "google_trends"))
+    for name, df in (("dim_date", dates), ("dim_company", company), ("dim_country", wh.d_country(spark).drop("id_country")),
+                     ("dim_skill", wh.d_skill(spark).drop("id_skill")), ("dim_source", wh.d_source(spark).drop("id_source")),
+                     ("skill_popularity", popularity)):
+        recs.append(lake.write_layer(df, root, "gold", name))
     return recs
 
 
-def load_star(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Full refresh of the warehouse = a new snapshot of the
-    five dimensions and the fact, pointer switched last."""
-    f = spark.read.parquet(f"{root}/gold/fact_job")
+def load_star(spark: SparkSession, root: str) -> str:
+    """Full refresh of the warehouse from the written gold layer = a new
+    snapshot of the five dimensions and the fact.  A fact without its dimension
+    row stops the load before the pointer moves."""
+    read = lambda name: lake.read_layer(spark, root, "gold", name)
     countries, skills, sources = wh.d_country(spark), wh.d_skill(spark), wh.d_source(spark)
-    names = spark.read.parquet(f"{root}/gold/dim_company_names")
-    companies = wh.d_company(names.join(md.company_register(spark, sf_dir), "company_name", "left"))
-    tables = {"d_date": spark.read.parquet(f"{root}/gold/dim_date"), "d_country": countries,
-              "d_company": companies, "d_skill": skills, "d_source": sources,
-              "fact_job": wh.fact_job(f, countries, companies, skills, sources)}
-    return wh.write_snapshot(spark, tables, f"{root}/warehouse")
+    companies = wh.d_company(read("dim_company"))
+    tables = {"d_date": read("dim_date"), "d_country": countries, "d_company": companies, "d_skill": skills, "d_source": sources,
+              "fact_job": wh.fact_job(read("fact_job"), countries, companies, skills, sources)}
+    return wh.write_snapshot(spark, tables, f"{root}/warehouse", check=lambda snap: wh.check_keys(spark.read.parquet(f"{snap}/fact_job")))
+
+
+def load_increment(spark: SparkSession, root: str, batch_silver: DataFrame) -> str:
+    """One batch of silver rows through the gates into the loaded warehouse, as a new snapshot with stable ids."""
+    batch = mb.gate_batch(batch_silver)
+    names = ["d_date", "d_country", "d_company", "d_skill", "d_source", "fact_job"]
+    star = {n: wh.read_table(spark, f"{root}/warehouse", n) for n in names}
+    star = wh.increment_star(star, batch, gold.company_increment(gold.salary_frame(batch_silver)))
+    return wh.write_snapshot(spark, star, f"{root}/warehouse", check=lambda snap: wh.check_keys(spark.read.parquet(f"{snap}/fact_job")))
+
+
+def run_layers(spark: SparkSession, sf_dir: str, root: str) -> tuple[list[dict], list[tuple]]:
+    """Bronze, silver and gold of a run: manifest records, and (stage, datasets, rows, seconds)."""
+    records, metrics = [], []
+    for stage, build in (("bronze", lambda: build_bronze(spark, sf_dir, root)), ("silver", lambda: build_silver(spark, sf_dir, root)),
+                         ("gold", lambda: build_gold(spark, root))):
+        began = time.perf_counter()
+        made = build()
+        metrics.append((stage, len(made), sum(r["rows"] for r in made), time.perf_counter() - began))
+        records += made
+    lake.record(spark, None, records).write.mode("overwrite").parquet(f"{root}/manifest")
+    return records, metrics
 
 
 def run_all(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """K3: silver -> gold -> warehouse with per-stage metrics
+    """K3: bronze -> silver -> gold -> warehouse with per-stage metrics
     ``(stage, datasets, rows, seconds)`` and the manifest (K1) written."""
-    metrics = []
-    t0 = time.perf_counter()
-    silver = build_silver(spark, sf_dir, root)
-    metrics.append(("silver", len(silver), sum(r["rows"] for r in silver), time.perf_counter() - t0))
-    t0 = time.perf_counter()
-    goldr = build_gold(spark, root)
-    metrics.append(("gold", len(goldr), sum(r["rows"] for r in goldr), time.perf_counter() - t0))
-    t0 = time.perf_counter()
-    load_star(spark, sf_dir, root)
-    metrics.append(("warehouse", 6, None, time.perf_counter() - t0))
-    manifest = lake.record(spark, None, silver + goldr)
-    manifest.write.mode("overwrite").parquet(f"{root}/manifest")
+    _, metrics = run_layers(spark, sf_dir, root)
+    began = time.perf_counter()
+    load_star(spark, root)
+    metrics.append(("warehouse", 6, None, time.perf_counter() - began))
     return spark.createDataFrame([(s, n, r, round(t, 3)) for s, n, r, t in metrics],
                                  "stage string, datasets int, rows bigint, seconds double")
 

@@ -71,13 +71,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A folder name below the shared checkpoint folder that nobody used yet."""
+    import uuid
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: one computation, lineage cut, values (including any partition-
     dependent ids) fixed on disk.  Used where a result is consumed several
     times and must be identical each time, even if executors are lost."""
-    import uuid
     spark = df.sparkSession
-    path = scratch_path(spark, f"mat-{name}-{uuid.uuid4().hex[:12]}")
+    path = fresh_path(spark, f"mat-{name}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -88,11 +88,6 @@ def with_na_tokens(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """A5: one silver/gold dataset by name."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{layer}/{name}")
-
-
 def raw_registry(spark: SparkSession, path_glob: str) -> DataFrame:
     """Raw files kept unchanged: path, size, modification time, bytes, format tag."""
     df = spark.read.format("binaryFile").load(path_glob)

@@ -1,22 +1,20 @@
 """Micro-batches and streams.
 
 A micro-batch is one day of offers: validate -> silver increment -> fact ->
-validate -> upsert -> watermark.  The same batch function runs inside
-``foreachBatch`` of a Structured Streaming query (file source, availableNow
-trigger), whose checkpoint gives at-least-once delivery; the upsert keyed by
-the grain makes a replay harmless (idempotent).
+validate -> upsert -> watermark (``run_day``).  The same gates and upsert run
+inside ``foreachBatch`` of a Structured Streaming query (file source,
+availableNow trigger); the caller's checkpoint gives at-least-once delivery, and
+the upsert keyed by the grain makes a replay harmless (idempotent).
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import config
+from .. import config, storage
 from ..operators import cleaners, gold, quality, warehouse
-from ..session import scratch_path
+from ..session import materialize
 
 
 def fresh_since(silver: DataFrame, watermark: str, one_day: bool = False) -> DataFrame:
@@ -37,11 +35,57 @@ def micro_batch(target_fact: DataFrame, batch_silver: DataFrame, seq: str | None
     return warehouse.upsert_fact(target_fact, batch_fact, config.FACT_GRAIN, seq)
 
 
-def batch_checks(batch_silver: DataFrame) -> DataFrame:
-    """I6 gates: silver contract on the increment, fact contract on its fact."""
-    f = gold.build_fact(gold.salary_frame(batch_silver))
-    return (quality.violation_counts(batch_silver, quality.silver_salary_rules(), F.lit("increment"))
-            .unionByName(quality.violation_counts(f, quality.gold_fact_rules(), F.lit("increment-fact"))))
+def gate_batch(batch_silver: DataFrame, name: str = "increment") -> DataFrame:
+    """I6 gates: the silver contract on the increment, the fact contract on its
+    fact; raises ``DataQualityError``.  Returns the fact."""
+    quality.gate(quality.violation_counts(batch_silver, quality.silver_salary_rules()), name)
+    batch_fact = gold.build_fact(gold.salary_frame(batch_silver))
+    quality.gate(quality.violation_counts(batch_fact, quality.gold_fact_rules()), f"{name}-fact")
+    return batch_fact
+
+
+def upsert_days(spark: SparkSession, root: str, batch_fact: DataFrame) -> None:
+    """I3 into the fact stored by ``date_posted`` under ``root``: only the days of
+    the batch are read and overwritten."""
+    path = f"{root.rstrip('/')}/fact"
+    batch = materialize(batch_fact, "batch-fact")
+    days = [r[0] for r in batch.select("date_posted").distinct().collect()]  # a batch holds few days
+    if storage.exists(spark, path):
+        old = spark.read.schema(batch.schema).parquet(path)
+        touched = F.col("date_posted").isin([d for d in days if d is not None])
+        old = old.where(touched | F.col("date_posted").isNull() if None in days else touched)
+        batch = materialize(warehouse.upsert_fact(old.select(batch.columns), batch, config.FACT_GRAIN), "merged-fact")
+    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_posted").parquet(path)
+
+
+def read_fact(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.option("inferSchema", False).parquet(f"{root.rstrip('/')}/fact") \
+                .withColumn("date_posted", F.col("date_posted").cast("string"))
+
+
+# ------------------------------------------------------------- watermark
+
+def read_watermark(spark: SparkSession, root: str, start: str = config.AS_OF_DATE) -> str:
+    """The day last processed, as stored; ``start`` before the first run."""
+    return storage.last_entry(spark, f"{root.rstrip('/')}/watermark") or start
+
+
+def run_day(spark: SparkSession, root: str, silver: DataFrame, day: str | None = None, mode: str = "parity",
+            start: str = config.AS_OF_DATE) -> str:
+    """One day of ``silver`` (by default the one after the stored watermark):
+    gates, silver increment, fact, gates, upsert of that day, watermark.
+
+    A refused day changes nothing.  ``parity``: the watermark is the day just
+    processed (a backfill moves it back); ``greatest``: it never moves back.
+    """
+    seen = read_watermark(spark, root, start)
+    day = day or str(spark.sql(f"SELECT date_add(DATE'{seen}', 1)").first()[0])
+    batch = materialize(silver.where(F.col("date_posted") == day).select(config.SALARY_COLS), "increment")
+    upsert = gate_batch(batch, day)
+    batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/silver_increment/{day}")
+    upsert_days(spark, root, upsert)
+    storage.append_entry(spark, f"{root.rstrip('/')}/watermark", day if mode == "parity" else max(day, seen))
+    return day
 
 
 def watermark_steps(runs: DataFrame, step: str, batch_date: str, mode: str = "parity") -> DataFrame:
@@ -79,28 +123,40 @@ def daily_event_counts(stream: DataFrame, ts: str, label: str, value: str, delay
                   .alias("value_cents")))
 
 
-def run_available_now(spark: SparkSession, agg: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a streaming aggregation to completion (``availableNow``) into a
-    memory table and return it as a batch DataFrame.  The checkpoint lives in
-    the shared checkpoint folder; each run uses a fresh one."""
-    table = f"{name}_{uuid.uuid4().hex[:8]}"
-    ckpt = scratch_path(spark, f"stream-{table}")
-    q = (agg.writeStream.outputMode(mode).format("memory").queryName(table)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+def run_available_now(spark: SparkSession, agg: DataFrame, keys: list[str], root: str) -> DataFrame:
+    """Run a streaming aggregation over what is there (``availableNow``).
+
+    Update mode: each trigger writes the groups that changed, one folder per
+    epoch, so neither the driver nor the state holds closed windows; the newest
+    row of each group is the result.  State, checkpoint and output live under
+    ``root``: a second call with the same folder reads the new input only.
+    """
+    out = f"{root.rstrip('/')}/updates"
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")  # a replayed epoch overwrites itself
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(put)
+         .option("checkpointLocation", f"{root.rstrip('/')}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(table)
+    updates = spark.read.schema(agg.schema.add("epoch", "long")).option("basePath", out).parquet(f"{out}/epoch=*")
+    rest = [c for c in agg.columns if c not in keys]
+    return updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_last")).select(*keys, "_last.*")
 
 
-def foreach_batch_upsert(spark: SparkSession, stream: DataFrame, target_root: str, name: str) -> None:
-    """Each micro-batch of fresh silver rows is upserted into the fact
-    stored under ``target_root`` (new snapshot per batch, pointer switched
-    last).  Replays of a batch give the same snapshot content."""
+def foreach_batch_upsert(spark: SparkSession, stream: DataFrame, target_root: str, checkpoint: str) -> None:
+    """Each micro-batch of fresh silver rows passes the gates and is upserted
+    into the fact stored by day under ``target_root``.
+
+    ``checkpoint`` is the caller's and outlives the call: the next call delivers
+    new files only.  Delivery is at least once; a replayed batch overwrites the
+    same grain rows.  A refused batch stops the stream and stays undelivered.
+    """
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        current = warehouse.read_table(spark, target_root, "fact")
-        merged = micro_batch(current, cleaners.project_contract(batch))
-        warehouse.write_snapshot(spark, {"fact": merged}, target_root)
+        rows = materialize(cleaners.project_contract(batch), "stream-batch")
+        if not rows.isEmpty():
+            upsert_days(spark, target_root, gate_batch(rows, f"stream-{epoch_id}"))
 
-    ckpt = scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:8]}")
-    q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt) \
+    q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint) \
               .trigger(availableNow=True).start()
     q.awaitTermination()

@@ -1,10 +1,11 @@
 """Streams, micro-batches, watermarks (I6-I10) and lake monitoring."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake import config
-from marketlake.operators import lake, warehouse as wh
-from marketlake.session import scratch_path
+from marketlake.operators import lake, quality
+from marketlake.session import fresh_path, scratch_path
 from marketlake.sources.tables import load
 from marketlake.streaming import microbatch as mb
 
@@ -13,19 +14,11 @@ from conftest import SF_SMALL
 
 def test_available_now_stream_then_rerun_delivers_nothing(spark):
     schema = load(spark, SF_SMALL, "events").schema
-    stream = mb.read_stream(spark, SF_SMALL, schema, "events.parquet")
-    out = mb.run_available_now(spark, mb.daily_event_counts(stream, "ts", "event_type", "value"), "t_events")
-    total = out.agg(F.sum("events")).first()[0]
-    assert total == load(spark, SF_SMALL, "events").count()
-
-    ckpt = scratch_path(spark, "test-stream-rerun")
-    seen = []
-    for _ in range(2):
-        q = (mb.read_stream(spark, SF_SMALL, schema, "events.parquet").writeStream
-             .foreachBatch(lambda df, _e: seen.append(df.count()))
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-        q.awaitTermination()
-    assert seen[0] == total and sum(seen[1:]) == 0
+    root = fresh_path(spark, "test-events")
+    for _ in range(2):  # the second call finds no new file
+        stream = mb.read_stream(spark, SF_SMALL, schema, "events.parquet")
+        out = mb.run_available_now(spark, mb.daily_event_counts(stream, "ts", "event_type", "value"), ["window", "event_type"], root)
+        assert out.agg(F.sum("events")).first()[0] == load(spark, SF_SMALL, "events").count()
 
 
 def test_watermark_modes(spark):
@@ -47,7 +40,7 @@ def test_layer_write_manifest_and_retention(spark):
     root = scratch_path(spark, "test-lake")
     df = spark.range(10).withColumn("date_posted", F.lit("2026-06-01"))
     rec = lake.write_layer(df, root, "silver", "demo", partition_by=["date_posted"])
-    assert rec["rows"] == 10
+    assert rec["rows"] == 10 and rec["bytes"] > 0
     m = lake.record(spark, None, [rec])
     m = lake.record(spark, m, [dict(rec, rows=11)])
     assert [(r["dataset"], r["rows"]) for r in m.collect()] == [("demo", 11)]
@@ -59,16 +52,60 @@ def test_layer_write_manifest_and_retention(spark):
     assert [r["tier"] for r in plan.collect()] == ["expired", "hot", "cold", "cold"]
 
 
-def test_foreach_batch_upsert_is_replay_safe(spark):
-    root = scratch_path(spark, "test-fe-batch")
-    cols = ("date_posted string, country_iso2 string, skill string, company string, source string, "
-            "avg_salary double, min_salary double, max_salary double, job_count bigint")
-    wh.write_snapshot(spark, {"fact": spark.createDataFrame([], cols)}, root)
-    d = scratch_path(spark, "test-fe-input")
-    rows = [("adzuna", "2026-06-16", "FR", "python", "ACME", 50000.0, 45000.0, 55000.0)]
-    schema = ", ".join(f"{c} {'double' if 'salary' in c else 'string'}" for c in config.SALARY_COLS)
-    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(d)
-    stream = spark.readStream.schema(spark.read.parquet(d).schema).parquet(d)
-    mb.foreach_batch_upsert(spark, stream, root, "t")
-    f = wh.read_table(spark, root, "fact").collect()
-    assert [(r["company"], r["job_count"], r["avg_salary"]) for r in f] == [("ACME", 1, 50000.0)]
+SILVER = ", ".join(f"{c} {'double' if 'salary' in c else 'string'}" for c in config.SALARY_COLS)
+
+
+def _offer(day, salary, company="ACME"):
+    return ("adzuna", day, "FR", "python", company, salary, None, None)
+
+
+def test_stream_delivers_new_files_only_and_touches_their_days(spark):
+    root, d, ckpt = (fresh_path(spark, f"test-stream-{n}") for n in ("root", "in", "ckpt"))
+
+    def put(rows):
+        spark.createDataFrame(rows, SILVER).coalesce(1).write.mode("append").parquet(d)
+        mb.foreach_batch_upsert(spark, spark.readStream.schema(SILVER).parquet(d), root, ckpt)
+        return {(r["date_posted"], r["company"]): (r["avg_salary"], r["job_count"]) for r in mb.read_fact(spark, root).collect()}
+
+    assert put([_offer("2026-06-16", 50000.0), _offer("2026-06-17", 60000.0)]) == {
+        ("2026-06-16", "ACME"): (50000.0, 1), ("2026-06-17", "ACME"): (60000.0, 1)}
+    old = [r[0] for r in mb.read_fact(spark, root).where("date_posted = '2026-06-17'").select(F.input_file_name()).collect()]
+    # a second file of a known day overwrites that grain, not the sum of both, and leaves the other day's files
+    assert put([_offer("2026-06-16", 40000.0), _offer("2026-06-16", 44000.0, "B")]) == {
+        ("2026-06-16", "ACME"): (40000.0, 1), ("2026-06-16", "B"): (44000.0, 1), ("2026-06-17", "ACME"): (60000.0, 1)}
+    assert old == [r[0] for r in mb.read_fact(spark, root).where("date_posted = '2026-06-17'").select(F.input_file_name()).collect()]
+    with pytest.raises(Exception, match="data quality failed"):
+        put([_offer("2026-06-18", 12.0)])
+    assert mb.read_fact(spark, root).where("date_posted = '2026-06-18'").count() == 0
+
+
+def test_run_day_gates_and_stores_the_watermark(spark):
+    root = fresh_path(spark, "test-days")
+    silver = spark.createDataFrame([_offer("2026-06-16", 50000.0), _offer("2026-06-17", 12.0), _offer("2026-06-18", 52000.0)], SILVER)
+    assert mb.read_watermark(spark, root) == config.AS_OF_DATE
+    assert mb.run_day(spark, root, silver) == "2026-06-16"
+    with pytest.raises(quality.DataQualityError):
+        mb.run_day(spark, root, silver)
+    assert mb.read_watermark(spark, root) == "2026-06-16"
+    assert mb.run_day(spark, root, silver, "2026-06-18") == "2026-06-18"
+    mb.run_day(spark, root, silver, "2026-06-16")
+    assert mb.read_watermark(spark, root) == "2026-06-16"  # parity: a backfill moves it back
+    assert mb.read_fact(spark, root).count() == 2
+    assert spark.read.parquet(f"{root}/silver_increment/2026-06-18").count() == 1
+
+
+def test_one_day_reads_one_folder(spark):
+    from marketlake.plans import medallion as md
+    day = md.silver_by_day(spark, SF_SMALL).where(F.col("date_posted") == "2001-07-01")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_posted" in plan and "2001-07-01" in plan
+    assert len(day.inputFiles()) and all("date_posted=2001-07-01" in f for f in day.select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+
+
+def test_hot_items_lookup_reads_one_folder(spark):
+    from marketlake.operators import indicators as ind
+    items = spark.createDataFrame([("country#FR", "skill#python", 1.0, 2.0, 3), ("country#DE", "skill#python", 4.0, 5.0, 6)],
+                                  "pk string, sk string, median_salary_eur double, avg_salary_eur double, volume bigint")
+    held = ind.hot_indicator_lookup(ind.write_hot_items(items, fresh_path(spark, "test-hot")), "de")
+    assert [tuple(r) for r in held.collect()] == [("country#DE", "skill#python", 4.0, 5.0, 6)]
+    assert "PartitionFilters: [isnotnull(pk" in held._jdf.queryExecution().executedPlan().toString()
