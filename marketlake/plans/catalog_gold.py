@@ -546,17 +546,13 @@ def q_watermark_state(spark, sf):
     silver, _ = split_band(md.silver_by_day(spark, sf))
     days = [r[0] for r in silver.where(F.col("date_posted") != config.AS_OF_DATE).select("date_posted").distinct()
                                 .orderBy(F.desc("date_posted")).limit(3).collect()][::-1] + [REPLAY_DATE]
-    states = []
-    for mode in ("parity", "greatest"):
-        root = fresh_path(spark, f"increments-{mode}")
-        for day in days:
-            mb.run_day(spark, root, silver, day, mode, start="1900-01-01")
-        states.append(storage.entries(spark, f"{root}/watermark"))
-    parity, greatest = states
-    day = F.element_at(F.array(*[F.lit(d) for d in days]), F.col("number"))
-    return parity.join(greatest.select("number", F.col("value").alias("watermark_greatest")), "number").select(
-        F.col("number").alias("step"), day.alias("batch_date"), F.col("value").alias("watermark_parity"), "watermark_greatest",
-        F.date_add(F.to_date("value"), 1).cast("string").alias("next_batch"))
+    root = fresh_path(spark, "increments")
+    for day in days:
+        mb.run_day(spark, root, silver, day)
+    log = storage.entries(spark, f"{root}/watermark").select(F.col("number").alias("step"), F.col("value").alias("batch_date"))
+    parity = mb.watermark_steps(log, "step", "batch_date", "parity")
+    greatest = mb.watermark_steps(log, "step", "batch_date", "greatest").select("step", F.col("watermark").alias("watermark_greatest"))
+    return parity.join(greatest, "step").select("step", "batch_date", F.col("watermark").alias("watermark_parity"), "watermark_greatest", "next_batch")
 
 
 @query("stream_daily_events", """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type,

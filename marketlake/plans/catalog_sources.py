@@ -119,7 +119,8 @@ def q_scan_csv_reference(spark, sf):
 
 @query("raw_registry")
 def q_raw_registry(spark, sf):
-    """Raw files kept as bytes with size and format (rows-only check)."""
+    """Raw files kept as bytes with size and format (its SQL would need the folder's
+    path, which the oracle's views do not tell: pytest holds it against the file system)."""
     r = readers.raw_registry(spark, f"{sf.rstrip('/')}/*.parquet")
     return r.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "format")
 
@@ -138,19 +139,31 @@ def q_raw_record_count(spark, sf):
     return j.unionByName(c)
 
 
-_LINK = r'<a href="([^"]*)">([^<]*)</a>'
+def _text_sql(x: str) -> str:
+    return rf"regexp_replace(regexp_replace({x}, '{readers.TAG_RE}', '', 'g'), '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g')"
 
 
-@query("html_listing_extract", f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, h[i] AS href,
-  replace(t[i], ' ', '') AS label
+@query("html_listing_extract", f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, h[i] AS href, replace({_text_sql('t[i]')}, ' ', '') AS label
 FROM (SELECT page_id, h, t, generate_subscripts(h, 1) AS i FROM (
-  SELECT page_id, regexp_extract_all(html, '{_LINK}', 1) AS h, regexp_extract_all(html, '{_LINK}', 2) AS t
+  SELECT page_id, regexp_extract_all(html, '{readers.LINK_RE}', 1) AS h, regexp_extract_all(html, '{readers.LINK_RE}', 2) AS t
   FROM pages))""")
 def q_html_listing_extract(spark, sf):
-    """A10: listing items (link target and text) of every raw page."""
+    """A10: links (target and text) of every raw page."""
     return readers.html_links(load(spark, sf, "pages", "page_id", "html"))
 
 
+@query("html_listing_blocks", f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, {_text_sql('head')} AS title,
+  replace({_text_sql(f"regexp_extract_all(head, '{readers.LINK_RE}', 2)[1]")}, ' ', '') AS item,
+  {_text_sql(f"regexp_extract_all(block, '{readers.PARAGRAPH_RE}', 1)[1]")} AS description,
+  coalesce({_text_sql(f"regexp_extract_all(block, '{readers.COUNT_RE}', 1)[1]")}, '0') AS stars
+FROM (SELECT *, coalesce(regexp_extract_all(block, '{readers.HEAD2_RE}', 1)[1], regexp_extract_all(block, '{readers.HEAD1_RE}', 1)[1]) AS head
+      FROM (SELECT page_id, unnest(b) AS block, generate_subscripts(b, 1) AS i
+            FROM (SELECT page_id, regexp_extract_all(html, '{readers.BLOCK_RE}', 1) AS b FROM pages)))""")
+def q_html_listing_blocks(spark, sf):
+    """A10: listing blocks of every raw page, with their heading, paragraph and count."""
+    return readers.html_blocks(load(spark, sf, "pages", "page_id", "html"))
+
+
 @query("wide_to_long_interest", OBS + """SELECT date_posted AS date, skill_label AS keyword, iso2 AS country,
   CAST(count(*) AS INTEGER) AS interest FROM obs GROUP BY 1, 2, 3""")
 def q_wide_to_long_interest(spark, sf):

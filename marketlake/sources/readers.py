@@ -161,17 +161,47 @@ def flatten_api_payload(pages: DataFrame, payload: str = "payload", request_coun
     return r.select(api_offer(F.col("m"), F.col("_rc")).alias("o")).select("o.*")
 
 
+# FIXED PATTERNS of listing pages: anchors with their target, listing blocks, headings, paragraphs.
+LINK_RE = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+BLOCK_RE = r"(?s)<article(?:\s[^>]*)?>(.*?)</article>"
+HEAD2_RE, HEAD1_RE = r"(?s)<h2(?:\s[^>]*)?>(.*?)</h2>", r"(?s)<h1(?:\s[^>]*)?>(.*?)</h1>"
+PARAGRAPH_RE = r"(?s)<p(?:\s[^>]*)?>(.*?)</p>"
+COUNT_RE = r'(?s)<a\s[^>]*?href="[^"]*/stargazers"[^>]*>(.*?)</a>'
+TAG_RE = r"(?s)<[^>]*>"
+
+
+def tag_text(html) -> Column:
+    """Text of a piece of HTML: without tags, without white space at its ends."""
+    return F.regexp_replace(F.regexp_replace(as_col(html), TAG_RE, ""), r"^[ \t\r\n]+|[ \t\r\n]+$", "")
+
+
+def _first(html: Column, pattern: str) -> Column:
+    """Text of the first match, or null."""
+    return tag_text(F.try_element_at(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), F.lit(1)))
+
+
 def html_links(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
-    """A10: listing items of raw pages: every ``<a href="...">text</a>`` with
-    its position, the text without spaces (the reference strips them)."""
-    pattern = r'<a href="([^"]*)">([^<]*)</a>'
+    """A10: the links of raw pages, whatever other attributes or inner tags they have:
+    position, target, text without spaces (the reference strips them)."""
     items = pages.select(
         key,
-        F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(pattern), 1).alias("href"),
-                     F.regexp_extract_all(F.col(html), F.lit(pattern), 2).alias("text")).alias("items"))
+        F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(LINK_RE), F.lit(1)).alias("href"),
+                     F.regexp_extract_all(F.col(html), F.lit(LINK_RE), F.lit(2)).alias("text")).alias("items"))
     return items.select(key, F.posexplode("items").alias("pos", "it")).select(
         key, F.col("pos").cast("int").alias("pos"), F.col("it.href").alias("href"),
-        F.replace(F.col("it.text"), F.lit(" "), F.lit("")).alias("label"))
+        F.replace(tag_text("it.text"), F.lit(" "), F.lit("")).alias("label"))
+
+
+def html_blocks(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
+    """A10: the listing blocks (``article``) of raw pages: heading (second level before
+    first), its link's text without spaces, first paragraph, star count ('0' where there is none)."""
+    blocks = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(BLOCK_RE), F.lit(1))).alias("pos", "block"))
+    extract = lambda p: F.try_element_at(F.regexp_extract_all(F.col("block"), F.lit(p), F.lit(1)), F.lit(1))
+    blocks = blocks.withColumn("head", F.coalesce(extract(HEAD2_RE), extract(HEAD1_RE)))
+    link = tag_text(F.try_element_at(F.regexp_extract_all(F.col("head"), F.lit(LINK_RE), F.lit(2)), F.lit(1)))
+    return blocks.select(key, F.col("pos").cast("int").alias("pos"), tag_text("head").alias("title"),
+                         F.replace(link, F.lit(" "), F.lit("")).alias("item"), _first(F.col("block"), PARAGRAPH_RE).alias("description"),
+                         F.coalesce(_first(F.col("block"), COUNT_RE), F.lit("0")).alias("stars"))
 
 
 def wide_to_long(df: DataFrame, ids: list[str], value_cols: list[str],

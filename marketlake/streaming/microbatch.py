@@ -65,9 +65,16 @@ def read_fact(spark: SparkSession, root: str) -> DataFrame:
 
 # ------------------------------------------------------------- watermark
 
-def read_watermark(spark: SparkSession, root: str, start: str = config.AS_OF_DATE) -> str:
-    """The day last processed, as stored; ``start`` before the first run."""
-    return storage.last_entry(spark, f"{root.rstrip('/')}/watermark") or start
+def read_watermark(spark: SparkSession, root: str, start: str = config.AS_OF_DATE, mode: str = "parity") -> str:
+    """The watermark of the stored log of processed days; ``start`` before the first run.
+
+    ``parity``: the day processed last (a backfill moves it back, as in the
+    reference); ``greatest``: the latest of them.
+    """
+    log = f"{root.rstrip('/')}/watermark"
+    if mode == "parity" or not storage.committed(spark, log):
+        return storage.last_entry(spark, log) or start
+    return storage.entries(spark, log).agg(F.max("value")).first()[0]
 
 
 def run_day(spark: SparkSession, root: str, silver: DataFrame, day: str | None = None, mode: str = "parity",
@@ -75,16 +82,15 @@ def run_day(spark: SparkSession, root: str, silver: DataFrame, day: str | None =
     """One day of ``silver`` (by default the one after the stored watermark):
     gates, silver increment, fact, gates, upsert of that day, watermark.
 
-    A refused day changes nothing.  ``parity``: the watermark is the day just
-    processed (a backfill moves it back); ``greatest``: it never moves back.
+    A refused day changes nothing.
     """
-    seen = read_watermark(spark, root, start)
-    day = day or str(spark.sql(f"SELECT date_add(DATE'{seen}', 1)").first()[0])
+    if not day:
+        day = str(spark.sql(f"SELECT date_add(DATE'{read_watermark(spark, root, start, mode)}', 1)").first()[0])
     batch = materialize(silver.where(F.col("date_posted") == day).select(config.SALARY_COLS), "increment")
     upsert = gate_batch(batch, day)
     batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/silver_increment/{day}")
     upsert_days(spark, root, upsert)
-    storage.append_entry(spark, f"{root.rstrip('/')}/watermark", day if mode == "parity" else max(day, seen))
+    storage.append_entry(spark, f"{root.rstrip('/')}/watermark", day)
     return day
 
 

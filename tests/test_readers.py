@@ -77,3 +77,23 @@ def test_html_links_and_wide_to_long(spark):
     wide = spark.createDataFrame([("2026-06-01", "FR", 3, None)], "date string, country string, Python int, Go int")
     long = readers.wide_to_long(wide, ["date", "country"], ["Python", "Go"]).collect()
     assert [(x["keyword"], x["interest"]) for x in long] == [("Python", 3)]
+
+
+def test_listing_blocks(spark):
+    html = """<nav><a class="x" href="/a"> one <b>two</b></a></nav>
+<article class="Box-row"><h2 class="t"><a data-x="1" href="/own/repo"> own / <span>repo</span> </a></h2><p> A <i>fine</i> thing </p>
+<a href="/own/repo/stargazers"> 1,234 </a></article><article><h1>Plain</h1></article><articles>no</articles>"""
+    df = spark.createDataFrame([(1, html), (2, None), (3, "<p>x</p>")], "page_id int, html string")
+    assert [tuple(r) for r in readers.html_blocks(df).orderBy("pos").collect()] == [
+        (1, 0, "own / repo", "own/repo", "A fine thing", "1,234"), (1, 1, "Plain", None, None, "0")]
+    assert [tuple(r)[2:] for r in readers.html_links(df).orderBy("pos").collect()] == [
+        ("/a", "onetwo"), ("/own/repo", "own/repo"), ("/own/repo/stargazers", "1,234")]
+
+
+def test_raw_registry_of_the_tables(spark):
+    import os
+
+    from conftest import SF_SMALL
+    from marketlake.plans.catalog import QUERIES
+    got = {r["file"]: (r["length"], r["format"]) for r in QUERIES["raw_registry"](spark, SF_SMALL).collect()}
+    assert got == {f: (os.path.getsize(f"{SF_SMALL}/{f}"), "parquet") for f in os.listdir(SF_SMALL) if f.endswith(".parquet")}

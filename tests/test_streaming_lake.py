@@ -90,6 +90,7 @@ def test_run_day_gates_and_stores_the_watermark(spark):
     assert mb.run_day(spark, root, silver, "2026-06-18") == "2026-06-18"
     mb.run_day(spark, root, silver, "2026-06-16")
     assert mb.read_watermark(spark, root) == "2026-06-16"  # parity: a backfill moves it back
+    assert mb.read_watermark(spark, root, mode="greatest") == "2026-06-18"
     assert mb.read_fact(spark, root).count() == 2
     assert spark.read.parquet(f"{root}/silver_increment/2026-06-18").count() == 1
 
