@@ -14,8 +14,8 @@ from .. import config
 from ..sources import readers
 from ..functions.money import with_normalized_currency, with_salary_range
 from ..functions import (
-    map_country_iso2, normalize_skill_label, parse_salary_range,
-    range_midpoint_strict, row_mean_skipna, split_skill_list, thousands_int, fill_zero_int,
+    map_country_iso2, normalize_skill_label,
+    range_midpoint_strict, row_mean_skipna, thousands_int, fill_zero_int,
     timestamp_to_date_coerce, usd_prefix_amount,
 )
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import avg_cents, cents, date_parts, fold_country, fold_lower, indicator_pk, indicator_sk, round1, round2
+from ..functions import avg_cents, cents, date_parts, fold_country, fold_lower, indicator_pk, indicator_sk, round1
 from ..session import materialize
 from .quantiles import grouped_percentiles
 

@@ -10,9 +10,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .. import config
 from ..operators import indicators as ind
 from . import medallion as md
 from . import oracle as o

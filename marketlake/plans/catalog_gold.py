@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config, storage
-from ..functions import avg_cents, cents, indicator_pk, indicator_sk, split_skill_list, to_decimal_12_2
+from ..functions import cents, split_skill_list, to_decimal_12_2
 from ..operators import cleaners, gold, lake, quality, warehouse as wh
 from ..operators import indicators as ind
 from ..operators.quantiles import grouped_percentiles
