@@ -51,7 +51,7 @@ from .common import keep, map_arrow
 from .components import components
 
 SEEDS = 16
-STARS = 2
+STARS = 3
 BLOCK = 1024  # members of a key that are compared in one group with as many others
 SHARE = 200   # a shingle that one of so many distinct sets holds is common
 BAND = 1.4
@@ -294,11 +294,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             hit = (bits.value[(keys & ((1 << FILTER_BITS) - 1)) >> 6] >> (keys & 63)) & 1 == 1
             for part in C.slices(batch.filter(pa.array(hit)), "text"):
                 at, held = shingle_sets(part.column("text"), width)
-                yield pa.RecordBatch.from_arrays([part.column("row_key"), pa.LargeListArray.from_arrays(pa.array(at), pa.array(held.view(np.int64))).cast(pa.list_(pa.int64()))],
-                                                 names=["row_key", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(at, held)), pa.LargeListArray.from_arrays(pa.array(at), pa.array(held.view(np.int64))).cast(pa.list_(pa.int64()))],
+                                                 names=["cid", "set"])
 
-    held = map_arrow(docs.select("row_key", "text"), sets, "row_key bigint, set array<bigint>")
-    held = keep(held.join(rows, "row_key").dropDuplicates(["cid"]).select("cid", "set"), "wanted-sets")
+    held = map_arrow(docs.select("row_key", "text"), sets, "cid bigint, set array<bigint>")
+    held = keep(held.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "wanted-sets")
     both = near.join(held.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a") \
                .join(held.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b")
     inter = F.size(F.array_intersect("set_a", "set_b"))
@@ -337,31 +337,29 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 
 def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: int, percent: int, common: np.ndarray) -> DataFrame:
     own = Window.partitionBy("key")
-    seen = _entries(docs, width, plan, common).withColumn("least", F.min("cid").over(own)).withColumn("most", F.max("cid").over(own))
-    shared = keep(seen.filter("least <> most").select("key", "cid").distinct(), "shared-keys")
+    seen = _entries(docs, width, plan, common).withColumn("least", F.min("cid").over(own)).withColumn("most", F.max("cid").over(own)) \
+        .withColumn("hub", F.min(F.struct(F.xxhash64("cid", F.lit(0)).alias("h"), "cid")).over(own))
+    left = keep(seen.filter("least <> most").select("key", "cid", F.col("hub.cid").alias("hub"), F.col("cid").alias("component"),
+                                                    F.col("hub.cid").alias("hub_component")).distinct(), "shared-keys")
     links = None
-    for star in range(STARS):
-        placed = _placed(shared, links)
-        hubs = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64("cid", F.lit(star)).alias("h"), "cid", "component")).alias("hub"))
-        meet = placed.join(hubs, "key").filter(F.col("component") != F.col("hub.component"))
-        tried = meet.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
-        found = _verified(tried, classes, docs, width, percent)
+    for star in range(1, STARS + 1):
+        meet = left.filter("component <> hub_component").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
+        found = _verified(meet, classes, docs, width, percent)
         links = found if links is None else links.unionByName(found)
-    placed = _placed(shared, links)
-    apart = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("members")) \
-                  .filter("c1 <> c2").select("key", "members")
-    rest = placed.join(apart, "key").join(classes.select("cid", "n", "sketch"), "cid")
+        # the hub has met all it is not linked with, so it leaves; keys of one component are done
+        comp = components(links).withColumnRenamed("node", "cid")
+        placed = left.filter("cid <> hub").select("key", "cid").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        rank = F.struct(F.xxhash64("cid", F.lit(star)).alias("h"), "cid", "component")
+        placed = placed.withColumn("c1", F.min("component").over(own)).withColumn("c2", F.max("component").over(own)) \
+                       .withColumn("members", F.count(F.lit(1)).over(own)).withColumn("hub", F.min(rank).over(own))
+        left = keep(placed.filter("c1 <> c2").select("key", "cid", F.col("hub.cid").alias("hub"), "component",
+                                                     F.col("hub.component").alias("hub_component"), "members"), "apart-keys")
+        if left.isEmpty():
+            return links
+    rest = left.select("key", "cid", "component", "members").join(classes.select("cid", "n", "sketch"), "cid")
     return links.unionByName(_verified(_cross_pairs(rest, percent), classes, docs, width, percent))
 
 
-def _placed(shared: DataFrame, links: DataFrame | None) -> DataFrame:
-    """key, cid and the component that the links make of it so far."""
-    if links is None:
-        return shared.withColumn("component", F.col("cid"))
-    comp = components(links).withColumnRenamed("node", "cid")
-    return shared.join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-
-
 def _cross_pairs(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of one key and two components whose sketches do not rule a link out.
 
