@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..session import scratch_path
 
 #: Fixed values of the contracts: ASCII white space and the ASCII letters that are folded.
@@ -30,7 +31,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_path = path
+    return out
+
+
+def discard(*kept: DataFrame) -> None:
+    """Remove what ``keep`` wrote; only for tables that nothing still to be computed reads."""
+    for df in kept:
+        storage.remove(df.sparkSession, df.kept_path)
 
 
 def ascii_lower(c: Column) -> Column:

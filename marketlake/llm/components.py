@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import discard, keep
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
     seal = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = seal(edges)
     while before[0]:
-        edges = keep(_star(_star(edges, True), False), "edges")
+        last, edges = edges, keep(_star(_star(edges, True), False), "edges")
+        discard(last)
         now = seal(edges)
         if now == before:
             break

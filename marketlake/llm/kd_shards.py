@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc32_text, keep, literal_rows
+from .common import crc32_text, discard, keep, literal_rows
 
 FAN = 1024
 _LOWEST = -(2 ** 63)
@@ -119,7 +119,9 @@ def kd_shards(docs: DataFrame, shards: int = 16, dims: dict[str, Column] | None
             F.when(F.col("cut_k").isNull() | left, F.col("first")).otherwise(F.col("first") + half).alias("first"),
             F.when(F.col("cut_k").isNull(), F.col("k")).when(left, half).otherwise(F.col("cut_k") - half).alias("k"))
         nodes = {f: k for first, k0 in nodes.items() for f, k in ([(first, k0)] if k0 == 1 else [(first, k0 // 2), (first + k0 // 2, k0 - k0 // 2)])}
-    return _slots(tree.select("doc_id", "size", "text_crc32", "ord_id", F.col("first").alias("shard")))
+    placed = _slots(tree.select("doc_id", "size", "text_crc32", "ord_id", F.col("first").alias("shard")))
+    discard(points)
+    return placed
 
 
 def _slots(placed: DataFrame) -> DataFrame:

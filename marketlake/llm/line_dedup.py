@@ -26,7 +26,8 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_WS, ascii_lower, keep, new_folder
+from .. import storage
+from .common import ASCII_WS, ascii_lower, discard, keep, new_folder
 
 
 def lines_of(text: Column) -> Column:
@@ -51,9 +52,10 @@ class _Runs:
 
     def _write(self, counts: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex[:12]}"
+        path = new_folder(self.spark, name)
         (counts.repartition(self.buckets, "h1").write.format("parquet").bucketBy(self.buckets, "h1").sortBy("h1", "h2")
-               .option("compression", "zstd").option("path", new_folder(self.spark, name)).saveAsTable(name))
-        self.tables.append(name)
+               .option("compression", "zstd").option("path", path).saveAsTable(name))
+        self.tables.append((name, path))
         return self.spark.table(name)
 
     def _merge(self, a: DataFrame, b: DataFrame) -> DataFrame:
@@ -83,8 +85,9 @@ class _Runs:
         for r in runs[1:]:
             total = self._merge(total, r)
         out = keep(total.filter(F.col("n") >= self.min_docs).select("h1", "h2"), "line-frequent")
-        for t in self.tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        for name, path in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            storage.remove(self.spark, path)
         return out
 
 
@@ -99,7 +102,9 @@ def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batc
     runs = _Runs(docs.sparkSession, min_docs)
     for b in range(batches):
         runs.add(counts.filter(F.col("batch") == b).select("h1", "h2", "n"))
-    return runs.frequent()
+    frequent = runs.frequent()
+    discard(counts)
+    return frequent
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4) -> DataFrame:

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import codepoints as C
-from .common import keep, map_arrow
+from .common import discard, keep, map_arrow
 from .components import components
 
 SEEDS = 16
@@ -302,7 +302,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     both = near.join(held.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a") \
                .join(held.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b")
     inter = F.size(F.array_intersect("set_a", "set_b"))
-    return keep(both.filter(inter * 100 >= (F.col("n_a") + F.col("n_b") - inter) * percent).select("a", "b"), "links")
+    links = keep(both.filter(inter * 100 >= (F.col("n_a") + F.col("n_b") - inter) * percent).select("a", "b"), "links")
+    discard(near, held)
+    return links
 
 
 def row_key(*columns: str) -> Column:
@@ -352,8 +354,9 @@ def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: in
         rank = F.struct(F.xxhash64("cid", F.lit(star)).alias("h"), "cid", "component")
         placed = placed.withColumn("c1", F.min("component").over(own)).withColumn("c2", F.max("component").over(own)) \
                        .withColumn("members", F.count(F.lit(1)).over(own)).withColumn("hub", F.min(rank).over(own))
-        left = keep(placed.filter("c1 <> c2").select("key", "cid", F.col("hub.cid").alias("hub"), "component",
+        last, left = left, keep(placed.filter("c1 <> c2").select("key", "cid", F.col("hub.cid").alias("hub"), "component",
                                                      F.col("hub.component").alias("hub_component"), "members"), "apart-keys")
+        discard(last)
         if left.isEmpty():
             return links
     rest = left.select("key", "cid", "component", "members").join(classes.select("cid", "n", "sketch"), "cid")
