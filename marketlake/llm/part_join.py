@@ -57,8 +57,8 @@ SHARE = 200   # a shingle that one of so many distinct sets holds is common
 BAND = 1.4
 SKETCH = 8  # 64-bit words of parity sketch
 FILTER_BITS = 24
-#: A stranger agrees on a one-shingle segment with this chance; a verified pair costs so many entries.
-COMMON, PAIR_COST = 1e-4, 50.0
+#: A stranger shares a shingle that is not common with this chance; a verified pair costs so many entries.
+COMMON, PAIR_COST = 1e-7, 50.0
 
 
 def bands(most: int) -> list[tuple[int, int]]:
