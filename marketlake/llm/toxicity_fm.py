@@ -4,8 +4,10 @@ Terms are a text's lower-cased words and their first four and five letters,
 hashed into ``2 ** BITS`` slots; a text is the set of its terms.  The model adds
 a weight for each term and, through ``FACTORS``-dimensional factors, a weight
 for each pair of terms, so that two harmless words can be harmful together (the
-sum over pairs is divided by the number of terms, or long texts would drown in it).
-It is fitted by AdaGrad with an L1 proximal step on a bounded sample of the
+sum over n terms' pairs is divided by twice the root of n: undivided, long texts
+would drown in it; divided by n, no pair of a long text could be learned).
+It is fitted by AdaGrad with an L1 proximal step (the factors' penalty is far below
+their gradients, or it would hold them at 0) on a bounded sample of the
 labelled rows (``train_rows``, chosen by a hash of the id); every text is
 scored in one pass without a shuffle, whole.
 
@@ -56,6 +58,11 @@ def _row_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total
 
 
+def _spread(n: np.ndarray) -> np.ndarray:
+    """What the pair sum of a text of ``n`` terms is divided by."""
+    return 2 * np.sqrt(np.maximum(n, 1))
+
+
 @dataclass
 class Model:
     bias: float
@@ -65,7 +72,7 @@ class Model:
     def logits(self, at: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = self.factor[terms]
         total = _row_sums(v, at)
-        pairs = 0.5 * ((total ** 2).sum(1) - _row_sums((v * v).sum(1), at)) / np.maximum(np.diff(at), 1)
+        pairs = 0.5 * ((total ** 2).sum(1) - _row_sums((v * v).sum(1), at)) / _spread(np.diff(at))
         return self.bias + _row_sums(self.weight[terms], at) + pairs, total
 
     def score(self, at: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -73,12 +80,12 @@ class Model:
 
 
 def train(at: np.ndarray, terms: np.ndarray, y: np.ndarray, steps: int = 512, batch: int = 128, rate: float = 0.1,
-          l1: float = 5e-4, l1_factor: float = 1e-4, seed: int = 7) -> Model:
+          l1: float = 5e-4, l1_factor: float = 1e-5, seed: int = 7) -> Model:
     size = 1 << BITS
     rng = np.random.default_rng(seed)
     share = (y.sum() + 0.5) / (len(y) + 1)
     model = Model(float(np.log(share / (1 - share))) if len(y) else 0.0, np.zeros(size), rng.normal(0, 0.01, (size, FACTORS)))
-    seen_w, seen_v, seen_b = np.full(size, 1e-8), np.full((size, FACTORS), 1e-8), 1e-8
+    seen_w, seen_v, seen_b = np.full(size, 1e-8), np.full((size, FACTORS), 1e-16), 1e-8
     width = np.diff(at)
     rounds = -(-steps * batch // max(1, len(y))) if len(y) else 0
     for _ in range(rounds):
@@ -91,7 +98,7 @@ def train(at: np.ndarray, terms: np.ndarray, y: np.ndarray, steps: int = 512, ba
             logit, total = model.logits(cut, own)
             off = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[rows]
             each = np.repeat(off, n) / len(rows)
-            part = each / np.repeat(np.maximum(n, 1), n)
+            part = each / np.repeat(_spread(n), n)
             used, where = np.unique(own, return_inverse=True)
             g = np.bincount(where, weights=each, minlength=len(used))
             pull = part[:, None] * (np.repeat(total, n, axis=0) - model.factor[own])
@@ -101,7 +108,7 @@ def train(at: np.ndarray, terms: np.ndarray, y: np.ndarray, steps: int = 512, ba
             w = model.weight[used] - step * g
             model.weight[used] = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
             seen_v[used] += gv * gv
-            step = 0.3 * rate / np.sqrt(seen_v[used] + 1e-6)
+            step = rate / np.sqrt(seen_v[used] + 1e-12)
             v = model.factor[used] - step * gv
             model.factor[used] = np.sign(v) * np.maximum(np.abs(v) - step * l1_factor, 0)
             seen_b += off.mean() ** 2

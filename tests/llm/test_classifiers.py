@@ -62,6 +62,24 @@ def test_fm_logit_matches_the_pair_sum():
     assert np.allclose(got, [0.3 + model.weight[terms].sum() + pairs / 4, 0.3])
 
 
+def test_fm_fits_pairs_of_long_texts(spark, frame):
+    """With the defaults of fit(): no word shows the label, only whether the two marks agree."""
+    fill = [a + b + c for a in ("br", "cl", "dw", "fj", "gn", "kp") for b in "aeiou" for c in ("lond", "mist", "nurk", "pelt", "rasp", "tuff")]
+    rng, rows = np.random.default_rng(11), []
+    for i in range(2400):
+        a, b = rng.integers(0, 2, 2)
+        text = [*rng.choice(fill, 130, replace=False), ("amber", "violet")[a], ("hammer", "spindle")[b]]
+        rows.append((i, " ".join(rng.permutation(text)), int(a == b)))
+    labels = spark.createDataFrame([(i, 0, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    docs = frame([r[:2] for r in rows])
+    model = X.fit(docs, labels, F.col("doc_id") < 2000)
+    at, terms = X.hashed_terms(pa.array([t for _, t, _ in rows]))
+    assert np.diff(at).min() >= 300 and np.count_nonzero(model.factor) > 0
+    held = [r for r in X.score(docs, model).filter("doc_id >= 2000").join(labels, "doc_id").collect()]
+    assert np.mean([r[X.SCORE] >= 0.5 for r in held if r["toxic"] == 1]) >= 0.8
+    assert np.mean([r[X.SCORE] < 0.5 for r in held if r["toxic"] == 0]) >= 0.8
+
+
 def test_odd_rows(spark, frame, odd_rows):
     docs = frame(odd_rows, extra=True)
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (8, 1, None), (9, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
