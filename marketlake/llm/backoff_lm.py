@@ -1,13 +1,21 @@
 """Stupid-backoff scores of documents, from relational n-gram counts.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  The model is a word
-table and a table of word pairs, counted over all documents and partitioned by
-hash; pairs counted fewer than ``min_count`` times are pruned from the model.
-A word scores log(pair / word before it) where the pair is in the model, else
-log(alpha * word / all words); the first word of a document log(word / all).
-A document's score is the sum over its words.
-
-How it scales: the ``frequent`` most common words at most hold 1 / frequent of
+Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  The model is the counts
+of all n-grams of one to ``order`` words over all documents, partitioned by
+hash; n-grams of two words or more that are counted fewer than ``min_count``
+times are pruned from it (1: none is).  A word scores log(n-gram / n-gram without
+its last word) for the longest n-gram that ends in it within its document, and
+is in the model; each step to a shorter one costs log(alpha), and a lone word
+scores log(word / all words).  A document's score is the sum over its words.
+
+How it scales, any order but 2: documents are dealt by hash into chunks of about
+CHUNK characters.  A chunk sends each distinct n-gram once, with its count in
+the chunk, packed by hash bucket; a bucket adds up its n-grams and sends each
+chunk the totals in the order asked, without the n-grams; the chunk scores its
+documents with them.  A common n-gram is one entry for each chunk, however many
+documents hold it; the buckets grow in number with the chunks.
+
+How it scales, order 2: the ``frequent`` most common words at most hold 1 / frequent of
 all words each, so their table has a proven bound and is broadcast; they get
 small codes, the others their 64-bit hashes.  Pairs that alone hold 1 / HOT of
 all words or more (at most HOT of them, again by count) are scored where the
@@ -33,10 +41,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import codepoints as C
-from .common import keep, map_arrow
+from .common import keep, map_arrow, ship
 from .part_join import _ascii
 
 FREQUENT, HOT = 1 << 19, 1 << 12
+#: Characters of a chunk; buckets for every 64 chunks.
+CHUNK, BUCKETS = 1 << 24, 256
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +114,129 @@ def _count_hot(docs: DataFrame, codes, top: int) -> DataFrame:
     return map_arrow(docs.select("text"), count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2) -> DataFrame:
+def _grams(doc: np.ndarray, h: np.ndarray, order: int) -> list[np.ndarray]:
+    """For one to ``order`` words, the hash of the n-gram that ends in each word (0: it would begin before its document)."""
+    out = [C.mixed(h) | np.uint64(1)]
+    for k in range(1, order):
+        longer = np.zeros(len(h), np.uint64)
+        if len(h) > k:
+            whole = doc[k:] == doc[:-k]
+            longer[k:][whole] = C.mixed(out[-1][k - 1:-1][whole] * np.uint64(0x9E3779B97F4A7C15) + h[k:][whole]) | np.uint64(1)
+        out.append(longer)
+    return out
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers of 0 or more, without the leading bytes that none of them has; equal bytes stand together, for the shuffle's compression."""
+    x = x.astype("<u8")
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(-1, n) if n else np.zeros((1, 0), np.uint8)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :len(planes)] = planes.T
+    return out.view("<u8").reshape(-1)
+
+
+class _Chunk:
+    """The n-grams of a chunk's documents, for each order and word (``grams``)."""
+
+    def __init__(self, table: pa.Table, order: int):
+        docs, grams, n = [], [], 0
+        for batch in table.select(["text"]).to_batches():
+            for part in C.slices(batch, "text"):
+                doc, h = word_hashes(part.column("text"))
+                grams.append(_grams(doc, h, order))
+                docs.append(doc.astype(np.int64) + n)
+                n += part.num_rows
+        self.n = n
+        self.doc = np.concatenate([np.zeros(0, np.int64), *docs])
+        self.grams = [np.concatenate([np.zeros(0, np.uint64), *g]) for g in zip(*grams)] or [np.zeros(0, np.uint64)] * order
+
+    def distinct(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct n-grams of order k + 1 by their hashes, and how often each occurs."""
+        return np.unique(self.grams[k][self.grams[k] != 0], return_counts=True)
+
+    def looked_up(self, k: int, counts: np.ndarray) -> np.ndarray:
+        """For each word, the count of the n-gram that ends there (none: 0), from those of ``distinct``."""
+        whole = self.grams[k] != 0
+        out = np.zeros(len(whole), np.int64)
+        out[whole] = counts[np.unique(self.grams[k][whole], return_inverse=True)[1]]
+        return out
+
+
+def _score_chunks(docs: DataFrame, alpha: float, min_count: int, order: int) -> DataFrame:
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    chunks = -(-chars // CHUNK) or 1
+    buckets = BUCKETS * -(-chunks // 64)
+    docs = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
+
+    def ask(table: pa.Table) -> pa.Table:
+        chunk, parts = _Chunk(table, order), []
+        step = (1 << 64) // buckets  # a bucket is a range of hashes of one order; the last one has the rest too
+        for k in range(order):
+            held, times = chunk.distinct(k)
+            at = np.append(np.searchsorted(held, np.array([i * step for i in range(buckets)], np.uint64)), len(held))
+            full = np.flatnonzero(np.diff(at))
+            own = [held[at[b]:at[b + 1]] for b in full]
+            parts.append(pa.table({"bucket": pa.array((full + k * buckets).astype(np.int32)), "chunk": pa.array(np.full(len(full), table.column("chunk")[0].as_py(), np.int32)),
+                                   "n": pa.array(np.diff(at)[full].astype(np.int32)), "least": pa.array([int(g[0]) - (1 << 63) for g in own], pa.int64()),
+                                   "gaps": pa.array([_packed(np.diff(g)) for g in own], pa.binary()),
+                                   "times": pa.array([_packed(times[at[b]:at[b + 1]]) for b in full], pa.binary())}))
+        return pa.concat_tables(parts)
+
+    def answer(table: pa.Table) -> pa.Table:
+        sizes = table.column("n").to_pylist()
+        grams = [np.cumsum(np.concatenate((np.array([least + (1 << 63)], np.uint64), _unpacked(gaps, n - 1))), dtype=np.uint64)
+                 for n, least, gaps in zip(sizes, table.column("least").to_pylist(), table.column("gaps").to_pylist())]
+        times = np.concatenate([_unpacked(t, n) for n, t in zip(sizes, table.column("times").to_pylist())])
+        held, where = np.unique(np.concatenate(grams), return_inverse=True)
+        total = np.bincount(where, weights=times, minlength=len(held)).astype(np.int64)[where]  # exact below 2 ** 53
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "n": table.column("n"),
+                         "counts": pa.array([_packed(total[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary())})
+
+    def scored(table: pa.Table, told: pa.Table) -> pa.Table:
+        own = _Chunk(table, order)
+        told = told.sort_by("bucket")
+        told_order = told.column("bucket").to_numpy() // buckets
+
+        def counted(k: int) -> np.ndarray:
+            part = told.filter(pa.array(told_order == k))
+            counts = [_unpacked(c, n).astype(np.int64) for c, n in zip(part.column("counts").to_pylist(), part.column("n").to_pylist())]
+            return own.looked_up(k, np.concatenate([np.zeros(0, np.int64), *counts]))
+
+        last = counted(0)
+        value = np.log(np.maximum(last, 1))  # log(all words) is taken off at the end
+        lone = np.ones(len(value))
+        for k in range(1, order):
+            now = counted(k)
+            before = np.concatenate(([1], last[:-1]))
+            here, there = now >= max(min_count, 1), own.grams[k] != 0
+            value = np.where(here, np.log(np.maximum(now, 1)) - np.log(np.maximum(before, 1)), np.where(there, value + np.log(alpha), value))
+            lone = np.where(here, 0.0, lone)
+            last = now
+        n_words = np.bincount(own.doc, minlength=own.n)
+        return pa.table({"doc_id": table.column("doc_id"), "n_words": pa.array(n_words.astype(np.int64)),
+                         "v": pa.array(np.bincount(own.doc, weights=value, minlength=own.n).astype(float)),
+                         "lone": pa.array(np.bincount(own.doc, weights=lone, minlength=own.n).astype(float))})
+
+    ship(docs.sparkSession)
+    asked = docs.groupBy("chunk").applyInArrow(ask, "bucket int, chunk int, n int, least bigint, gaps binary, times binary")
+    told = asked.groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, n int, counts binary")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = keep(docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(scored, f"doc_id {kind}, n_words bigint, v double, lone double"), "scores")
+    total = rows.agg(F.sum("n_words")).first()[0] or 1
+    log_score = F.col("v") - F.col("lone") * F.lit(float(np.log(max(total, 1))))
+    return rows.select("doc_id", "n_words", log_score.alias("log_score"), F.when(F.col("n_words") > 0, log_score / F.col("n_words")).alias("mean_log_score"))
+
+
+def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, order: int = 2) -> DataFrame:
     """doc_id, n_words, log_score (sum over words) and mean_log_score for every row of ``docs`` (doc_id, text)."""
+    if order != 2:
+        return _score_chunks(docs, alpha, min_count, order)
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
     words = keep(_count_words(docs), "words")

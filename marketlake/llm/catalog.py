@@ -143,20 +143,25 @@ FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id LEFT JOIN c ON c.node
 
 @_query
 def op8_stupid_backoff(spark, sf_dir):
-    out = backoff_lm.score(_table(spark, sf_dir, "documents"), alpha=0.4, min_count=2)
+    out = backoff_lm.score(_table(spark, sf_dir, "documents"), alpha=0.4, min_count=1, order=3)
     return out.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
 ORACLE["op8_stupid_backoff"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
-t AS (SELECT r, unnest(ws) AS w, unnest(list_concat([NULL], ws[:-2])) AS before, unnest(range(len(ws))) AS i FROM d),
+t AS (SELECT r, unnest(ws) AS w, unnest(list_concat([NULL], ws[:-2])[:len(ws)]) AS before,
+      unnest(list_concat([NULL, NULL], ws[:-3])[:len(ws)]) AS further,
+      unnest(range(len(ws))) AS i FROM d),
 u AS (SELECT w, count(*) AS n FROM t GROUP BY w),
-b AS (SELECT before, w, count(*) AS n FROM t WHERE before IS NOT NULL GROUP BY ALL),
+b AS (SELECT before, w, count(*) AS n FROM t WHERE i >= 1 GROUP BY ALL),
+c AS (SELECT further, before, w, count(*) AS n FROM t WHERE i >= 2 GROUP BY ALL),
 a AS (SELECT count(*) AS n FROM t),
-s AS (SELECT t.r, count(*) AS n_words, sum(CASE WHEN t.before IS NULL THEN ln(u.n / a.n)
-        WHEN b.n >= 2 THEN ln(b.n / v.n) ELSE ln(0.4 * u.n / a.n) END) AS total
-      FROM t JOIN u ON u.w = t.w LEFT JOIN u v ON v.w = t.before LEFT JOIN b ON b.before = t.before AND b.w = t.w, a GROUP BY t.r)
+s AS (SELECT t.r, count(*) AS n_words, sum(CASE WHEN c.n >= 1 THEN ln(c.n / p.n) ELSE CASE WHEN t.i >= 2 THEN ln(0.4) ELSE 0 END
+        + CASE WHEN b.n >= 1 THEN ln(b.n / v.n) ELSE CASE WHEN t.i >= 1 THEN ln(0.4) ELSE 0 END + ln(u.n / a.n) END END) AS total
+      FROM t JOIN u ON u.w = t.w LEFT JOIN u v ON v.w = t.before LEFT JOIN b ON b.before = t.before AND b.w = t.w
+        LEFT JOIN b p ON p.before = t.further AND p.w = t.before
+        LEFT JOIN c ON c.further = t.further AND c.before = t.before AND c.w = t.w, a GROUP BY t.r)
 SELECT doc_id, coalesce(n_words, 0) AS n_words, round(total / n_words, 6) AS mean_log_score FROM d LEFT JOIN s USING (r)
 """
 

@@ -169,3 +169,31 @@ def test_backoff_against_direct_counts(frame, odd_rows, monkeypatch):
         assert sorted(((r["doc_id"], r["n_words"], round(r["log_score"], 6)) for r in got), key=str) == \
             sorted(((i, *score(t)) for i, t in rows), key=str)
     assert backoff_lm.score(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("order, min_count", [(3, 1), (3, 2), (4, 1), (1, 1)])
+def test_backoff_of_higher_orders_against_direct_counts(frame, odd_rows, monkeypatch, order, min_count):
+    rows = odd_rows + [(50 + i, " ".join(words(i % 7, 30 + i))) for i in range(20)] + [(90, "two words"), (91, "seen once before three words")]
+    cut = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) if w]
+    n = {}
+    for _, t in rows:
+        ws = cut(t)
+        for k in range(1, order + 1):
+            for i in range(len(ws) - k + 1):
+                n[tuple(ws[i:i + k])] = n.get(tuple(ws[i:i + k]), 0) + 1
+    total = sum(c for g, c in n.items() if len(g) == 1)
+
+    def log_of(gram):
+        if len(gram) == 1:
+            return math.log(n[gram] / total)
+        return math.log(n[gram] / n[gram[:-1]]) if n[gram] >= min_count else math.log(0.4) + log_of(gram[1:])
+
+    def score(t):
+        ws = cut(t)
+        return len(ws), round(sum(log_of(tuple(ws[max(0, i - order + 1):i + 1])) for i in range(len(ws))), 6)
+
+    for chunk in (1 << 24, 2000):  # one chunk, and some
+        monkeypatch.setattr(backoff_lm, "CHUNK", chunk)
+        got = backoff_lm.score(frame(rows, extra=True), min_count=min_count, order=order).collect()
+        assert sorted(((r["doc_id"], r["n_words"], round(r["log_score"], 6)) for r in got), key=str) == sorted(((i, *score(t)) for i, t in rows), key=str)
+    assert backoff_lm.score(frame([]), min_count=min_count, order=order).count() == 0
