@@ -110,3 +110,15 @@ def test_hot_items_lookup_reads_one_folder(spark):
     held = ind.hot_indicator_lookup(ind.write_hot_items(items, fresh_path(spark, "test-hot")), "de")
     assert [tuple(r) for r in held.collect()] == [("country#DE", "skill#python", 4.0, 5.0, 6)]
     assert "PartitionFilters: [isnotnull(pk" in held._jdf.queryExecution().executedPlan().toString()
+
+
+def test_watermark_state_has_a_step_for_every_day(spark):
+    import __spark_entry__ as entry
+    from marketlake.operators import gold
+    from marketlake.plans import medallion as md
+    from marketlake.plans.catalog_gold import REPLAY_DATE
+
+    days = sorted(r[0] for r in md.distinct_salary(spark, SF_SMALL, gold.distinct_dates).collect() if r[0] != config.AS_OF_DATE)
+    rows = sorted(map(tuple, entry.queries()["watermark_state"](spark, SF_SMALL).select("step", "batch_date", "watermark_greatest").collect()))
+    assert len(days) > 3
+    assert rows == [(i, d, d) for i, d in enumerate(days, 1)] + [(len(days) + 1, REPLAY_DATE, max(days + [REPLAY_DATE]))]
