@@ -28,6 +28,10 @@ components are compared by their sketches, in blocks of bounded size: a parity
 sketch gives a lower bound of the difference, so what it drops cannot link.  The
 rest are verified exactly on their whole sets.
 
+The result is the components only.  Pairs of one component that met after it had
+formed are not compared, so there is no list of all links, and no number of links
+of a document, to be had from this join.
+
 Cases: null and empty texts, and texts of white space, have no set (size 0) and
 link with nothing; fewer words than a shingle: the whole sequence is the one
 shingle; equal sets are one class (told apart by a 64-bit fingerprint); equal
