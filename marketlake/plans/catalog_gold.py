@@ -356,19 +356,41 @@ def q_dq_row_order(spark, sf):
     return f.where(~((F.col("min_salary") <= avg) & (avg <= F.col("max_salary"))))
 
 
-@query("dq_coerce", o.with_ctes(o.OBS) + """SELECT 'ConvertedCompYearly' AS "column", 'bigint' AS type,
-  CAST(count(*) FILTER (WHERE l_orderkey % 50 IN (1, 2) AND (l_orderkey % 50 = 2 OR price >= 1000)) AS BIGINT)
-  AS failures FROM obs WHERE src = 'so_survey'
-UNION ALL SELECT 'Date', 'date', CAST(count(*) FILTER (WHERE TRY_CAST(date_posted AS DATE) IS NULL) AS BIGINT)
-  FROM obs WHERE src = 'indeed'
-UNION ALL SELECT 'Zone', 'int', CAST(count(*) FILTER (WHERE TRY_CAST(country_name AS INTEGER) IS NULL) AS BIGINT)
-  FROM obs WHERE src = 'indeed'""")
+#: Columns of the raw records and their declared types, for each source.
+_DECLARED = {
+    "adzuna": {"title": "string", "company": "string", "location": "string", "salary_min": "double", "salary_max": "double",
+               "category": "string", "country": "string", "created": "timestamp"},
+    "indeed": {"Intitulé": "string", "Entreprise": "string", "Lieu": "string", "Salaire annoncé": "string", "Requête": "string",
+               "Zone": "int", "Date": "date"},
+    "glassdoor": {"Rôle": "string", "Ville": "string", "Pays": "string", "Niveau": "string", "skill": "string",
+                  "salary_range": "string", "date_posted": "date"},
+    "so_survey": {"Country": "string", "ConvertedCompYearly": "bigint", "LanguageHaveWorkedWith": "string"},
+}
+#: Conditions on the observations under which a raw value cannot be cast; any other column has none.
+_UNCASTABLE = {
+    ("adzuna", "created"): f"TRY_CAST(date_posted || '{adapter.STAMP}' AS TIMESTAMP) IS NULL",
+    ("indeed", "Date"): "TRY_CAST(date_posted AS DATE) IS NULL",
+    ("indeed", "Zone"): "TRY_CAST(country_name AS INTEGER) IS NULL",
+    ("glassdoor", "date_posted"): "TRY_CAST(date_posted AS DATE) IS NULL",
+    ("so_survey", "ConvertedCompYearly"): "l_orderkey % 50 IN (1, 2) AND (l_orderkey % 50 = 2 OR price >= 1000)",
+}
+
+
+@query("dq_coerce", o.with_ctes(o.OBS) + " UNION ALL ".join(
+    f"""SELECT '{s}' AS source, '{c}' AS "column", '{t}' AS type,
+  CAST(count(*) FILTER (WHERE src = '{s}' AND ({_UNCASTABLE.get((s, c), 'false')})) AS BIGINT) AS failures FROM obs"""
+    for s, types in _DECLARED.items() for c, t in types.items()))
 def q_dq_coerce(spark, sf):
-    """H5: values present but not castable to the declared type."""
+    """H5: values present but not castable to the declared type, for every column of every source."""
     obs = md.observations(spark, sf)
-    s = quality.coerce_failures(adapter.survey_rows(obs), {"ConvertedCompYearly": "bigint"})
-    b = quality.coerce_failures(adapter.board_rows(obs), {"Date": "date", "Zone": "int"})
-    return s.unionByName(b)
+    named = "struct<display_name: string>"
+    texts = F.from_json("json", f"array<struct<title: string, company: {named}, location: {named}, salary_min: string, salary_max: string, "
+                                "category: struct<tag: string>, country: string, created: string>>")
+    offers = adapter.offers_json_arrays(obs).select(F.inline(texts)).withColumns(
+        {"company": F.col("company.display_name"), "location": F.col("location.display_name"), "category": F.col("category.tag")})
+    raw = {"adzuna": offers, "indeed": adapter.board_rows(obs), "glassdoor": adapter.range_rows(obs), "so_survey": adapter.survey_rows(obs)}
+    return functools.reduce(DataFrame.unionByName, [
+        quality.coerce_failures(raw[s], types).select(F.lit(s).alias("source"), "*") for s, types in _DECLARED.items()])
 
 
 _CASES_SQL = SILVER_SQL + """SELECT source AS dataset, 'salary_eur' AS "column", 'in_range(1000,500000)' AS "check",

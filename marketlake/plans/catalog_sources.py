@@ -4,6 +4,9 @@ adapter; each oracle derives the expected values from the numbers."""
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -125,18 +128,18 @@ def q_raw_registry(spark, sf):
     return r.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "format")
 
 
-@query("raw_record_count", OBS + """SELECT 'json' AS format, CAST(floor(l_orderkey / 64) AS BIGINT) AS page,
-  CAST(count(*) AS INTEGER) AS records FROM obs WHERE src = 'adzuna' GROUP BY 1, 2
-UNION ALL
-SELECT 'csv', CAST(floor(l_orderkey / 64) AS BIGINT), CAST(count(*) AS INTEGER) FROM obs WHERE src = 'indeed' GROUP BY 1, 2""")
+@query("raw_record_count", OBS + """SELECT src AS source, CASE WHEN src = 'adzuna' THEN 'json' ELSE 'csv' END AS format,
+  CAST(floor(l_orderkey / 64) AS BIGINT) AS page, CAST(count(*) AS INTEGER) AS records FROM obs GROUP BY 1, 2, 3""")
 def q_raw_record_count(spark, sf):
-    """Record counts of raw texts: JSON array length, CSV newlines - 1."""
+    """Record counts of the raw texts of every source: JSON array length, CSV newlines - 1."""
     obs = _obs(spark, sf)
-    j = adapter.offers_json_arrays(obs).select(F.lit("json").alias("format"), F.col("page").cast("bigint"),
-                                               readers.raw_record_count("json", F.lit("json")).alias("records"))
-    c = adapter.board_csv_chunks(obs).select(F.lit("csv").alias("format"), F.col("page").cast("bigint"),
-                                             readers.raw_record_count("csv", F.lit("csv")).alias("records"))
-    return j.unionByName(c)
+    texts = [("adzuna", "json", adapter.offers_json_arrays(obs)),
+             ("indeed", "csv", adapter.board_csv_chunks(obs)),
+             ("glassdoor", "csv", adapter.csv_chunks(adapter.range_rows(obs), readers.RANGE_SCHEMA.names)),
+             ("so_survey", "csv", adapter.csv_chunks(adapter.survey_rows(obs), readers.SURVEY_SCHEMA.names))]
+    return functools.reduce(DataFrame.unionByName, [
+        t.select(F.lit(source).alias("source"), F.lit(fmt).alias("format"), F.col("page").cast("bigint"),
+                 readers.raw_record_count(fmt, F.lit(fmt)).alias("records")) for source, fmt, t in texts])
 
 
 def _text_sql(x: str) -> str:

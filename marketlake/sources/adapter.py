@@ -185,10 +185,14 @@ def board_csv_lines(obs: DataFrame) -> DataFrame:
 
 def board_csv_chunks(obs: DataFrame) -> DataFrame:
     """Whole CSV texts (header + rows) per page, as raw bronze bytes would be."""
-    header = ",".join(BOARD_COLUMNS)
-    lines = board_csv_lines(obs).withColumn("page", _page())
+    return csv_chunks(board_rows(obs), BOARD_COLUMNS)
+
+
+def csv_chunks(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of one source rendered as whole CSV texts (header + rows) per page."""
+    lines = rows.select(_page().alias("page"), F.to_csv(F.struct(*[F.col(c) for c in columns])).alias("line"))
     return (lines.groupBy("page")
-                 .agg(F.concat(F.lit(header + "\n"),
+                 .agg(F.concat(F.lit(",".join(columns) + "\n"),
                                F.concat_ws("\n", F.collect_list("line")), F.lit("\n")).alias("csv")))
 
 

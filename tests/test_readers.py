@@ -97,3 +97,17 @@ def test_raw_registry_of_the_tables(spark):
     from marketlake.plans.catalog import QUERIES
     got = {r["file"]: (r["length"], r["format"]) for r in QUERIES["raw_registry"](spark, SF_SMALL).collect()}
     assert got == {f: (os.path.getsize(f"{SF_SMALL}/{f}"), "parquet") for f in os.listdir(SF_SMALL) if f.endswith(".parquet")}
+
+
+def test_raw_counts_and_casts_cover_every_source(spark):
+    import __spark_entry__ as entry
+    from marketlake import config
+    from marketlake.plans import medallion as md
+
+    q = entry.queries()
+    obs = {r["src"]: r["count"] for r in md.observations(spark, "/root/testdata/sf0.001").groupBy("src").count().collect()}
+    counted = {r["source"]: r["n"] for r in q["raw_record_count"](spark, "/root/testdata/sf0.001").groupBy("source").agg({"records": "sum"}).withColumnRenamed("sum(records)", "n").collect()}
+    assert counted == obs and set(obs) == set(config.SALARY_SOURCES)
+    rows = {(r["source"], r["column"]): r["failures"] for r in q["dq_coerce"](spark, "/root/testdata/sf0.001").collect()}
+    assert {s for s, _ in rows} == set(config.SALARY_SOURCES) and len(rows) == 25
+    assert rows["indeed", "Zone"] == obs["indeed"] and rows["glassdoor", "date_posted"] == 0
