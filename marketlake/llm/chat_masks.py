@@ -149,7 +149,7 @@ def masked_texts(formatted: str, starts: np.ndarray, ends: np.ndarray, loss: np.
     return [unescape(formatted[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
 
 
-def _formatter(spec, max_chars: int, trained: str):
+def _formatter(spec, max_chars: int | None, trained: str):
     fields = [("conv_id", pa.int64()), ("part", pa.int64()), ("n_turns", pa.int32()), ("formatted", pa.string()),
               ("input_ids", pa.list_(pa.int32())), ("token_starts", pa.list_(pa.int32())), ("token_ends", pa.list_(pa.int32())),
               ("loss_mask", pa.list_(pa.bool_()))]
@@ -173,7 +173,7 @@ def _formatter(spec, max_chars: int, trained: str):
         held = 0
         for b in batches:
             for c, pid, role, text in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if turns and ((c, pid) != conv or chars > max_chars):
+                if turns and ((c, pid) != conv or max_chars is not None and chars > max_chars):
                     close()
                     held += chars
                     seq = seq + 1 if (c, pid) == conv else 0
@@ -191,12 +191,8 @@ def _formatter(spec, max_chars: int, trained: str):
     return run
 
 
-def format_conversations(conversations: DataFrame, spec: str, max_chars: int = 1 << 20, trained: str = "assistant") -> DataFrame:
-    """One row for each conversation (long ones: several, by ``part``): the formatted text, its tokens with
-    their offsets, and the mask of the tokens that belong to texts of the ``trained`` role.
-
-    ``spec`` is the JSON text of a byte-level tokenizer.
-    """
+def _branches(conversations: DataFrame, spec: str, max_chars: int, trained: str) -> tuple[DataFrame, DataFrame]:
+    """Formatted conversations of one row each, and those that come in parts."""
     spark = conversations.sparkSession
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -209,10 +205,20 @@ def format_conversations(conversations: DataFrame, spec: str, max_chars: int = 1
     short = rows.join(long_ones, same, "left_anti").repartition("conv_id").withColumn("pid", F.lit(0).cast("long"))
     cut = (rows.join(long_ones, same, "left_semi").withColumn("tie", F.monotonically_increasing_id())
                .repartitionByRange(*by_turn, "tie").withColumn("pid", F.spark_partition_id().cast("long")))
-    run = _formatter(spark.sparkContext.broadcast(spec), max_chars, trained)
+    shipped = spark.sparkContext.broadcast(spec)
     columns = ["conv_id", "pid", "role", "text"]
-    return map_arrow(short.sortWithinPartitions(*by_turn).select(*columns), run, SCHEMA).unionByName(
-        map_arrow(cut.sortWithinPartitions(*by_turn).select(*columns), run, SCHEMA))
+    return (map_arrow(short.sortWithinPartitions(*by_turn).select(*columns), _formatter(shipped, None, trained), SCHEMA),
+            map_arrow(cut.sortWithinPartitions(*by_turn).select(*columns), _formatter(shipped, max_chars, trained), SCHEMA))
+
+
+def format_conversations(conversations: DataFrame, spec: str, max_chars: int = 1 << 20, trained: str = "assistant") -> DataFrame:
+    """One row for each conversation (long ones: several, by ``part``): the formatted text, its tokens with
+    their offsets, and the mask of the tokens that belong to texts of the ``trained`` role.
+
+    ``spec`` is the JSON text of a byte-level tokenizer.
+    """
+    whole, cut = _branches(conversations, spec, max_chars, trained)
+    return whole.unionByName(cut)
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -250,11 +256,19 @@ def _read(batches):
         yield flush()
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
+def read_back(formatted: DataFrame, whole: bool = False) -> DataFrame:
     """Digests of each conversation, read from the formatted texts, the offsets and the masks alone.
 
-    A digest follows a conversation's rows in order, so those of one conversation pass through one task, a row at a time.
+    A digest follows a conversation's rows in order, so those of one conversation pass through one task, a row at a
+    time; where every row is a ``whole`` conversation they stay where they are.
     """
-    by = [F.col("conv_id").asc_nulls_first(), F.col("part")]
     rows = formatted.select("conv_id", "part", "formatted", "token_starts", "token_ends", "loss_mask")
-    return map_arrow(rows.repartition("conv_id").sortWithinPartitions(*by).drop("part"), _read, DIGESTS)
+    if not whole:
+        rows = rows.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "part")
+    return map_arrow(rows.drop("part"), _read, DIGESTS)
+
+
+def format_and_read_back(conversations: DataFrame, spec: str, max_chars: int = 1 << 20, trained: str = "assistant") -> DataFrame:
+    """``read_back`` of ``format_conversations``, with no shuffle of conversations that come in one row."""
+    whole, cut = _branches(conversations, spec, max_chars, trained)
+    return read_back(whole, whole=True).unionByName(read_back(cut))

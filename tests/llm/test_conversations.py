@@ -88,6 +88,8 @@ def test_masks_of_odd_rows(spark):
     rows = conversations(spark, ODD)
     out = C.read_back(C.format_conversations(rows, tokenizer_json(spark)))
     assert sorted(map(tuple, out.collect()), key=str) == brute_digests(ODD)
+    out = C.format_and_read_back(rows, tokenizer_json(spark), max_chars=1000)
+    assert sorted(map(tuple, out.collect()), key=str) == brute_digests(ODD)
 
 
 def test_a_long_conversation_comes_in_parts_that_are_the_whole(spark):
