@@ -1,6 +1,6 @@
 """Scalar Column functions (B1-B21): native Catalyst expressions only."""
 
-from .country import map_country_iso2, resolve_with_table  # noqa: F401
+from .country import map_country_iso2, resolve_countries, resolve_with_table  # noqa: F401
 from .dates import date_parts, month_start, timestamp_to_date_coerce  # noqa: F401
 from .money import (  # noqa: F401
     avg_cents, avg_tenths, cents, fill_zero_int, nan_to_null, normalize_currency,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..sources import readers
+from ..functions.country import with_country_iso2
 from ..functions.money import with_normalized_currency, with_salary_range
 from ..functions import (
     map_country_iso2, normalize_skill_label,
@@ -54,9 +55,8 @@ def silver_row(**cols: Column) -> Column:
 def finish_rows(rows: DataFrame) -> DataFrame:
     """B3 on the country text and B5 on the skill text of parsed rows; the
     result is the silver contract."""
-    return rows.select(*[(map_country_iso2(F.col(c)) if c == "country_iso2" else
-                          normalize_skill_label(F.col(c)) if c == "skill" else F.col(c)).alias(c)
-                         for c in config.SALARY_COLS])
+    return with_country_iso2(rows, "country_iso2", "country_iso2").select(
+        *[(normalize_skill_label(F.col(c)) if c == "skill" else F.col(c)).alias(c) for c in config.SALARY_COLS])
 
 
 def offer_row(o: Column, source: str = "adzuna") -> Column:

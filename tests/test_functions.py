@@ -82,6 +82,24 @@ def test_alias_table_gives_the_same(spark):
     assert [r["country_iso2"] for r in got] == [c[1] for c in known]
 
 
+def test_ranked_search_of_distinct_texts(spark):
+    from marketlake.plans import catalog  # noqa: F401 - registers the queries
+    from marketlake.plans.catalog_sources import PINNED_COUNTRIES
+    cases = [*PINNED_COUNTRIES, *[c for c in COUNTRIES if c[0] not in ("land", "NETH")], ("Netherland", "NL")] * 2
+    df = spark.createDataFrame([(i, c[0], "clash") for i, c in enumerate(cases)], "i int, x string, iso2 string")
+    got = M.resolve_countries(df, "x").orderBy("i").collect()
+    assert [(r["x"], r["country_iso2"]) for r in got] == cases
+    assert M.resolve_countries(df.limit(0), "x").collect() == []
+
+
+def test_perfect_hash_holds_every_alias():
+    from marketlake.functions import country, iso3166
+    shifts, names, codes = country.perfect_hash()
+    exact = iso3166.exact()
+    assert sorted(n for n in names if n) == sorted(exact)
+    assert all(codes[names.index(a)] == c for a, c in exact.items())
+
+
 def test_no_numeric_cap(spark):
     from pyspark.errors import PySparkException
     from marketlake.functions.money import cents
