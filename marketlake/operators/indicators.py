@@ -124,6 +124,16 @@ def hot_indicator_items(fact: DataFrame) -> DataFrame:
                     "volume")
 
 
+def hot_items_of_counts(counts: DataFrame) -> DataFrame:
+    """A16 from folded facts ``(country_iso2, skill, cents, n, jobs)``: as ``hot_indicator_items`` over the facts themselves."""
+    held = F.col("cents").isNotNull()
+    r = grouped_percentiles(counts.withColumn("_cv", F.col("cents").cast("double")), ["country_iso2", "skill"], "_cv", {"_median": 0.5},
+                            {"_cents": ("sum", F.col("cents") * F.col("n")), "_values": ("sum", F.when(held, F.col("n")).otherwise(0)),
+                             "_jobs": ("sum", F.col("jobs"))}, weight="n")
+    return r.select(indicator_pk("country_iso2").alias("pk"), indicator_sk("skill").alias("sk"), _euros("_median").alias("median_salary_eur"),
+                    _mean().alias("avg_salary_eur"), F.col("_jobs").cast("bigint").alias("volume"))
+
+
 def write_hot_items(items: DataFrame, path: str) -> DataFrame:
     """The items stored by ``pk``, one folder for each, so a lookup reads one."""
     items.write.mode("overwrite").partitionBy("pk").parquet(path)

@@ -8,23 +8,72 @@ second pass over the data is needed.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config, storage
+from .quality import DataQualityError, Rule
 from .warehouse import upsert_update
 
 MANIFEST_SCHEMA = "layer string, dataset string, rows bigint, bytes bigint, format string, written_at timestamp"
 
 
+def clustered(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt out by the partition columns of a write that follows: small partitions are put together and
+    large ones split by Spark's advisory size, so that files follow bytes and not tasks x partitions."""
+    return df.hint("rebalance", *[F.col(c) for c in by])
+
+
+def gated_write(df: DataFrame, rules: list[Rule], root: str, layer: str, name: str, partition_by: list[str],
+                aside: Column | None = None) -> dict:
+    """H7 + A6: write a dataset and check its contract in the same pass.
+
+    Every row goes to a staged folder as kept, set ``aside`` (a predicate) or refused (breaks a rule), and
+    the rules are counted while the rows are written.  Without a refused row the kept ones replace
+    ``<layer>/<name>`` and the others ``<layer>_aside/<name>``; else the refused rows go to
+    ``quarantine/<layer>/<name>``, nothing else changes and ``DataQualityError`` is raised.
+    """
+    spark, root = df.sparkSession, root.rstrip("/")
+    staged = f"{root}/_staged/{layer}-{name}-{uuid.uuid4().hex[:12]}"
+    missing = [c for c in {r.column for r in rules} - {"*"} if c not in df.columns]
+    if missing:
+        raise DataQualityError(f"{layer}:{name}: missing {sorted(missing)}")
+    put_aside = F.coalesce(aside, F.lit(False)) if aside is not None else F.lit(False)
+    breaks = {f"r{i}": ~put_aside & ~F.coalesce(r.ok, F.lit(False)) for i, r in enumerate(rules)}
+    fate = F.when(put_aside, "aside").when(functools.reduce(Column.__or__, breaks.values(), F.lit(False)), "refused").otherwise("kept")
+    obs = Observation(f"gate_{layer}_{name}_{uuid.uuid4().hex[:8]}")
+    (clustered(df.withColumn("_fate", fate), "_fate", *partition_by)
+        .observe(obs, F.count_if(F.col("_fate") == "kept").alias("kept"), *[F.count_if(b).alias(k) for k, b in breaks.items()])
+        .write.partitionBy("_fate", *partition_by).parquet(staged))
+    found = obs.get
+    broken = [(r.column, r.check, found[f"r{i}"]) for i, r in enumerate(rules) if found[f"r{i}"]]
+    fates = {p.rsplit("=", 1)[1]: p for p in storage.folders(spark, f"{staged}/_fate=*")}
+    target = f"{root}/{layer}/{name}"
+    if broken:
+        storage.move(spark, fates["refused"], f"{root}/quarantine/{layer}/{name}")
+        storage.remove(spark, staged)
+        raise DataQualityError(f"data quality failed on '{layer}:{name}': " + "; ".join(f"{c}/{k}={n}" for c, k, n in broken))
+    for key, path in (("kept", target), ("aside", f"{root}/{layer}_aside/{name}")):
+        if key in fates:
+            storage.move(spark, fates[key], path)
+        elif key == "kept" or aside is not None:  # no such row: an empty dataset of the same columns
+            df.limit(0).write.mode("overwrite").parquet(path)
+    storage.remove(spark, staged)
+    return manifest_record(layer, name, int(found["kept"]), storage.folder_bytes(spark, target))
+
+
 def write_layer(df: DataFrame, root: str, layer: str, name: str, partition_by: list[str] | None = None) -> dict:
     """Overwrite one layer dataset and return its manifest record.
 
     The row count is observed while writing (no extra job over the data), the
     size is the file system's; ``partition_by`` enables partition pruning for date filters."""
     obs = Observation(f"rows_{layer}_{name}".replace("/", "_"))
+    if partition_by:
+        df = clustered(df, *partition_by)
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

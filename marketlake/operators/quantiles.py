@@ -33,11 +33,12 @@ def _ranks(p: float, n: Column, mode: str) -> tuple[Column, Column, Column]:
     return k, k, F.lit(0.0)
 
 
-def folded_ranks(df: DataFrame, keys: list[str], value: str, aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+def folded_ranks(df: DataFrame, keys: list[str], value: str, aggs: dict[str, tuple[str, Column]], weight: str | None = None) -> DataFrame:
     """One row per ``(keys, value)``: ``_c`` rows, partial ``aggs``, ``_before`` (rows of
     the group with smaller values) and ``_n`` (rows of the group with a value)."""
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v"), *[c.alias(f"_in_{name}") for name, (_, c) in aggs.items()])
-    folded = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), *[_MERGE[how](f"_in_{name}").alias(name) for name, (how, _) in aggs.items()])
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_w"),
+                     *[c.alias(f"_in_{name}") for name, (_, c) in aggs.items()])
+    folded = rows.groupBy(*keys, "_v").agg(F.sum("_w").alias("_c"), *[_MERGE[how](f"_in_{name}").alias(name) for name, (how, _) in aggs.items()])
     placed = materialize(folded.orderBy(*[F.col(k).asc_nulls_first() for k in keys], F.col("_v").asc_nulls_first())
                                .withColumn("_pid", F.spark_partition_id()), "folded")
     ranked = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)
@@ -60,17 +61,19 @@ def folded_ranks(df: DataFrame, keys: list[str], value: str, aggs: dict[str, tup
 
 
 def grouped_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                        aggs: dict[str, tuple[str, Column]] | None = None, mode: str = "cont") -> DataFrame:
+                        aggs: dict[str, tuple[str, Column]] | None = None, mode: str = "cont",
+                        weight: str | None = None) -> DataFrame:
     """Per group of ``keys``: exact percentiles of ``value`` plus ``aggs``.
 
     ``mode='cont'`` interpolates linearly (``percentile_cont``); ``'nearest'``
     picks rank ``round(p*(n-1))`` (half-up).  Null values are ignored; a group
     whose values are all null still appears, with null percentiles.  With no
     keys, one row is returned even for empty input.  ``aggs``: name -> ('sum',
-    'max' or 'min', column of ``df``), mergeable so that they fold along.
+    'max' or 'min', column of ``df``), mergeable so that they fold along.  ``weight``
+    names a column of counts where ``df`` is folded already.
     """
     aggs = aggs or {}
-    ranked = folded_ranks(df, keys, value, aggs)
+    ranked = folded_ranks(df, keys, value, aggs, weight)
     held = lambda rank: F.max(F.when((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")) & F.col("_v").isNotNull(), F.col("_v")))
     picks = []
     for name, p in probs.items():

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config, storage
@@ -211,16 +211,21 @@ def upsert_fact(target: DataFrame, batch: DataFrame, grain: list[str], seq: str
 
 # ------------------------------------------------------- snapshot refresh
 
-def write_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, check=None, keep: int = 2) -> str:
+def write_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str, check=None, keep: int = 2, rows: dict | None = None) -> str:
     """I4: full refresh = write every table into a new snapshot folder, then add
     a numbered pointer to it.  Readers follow the highest committed pointer, so
     a failed refresh, or one that ``check(snapshot folder)`` refuses, leaves the
-    previous snapshot in place.  The last ``keep`` snapshots stay.  All writes go
+    previous snapshot in place.  Two refreshes at once leave two whole snapshots;
+    the pointer written later is the current one.  ``rows`` receives the number of
+    rows written to each table.  The last ``keep`` snapshots stay.  All writes go
     through Spark, so ``root`` may be any shared filesystem."""
     root = root.rstrip("/")
     snap = f"{root}/snapshot-{uuid.uuid4().hex[:12]}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{snap}/{name}")
+        seen = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{snap}/{name}")
+        if rows is not None:
+            rows[name] = int(seen.get["rows"])
     if check:
         check(snap)
     storage.append_entry(spark, f"{root}/pointer", snap)

@@ -6,6 +6,9 @@ from __future__ import annotations
 
 import functools
 
+import uuid
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,11 +21,12 @@ from ..operators.ranking import global_index
 from ..sources import adapter
 from ..sources.tables import load
 from ..streaming import microbatch as mb
+from .. import storage
 from . import medallion as md
 from . import oracle as o
 from ..session import fresh_path
 from .catalog import query
-from .pipeline_run import run_layers
+from .pipeline_run import load_star, register_external_table, run_all, run_layers, split_band
 from .catalog_sources import REPO_SILVER_SQL, TRENDS_SILVER_SQL
 
 # Parameters of the incremental scenarios: the batch day and a replayed day.
@@ -74,16 +78,12 @@ UNION ALL SELECT 'next_day', date_posted, source, CAST(count(*) AS BIGINT) FROM
   GROUP BY 2, 3""")
 def q_fresh_since_watermark(spark, sf):
     """Offers newer than the watermark, and exactly the next day."""
-    prev = F.date_sub(F.to_date(F.lit(REPLAY_DATE)), 1).cast("string")
-    parts = []
-    for p in [md.silver_by_day(spark, sf)]:
-        after = mb.fresh_since(p, WATERMARK).groupBy("date_posted", "source") \
-                  .agg(F.count(F.lit(1)).cast("bigint").alias("rows")).withColumn("mode", F.lit("after"))
-        nxt = p.where(F.col("date_posted") == F.date_add(F.to_date(prev), 1).cast("string")) \
-               .groupBy("date_posted", "source").agg(F.count(F.lit(1)).cast("bigint").alias("rows")) \
-               .withColumn("mode", F.lit("next_day"))
-        parts += [after, nxt]
-    return _union(parts).select("mode", "date_posted", "source", "rows")
+    before = str(date.fromisoformat(REPLAY_DATE) - timedelta(days=1))
+    # one pass over the days that either mode wants; other days are not parsed
+    days = md.silver_of_days(spark, sf, lambda d: (d > WATERMARK) | (d == REPLAY_DATE))
+    held = days.groupBy("date_posted", "source").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+    return _union([mb.fresh_since(held, WATERMARK).withColumn("mode", F.lit("after")),
+                   mb.fresh_since(held, before, one_day=True).withColumn("mode", F.lit("next_day"))]).select("mode", "date_posted", "source", "rows")
 
 
 _HOT_ITEMS_SQL = f"""SELECT 'country#' || country_iso2 AS pk, 'skill#' || skill AS sk,
@@ -198,7 +198,7 @@ def q_table_counts(spark, sf):
   FROM salary WHERE date_posted = '{BATCH_DATE}' AND company IS NOT NULL""")
 def q_dim_company_increment(spark, sf):
     """companies of one day's batch, attributes null."""
-    day = gold.salary_frame(md.silver_by_day(spark, sf).where(F.col("date_posted") == BATCH_DATE))
+    day = gold.salary_frame(md.silver_of_days(spark, sf, lambda d: d == BATCH_DATE))
     names = gold.distinct_companies(day)
     return names.select("company_name", F.lit(None).cast("string").alias("workforce_size"),
                         F.lit(None).cast("string").alias("sector"))
@@ -503,11 +503,9 @@ def q_replay_idempotent(spark, sf):
 
 @query("micro_batch_day", FULL_FACT_SQL)
 def q_micro_batch_day(spark, sf):
-    """One day's silver rows -> batch fact -> upsert into the fact.  Silver is
-    stored by day, so the batch reads one folder and the target the others."""
-    silver = md.silver_by_day(spark, sf)
-    day = F.col("date_posted") == BATCH_DATE
-    target, batch = (gold.build_fact(gold.salary_frame(silver.where(c))) for c in (~day, day))
+    """One day's silver rows -> batch fact -> upsert into the fact of the other days
+    (``backfill_fact`` has the gates and the store)."""
+    target, batch = (gold.build_fact(gold.salary_frame(md.silver_of_days(spark, sf, c))) for c in (lambda d: d != BATCH_DATE, lambda d: d == BATCH_DATE))
     return wh.upsert_fact(target, batch, config.FACT_GRAIN)
 
 
@@ -666,3 +664,97 @@ def q_retention_plan(spark, sf):
     days = objs.groupBy("layer", "written").agg(F.count(F.lit(1)).alias("n"))
     plan = lake.retention_plan(days.withColumn("_now", F.max("written").over(Window.partitionBy())), "layer", "written", F.col("_now"))
     return plan.groupBy("layer", "tier").agg(F.sum("n").cast("bigint").alias("objects"))
+
+
+# ------------------------------------------------------------ stored runs
+
+_INSIDE = f"salary_eur BETWEEN {config.EUR_MIN} AND {config.EUR_MAX}"
+#: Rows outside the salary band are put aside, but in March they stay and their days are refused.
+_RUN_CTES = (o.OBS, o.SILVER_RAW, o.SILVER, f"""run AS (SELECT * FROM silver WHERE {_INSIDE} OR substr(date_posted, 6, 2) = '03'),
+refused AS (SELECT DISTINCT date_posted FROM run WHERE NOT ({_INSIDE})),
+good AS (SELECT * FROM run WHERE date_posted NOT IN (SELECT date_posted FROM refused))""", o.SALARY.replace("FROM silver", "FROM good"), o.FACT)
+
+
+def _stored_run(spark, sf) -> str:
+    """All days of silver in one run, then one of them again as a backfill; returns the store's folder."""
+    root = fresh_path(spark, "days")
+    inside = F.col("salary_eur").between(config.EUR_MIN, config.EUR_MAX)
+    silver = md.silver_by_day(spark, sf).where(inside | (F.substring("date_posted", 6, 2) == "03"))
+    mb.run_days(spark, root, silver)
+    mb.run_days(spark, root, silver, [REPLAY_DATE])
+    return root
+
+
+@query("backfill_fact", o.with_ctes(*_RUN_CTES) + "SELECT * FROM fact")
+def q_backfill_fact(spark, sf):
+    """Every day gated, staged and upserted into the stored fact in one run, one day replayed; days
+    that break the contract are refused whole."""
+    return mb.read_fact(spark, _stored_run(spark, sf)).select(*config.FACT_GRAIN, "avg_salary", "min_salary", "max_salary", "job_count")
+
+
+@query("watermark_log", o.with_ctes(*_RUN_CTES) + f"""SELECT number, day, day AS watermark_parity,
+  max(day) OVER (ORDER BY number) AS watermark_greatest FROM (
+    SELECT CAST(row_number() OVER (ORDER BY date_posted) AS INTEGER) AS number, date_posted AS day FROM (SELECT DISTINCT date_posted FROM good)
+    UNION ALL SELECT CAST(count(DISTINCT date_posted) + 1 AS INTEGER), '{REPLAY_DATE}' FROM good)""")
+def q_watermark_log(spark, sf):
+    """The stored log of processed days: refused days are not in it, a backfill adds an entry; after each entry
+    the watermark in both modes.  The log has an entry a day, so one ordered window over it is small."""
+    log = storage.entries(spark, f"{_stored_run(spark, sf)}/watermark").withColumnRenamed("value", "day")
+    greatest = F.max("day").over(Window.orderBy("number"))
+    return log.select("number", "day", F.col("day").alias("watermark_parity"), greatest.alias("watermark_greatest"))
+
+
+@query("stream_hot_indicators", o.with_ctes(*_BAND_CTES) + _HOT_ITEMS_SQL)
+def q_stream_hot_indicators(spark, sf):
+    """Silver delivered as files in two drops to one checkpoint; the first holds a stale copy of a day that
+    the second replays.  The published items equal those of the whole fact."""
+    root, drops, checkpoint = (fresh_path(spark, f"stream-{n}") for n in ("store", "drops", "checkpoint"))
+    inside, _ = split_band(md.silver_by_day(spark, sf))
+    stale = F.when(F.col("date_posted") == REPLAY_DATE, F.lit(1.0)).otherwise(F.lit(0.0))
+    late = F.col("date_posted").isin(BATCH_DATE, REPLAY_DATE)
+    first = inside.where(F.col("date_posted") != BATCH_DATE).select(*[(F.col(c) + stale if c.endswith("_eur") else F.col(c)).alias(c) for c in inside.columns])
+    for rows in (first, inside.where(late)):
+        rows.write.mode("append").parquet(drops)
+        mb.stream_offers(spark, spark.readStream.schema(inside.schema).parquet(drops), root, checkpoint)
+    return mb.read_hot_items(spark, root)
+
+
+@query("loaded_star", o.with_ctes(*_BAND_CTES) + """SELECT date_posted, country_iso2, skill, company, source,
+  CAST(year(CAST(date_posted AS DATE)) AS INTEGER) AS year, CAST(month(CAST(date_posted AS DATE)) AS INTEGER) AS month,
+  avg_salary, min_salary, max_salary, job_count FROM fact""")
+def q_loaded_star(spark, sf):
+    """A run's gold layer loaded as a snapshot of six tables twice, and the current snapshot read back to natural keys."""
+    root = fresh_path(spark, "run")
+    run_layers(spark, sf, root)
+    for _ in range(2):  # the second refresh replaces the first by one entry
+        load_star(spark, root)
+    t = {n: wh.read_table(spark, f"{root}/warehouse", n) for n in ("fact_job", "d_country", "d_company", "d_skill", "d_source", "d_date")}
+    return wh.star_natural(t["fact_job"], t["d_country"], t["d_company"], t["d_skill"], t["d_source"], t["d_date"])
+
+
+@query("external_table", o.with_ctes(*_RUN_CTES) + f"""SELECT country_iso2, source, CAST(count(*) AS BIGINT) AS facts,
+  CAST(sum(job_count) AS BIGINT) AS jobs FROM fact WHERE date_posted >= '{REPLAY_DATE}' GROUP BY ALL""")
+def q_external_table(spark, sf):
+    """The stored fact as a SQL table with a partition for each day and statistics, asked in SQL for the days from one on."""
+    name = f"fact_job_{uuid.uuid4().hex[:12]}"
+    register_external_table(spark, name, f"{_stored_run(spark, sf)}/fact", ["date_posted"])
+    return spark.sql(f"""SELECT country_iso2, source, count(*) AS facts, CAST(sum(job_count) AS BIGINT) AS jobs
+        FROM {name} WHERE date_posted >= '{REPLAY_DATE}' GROUP BY country_iso2, source""")
+
+
+@query("pipeline_metrics", _MANIFEST_SQL + f""", s AS (SELECT layer, count(*) AS datasets, sum(coalesce(rows, 0)) AS rows FROM m GROUP BY layer),
+d AS (SELECT layer, dataset, rows FROM m WHERE layer = 'gold' AND dataset LIKE 'dim_%'),
+r AS (SELECT layer, dataset, rows FROM m WHERE layer = 'gold' AND dataset IN ('fact_job', 'dim_date', 'dim_company')),
+w AS (SELECT 'd_' || substr(dataset, 5) AS dim, CAST(rows AS BIGINT) AS size FROM d)
+SELECT 'bronze' AS stage, CAST(datasets AS INTEGER) AS datasets, CAST(NULL AS BIGINT) AS rows_in, CAST(rows AS BIGINT) AS rows,
+  CAST(NULL AS VARCHAR) AS dim, CAST(NULL AS BIGINT) AS size FROM s WHERE layer = 'bronze'
+UNION ALL SELECT 'silver', CAST(datasets AS INTEGER), CAST((SELECT sum(rows) FROM m WHERE layer = 'bronze' AND dataset <> 'reference') AS BIGINT),
+  CAST(rows AS BIGINT), NULL, NULL FROM s WHERE layer = 'silver'
+UNION ALL SELECT 'gold', CAST(datasets AS INTEGER), CAST((SELECT sum(rows) FROM m WHERE layer = 'silver') AS BIGINT), CAST(s.rows AS BIGINT), d.dataset,
+  CAST(d.rows AS BIGINT) FROM s, d WHERE s.layer = 'gold'
+UNION ALL SELECT 'warehouse', 6, CAST((SELECT sum(rows) FROM r) AS BIGINT),
+  CAST((SELECT sum(size) FROM w) + (SELECT rows FROM r WHERE dataset = 'fact_job') AS BIGINT), dim, size FROM w""")
+def q_pipeline_metrics(spark, sf):
+    """K3: rows read and written, datasets and sizes of the dimensions of each stage of a run (its seconds left out)."""
+    m = run_all(spark, sf, fresh_path(spark, "run"))
+    return m.select("stage", "datasets", "rows_in", "rows", F.explode_outer("dims").alias("dim", "size"))

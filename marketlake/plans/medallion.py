@@ -9,14 +9,18 @@ consumers read it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaners, gold
+from .. import config
+from ..operators import cleaners, gold, lake
 from ..sources import adapter, registry
 from ..sources.readers import with_na_tokens
 from ..session import fresh_path, materialize
 
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.observations(spark, sf_dir)
 
@@ -35,10 +39,18 @@ def silver_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written once by ``date_posted``, as a run keeps it: a day's rows are one folder."""
     rows = silver(spark, sf_dir)
     path = fresh_path(spark, "silver-by-day")
-    rows.write.partitionBy("date_posted").parquet(path)
+    lake.clustered(rows, "date_posted").write.partitionBy("date_posted").parquet(path)
     return spark.read.schema(rows.schema).parquet(path).select(rows.columns)
 
 
+def silver_of_days(spark: SparkSession, sf_dir: str, wanted: Callable[[Column], Column]) -> DataFrame:
+    """Silver of the days that ``wanted`` picks: observations of other days are dropped before they are parsed
+    (the survey's rows all have its own fixed date, whatever the observation's)."""
+    day = F.when(F.col("src") == "so_survey", F.lit(config.AS_OF_DATE)).otherwise(F.col("date_posted"))
+    rows = registry.silver_all(observations(spark, sf_dir).where(wanted(day)), valid=True)
+    return rows.where(wanted(F.col("date_posted")))
+
+
 def salary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold input: silver with B12 applied."""
     return gold.salary_frame(silver(spark, sf_dir))

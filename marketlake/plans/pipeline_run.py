@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from .. import config, storage
 from ..operators import cleaners, gold, lake, quality, warehouse as wh
-from ..session import materialize
 from ..sources import adapter, readers, registry
 from ..sources.readers import wide_to_long
 from ..streaming import microbatch as mb
@@ -48,36 +47,53 @@ def build_bronze(spark: SparkSession, sf_dir: str, root: str) -> list[dict]:
         ("reference", adapter.company_register(spark, sf_dir)))]
 
 
-def build_silver(spark: SparkSession, sf_dir: str, root: str, gate: bool = True) -> list[dict]:
+def _read_counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and the number of its rows that pass by when it is read."""
+    seen = Observation(f"in_{uuid.uuid4().hex[:12]}")
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def build_silver(spark: SparkSession, sf_dir: str, root: str, gate: bool = True, rows_in: list | None = None) -> list[dict]:
     """M7: clean every registered source of the written bronze, put rows outside
     the salary band aside, gate the rest on its contract and write it as
-    ``silver/<source>`` by date; popularity sources are written ungated.  Returns
-    manifest records."""
-    records = []
+    ``silver/<source>`` by date, all in one pass a source; popularity sources are
+    written ungated.  Returns manifest records; ``rows_in`` receives the rows read."""
+    records, counted = [], []
     obs = spark.read.parquet(f"{root}/bronze/observations")
+    outside = ~F.coalesce(F.col("salary_eur").between(config.EUR_MIN, config.EUR_MAX), F.lit(False))
     for name in config.SALARY_SOURCES:
-        part = registry.silver_source(obs, name, valid=True)
+        mine, seen = _read_counted(obs.where(F.col("src") == name))
+        counted.append(seen)
+        part = registry.silver_source(mine, name, valid=True)
         if gate:
-            part, aside = split_band(materialize(part, f"silver-{name}"))
-            aside.write.mode("overwrite").parquet(f"{root}/silver_aside/{name}")
             extra = quality.strict_columns(part, config.SALARY_COLS)
             if extra:
                 raise quality.DataQualityError(f"silver:{name}: {extra}")
-            quality.gate(quality.violation_counts(part, quality.silver_salary_rules()), f"silver:{name}")
-        records.append(lake.write_layer(part, root, "silver", name, partition_by=["date_posted"]))
-    read = lambda name: lake.read_layer(spark, root, "bronze", name)
+            records.append(lake.gated_write(part, quality.silver_salary_rules(), root, "silver", name, ["date_posted"], aside=outside))
+        else:
+            records.append(lake.write_layer(part, root, "silver", name, partition_by=["date_posted"]))
+
+    def read(name: str) -> DataFrame:
+        df, seen = _read_counted(lake.read_layer(spark, root, "bronze", name))
+        counted.append(seen)
+        return df
+
     records.append(lake.write_layer(cleaners.clean_repositories(read("github_trending")), root, "silver", "github_popularity"))
     long = wide_to_long(read("google_trends"), ["date", "country"], adapter.SKILL_DISPLAY)
     records.append(lake.write_layer(cleaners.clean_trends(long), root, "silver", "google_trends"))
+    if rows_in is not None:
+        rows_in.append(sum(int(o.get["rows"]) for o in counted))
     return records
 
 
-def build_gold(spark: SparkSession, root: str, gate: bool = True) -> list[dict]:
+def build_gold(spark: SparkSession, root: str, gate: bool = True, rows_in: list | None = None) -> list[dict]:
     """M8: the seven gold datasets from the written silver layer: the fact (gated on
     its contract and on a unique grain), five dimensions and the popularity table."""
-    fact = None
+    fact, counted = None, []
     for s in config.SALARY_SOURCES:
-        p = lake.read_layer(spark, root, "silver", s).withColumn("date_posted", F.col("date_posted").cast("string"))
+        p, seen = _read_counted(lake.read_layer(spark, root, "silver", s))
+        counted.append(seen)
+        p = p.withColumn("date_posted", F.col("date_posted").cast("string"))
         f = gold.build_fact(gold.salary_frame(p.select(*config.SALARY_COLS)))
         fact = f if fact is None else fact.unionByName(f)
     recs = [lake.write_layer(fact, root, "gold", "fact_job")]
@@ -90,15 +106,20 @@ def build_gold(spark: SparkSession, root: str, gate: bool = True) -> list[dict]:
         for name, df, keys in (("fact_job", f, config.FACT_GRAIN), ("dim_company", company, ["company_name"]), ("dim_date", dates, ["date_key"])):
             if twice := quality.duplicate_keys(df, keys).limit(5).collect():
                 raise quality.DataQualityError(f"gold:{name}: keys occur more than once: {twice}")
-    popularity = gold.skill_popularity(lake.read_layer(spark, root, "silver", "github_popularity"), lake.read_layer(spark, root, "silver", "google_trends"))
+    repos, seen_repos = _read_counted(lake.read_layer(spark, root, "silver", "github_popularity"))
+    trends, seen_trends = _read_counted(lake.read_layer(spark, root, "silver", "google_trends"))
+    counted += [seen_repos, seen_trends]
+    popularity = gold.skill_popularity(repos, trends)
     for name, df in (("dim_date", dates), ("dim_company", company), ("dim_country", wh.d_country(spark).drop("id_country")),
                      ("dim_skill", wh.d_skill(spark).drop("id_skill")), ("dim_source", wh.d_source(spark).drop("id_source")),
                      ("skill_popularity", popularity)):
         recs.append(lake.write_layer(df, root, "gold", name))
+    if rows_in is not None:
+        rows_in.append(sum(int(o.get["rows"]) for o in counted))
     return recs
 
 
-def load_star(spark: SparkSession, root: str) -> str:
+def load_star(spark: SparkSession, root: str, rows: dict | None = None) -> str:
     """Full refresh of the warehouse from the written gold layer = a new
     snapshot of the five dimensions and the fact.  A fact without its dimension
     row stops the load before the pointer moves."""
@@ -107,7 +128,7 @@ def load_star(spark: SparkSession, root: str) -> str:
     companies = wh.d_company(read("dim_company"))
     tables = {"d_date": read("dim_date"), "d_country": countries, "d_company": companies, "d_skill": skills, "d_source": sources,
               "fact_job": wh.fact_job(read("fact_job"), countries, companies, skills, sources)}
-    return wh.write_snapshot(spark, tables, f"{root}/warehouse", check=lambda snap: wh.check_keys(spark.read.parquet(f"{snap}/fact_job")))
+    return wh.write_snapshot(spark, tables, f"{root}/warehouse", check=lambda snap: wh.check_keys(spark.read.parquet(f"{snap}/fact_job")), rows=rows)
 
 
 def load_increment(spark: SparkSession, root: str, batch_silver: DataFrame) -> str:
@@ -119,47 +140,62 @@ def load_increment(spark: SparkSession, root: str, batch_silver: DataFrame) -> s
     return wh.write_snapshot(spark, star, f"{root}/warehouse", check=lambda snap: wh.check_keys(spark.read.parquet(f"{snap}/fact_job")))
 
 
+DIMS = {"dim_date", "dim_company", "dim_country", "dim_skill", "dim_source"}
+
+
 def run_layers(spark: SparkSession, sf_dir: str, root: str) -> tuple[list[dict], list[tuple]]:
-    """Bronze, silver and gold of a run: manifest records, and (stage, datasets, rows, seconds)."""
+    """Bronze, silver and gold of a run: manifest records, and (stage, datasets, rows read, rows written, sizes
+    of the dimensions, seconds).  Bronze reads no layer, so its rows read are null."""
     records, metrics = [], []
-    for stage, build in (("bronze", lambda: build_bronze(spark, sf_dir, root)), ("silver", lambda: build_silver(spark, sf_dir, root)),
-                         ("gold", lambda: build_gold(spark, root))):
-        began = time.perf_counter()
-        made = build()
-        metrics.append((stage, len(made), sum(r["rows"] for r in made), time.perf_counter() - began))
+    for stage, build in (("bronze", lambda seen: build_bronze(spark, sf_dir, root)), ("silver", lambda seen: build_silver(spark, sf_dir, root, rows_in=seen)),
+                         ("gold", lambda seen: build_gold(spark, root, rows_in=seen))):
+        began, seen = time.perf_counter(), []
+        made = build(seen)
+        dims = {r["dataset"]: r["rows"] for r in made if r["dataset"] in DIMS}
+        metrics.append((stage, len(made), seen[0] if seen else None, sum(r["rows"] for r in made), dims, time.perf_counter() - began))
         records += made
     lake.record(spark, None, records).write.mode("overwrite").parquet(f"{root}/manifest")
     return records, metrics
 
 
 def run_all(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """K3: bronze -> silver -> gold -> warehouse with per-stage metrics
-    ``(stage, datasets, rows, seconds)`` and the manifest (K1) written."""
-    _, metrics = run_layers(spark, sf_dir, root)
-    began = time.perf_counter()
-    load_star(spark, root)
-    metrics.append(("warehouse", 6, None, time.perf_counter() - began))
-    return spark.createDataFrame([(s, n, r, round(t, 3)) for s, n, r, t in metrics],
-                                 "stage string, datasets int, rows bigint, seconds double")
-
-
-def register_external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """K3: bronze -> silver -> gold -> warehouse with per-stage metrics ``(stage, datasets, rows_in, rows, dims,
+    seconds)``, counted while rows are read and written, and the manifest (K1) written."""
+    records, metrics = run_layers(spark, sf_dir, root)
+    began, rows = time.perf_counter(), {}
+    load_star(spark, root, rows)
+    read = sum(r["rows"] for r in records if r["layer"] == "gold" and r["dataset"] in {"fact_job", "dim_date", "dim_company"})
+    metrics.append(("warehouse", len(rows), read, sum(rows.values()), {k: n for k, n in rows.items() if k != "fact_job"}, time.perf_counter() - began))
+    return spark.createDataFrame([(s, n, i, r, d, round(t, 3)) for s, n, i, r, d, t in metrics],
+                                 "stage string, datasets int, rows_in bigint, rows bigint, dims map<string,bigint>, seconds double")
+
+
+def register_external_table(spark: SparkSession, name: str, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Expose a parquet dataset as a SQL table over its location (the
     schema comes from the files).  Point it at the directory that is actually
-    written (the reference's table prefix and upload path disagree)."""
+    written (the reference's table prefix and upload path disagree).
+
+    With ``partition_by`` the folders become partitions of the table, and table and column statistics are
+    gathered for the optimiser.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if not partition_by:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+        return spark.table(name)
+    held = spark.read.parquet(path)
+    columns = ", ".join(f"`{f.name}` {'string' if f.name in partition_by else f.dataType.simpleString()}" for f in held.schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
     return spark.table(name)
 
 
 def backfill_days(spark: SparkSession, silver: DataFrame, days: list[str], root: str) -> DataFrame:
-    """(re)run any days by key.  Each day's batch fact overwrites only its
+    """(re)run any days by key, in one job.  A day's batch fact overwrites only its
     own ``date_posted`` partition (dynamic partition overwrite), so re-running
     a day is idempotent and never touches other days."""
     path = f"{root}/fact_by_day"
-    for day in days:
-        batch = silver.where(F.col("date_posted") == day)  # partition pruning on a date-partitioned silver
-        f = gold.build_fact(gold.salary_frame(batch))
-        (f.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("date_posted").parquet(path))
+    batch = silver.where(F.col("date_posted").isin(list(days)))  # partition pruning on a date-partitioned silver
+    (lake.clustered(gold.build_fact(gold.salary_frame(batch)), "date_posted").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("date_posted").parquet(path))
     return spark.read.parquet(path)

@@ -9,12 +9,15 @@ the upsert keyed by the grain makes a replay harmless (idempotent).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config, storage
-from ..operators import cleaners, gold, quality, warehouse
-from ..session import materialize
+from ..functions import cents
+from ..operators import cleaners, gold, indicators, lake, quality, warehouse
+from ..session import fresh_path, materialize
 
 
 def fresh_since(silver: DataFrame, watermark: str, one_day: bool = False) -> DataFrame:
@@ -44,9 +47,9 @@ def gate_batch(batch_silver: DataFrame, name: str = "increment") -> DataFrame:
     return batch_fact
 
 
-def upsert_days(spark: SparkSession, root: str, batch_fact: DataFrame) -> None:
+def upsert_days(spark: SparkSession, root: str, batch_fact: DataFrame) -> list[str]:
     """I3 into the fact stored by ``date_posted`` under ``root``: only the days of
-    the batch are read and overwritten."""
+    the batch are read and overwritten.  Returns those days."""
     path = f"{root.rstrip('/')}/fact"
     batch = materialize(batch_fact, "batch-fact")
     days = [r[0] for r in batch.select("date_posted").distinct().collect()]  # a batch holds few days
@@ -55,7 +58,9 @@ def upsert_days(spark: SparkSession, root: str, batch_fact: DataFrame) -> None:
         touched = F.col("date_posted").isin([d for d in days if d is not None])
         old = old.where(touched | F.col("date_posted").isNull() if None in days else touched)
         batch = materialize(warehouse.upsert_fact(old.select(batch.columns), batch, config.FACT_GRAIN), "merged-fact")
-    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_posted").parquet(path)
+    (lake.clustered(batch, "date_posted").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date_posted").parquet(path))
+    return days
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
@@ -84,16 +89,117 @@ def run_day(spark: SparkSession, root: str, silver: DataFrame, day: str | None =
 
     A refused day changes nothing.
     """
+    log = f"{root.rstrip('/')}/watermark"
+    after = None
     if not day:
+        after = storage.last_numbered(spark, log)[0]
         day = str(spark.sql(f"SELECT date_add(DATE'{read_watermark(spark, root, start, mode)}', 1)").first()[0])
     batch = materialize(silver.where(F.col("date_posted") == day).select(config.SALARY_COLS), "increment")
     upsert = gate_batch(batch, day)
     batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/silver_increment/{day}")
     upsert_days(spark, root, upsert)
-    storage.append_entry(spark, f"{root.rstrip('/')}/watermark", day)
+    if storage.append_entry(spark, log, day, after) is None and day not in [r["value"] for r in storage.entries(spark, log).collect()]:
+        raise RuntimeError(f"another run moved the watermark while {day} was processed")
     return day
 
 
+def _stage_days(df: DataFrame, rules: list[quality.Rule], path: str) -> tuple[set[str], set[str]]:
+    """Write rows by their day and whether they keep the contract; folder names of all days and of the refused ones."""
+    ok = F.coalesce(functools.reduce(Column.__and__, [F.coalesce(r.ok, F.lit(False)) for r in rules]), F.lit(False))
+    (lake.clustered(df.withColumn("_day", F.col("date_posted")).withColumn("_ok", ok), "_day")
+         .write.partitionBy("_day", "_ok").parquet(path))
+    day = lambda p: p.split("/_day=", 1)[1].split("/")[0]
+    return ({day(p) for p in storage.folders(df.sparkSession, f"{path}/_day=*")},
+            {day(p) for p in storage.folders(df.sparkSession, f"{path}/_day=*/_ok=false")})
+
+
+def run_days(spark: SparkSession, root: str, silver: DataFrame, days: list[str] | None = None) -> tuple[list[str], list[str]]:
+    """Any set of days of ``silver`` (all of it by default) in one run of four writes, however many days.
+
+    The increment is staged by day and contract, the fact of the days without a breach likewise; a day with a
+    breach in either is refused whole and put under ``quarantine/increment``.  The other days are upserted
+    together, their increments kept as ``silver_increment/<day>`` and the days appended to the watermark log in
+    order.  Large days are split and small ones put together on the way to the files.  Returns (days, refused).
+    """
+    root = root.rstrip("/")
+    batch = silver.select(config.SALARY_COLS)
+    if days is not None:
+        batch = batch.where(F.col("date_posted").isin(days))
+    staged = fresh_path(spark, "staged-increment")
+    found, refused = _stage_days(batch, quality.silver_salary_rules(), staged)
+    held = spark.read.schema(batch.schema.add("_day", "string").add("_ok", "boolean")).parquet(staged)
+    fact = gold.build_fact(gold.salary_frame(held.where(F.col("_day").isin(sorted(found - refused))).select(batch.columns)))
+    staged_fact = fresh_path(spark, "staged-fact")
+    refused |= _stage_days(fact, quality.gold_fact_rules(), staged_fact)[1]
+    done = sorted(found - refused)
+    if done:
+        good = spark.read.schema(fact.schema.add("_day", "string").add("_ok", "boolean")).parquet(staged_fact)
+        upsert_days(spark, root, good.where(F.col("_day").isin(done)).select(fact.columns))
+    for day in sorted(found):  # folders are renamed, no data is read
+        target = f"{root}/quarantine/increment/{day}" if day in refused else f"{root}/silver_increment/{day}"
+        storage.move(spark, f"{staged}/_day={day}" if day in refused else f"{staged}/_day={day}/_ok=true", target)
+    for day in done:
+        storage.append_entry(spark, f"{root}/watermark", day)
+    for path in (staged, staged_fact):
+        storage.remove(spark, path)
+    return done, sorted(refused)
+
+
+# ------------------------------------------------------------- hot indicators of a stream
+
+COUNT_KEYS = ["country_iso2", "skill"]
+
+
+def store_counts(spark: SparkSession, root: str, days: list[str]) -> None:
+    """Facts of ``days`` folded to (day, country, skill, salary in cents): how many, and their jobs.
+
+    Kept by day beside the fact, so a replayed day takes back what it had counted before by overwriting its
+    folder; the write is the same however often it is repeated.
+    """
+    fact = read_fact(spark, root).where(F.col("date_posted").isin([d for d in days if d is not None]) & F.col("country_iso2").isNotNull() & F.col("skill").isNotNull())
+    counts = (fact.groupBy("date_posted", *COUNT_KEYS, cents("avg_salary").alias("cents"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum("job_count").cast("bigint").alias("jobs")))
+    (lake.clustered(counts, "date_posted").sortWithinPartitions("date_posted", *COUNT_KEYS).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("date_posted").parquet(f"{root.rstrip('/')}/indicator_counts"))
+
+
+def publish_indicators(spark: SparkSession, root: str, countries: list[str]) -> None:
+    """E8 / A16 for the given countries, from the stored counts alone: exact medians of folded values; their ``pk``
+    folders of the published items are overwritten."""
+    counts = (spark.read.schema("country_iso2 string, skill string, cents long, n long, jobs long, date_posted string")
+                   .parquet(f"{root.rstrip('/')}/indicator_counts").where(F.col("country_iso2").isin(countries)))
+    (indicators.hot_items_of_counts(counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("pk").parquet(f"{root.rstrip('/')}/hot_items"))
+
+
+HOT_ITEMS = "sk string, median_salary_eur double, avg_salary_eur double, volume long, pk string"
+
+
+def read_hot_items(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(HOT_ITEMS).parquet(f"{root.rstrip('/')}/hot_items").select("pk", "sk", "median_salary_eur", "avg_salary_eur", "volume")
+
+
+def stream_offers(spark: SparkSession, stream: DataFrame, root: str, checkpoint: str) -> None:
+    """Fresh silver rows from a stream, through the gates, into the fact and the hot indicators under ``root``.
+
+    Each micro-batch upserts its days, folds those days' facts again and publishes the countries it touched: the
+    facts of other days are not read.  Every step overwrites what it is keyed by, so a batch that is delivered
+    again after a failure leaves the same files.  A refused batch stops the stream and stays undelivered.
+    """
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        rows = materialize(cleaners.project_contract(batch), "stream-batch")
+        if rows.isEmpty():
+            return
+        fact = gate_batch(rows, f"stream-{epoch_id}")
+        days = upsert_days(spark, root, fact)
+        store_counts(spark, root, days)
+        # the gate lets pass two-letter codes alone: a bounded list
+        touched = rows.select("country_iso2").where("country_iso2 is not null").distinct().collect()
+        publish_indicators(spark, root, [r[0] for r in touched])
+
+    stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def watermark_steps(runs: DataFrame, step: str, batch_date: str, mode: str = "parity") -> DataFrame:
     """Watermark after each run, in run order.
 
