@@ -382,15 +382,17 @@ _UNCASTABLE = {
     for s, types in _DECLARED.items() for c, t in types.items()))
 def q_dq_coerce(spark, sf):
     """H5: values present but not castable to the declared type, for every column of every source."""
-    obs = md.observations(spark, sf)
     named = "struct<display_name: string>"
-    texts = F.from_json("json", f"array<struct<title: string, company: {named}, location: {named}, salary_min: string, salary_max: string, "
-                                "category: struct<tag: string>, country: string, created: string>>")
-    offers = adapter.offers_json_arrays(obs).select(F.inline(texts)).withColumns(
-        {"company": F.col("company.display_name"), "location": F.col("location.display_name"), "category": F.col("category.tag")})
-    raw = {"adzuna": offers, "indeed": adapter.board_rows(obs), "glassdoor": adapter.range_rows(obs), "so_survey": adapter.survey_rows(obs)}
-    return functools.reduce(DataFrame.unionByName, [
-        quality.coerce_failures(raw[s], types).select(F.lit(s).alias("source"), "*") for s, types in _DECLARED.items()])
+    offer = F.from_json(F.to_json(adapter.dump_record()), f"struct<title: string, company: {named}, location: {named}, salary_min: string, "
+                        "salary_max: string, category: struct<tag: string>, country: string, created: string>")
+    nested = {"company": "display_name", "location": "display_name", "category": "tag"}
+    value = lambda s, c: F.col(f"_{s}")[c][nested[c]] if s == "adzuna" and c in nested else F.col(f"_{s}")[c]
+    records = {"adzuna": offer, **{s: F.struct(*[fields[c].alias(c) for c in columns]) for s, (columns, fields) in adapter.csv_sources().items()}}
+    # every observation as the record of its own source: one pass and one aggregation for all sources
+    raw = md.observations(spark, sf).select(*[F.when(F.col("src") == s, r).alias(f"_{s}") for s, r in records.items()])
+    flat = raw.select(*[value(s, c).alias(f"{s}/{c}") for s, types in _DECLARED.items() for c in types])
+    counts = quality.coerce_failures(flat, {f"{s}/{c}": t for s, types in _DECLARED.items() for c, t in types.items()})
+    return counts.select(F.split("column", "/")[0].alias("source"), F.split("column", "/")[1].alias("column"), "type", "failures")
 
 
 _CASES_SQL = SILVER_SQL + """SELECT source AS dataset, 'salary_eur' AS "column", 'in_range(1000,500000)' AS "check",

@@ -20,6 +20,7 @@ from ..functions.country import alias_rows
 from ..functions.money import with_normalized_currency, with_salary_range, rate_to_eur
 from ..operators import cleaners
 from ..sources import adapter, readers
+from ..session import fresh_path
 from ..sources.tables import load
 from . import medallion as md
 from . import oracle as o
@@ -132,14 +133,41 @@ def q_raw_registry(spark, sf):
   CAST(floor(l_orderkey / 64) AS BIGINT) AS page, CAST(count(*) AS INTEGER) AS records FROM obs GROUP BY 1, 2, 3""")
 def q_raw_record_count(spark, sf):
     """Record counts of the raw texts of every source: JSON array length, CSV newlines - 1."""
-    obs = _obs(spark, sf)
-    texts = [("adzuna", "json", adapter.offers_json_arrays(obs)),
-             ("indeed", "csv", adapter.board_csv_chunks(obs)),
-             ("glassdoor", "csv", adapter.csv_chunks(adapter.range_rows(obs), readers.RANGE_SCHEMA.names)),
-             ("so_survey", "csv", adapter.csv_chunks(adapter.survey_rows(obs), readers.SURVEY_SCHEMA.names))]
-    return functools.reduce(DataFrame.unionByName, [
-        t.select(F.lit(source).alias("source"), F.lit(fmt).alias("format"), F.col("page").cast("bigint"),
-                 readers.raw_record_count(fmt, F.lit(fmt)).alias("records")) for source, fmt, t in texts])
+    t = adapter.raw_texts(_obs(spark, sf))
+    return t.select("source", "format", F.col("page").cast("bigint"), readers.raw_record_count("text", F.col("format")).alias("records"))
+
+
+@query("scan_json_files", _records_sql("skill_label").replace("SELECT skill_label", "SELECT l_orderkey % 50 = 3 AS damaged, skill_label")
+       .replace(f"{R2('price*' + D(adapter.LOW))} AS salary_min", f"CASE WHEN l_orderkey % 50 <> 3 THEN {R2('price*' + D(adapter.LOW))} END AS salary_min"))
+def q_scan_json_files(spark, sf):
+    """A1 from files: JSON arrays delivered as files and read back, damaged records kept apart (their lower salary is no number)."""
+    path = fresh_path(spark, "json-files")
+    adapter.deliver_json(_obs(spark, sf), path)
+    good, bad = readers.read_json_checked(spark, path, readers.OFFER_SCHEMA)
+    return _records_out(good).withColumn("damaged", F.lit(False)).unionByName(_records_out(bad.select("rest.*")).withColumn("damaged", F.lit(True)))
+
+
+@query("scan_csv_files", _BOARD_SQL.replace("""skill_label || '""" + adapter.TITLE_B + """' AS""", """skill_label || '""" + adapter.TITLE_B + """' || CASE WHEN l_orderkey % 7 = 0
+  THEN chr(10) || '"' || l_linenumber || '", x' ELSE '' END AS""") + " AND l_orderkey % 40 <> 1")
+def q_scan_csv_files(spark, sf):
+    """A3 from files: quoted CSV with line breaks and quotes inside fields, delivered as files and read back by header;
+    records with a field too many are kept apart (``damaged_csv_records`` counts them)."""
+    good, _ = _csv_files(spark, sf)
+    return good.withColumn("l_orderkey", F.col("l_orderkey").cast("bigint")).withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+
+
+def _csv_files(spark, sf):
+    path = fresh_path(spark, "csv-files")
+    adapter.deliver_csv(_obs(spark, sf), path)
+    return readers.read_csv_checked(spark, path, readers.string_schema(["l_orderkey", "l_linenumber", *adapter.BOARD_COLUMNS]))
+
+
+@query("damaged_csv_records", OBS + """SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(count(*) AS BIGINT) AS records
+FROM obs WHERE src = 'indeed' AND l_orderkey % 40 = 1 GROUP BY 1""")
+def q_damaged_csv_records(spark, sf):
+    """A3: the records kept apart, by the order that their text names."""
+    _, bad = _csv_files(spark, sf)
+    return bad.groupBy(F.regexp_extract("record", '^"(\\d+)"', 1).alias("l_orderkey")).agg(F.count(F.lit(1)).cast("bigint").alias("records"))
 
 
 def _text_sql(x: str) -> str:

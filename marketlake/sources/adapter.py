@@ -126,11 +126,9 @@ def offers_api_pages(obs: DataFrame) -> DataFrame:
     return _of(obs, "adzuna").select(*[v.alias(k) for k, v in api_page_fields().items()])
 
 
-def offers_json_arrays(obs: DataFrame) -> DataFrame:
-    """Bronze JSON dump as JSON-array texts, one per page (``page, json``),
-    each record already aligned on the bronze contract (tag and country set)."""
-    a = _of(obs, "adzuna")
-    rec = F.struct(
+def dump_record() -> Column:
+    """One offer of the bronze dump, aligned on the bronze contract (tag and country set)."""
+    return F.struct(
         F.concat(F.col("skill_label"), F.lit(TITLE_A)).alias("title"),
         F.struct(F.col("s_name").alias("display_name")).alias("company"),
         F.struct(F.col("country_name").alias("display_name")).alias("location"),
@@ -140,7 +138,11 @@ def offers_json_arrays(obs: DataFrame) -> DataFrame:
         F.lower("iso2").alias("country"),
         F.concat(F.col("date_posted"), F.lit(STAMP)).alias("created"),
     )
-    return a.groupBy(_page().alias("page")).agg(F.to_json(F.collect_list(rec)).alias("json"))
+
+
+def offers_json_arrays(obs: DataFrame) -> DataFrame:
+    """Bronze JSON dump as JSON-array texts, one per page (``page, json``)."""
+    return _of(obs, "adzuna").groupBy(_page().alias("page")).agg(F.to_json(F.collect_list(dump_record())).alias("json"))
 
 
 # ---------------------------------------------------------------- indeed (CSV)
@@ -241,6 +243,66 @@ def survey_rows(obs: DataFrame) -> DataFrame:
                                         *[v.alias(k) for k, v in survey_fields().items()])
 
 
+# ---------------------------------------------------- raw texts of all sources
+
+RANGE_COLUMNS = ["Rôle", "Ville", "Pays", "Niveau", "skill", "salary_range", "date_posted"]
+SURVEY_COLUMNS = ["Country", "ConvertedCompYearly", "LanguageHaveWorkedWith"]
+
+
+def csv_sources() -> dict[str, tuple[list[str], dict[str, Column]]]:
+    """Columns and fields of the sources that come as CSV."""
+    return {"indeed": (BOARD_COLUMNS, board_fields()), "glassdoor": (RANGE_COLUMNS, range_fields()), "so_survey": (SURVEY_COLUMNS, survey_fields())}
+
+
+def raw_texts(obs: DataFrame) -> DataFrame:
+    """The raw texts of every source as delivered, ``(source, format, page, text)``: JSON arrays and headed CSV.
+
+    Each observation is rendered as a record of its own source and the records of a page are put together, so
+    all sources come from one pass over the observations and one shuffle.
+    """
+    src = F.col("src")
+    line = F.when(src == "adzuna", F.to_json(dump_record()))
+    header = F.lit("")
+    for name, (columns, fields) in csv_sources().items():
+        line = line.when(src == name, F.to_csv(F.struct(*[fields[c].alias(c) for c in columns])))
+        header = F.when(F.col("source") == name, F.lit(",".join(columns) + "\n")).otherwise(header)
+    pages = obs.select(src.alias("source"), _page().alias("page"), line.alias("line")).groupBy("source", "page").agg(F.collect_list("line").alias("lines"))
+    is_json = F.col("source") == "adzuna"
+    text = F.when(is_json, F.concat(F.lit("["), F.concat_ws(",", "lines"), F.lit("]"))) \
+            .otherwise(F.concat(header, F.concat_ws("\n", "lines"), F.lit("\n")))
+    return pages.select("source", F.when(is_json, "json").otherwise("csv").alias("format"), "page", text.alias("text"))
+
+
+FILE_ORDERS = 16384  # orders a delivered file holds at most: bounds a file's text
+
+
+def _deliver(obs: DataFrame, line: Column, text, path: str) -> None:
+    """One file of raw text for each run of ``FILE_ORDERS`` orders."""
+    files = obs.groupBy(F.floor(F.col("l_orderkey") / FILE_ORDERS).alias("chunk")).agg(text(F.collect_list(line)).alias("value"))
+    files.write.partitionBy("chunk").text(path)
+
+
+def deliver_json(obs: DataFrame, path: str) -> None:
+    """Offers as files of one JSON array each, a record a line; on a share of rows the lower salary is no number."""
+    damaged = F.when(F.col("l_orderkey") % 50 == 3, F.lit("n/a")).otherwise(round2(F.col("price") * LOW).cast("string"))
+    rec = dump_record()
+    line = F.to_json(F.struct(*[(damaged if c == "salary_min" else rec[c]).alias(c) for c in (
+        "title", "company", "location", "salary_min", "salary_max", "category", "country", "created")]))
+    _deliver(_of(obs, "adzuna"), line, lambda lines: F.concat(F.lit("[\n"), F.concat_ws(",\n", lines), F.lit("\n]")), path)
+
+
+def deliver_csv(obs: DataFrame, path: str) -> None:
+    """Job-board rows as headed CSV files, all fields quoted, with line breaks and quotes inside fields; on a
+    share of rows the record is damaged by a field too many."""
+    fields = board_fields()
+    title = F.when(F.col("l_orderkey") % 7 == 0, F.concat(fields["Intitulé"], F.lit('\n"'), F.col("l_linenumber"), F.lit('", x'))).otherwise(fields["Intitulé"])
+    cells = [F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), title, *[fields[c] for c in BOARD_COLUMNS[1:]]]
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in cells]
+    line = F.concat(F.concat_ws(",", *quoted), F.when(F.col("l_orderkey") % 40 == 1, F.lit(',"one too many"')).otherwise(F.lit("")))
+    header = ",".join(["l_orderkey", "l_linenumber", *BOARD_COLUMNS])
+    _deliver(_of(obs, "indeed"), line, lambda lines: F.concat(F.lit(header + "\n"), F.concat_ws("\n", lines)), path)
+
+
 # ------------------------------------------------- extra source (nested JSON)
 
 def compensation_records(obs: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import na_tokens_to_null
 from ..functions._util import as_col
+from ..session import materialize
 
 # ---------------------------------------------------------------- schemas
 
@@ -66,6 +67,66 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
 
 
+def _as_text(t: T.DataType) -> T.DataType:
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in t.fields])
+    return T.StringType()
+
+
+def _typed(c: Column, t: T.DataType) -> Column:
+    """A column of texts in the shape of ``t``, cast field by field; what cannot be cast is null."""
+    if isinstance(t, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_typed(c[f.name], f.dataType).alias(f.name) for f in t.fields]))
+    return c.try_cast(t)
+
+
+def _lost(c: Column, t: T.DataType, name: str) -> list[Column]:
+    if isinstance(t, T.StructType):
+        return [x for f in t.fields for x in _lost(c[f.name], f.dataType, f"{name}.{f.name}")]
+    return [] if isinstance(t, T.StringType) else [F.when(c.isNotNull() & c.try_cast(t).isNull(), F.lit(name))]
+
+
+def read_json_checked(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """A1/A2 with damaged records kept apart: (records under ``schema``, damaged ones).
+
+    A field whose value is not of its type, or a document that is no JSON, makes a record damaged: it is
+    returned as ``(fields, record, rest)``, the names of the fields (none for a broken document), its text and
+    what can be read of it, and is not among the others.
+    """
+    text = _as_text(schema).add("_broken", T.StringType())
+    df = spark.read.schema(text).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").json(path)
+    df = materialize(df, "json-parsed")  # parsed once for both results
+    lost = F.array_compact(F.array(*[x for f in schema.fields for x in _lost(F.col(f"`{f.name}`"), f.dataType, f.name)]).cast("array<string>"))
+    df = df.withColumn("_fields", lost)
+    fine = (F.size("_fields") == 0) & F.col("_broken").isNull()
+    typed = [_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
+    good = df.where(fine).select(*typed)
+    record = F.coalesce("_broken", F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])))
+    return good, df.where(~fine).select(F.col("_fields").alias("fields"), record.alias("record"), F.struct(*typed).alias("rest"))
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, na_tokens: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A3/A4 with damaged records kept apart: (rows as ``read_csv`` gives them, texts ``record`` of lines that do not
+    have the header's number of fields)."""
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    names = _header(spark, path)
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {missing}; the header has {names}")
+    df = (spark.read.schema(string_schema(names).add("_broken", T.StringType())).options(**options)
+               .option("columnNameOfCorruptRecord", "_broken").option("columnPruning", False).csv(path))
+    df = materialize(df, "csv-parsed")  # parsed once for both results
+    good = df.where("_broken is null").select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    return with_na_tokens(good) if na_tokens else good, df.where("_broken is not null").select(F.col("_broken").alias("record"))
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Names in the first line of the files (folders' partition columns are not among them)."""
+    lines = spark.read.option("inferSchema", False).option("header", False).option("multiLine", True).option("escape", '"').csv(path)
+    first = lines.select(*[c for c in lines.columns if c.startswith("_c")]).first()
+    return [] if first is None else [v for v in first if v is not None]
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: bool = True) -> DataFrame:
     """A3/A4: headed CSV (accented headers are fine), all columns as text.
 
@@ -74,7 +135,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: bo
     ``na_tokens`` the pandas missing-value tokens (``NA``, ``null``, ``N/A``,
     ...) become null, as the reference's reader does.
     """
-    df = spark.read.option("header", True).option("multiLine", True).option("inferSchema", False).csv(path)
+    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("inferSchema", False).csv(path)
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{path}: no column {missing}; the header has {df.columns}")

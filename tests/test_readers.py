@@ -111,3 +111,27 @@ def test_raw_counts_and_casts_cover_every_source(spark):
     rows = {(r["source"], r["column"]): r["failures"] for r in q["dq_coerce"](spark, "/root/testdata/sf0.001").collect()}
     assert {s for s, _ in rows} == set(config.SALARY_SOURCES) and len(rows) == 25
     assert rows["indeed", "Zone"] == obs["indeed"] and rows["glassdoor", "date_posted"] == 0
+
+
+def test_json_files_keep_damaged_records_apart(spark, tmp_path):
+    from marketlake.sources import readers
+    (tmp_path / "a.json").write_text('[{"title": "a", "salary_min": 1.5, "category": {"tag": "x"}},\n {"title": "b", "salary_min": "n/a", "salary_max": 2}]')
+    (tmp_path / "b.json").write_text('[{"title": "c"}')
+    (tmp_path / "c.json").write_text("[]")
+    good, bad = readers.read_json_checked(spark, str(tmp_path), readers.OFFER_SCHEMA)
+    assert good.schema == readers.OFFER_SCHEMA
+    assert {(r["title"], r["salary_min"], r["category"] and r["category"]["tag"]) for r in good.collect()} >= {("a", 1.5, "x")}
+    held = {tuple(r["fields"]): r for r in bad.collect()}
+    assert held["salary_min",]["rest"]["title"] == "b" and held["salary_min",]["rest"]["salary_max"] == 2.0 and '"n/a"' in held["salary_min",]["record"]
+    assert '"c"' in held[()]["record"] and len(held) == 2
+
+
+def test_csv_files_keep_damaged_records_apart(spark, tmp_path):
+    from marketlake.sources import readers
+    (tmp_path / "a.csv").write_text('x,y,z\n1,"two ""quoted""\nlines",3\n4,NA,6\n7,8\n9,10,11,12\n')
+    good, bad = readers.read_csv_checked(spark, str(tmp_path), readers.string_schema(["z", "y"]))
+    assert sorted(map(tuple, good.collect()), key=str) == [("3", 'two "quoted"\nlines'), ("6", None)]
+    assert sorted(r["record"] for r in bad.collect()) == ["7,8", "9,10,11,12"]
+    assert readers.read_csv(spark, str(tmp_path), readers.string_schema(["y"])).first()["y"] == 'two "quoted"\nlines'
+    with pytest.raises(ValueError, match="no column"):
+        readers.read_csv_checked(spark, str(tmp_path), readers.string_schema(["nope"]))
