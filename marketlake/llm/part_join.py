@@ -25,8 +25,9 @@ Candidates come from equal keys.  ``STARS`` times every set of a key meets one
 set of it (the hub, by a hash that changes) unless both are linked already; what
 links forms components.  Then all pairs of a key that still lie in different
 components are compared by their sketches, in blocks of bounded size: a parity
-sketch gives a lower bound of the difference, so what it drops cannot link.  The
-rest are verified exactly on their whole sets.
+sketch gives a lower bound of the difference, so what it drops cannot link; large
+sets have a longer one, as long as strangers need to be told apart.  The rest are
+verified exactly on their whole sets.
 
 The result is the components only.  Pairs of one component that met after it had
 formed are not compared, so there is no list of all links, and no number of links
@@ -60,6 +61,7 @@ BLOCK = 1024  # members of a key that are compared in one group with as many oth
 SHARE = 200   # a shingle that one of so many distinct sets holds is common
 BAND = 1.4
 SKETCH = 8  # 64-bit words of parity sketch
+WIDE = 700  # sets of more shingles have a longer sketch as well: so many differences fill the short one
 FILTER_BITS = 24
 #: A stranger shares a shingle that is not common with this chance; a verified pair costs so many entries.
 COMMON, PAIR_COST = 1e-7, 50.0
@@ -158,6 +160,27 @@ def sketches(at: np.ndarray, sets: np.ndarray) -> np.ndarray:
     return np.packbits(odd, axis=1).view(np.int64).reshape(n, SKETCH)
 
 
+def wide_sketches(at: np.ndarray, sets: np.ndarray) -> pa.LargeListArray:
+    """Parities of as many buckets as a set of more than ``WIDE`` shingles has members, rounded up to a power of two
+    (none for smaller sets).  Halves laid over each other by XOR are the sketch of half as many buckets."""
+    size = np.diff(at)
+    out, ends = [], np.zeros(len(size) + 1, np.int64)
+    for i in np.flatnonzero(size > WIDE):
+        bits = 1 << int(size[i] - 1).bit_length()
+        slot = (C.mixed(sets[at[i]:at[i + 1]] + np.uint64(78)) & np.uint64(bits - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).view(np.int64))
+        ends[i + 1] = len(out[-1])
+    return pa.LargeListArray.from_arrays(pa.array(np.cumsum(ends)), pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))
+
+
+def wide_flips(a: Column, b: Column) -> Column:
+    """Bits that differ between two long sketches, the longer laid over itself to the length of the shorter."""
+    n = F.least(F.size(a), F.size(b))
+    fold = lambda s: F.transform(F.sequence(F.lit(1), n), lambda i: F.aggregate(
+        F.sequence(i, F.size(s), n), F.lit(0).cast("bigint"), lambda x, j: x.bitwiseXOR(F.element_at(s, j))))
+    return F.aggregate(F.zip_with(fold(a), fold(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+
+
 def index_keys(at: np.ndarray, sets: np.ndarray, scheme: int, n1: int, n2: int, spare: int,
                common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) entries of all sets under one scheme; ``common``: the common shingles, sorted."""
@@ -217,6 +240,7 @@ def _sized(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row_key"), part.column("doc_id"), pa.array(np.diff(at)), pa.array(cid, mask=np.diff(at) == 0),
                      pa.FixedSizeListArray.from_arrays(pa.array(sketches(at, held).ravel()), SKETCH).cast(pa.list_(pa.int64())),
+                     wide_sketches(at, held).cast(pa.list_(pa.int64())),
                      pa.array(np.zeros(part.num_rows, bool))], names=names)
                 once = np.unique(cid, return_index=True)[1]
                 size = np.diff(at)[once]
@@ -226,11 +250,11 @@ def _sized(docs: DataFrame, width: int) -> DataFrame:
                 k = int(often.sum())
                 none = pa.nulls(k, pa.int64())
                 yield pa.RecordBatch.from_arrays([none, none, pa.array(n[often].astype(np.int64)), pa.array(shingle[often].view(np.int64)),
-                                                  pa.nulls(k, pa.list_(pa.int64())), pa.array(np.ones(k, bool))], names=names)
+                                                  pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())), pa.array(np.ones(k, bool))], names=names)
 
-    names = ["row_key", "doc_id", "n", "cid", "sketch", "heavy"]
+    names = ["row_key", "doc_id", "n", "cid", "sketch", "wide", "heavy"]
     return map_arrow(docs.select("row_key", "doc_id", "text"), sets,
-                     "row_key bigint, doc_id bigint, n bigint, cid bigint, sketch array<bigint>, heavy boolean")
+                     "row_key bigint, doc_id bigint, n bigint, cid bigint, sketch array<bigint>, wide array<bigint>, heavy boolean")
 
 
 def _entries(docs: DataFrame, width: int, plan: dict[int, tuple], common: np.ndarray) -> DataFrame:
@@ -280,8 +304,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     """The pairs (a, b) of class ids that link."""
     side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     flips = sum((F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(SKETCH)), F.lit(0))
-    near = keep(pairs.join(side("a"), "a").join(side("b"), "b")
-                     .filter(flips * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b", "n_a", "n_b"), "near-pairs")
+    few = lambda d: d * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    met = keep(pairs.join(side("a"), "a").join(side("b"), "b").filter(few(flips)).select("a", "b", "n_a", "n_b"), "met-pairs")
+    # large sets: strangers fill the short sketch, the long one tells them apart before any set is fetched
+    both_wide = F.least("n_a", "n_b") > WIDE
+    wide = lambda c: classes.filter(F.col("n") > WIDE).select(F.col("cid").alias(c), F.col("wide").alias(f"w_{c}"))
+    large = met.filter(both_wide).join(wide("a"), "a").join(wide("b"), "b").filter(few(wide_flips(F.col("w_a"), F.col("w_b"))))
+    near = keep(met.filter(~both_wide).unionByName(large.select(*met.columns)), "near-pairs")
     wanted = near.select(F.col("a").alias("cid")).unionByName(near.select(F.col("b").alias("cid"))).distinct()
     rows = wanted.join(classes.select("cid", "row_key"), "cid").select("cid", "row_key")
     # a bitmap of fixed size, so that only texts that may be wanted are cut into shingles again
@@ -307,7 +336,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                .join(held.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b")
     inter = F.size(F.array_intersect("set_a", "set_b"))
     links = keep(both.filter(inter * 100 >= (F.col("n_a") + F.col("n_b") - inter) * percent).select("a", "b"), "links")
-    discard(near, held)
+    discard(met, near, held)
     return links
 
 
@@ -324,7 +353,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     docs = docs.select("doc_id", "text", row_key("doc_id", "text").alias("row_key"))
     both = keep(_sized(docs, width), "sets")
     sized = both.filter(~F.col("heavy")).drop("heavy")
-    classes = keep(sized.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("row_key").alias("row_key"),
+    classes = keep(sized.filter("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"), F.min("row_key").alias("row_key"),
                                                             F.min("doc_id").alias("least_id")), "classes")
     heavy = both.filter("heavy").groupBy("cid").agg(F.sum("n").alias("n")).filter(F.col("n") * SHARE >= classes.count()).select("cid")
     common = np.sort(heavy.toArrow().column("cid").to_numpy().view(np.uint64))

@@ -197,3 +197,22 @@ def test_backoff_of_higher_orders_against_direct_counts(frame, odd_rows, monkeyp
         got = backoff_lm.score(frame(rows, extra=True), min_count=min_count, order=order).collect()
         assert sorted(((r["doc_id"], r["n_words"], round(r["log_score"], 6)) for r in got), key=str) == sorted(((i, *score(t)) for i, t in rows), key=str)
     assert backoff_lm.score(frame([]), min_count=min_count, order=order).count() == 0
+
+
+def test_wide_sketches_bound_differences(spark):
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from marketlake.llm import part_join as P
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2 ** 62, 6000).astype(np.uint64)
+    sets = [np.unique(s) for s in (base[:3000], base[50:3100], base[3000:], base[:800], base[:100], base[3000:3900])]
+    at = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    wide = P.wide_sketches(at, np.concatenate(sets)).cast(pa.list_(pa.int64())).to_pylist()
+    assert [len(w) * 64 for w in wide] == [4096, 4096, 4096, 1024, 0, 1024]
+    pairs = [(i, j) for i in range(6) for j in range(i) if wide[i] and wide[j]]
+    df = spark.createDataFrame([(i, j, wide[i], wide[j]) for i, j in pairs], "i int, j int, a array<bigint>, b array<bigint>")
+    for r in df.withColumn("d", P.wide_flips(F.col("a"), F.col("b"))).collect():
+        real = len(np.setxor1d(sets[r["i"]], sets[r["j"]]))
+        assert r["d"] <= real and (r["d"] > 0.3 * min(len(sets[r["i"]]), len(sets[r["j"]])) or real < 1000), (r["i"], r["j"])
