@@ -43,6 +43,34 @@ def test_runs_compact_to_levels(spark):
     assert unordered(runs.frequent()) == [(1, 1)]
 
 
+def test_runs_are_merged_and_anti_joined_without_shuffling_them(spark):
+    from pyspark.sql import functions as F
+    runs = line_dedup._Runs(spark, 2)
+    rows = spark.range(5000).select(F.xxhash64("id").alias("h1"), F.xxhash64("id", F.lit(1)).alias("h2"), F.lit(1).cast("long").alias("n"))
+    a, b = runs._write(rows), runs._write(rows)
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(runs._merge(a, b)) == 0 and runs._merge(a, b).filter("n = 2").count() == 5000
+    both = runs._write(runs._merge(a, b))
+    assert shuffles(runs._unknown(rows, both)) == 1 and runs._unknown(rows, both).count() == 0  # the batch alone is dealt out
+    assert shuffles(runs._unknown(rows.limit(0).unionByName(rows), a)) == 1 and runs._unknown(rows, a).count() == 5000
+    runs.close()
+
+
+def test_a_later_batch_meets_the_stored_runs(spark, frame):
+    from marketlake.session import fresh_path
+    folder = fresh_path(spark, "test-line-runs")
+    dropped = []
+    for k in range(4):
+        rows = [(k * 10 + i, f"common line\nown {k} {i}") for i in range(2)] + [(k * 10 + 5, None)]
+        out = line_dedup.dedup_batch(frame(rows), folder, min_docs=5)
+        dropped.append(sum(r["n_dropped"] for r in out.collect()))
+        runs = line_dedup._Runs(spark, 5, folder)
+        assert [len(x) for x in runs.levels] == [[1], [0, 1], [1, 1], [0, 0, 1]][k]
+        runs.close()
+    assert dropped == [0, 0, 2, 2]  # the fifth document that holds it comes with the third batch
+    assert spark.sql("SHOW TABLES LIKE 'line_run_*'").count() == 0
+
+
 def _size(t):
     return len((t or "").encode()) + 1
 
