@@ -120,20 +120,25 @@ def train(at: np.ndarray, terms: np.ndarray, y: np.ndarray, steps: int = 512, ba
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, train_rows: int = 16_384) -> Model:
-    """Model from at most ``train_rows`` labelled rows for which ``allowed`` (on doc_id) holds."""
+    """Model from at most ``train_rows`` labelled rows for which ``allowed`` (on doc_id) holds: those of the smallest
+    hashes, trained in the order of their ids, so that the model does not depend on the order or place of the rows."""
     sample = (labels.filter(F.col("toxic").isin(0, 1) & allowed).select("doc_id", F.col("toxic").alias("y"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(train_rows))
-    schema = T.StructType([T.StructField("y", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField("y", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("doc_id", T.LongType()), T.StructField("place", T.LongType())])
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in C.slices(b, "text"):
                 at, held = hashed_terms(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("y"), pa.ListArray.from_arrays(at.astype(np.int32), pa.array(held))], names=["y", "terms"])
+                yield pa.RecordBatch.from_arrays([part.column("y"), pa.ListArray.from_arrays(at.astype(np.int32), pa.array(held)),
+                                                  part.column("doc_id"), part.column("place")], names=["y", "terms", "doc_id", "place"])
 
     # the sample has train_rows short rows at most, so it may be broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("y").cast("int").alias("y"), "text")
-    got = map_arrow(rows, terms, schema).limit(train_rows).toArrow().combine_chunks()
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(
+        F.col("y").cast("int").alias("y"), "text", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("place"))
+    # a repeated id brings several rows: which of them count is told by the hash as well
+    got = map_arrow(rows, terms, schema).orderBy("place", "y").limit(train_rows).toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("place", "ascending"), ("y", "ascending")]).combine_chunks()
     if not got.num_rows:
         return train(np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0))
     lists = got.column("terms").chunk(0)

@@ -29,6 +29,26 @@ def test_toxicity_held_out(spark):
     assert _held_accuracy(spark, X.score(docs, model), X.SCORE, "toxic", 0.5) >= 0.9
 
 
+def test_toxicity_held_out_recall_and_precision(spark):
+    """Accuracy alone would pass a model that finds nothing."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    scored = X.score(docs, X.fit(docs, labels, ~held_out(F.col("doc_id"))))
+    r = (scored.filter(held_out(F.col("doc_id"))).join(labels.filter("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id")
+               .agg(F.count_if((F.col(X.SCORE) >= 0.5) & (F.col("toxic") == 1)).alias("hit"), F.count_if(F.col(X.SCORE) >= 0.5).alias("said"),
+                    F.count_if(F.col("toxic") == 1).alias("all"))).first()
+    assert r["all"] > 50 and r["hit"] / r["all"] >= 0.6 and r["hit"] / r["said"] >= 0.9
+
+
+def test_toxicity_does_not_depend_on_the_order_of_rows(spark, frame):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.limit(5))  # repeated ids as well
+    labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet")
+    models = [X.fit(d, labels, ~held_out(F.col("doc_id")), train_rows=150) for d in (docs, docs.repartition(7, "text"), docs.orderBy(F.desc("doc_id")))]
+    for m in models[1:]:
+        assert (m.weight == models[0].weight).all() and (m.factor == models[0].factor).all() and m.bias == models[0].bias
+
+
 def test_density_matches_the_formula():
     rng = np.random.default_rng(1)
     p = len(Q.FEATURES)
