@@ -207,7 +207,10 @@ def locate_records(archives: DataFrame) -> DataFrame:
 
 
 def read_records(ranges: DataFrame, payloads: bool = False, chunk_bytes: int = 8 << 20) -> DataFrame:
-    """Range-read the records; neighbours within ``chunk_bytes`` of an archive are read by one task."""
+    """Range-read the records; neighbours within ``chunk_bytes`` of an archive are read by one task.
+
+    The tasks are as many as the records' bytes ask for: index rows are tiny, so their own size tells nothing.
+    """
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, f = None, None
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
@@ -230,7 +233,9 @@ def read_records(ranges: DataFrame, payloads: bool = False, chunk_bytes: int = 8
         if f:
             f.close()
 
-    dealt = ranges.repartition("path", F.floor(F.col("offset") / chunk_bytes)).sortWithinPartitions("path", "offset")
+    ranges = keep(ranges, "warc-ranges")
+    size = ranges.agg(F.sum("length")).first()[0] or 0
+    dealt = ranges.repartition(size // (2 * chunk_bytes) + 1, "path", F.floor(F.col("offset") / chunk_bytes)).sortWithinPartitions("path", "offset")
     schema = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
     return map_arrow(dealt, fetch, schema)
 
