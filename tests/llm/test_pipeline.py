@@ -46,6 +46,23 @@ def test_pipeline_against_plain_versions(spark):
     assert all(r["n_chars"] == len(r["text"] or "") for r in got)
 
 
+def test_stages_keep_columns_of_any_name_and_odd_rows(spark, odd_rows):
+    """Nulls, long texts, repeated rows and columns named like the stages' own."""
+    from llm.conftest import DOC_SCHEMA
+    own = ("n_dropped", "n_lines", "quality_score", "row", "kept", "whole", "lines", "cid", "n", "piece_ids_", "component_id", "row_key")
+    rows = [(i, t, "en", "src0", len(t or "")) for i, t in odd_rows] + [(50 + i, f"shared line\nown {i}", "en", None, 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).select("*", *[F.lit(777).alias(c) for c in own])
+    for (name, stage) in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_SMALL)
+        got = out.collect()
+        assert set(docs.columns) <= set(out.columns), name
+        assert all(r[c] == 777 for r in got for c in own), name
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == docs.columns, name
+        if name == "line_dedup_runs":
+            assert len(got) == len(rows) and {r["text"] for r in got if (r["doc_id"] or 0) >= 50} == {f"own {i}" for i in range(12)}
+
+
 def test_stages_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[1:]:
