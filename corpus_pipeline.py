@@ -22,14 +22,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quadratic discriminant scores below 0.3 go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_qda.fit(docs.select("doc_id", "text"), labels, ~held_out(F.col("doc_id")))
-    return quality_qda.score(docs, model).filter(F.col(quality_qda.SCORE) >= 0.3).drop(quality_qda.SCORE)
+    # the row travels whole beside its text, so no column of a user's can clash with the score's
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return quality_qda.score(rows, model).filter(F.col(quality_qda.SCORE) >= 0.3).select("row.*")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more are dropped from all of them."""
-    out = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1)
-    changed = F.when(F.col("n_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", changed).select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    out = line_dedup.dedup_lines(rows, min_docs=10, min_chars=1)
+    length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, length).otherwise(F.col("whole.n_chars"))}
+    return out.select(*[new.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
