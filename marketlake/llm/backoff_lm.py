@@ -8,21 +8,25 @@ its last word) for the longest n-gram that ends in it within its document, and
 is in the model; each step to a shorter one costs log(alpha), and a lone word
 scores log(word / all words).  A document's score is the sum over its words.
 
-How it scales, any order but 2: documents are dealt by hash into chunks of about
-CHUNK characters.  A chunk sends each distinct n-gram once, with its count in
-the chunk, packed by hash bucket; a bucket adds up its n-grams and sends each
-chunk the totals in the order asked, without the n-grams; the chunk scores its
-documents with them.  A common n-gram is one entry for each chunk, however many
-documents hold it; the buckets grow in number with the chunks.
-
-How it scales, order 2: the ``frequent`` most common words at most hold 1 / frequent of
-all words each, so their table has a proven bound and is broadcast; they get
-small codes, the others their 64-bit hashes.  Pairs that alone hold 1 / HOT of
-all words or more (at most HOT of them, again by count) are scored where the
-text is read; the other pairs are exploded, one row for each document and
-distinct pair, and meet their counts in one shuffle by the pair.  The words
-that a score still needs are looked up in the broadcast table, and the rare
-ones by a join on the word, where no key holds more than 1 / frequent.
+How it scales: texts are exploded into rows (document, context, word), one for
+each n-gram of the highest order, and shuffled once by the context.  The counts
+of n-grams and contexts are sums over that partitioning, so they meet the
+exploded rows where they are made; the rows' logarithms are summed for each
+document.  A document's last context is a row without a word, so a context's
+rows are its count.  N-grams and contexts that alone hold 1 / HOT of all words
+or more (HOT of each at most) are found first, exactly, and broadcast: such
+n-grams are scored where the text is read, and the other rows of such contexts
+are dealt by context and word.  So no key holds more than 1 / HOT of the rows.
+With nothing pruned, the scores of a document's first words add up to
+log(first context) - log(all words), which the row of its first n-gram brings.
+
+Shorter n-grams are asked for only where they count: by pruned n-grams, and by
+documents too short for a context.  Each order's count table is aggregated
+before its shuffle and joined by hash; its common keys are broadcast.
+
+N-grams of up to three of the ``frequent`` words (those holding 1 / FREQUENT of
+all words each; FREQUENT at most) are told apart by the words' numbers, all
+others by 63-bit hashes.
 
 Cases: null and empty texts have no words and score 0.0 (per word: null);
 repeated rows are separate documents and count; a null doc_id is a document as
@@ -32,21 +36,25 @@ any other; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import codepoints as C
-from .common import keep, map_arrow, ship
+from .common import keep, map_arrow
 from .part_join import _ascii
 
 FREQUENT, HOT = 1 << 19, 1 << 12
-#: Characters of a chunk; buckets for every 64 chunks.
-CHUNK, BUCKETS = 1 << 24, 256
+#: Words for each hash partition of the exploded n-grams; counters of the first look for common ones.
+CHUNK, SPOTS = 1 << 21, 1 << 16
+#: Bits of a frequent word's number; three fit a packed n-gram.
+BITS = 20
+SIGN = np.uint64(1 << 63)
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,23 +63,12 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     word, low = _ascii()
     small, plain = np.minimum(t.cp, 127), t.cp < 128
     start, end = t.runs(~plain | word[small])
-    h = C.run_hashes(np.where(plain, low[small], t.cp), start, end)[0] | np.uint64(1 << 63)
+    h = C.run_hashes(np.where(plain, low[small], t.cp), start, end)[0] | SIGN
     return t.doc[start] if len(start) else np.zeros(0, np.int64), h
 
 
-def _counted(keys: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of the key columns and how often each occurs."""
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    if not len(order):
-        return keys, order
-    new = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))
-    at = np.flatnonzero(new)
-    return [k[at] for k in keys], np.diff(np.append(at, len(order)))
-
-
 class _Codes:
-    """Codes of the frequent words: their place among them by count."""
+    """Numbers of the frequent words, from 1: their place among them by count."""
 
     def __init__(self, hashes: np.ndarray):
         self.order = np.argsort(hashes)
@@ -81,7 +78,71 @@ class _Codes:
         if not len(self.hashes):
             return h.view(np.int64)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.order[at], h.view(np.int64))
+        return np.where(self.hashes[at] == h, self.order[at] + 1, h.view(np.int64))
+
+
+class _Counts:
+    """A small table of counts by key."""
+
+    def __init__(self, rows: list[tuple[int, int]]):
+        rows = sorted(rows)
+        self.keys, self.n = np.array([k for k, _ in rows], np.int64), np.array([n for _, n in rows], np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The count of each key (not in the table: 0)."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.n[at], 0)
+
+
+def _hashed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return (C.mixed(before.astype(np.int64).view(np.uint64) * STEP + word.astype(np.int64).view(np.uint64)) | SIGN).view(np.int64)
+
+
+def _grams(doc: np.ndarray, word: np.ndarray, order: int) -> list[np.ndarray]:
+    """For one to ``order`` words, the n-gram that ends in each word (0: it would begin before its document)."""
+    out = [word]
+    for k in range(1, order):
+        longer = np.zeros(len(word), np.int64)
+        if len(word) > k:
+            whole = doc[k:] == doc[:-k]
+            before, last = out[-1][k - 1:-1][whole], word[k:][whole]
+            packed = (before > 0) & (before < 1 << 2 * BITS) & (last > 0)
+            longer[k:][whole] = np.where(packed, before << BITS | last, _hashed(before, last))
+        out.append(longer)
+    return out
+
+
+class _Slice:
+    """The words of a slice of rows and the n-grams that end in them."""
+
+    def __init__(self, part: pa.RecordBatch, codes: _Codes, order: int):
+        self.n = part.num_rows
+        self.doc, h = word_hashes(part.column("text"))
+        self.word = codes.of(h)
+        self.grams = _grams(self.doc, self.word, order)
+        self.size = np.bincount(self.doc, minlength=self.n).astype(np.int64)
+        self.place = np.arange(len(self.doc)) - (np.cumsum(self.size) - self.size)[self.doc]
+        self.last = (np.cumsum(self.size) - 1)[self.size > 0]
+
+    def before(self, k: int, at: np.ndarray) -> np.ndarray:
+        """The n-gram of ``k`` words before each word of ``at`` (none: 0)."""
+        return np.where(self.place[at] >= k, self.grams[k - 1][np.maximum(at - 1, 0)], 0)
+
+
+def _mapped(docs: DataFrame, codes, order: int, f, schema: str) -> DataFrame:
+    """Rows of ``f(slice, part)`` for all slices of ``docs``, as lists of Arrow columns."""
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in C.slices(batch, "text"):
+                columns = f(_Slice(part, codes.value, order), part)
+                for a in range(0, len(columns[0]), 500_000):
+                    yield pa.RecordBatch.from_arrays([c.slice(a, 500_000) for c in columns], names=names)
+
+    return map_arrow(docs, run, schema)
 
 
 def _count_words(docs: DataFrame) -> DataFrame:
@@ -94,236 +155,201 @@ def _count_words(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("text"), count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _pairs(codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word before, word, document, for each word that is not the first of its document."""
-    follows = np.flatnonzero(doc[1:] == doc[:-1]) + 1
-    return codes[follows - 1], codes[follows], doc[follows]
-
+def _spot(grams: np.ndarray) -> np.ndarray:
+    return (C.mixed(grams.view(np.uint64)) & np.uint64(SPOTS - 1)).astype(np.int64)
 
-def _count_hot(docs: DataFrame, codes, top: int) -> DataFrame:
-    """Counts of the pairs of words with codes below ``top``, summed for each slice before they are shuffled."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in C.slices(batch, "text"):
-                doc, h = word_hashes(part.column("text"))
-                a, b, _ = _pairs(codes.value.of(h), doc)
-                both = (a >= 0) & (a < top) & (b >= 0) & (b < top)
-                pair, n = np.unique((a[both] << 32) | b[both], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n.astype(np.int64))], names=["pair", "n"])
 
-    return map_arrow(docs.select("text"), count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+def _hot(docs: DataFrame, codes, order: int, total: int) -> list[_Counts]:
+    """Counts of the n-grams of order - 1 and of ``order`` words that hold 1 / HOT of all words or more.
 
+    A counter shared by several n-grams is no smaller than any of their counts: first all
+    are counted by SPOTS counters a length, then those with a large counter one by one.
+    """
+    lengths = (order - 1, order)
 
-def _grams(doc: np.ndarray, h: np.ndarray, order: int) -> list[np.ndarray]:
-    """For one to ``order`` words, the hash of the n-gram that ends in each word (0: it would begin before its document)."""
-    out = [C.mixed(h) | np.uint64(1)]
-    for k in range(1, order):
-        longer = np.zeros(len(h), np.uint64)
-        if len(h) > k:
-            whole = doc[k:] == doc[:-k]
-            longer[k:][whole] = C.mixed(out[-1][k - 1:-1][whole] * np.uint64(0x9E3779B97F4A7C15) + h[k:][whole]) | np.uint64(1)
-        out.append(longer)
-    return out
+    def counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, SPOTS), np.int64)
+        for batch in batches:
+            for part in C.slices(batch, "text"):
+                own = _Slice(part, codes.value, order)
+                for i, k in enumerate(lengths):
+                    seen[i] += np.bincount(_spot(own.grams[k - 1][own.grams[k - 1] != 0]), minlength=SPOTS)
+        i, spot = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(spot), pa.array(seen[i, spot])], names=["i", "key", "n"])
+
+    schema = "i bigint, key bigint, n bigint"
+    often = lambda df: df.groupBy("i", "key").agg(F.sum("n").alias("n")).filter(F.col("n") * HOT >= total).collect()  # noqa: E731  HOT rows of a length at most
+    large = np.zeros((2, SPOTS), bool)
+    for r in often(map_arrow(docs.select("text"), counters, schema)):
+        large[r["i"], r["key"]] = True
+    if not large.any():
+        return [_Counts([]), _Counts([])]
+
+    def exact(own: _Slice, part: pa.RecordBatch) -> list[pa.Array]:
+        out = []
+        for i, k in enumerate(lengths):
+            grams = own.grams[k - 1][own.grams[k - 1] != 0]
+            key, n = np.unique(grams[large[i, _spot(grams)]], return_counts=True)
+            out.append((np.full(len(key), i), key, n.astype(np.int64)))
+        return [pa.array(np.concatenate(c)) for c in zip(*out)]
+
+    rows = often(_mapped(docs.select("text"), codes, order, exact, schema))
+    return [_Counts([(r["key"], r["n"]) for r in rows if r["i"] == i]) for i in (0, 1)]
+
+
+def _contexts(own: _Slice, at: np.ndarray, order: int) -> pa.Array:
+    """For each word of ``at`` the contexts of one to order - 2 words, as lists."""
+    k = max(order - 2, 0)
+    flat = np.column_stack([own.before(j + 1, at) for j in range(k)]).ravel() if k else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * k), pa.array(flat, pa.int64()))
+
+
+def _explode(docs: DataFrame, codes, hot, order: int, min_count: int, total: int) -> DataFrame:
+    """Rows (row_key, ctx, word) of the highest order; ``c`` is the context's count where that is common.
+
+    One row for each document has ``known``, the sum that is known already; its word is the number of words, its c the doc_id.
+    """
+    whole = min_count <= 1  # nothing is pruned: a document's first context stands for its first words
+
+    def explode(own: _Slice, part: pa.RecordBatch) -> list[pa.Array]:
+        key = part.column("row_key").to_numpy()
+        contexts, grams = hot.value
+        none = np.zeros(0, np.int64)
+        at = np.flatnonzero(own.grams[order - 1] != 0) if order > 1 else none
+        end = own.last[own.size[own.size > 0] >= order - 1] if order > 1 else none
+        word, ctx = own.word[at], own.before(order - 1, at) if order > 1 else none
+        ctx_end = own.grams[max(order - 2, 0)][end]
+        first, first_end = whole & (own.place[at] == order - 1), whole & (own.place[end] == order - 2)
+        c, c_end, n = contexts.of(ctx), contexts.of(ctx_end), grams.of(own.grams[order - 1][at])
+        done = (n >= max(min_count, 1)) & (n > 0)
+        log = lambda x: np.log(np.maximum(x, 1))
+        value = np.where(done, log(n) - log(c) + first * log(c), 0.0)
+        known = np.bincount(own.doc[at], value, own.n) + np.bincount(own.doc[end], first_end * log(c_end), own.n)
+        if whole and order > 1:
+            known -= np.where((own.size > 0) & (own.size >= order - 1), np.log(max(total, 1)), 0.0)
+        at, word, ctx, c, first = (x[~done] for x in (at, word, ctx, c, first))
+        ctx = np.where(c > 0, _hashed(ctx, word), ctx)  # rows of a common context are dealt by their words as well
+        open_ = c_end == 0
+        end, ctx_end, first_end = end[open_], ctx_end[open_], first_end[open_]
+        rows = np.arange(own.n)
+        doc = np.concatenate((own.doc[at], own.doc[end], rows))
+        together = np.argsort(doc, kind="stable")  # rows of one document stand together
+        sizes = (len(at), len(end), own.n)
+        column = lambda *x: np.concatenate(x)[together]
+        marks = lambda *x: column(*[np.full(s, v, bool) for s, v in zip(sizes, x)])
+        ids = part.column("doc_id")
+        no_id = ids.is_null().to_numpy(zero_copy_only=False)
+        out = [pa.array(key[doc[together]]),
+               pa.array(column(ctx, ctx_end, _hashed(key, rows))),
+               pa.array(column(word, np.zeros(len(end), np.int64), own.size), mask=marks(False, True, False)),
+               pa.array(column(c, np.zeros(len(end), np.int64), ids.fill_null(0).to_numpy()), mask=column(c == 0, np.ones(len(end), bool), no_id)),
+               pa.array(column(first, first_end, np.zeros(own.n, bool))),
+               pa.array(column(np.zeros(len(at)), np.zeros(len(end)), known), mask=marks(True, True, False))]
+        if not whole:
+            # end rows and the documents' own rows have no shorter contexts to fall back to
+            lists = pa.concat_arrays([_contexts(own, at, order), pa.array([[]] * (len(end) + own.n), pa.list_(pa.int64()))])
+            out.append(lists.take(pa.array(together)))
+        return out
 
+    schema = "row_key bigint, ctx bigint, word bigint, c bigint, first boolean, known double" + ("" if whole else ", ctxs array<bigint>")
+    return _mapped(docs, codes, order, explode, schema)
 
-def _packed(x: np.ndarray) -> bytes:
-    """Whole numbers of 0 or more, without the leading bytes that none of them has; equal bytes stand together, for the shuffle's compression."""
-    x = x.astype("<u8")
-    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
+def _first_words(docs: DataFrame, codes, order: int, min_count: int) -> DataFrame:
+    """Words with fewer than order - 1 words before them, asked for at their own order ``k`` (nothing pruned: of short documents alone)."""
+    def ask(own: _Slice, part: pa.RecordBatch) -> list[pa.Array]:
+        asked = own.place < order - 1
+        if order == 1:
+            asked = np.ones(len(own.place), bool)
+        elif min_count <= 1:
+            asked &= own.size[own.doc] < order - 1
+        at = np.flatnonzero(asked)
+        return [pa.array(part.column("row_key").to_numpy()[own.doc[at]]), pa.array(np.minimum(own.place[at] + 1, order)), pa.array(own.word[at]), _contexts(own, at, order + 1 if order == 1 else order)]
 
-def _unpacked(packed: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8).reshape(-1, n) if n else np.zeros((1, 0), np.uint8)
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :len(planes)] = planes.T
-    return out.view("<u8").reshape(-1)
+    return _mapped(docs, codes, order, ask, "row_key bigint, k bigint, word bigint, ctxs array<bigint>")
 
 
-class _Chunk:
-    """The n-grams of a chunk's documents, for each order and word (``grams``)."""
+def _count_grams(docs: DataFrame, codes, k: int) -> DataFrame:
+    """(ctx, word, n) of all n-grams of ``k`` words, and of the contexts that end a document (word: null)."""
+    def count(own: _Slice, part: pa.RecordBatch) -> list[pa.Array]:
+        at = np.flatnonzero(own.grams[k - 1] != 0)
+        grams, first, n = np.unique(own.grams[k - 1][at], return_index=True, return_counts=True)
+        end = own.last[own.size[own.size > 0] >= k - 1]
+        ctx, times = np.unique(own.grams[k - 2][end], return_counts=True)
+        return [pa.array(np.concatenate((own.before(k - 1, at[first]), ctx))),
+                pa.array(np.concatenate((own.word[at[first]], np.zeros(len(ctx), np.int64))), mask=np.arange(len(grams) + len(ctx)) >= len(grams)),
+                pa.array(np.concatenate((n, times)).astype(np.int64))]
 
-    def __init__(self, table: pa.Table, order: int):
-        docs, grams, n = [], [], 0
-        for batch in table.select(["text"]).to_batches():
-            for part in C.slices(batch, "text"):
-                doc, h = word_hashes(part.column("text"))
-                grams.append(_grams(doc, h, order))
-                docs.append(doc.astype(np.int64) + n)
-                n += part.num_rows
-        self.n = n
-        self.doc = np.concatenate([np.zeros(0, np.int64), *docs])
-        self.grams = [np.concatenate([np.zeros(0, np.uint64), *g]) for g in zip(*grams)] or [np.zeros(0, np.uint64)] * order
-
-    def distinct(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct n-grams of order k + 1 by their hashes, and how often each occurs."""
-        return np.unique(self.grams[k][self.grams[k] != 0], return_counts=True)
-
-    def looked_up(self, k: int, counts: np.ndarray) -> np.ndarray:
-        """For each word, the count of the n-gram that ends there (none: 0), from those of ``distinct``."""
-        whole = self.grams[k] != 0
-        out = np.zeros(len(whole), np.int64)
-        out[whole] = counts[np.unique(self.grams[k][whole], return_inverse=True)[1]]
-        return out
+    rows = _mapped(docs.select("text"), codes, k, count, "ctx bigint, word bigint, n bigint")
+    return rows.groupBy("ctx", "word").agg(F.sum("n").alias("n"))
 
 
-def _score_chunks(docs: DataFrame, alpha: float, min_count: int, order: int) -> DataFrame:
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    chunks = -(-chars // CHUNK) or 1
-    buckets = BUCKETS * -(-chunks // 64)
-    docs = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
-
-    def ask(table: pa.Table) -> pa.Table:
-        chunk, parts = _Chunk(table, order), []
-        step = (1 << 64) // buckets  # a bucket is a range of hashes of one order; the last one has the rest too
-        for k in range(order):
-            held, times = chunk.distinct(k)
-            at = np.append(np.searchsorted(held, np.array([i * step for i in range(buckets)], np.uint64)), len(held))
-            full = np.flatnonzero(np.diff(at))
-            own = [held[at[b]:at[b + 1]] for b in full]
-            parts.append(pa.table({"bucket": pa.array((full + k * buckets).astype(np.int32)), "chunk": pa.array(np.full(len(full), table.column("chunk")[0].as_py(), np.int32)),
-                                   "n": pa.array(np.diff(at)[full].astype(np.int32)), "least": pa.array([int(g[0]) - (1 << 63) for g in own], pa.int64()),
-                                   "gaps": pa.array([_packed(np.diff(g)) for g in own], pa.binary()),
-                                   "times": pa.array([_packed(times[at[b]:at[b + 1]]) for b in full], pa.binary())}))
-        return pa.concat_tables(parts)
-
-    def answer(table: pa.Table) -> pa.Table:
-        sizes = table.column("n").to_pylist()
-        grams = [np.cumsum(np.concatenate((np.array([least + (1 << 63)], np.uint64), _unpacked(gaps, n - 1))), dtype=np.uint64)
-                 for n, least, gaps in zip(sizes, table.column("least").to_pylist(), table.column("gaps").to_pylist())]
-        times = np.concatenate([_unpacked(t, n) for n, t in zip(sizes, table.column("times").to_pylist())])
-        held, where = np.unique(np.concatenate(grams), return_inverse=True)
-        total = np.bincount(where, weights=times, minlength=len(held)).astype(np.int64)[where]  # exact below 2 ** 53
-        at = np.concatenate(([0], np.cumsum(sizes)))
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "n": table.column("n"),
-                         "counts": pa.array([_packed(total[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary())})
-
-    def scored(table: pa.Table, told: pa.Table) -> pa.Table:
-        own = _Chunk(table, order)
-        told = told.sort_by("bucket")
-        told_order = told.column("bucket").to_numpy() // buckets
-
-        def counted(k: int) -> np.ndarray:
-            part = told.filter(pa.array(told_order == k))
-            counts = [_unpacked(c, n).astype(np.int64) for c, n in zip(part.column("counts").to_pylist(), part.column("n").to_pylist())]
-            return own.looked_up(k, np.concatenate([np.zeros(0, np.int64), *counts]))
-
-        last = counted(0)
-        value = np.log(np.maximum(last, 1))  # log(all words) is taken off at the end
-        lone = np.ones(len(value))
-        for k in range(1, order):
-            now = counted(k)
-            before = np.concatenate(([1], last[:-1]))
-            here, there = now >= max(min_count, 1), own.grams[k] != 0
-            value = np.where(here, np.log(np.maximum(now, 1)) - np.log(np.maximum(before, 1)), np.where(there, value + np.log(alpha), value))
-            lone = np.where(here, 0.0, lone)
-            last = now
-        n_words = np.bincount(own.doc, minlength=own.n)
-        return pa.table({"doc_id": table.column("doc_id"), "n_words": pa.array(n_words.astype(np.int64)),
-                         "v": pa.array(np.bincount(own.doc, weights=value, minlength=own.n).astype(float)),
-                         "lone": pa.array(np.bincount(own.doc, weights=lone, minlength=own.n).astype(float))})
-
-    ship(docs.sparkSession)
-    asked = docs.groupBy("chunk").applyInArrow(ask, "bucket int, chunk int, n int, least bigint, gaps binary, times binary")
-    told = asked.groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, n int, counts binary")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = keep(docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(scored, f"doc_id {kind}, n_words bigint, v double, lone double"), "scores")
-    total = rows.agg(F.sum("n_words")).first()[0] or 1
-    log_score = F.col("v") - F.col("lone") * F.lit(float(np.log(max(total, 1))))
-    return rows.select("doc_id", "n_words", log_score.alias("log_score"), F.when(F.col("n_words") > 0, log_score / F.col("n_words")).alias("mean_log_score"))
+def _with_count(rows: DataFrame, counts: DataFrame, on: list[str], name: str, total: int) -> DataFrame:
+    """``rows`` with the count of their key; common keys (HOT for each length at most) are broadcast, so none is shuffled."""
+    often = F.col("n") * HOT >= total
+    common = F.broadcast(counts.filter(often).select(*on, F.col("n").alias(name)))
+    others = counts.filter(~often).select(*on, F.col("n").alias(name))
+    return rows.join(common, on).unionByName(rows.join(common, on, "left_anti").join(others, on))
 
 
 def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, order: int = 2) -> DataFrame:
     """doc_id, n_words, log_score (sum over words) and mean_log_score for every row of ``docs`` (doc_id, text)."""
-    if order != 2:
-        return _score_chunks(docs, alpha, min_count, order)
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
     words = keep(_count_words(docs), "words")
     total = words.agg(F.sum("n")).first()[0] or 0
+    n_all = float(np.log(max(total, 1)))
     frequent = words.filter((F.col("n") * FREQUENT >= total) & F.lit(total > 0)).toArrow()  # FREQUENT rows at most
     word, n = frequent.column("word").to_numpy(), frequent.column("n").to_numpy()
-    order = np.lexsort((word, -n))
-    held, counts = word[order].view(np.uint64), n[order].astype(np.float64)
-    codes = spark.sparkContext.broadcast(_Codes(held))
-    top = int((counts * HOT >= total).sum())
-    hot = _count_hot(docs, codes, top).filter(F.col("n") * HOT >= total).collect() if top else []  # HOT rows at most
-    hot.sort(key=lambda r: r["pair"])
-    hot_pair, hot_n = np.array([r["pair"] for r in hot], np.int64), np.array([r["n"] for r in hot], np.float64)
-    table = spark.sparkContext.broadcast((hot_pair, hot_n, counts))
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_pair, hot_n, counts = table.value
-        for batch in batches:
-            for part in C.slices(batch, "text"):
-                doc, h = word_hashes(part.column("text"))
-                code, key = codes.value.of(h), part.column("row_key").to_numpy()
-                n = part.num_rows
-                first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else np.zeros(0, np.int64)
-                a, b, d = _pairs(code, doc)
-                (d, a, b), times = _counted([d, a, b])
-                known = np.zeros(n)
-                if len(hot_pair):
-                    pair = np.where((a >= 0) & (b >= 0), (a << 32) | b, -1)
-                    at = np.minimum(np.searchsorted(hot_pair, pair), len(hot_pair) - 1)
-                    is_hot = (hot_pair[at] == pair) & (hot_n[at] >= min_count)
-                    at, who = at[is_hot], a[is_hot]
-                    known = np.bincount(d[is_hot], times[is_hot] * (np.log(hot_n[at]) - np.log(counts[who])), n)
-                    a, b, d, times = a[~is_hot], b[~is_hot], d[~is_hot], times[~is_hot]
-                # first words (before: null) come along; the rows with a word of null bring what is known already
-                docs_, firsts = np.arange(n), code[first]
-                at = np.argsort(np.concatenate((d, doc[first], docs_)), kind="stable")
-                column = lambda *x: np.concatenate(x)[at]  # noqa: E731  rows of one document stand together
-                none = lambda *x: column(*[np.full(m, v, bool) for m, v in zip((len(d), len(first), n), x)])
-                nothing = np.zeros(n, np.int64)
-                ids = part.column("doc_id")
-                rows = [pa.array(key[column(d, doc[first], docs_)]),
-                        pa.array(column(a, np.zeros(len(first), np.int64), pc.fill_null(ids, 0).to_numpy()),
-                                 mask=column(np.zeros(len(d), bool), np.ones(len(first), bool), ids.is_null().to_numpy(zero_copy_only=False))),
-                        pa.array(column(b, firsts, nothing), mask=none(False, False, True)),
-                        pa.array(column(times, np.ones(len(first), np.int64), np.bincount(doc, minlength=n)).astype(np.int32)),
-                        pa.array(column(np.zeros(len(d)), np.zeros(len(first)), known), mask=none(True, True, False))]
-                for i in range(0, len(at), 500_000):
-                    yield pa.RecordBatch.from_arrays([r.slice(i, 500_000) for r in rows], names=["row_key", "a", "b", "times", "known"])
-
-    exploded = map_arrow(docs, explode, "row_key bigint, a bigint, b bigint, times int, known double")
-    return _summed(exploded, words, counts, total, alpha, min_count)
-
-
-def _summed(exploded: DataFrame, words: DataFrame, counts: np.ndarray, total: int, alpha: float, min_count: int) -> DataFrame:
-    """Exploded rows: pairs (a, b); first words (b alone); one row for each document with ``known`` (a: its doc_id, times: its words)."""
-    spark = exploded.sparkSession
-    row = F.col("known").isNotNull()
-    pair = ~row & F.col("a").isNotNull()
-    # rows without a pair have groups of their own
-    group = Window.partitionBy(F.when(pair, F.col("a")).otherwise(F.col("row_key")), F.when(pair, F.col("b")).otherwise(F.col("row_key")), pair)
-    seen = exploded.withColumn("c", F.sum("times").over(group))
-    kept = pair & (F.col("c") >= min_count)
-    n_all = float(max(total, 1))
-    value = F.when(row, F.col("known")).when(kept, F.col("times") * F.log("c")) \
-             .when(pair, F.col("times") * F.lit(float(np.log(alpha) - np.log(n_all)))).otherwise(F.lit(-float(np.log(n_all))))
-    asked = seen.select("row_key", value.alias("v"), F.when(row, F.lit(None)).when(kept, F.col("a")).otherwise(F.col("b")).alias("word"),
-                        F.when(kept, -F.col("times")).otherwise(F.col("times")).alias("w"),
-                        F.when(row, F.col("a")).alias("doc_id"), F.when(row, F.col("times")).alias("n_words"))
-    # FREQUENT rows at most
-    common = keep(spark.createDataFrame(pd.DataFrame({"word": np.arange(len(counts)), "log_n": np.log(counts)}), "word bigint, log_n double"), "frequent")
-    looked = asked.join(F.broadcast(common), "word", "left")
-    rare = F.col("word").isNotNull() & (F.col("word") < 0)
-    per_doc = looked.groupBy("row_key").agg(
-        F.sum(F.col("v") + F.coalesce(F.col("w") * F.col("log_n"), F.lit(0.0))).alias("v"), F.max("doc_id").alias("doc_id"),
-        F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"),
-        F.collect_list(F.when(rare, F.struct("word", "w"))).alias("rare"))
-    # one row for the document itself and one for each rare word still asked for; the former get keys that no word has
-    nobody = F.col("row_key").bitwiseAND(2 ** 63 - 1)
-    own = F.struct(nobody.alias("word"), F.lit(0).alias("w"), F.lit(True).alias("own"))
-    parts = per_doc.select("row_key", "v", "doc_id", "copies", "n_words", F.explode(F.concat(
-        F.array(own), F.transform("rare", lambda r: F.struct(r["word"].alias("word"), r["w"].alias("w"), F.lit(False).alias("own"))))).alias("r")) \
-        .select("row_key", "r.word", "r.w", *[F.when(F.col("r.own"), F.col(c)).alias(c) for c in ("v", "doc_id", "copies", "n_words")])
-    found = parts.join(words.filter(F.col("n") * FREQUENT < total), "word", "left")
+    by_count = np.lexsort((word, -n))
+    codes = spark.sparkContext.broadcast(_Codes(word[by_count].view(np.uint64)))
+    hot = spark.sparkContext.broadcast(_hot(docs, codes, order, total) if order > 1 and total else [_Counts([]), _Counts([])])
+
+    exploded = _explode(docs, codes, hot, order, min_count, total).repartition(-(-total // CHUNK) or 1, "ctx")
+    own = F.col("known").isNotNull()
+    one = F.when(own, 0).otherwise(1)
+    # both sums use one sort by context and word
+    whole = Window.partitionBy("ctx").orderBy("word").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = exploded.withColumn("n", F.sum(one).over(Window.partitionBy("ctx", "word"))).withColumn("n_ctx", F.sum(one).over(whole))
+    n_ctx = F.coalesce(F.when(~own, F.col("c")), F.col("n_ctx"))
+    is_word = ~own & F.col("word").isNotNull()
+    pruned = is_word & (F.col("n") < min_count)
+    value = F.when(own, F.col("known")).when(pruned, F.lit(float(np.log(alpha)))).when(is_word, F.log("n") - F.log(n_ctx)).otherwise(F.lit(0.0)) \
+        + F.when(F.col("first"), F.log(n_ctx)).otherwise(F.lit(0.0))
+    if min_count > 1:
+        seen = keep(seen, "counted")
+    scored = [seen.select("row_key", value.alias("v"), F.when(own, F.col("c")).alias("doc_id"), F.when(own, F.col("word")).alias("n_words"))]
+
+    starts = keep(_first_words(docs, codes, order, min_count), "first-words")
+    asked_at = {r["k"] for r in starts.select("k").distinct().collect()}  # one row for each order at most
+    fallen = seen.filter(pruned).select("row_key", "word", "ctxs") if min_count > 1 else None
+    for k in range(max(order - 1, 1), 0, -1):
+        asked = [starts.filter(F.col("k") == k).select("row_key", "word", "ctxs")] if k in asked_at else []
+        asked += [fallen] if fallen is not None else []
+        if not asked:
+            continue
+        asked = reduce(DataFrame.unionByName, asked)
+        if k == 1:
+            # FREQUENT rows at most
+            common = keep(spark.createDataFrame(pd.DataFrame({"word": np.arange(len(n)) + 1, "n": n[by_count]}), "word bigint, n bigint"), "frequent")
+            rare = words.filter(F.col("n") * FREQUENT < total)
+            asked = asked.select("row_key", "word")
+            met = asked.filter("word > 0").join(F.broadcast(common), "word").unionByName(asked.filter("word < 0").join(rare, "word"))
+            value = F.log("n") - F.lit(n_all)
+        else:
+            counts = keep(_count_grams(docs, codes, k), "n-grams")
+            asked = asked.withColumn("ctx", F.get("ctxs", F.lit(k - 2)))
+            met = _with_count(asked, counts.filter(F.col("word").isNotNull()), ["ctx", "word"], "n", total)
+            met = _with_count(met, counts.groupBy("ctx").agg(F.sum("n").alias("n")), ["ctx"], "n_ctx", total)
+            met = keep(met, "met")
+            pruned = F.col("n") < min_count
+            value = F.when(pruned, F.lit(float(np.log(alpha)))).otherwise(F.log("n") - F.log("n_ctx"))
+            fallen = met.filter(pruned).select("row_key", "word", "ctxs") if min_count > 1 else None
+        scored.append(met.select("row_key", value.alias("v"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_words")))
+
     # equal rows brought equal sums to one key: each gets its share back
-    sums = found.groupBy("row_key").agg(F.sum(F.coalesce(F.col("v"), F.col("w") * F.log("n"))).alias("v"), F.max("doc_id").alias("doc_id"),
-                                        F.max("copies").alias("copies"), F.max("n_words").alias("n_words"))
-    score = F.col("v") / F.col("copies")
-    return sums.select("doc_id", F.col("n_words").cast("long").alias("n_words"), score.alias("log_score"),
-                       F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("mean_log_score"),
+    sums = reduce(DataFrame.unionByName, scored).groupBy("row_key").agg(
+        F.sum("v").alias("v"), F.max("doc_id").alias("doc_id"), F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"))
+    log_score = F.col("v") / F.col("copies")
+    return sums.select("doc_id", "n_words", log_score.alias("log_score"), F.when(F.col("n_words") > 0, log_score / F.col("n_words")).alias("mean_log_score"),
                        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
