@@ -53,6 +53,7 @@ FREQUENT, HOT = 1 << 19, 1 << 12
 CHUNK, SPOTS = 1 << 21, 1 << 16
 #: Bits of a frequent word's number; three fit a packed n-gram.
 BITS = 20
+SPACE = r"\x20\x09-\x0D"
 SIGN = np.uint64(1 << 63)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,8 +120,8 @@ class _Slice:
 
     def __init__(self, part: pa.RecordBatch, codes: _Codes, order: int):
         self.n = part.num_rows
-        self.doc, h = word_hashes(part.column("text"))
-        self.word = codes.of(h)
+        self.doc, self.hashes = word_hashes(part.column("text"))
+        self.word = codes.of(self.hashes)
         self.grams = _grams(self.doc, self.word, order)
         self.size = np.bincount(self.doc, minlength=self.n).astype(np.int64)
         self.place = np.arange(len(self.doc)) - (np.cumsum(self.size) - self.size)[self.doc]
@@ -145,55 +146,61 @@ def _mapped(docs: DataFrame, codes, order: int, f, schema: str) -> DataFrame:
     return map_arrow(docs, run, schema)
 
 
-def _count_words(docs: DataFrame) -> DataFrame:
+def _count_words(docs: DataFrame, order: int) -> DataFrame:
+    """(i, key, n): counts of the words (i = 2), and counters of the n-grams of order - 1 (0) and of ``order`` words (1)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = lambda *x: pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in x], names=["i", "key", "n"])
+        seen = np.zeros((2, SPOTS), np.int64)
         for batch in batches:
             for part in C.slices(batch, "text"):
-                words, n = np.unique(word_hashes(part.column("text"))[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
-
-    return map_arrow(docs.select("text"), count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _spot(grams: np.ndarray) -> np.ndarray:
-    return (C.mixed(grams.view(np.uint64)) & np.uint64(SPOTS - 1)).astype(np.int64)
+                doc, h = word_hashes(part.column("text"))
+                for i, spots in enumerate(_spots(doc, h, order)):
+                    seen[i] += np.bincount(spots[spots >= 0], minlength=SPOTS)
+                words, n = np.unique(h, return_counts=True)
+                yield rows(np.full(len(words), 2), words.view(np.int64), n)
+        i, spot = np.nonzero(seen)
+        yield rows(i, spot, seen[i, spot])
+
+    return map_arrow(docs.select("text"), count, "i bigint, key bigint, n bigint").groupBy("i", "key").agg(F.sum("n").alias("n"))
+
+
+def _spots(doc: np.ndarray, h: np.ndarray, order: int) -> list[np.ndarray]:
+    """The counters of the n-grams of order - 1 and of ``order`` words that end in each word (none: -1)."""
+    if order < 2:
+        return []
+    x, out = h, []
+    for k in range(1, order + 1):
+        if k >= order - 1:
+            spot = (C.mixed(x) & np.uint64(SPOTS - 1)).astype(np.int64)
+            whole = np.zeros(len(doc), bool)
+            whole[k - 1:] = doc[k - 1:] == doc[:len(doc) - k + 1]
+            out.append(np.where(whole, spot, -1))
+        x = np.concatenate((x[:1], C.mixed(x[:-1] * STEP + h[1:])))
+    return out
 
 
-def _hot(docs: DataFrame, codes, order: int, total: int) -> list[_Counts]:
+def _hot(docs: DataFrame, counted: DataFrame, codes, order: int, total: int) -> list[_Counts]:
     """Counts of the n-grams of order - 1 and of ``order`` words that hold 1 / HOT of all words or more.
 
-    A counter shared by several n-grams is no smaller than any of their counts: first all
-    are counted by SPOTS counters a length, then those with a large counter one by one.
+    A counter shared by several n-grams is no smaller than any of their counts: only
+    n-grams with a large counter are counted one by one.
     """
-    lengths = (order - 1, order)
-
-    def counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((2, SPOTS), np.int64)
-        for batch in batches:
-            for part in C.slices(batch, "text"):
-                own = _Slice(part, codes.value, order)
-                for i, k in enumerate(lengths):
-                    seen[i] += np.bincount(_spot(own.grams[k - 1][own.grams[k - 1] != 0]), minlength=SPOTS)
-        i, spot = np.nonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(spot), pa.array(seen[i, spot])], names=["i", "key", "n"])
-
-    schema = "i bigint, key bigint, n bigint"
-    often = lambda df: df.groupBy("i", "key").agg(F.sum("n").alias("n")).filter(F.col("n") * HOT >= total).collect()  # noqa: E731  HOT rows of a length at most
+    often = lambda df: df.filter(F.col("n") * HOT >= total).collect()  # noqa: E731  HOT rows of a length at most
     large = np.zeros((2, SPOTS), bool)
-    for r in often(map_arrow(docs.select("text"), counters, schema)):
+    for r in often(counted.filter("i < 2")):
         large[r["i"], r["key"]] = True
     if not large.any():
         return [_Counts([]), _Counts([])]
 
     def exact(own: _Slice, part: pa.RecordBatch) -> list[pa.Array]:
         out = []
-        for i, k in enumerate(lengths):
-            grams = own.grams[k - 1][own.grams[k - 1] != 0]
-            key, n = np.unique(grams[large[i, _spot(grams)]], return_counts=True)
+        for i, spots in enumerate(_spots(own.doc, own.hashes, order)):
+            key, n = np.unique(own.grams[order - 2 + i][large[i, spots] & (spots >= 0)], return_counts=True)
             out.append((np.full(len(key), i), key, n.astype(np.int64)))
         return [pa.array(np.concatenate(c)) for c in zip(*out)]
 
-    rows = often(_mapped(docs.select("text"), codes, order, exact, schema))
+    found = _mapped(docs.select("text"), codes, order, exact, "i bigint, key bigint, n bigint")
+    rows = often(found.groupBy("i", "key").agg(F.sum("n").alias("n")))
     return [_Counts([(r["key"], r["n"]) for r in rows if r["i"] == i]) for i in (0, 1)]
 
 
@@ -205,9 +212,10 @@ def _contexts(own: _Slice, at: np.ndarray, order: int) -> pa.Array:
 
 
 def _explode(docs: DataFrame, codes, hot, order: int, min_count: int, total: int) -> DataFrame:
-    """Rows (row_key, ctx, word) of the highest order; ``c`` is the context's count where that is common.
+    """Rows (row_key, ctx, gram) of the highest order; ``c`` is the context's count where that is common.
 
-    One row for each document has ``known``, the sum that is known already; its word is the number of words, its c the doc_id.
+    A packed n-gram has no ctx, it is part of ``gram``; else ``gram`` is the word (context at a document's end: null).
+    One row for each document has ``known``, the sum that is known already; its gram is the number of words, its c the doc_id.
     """
     whole = min_count <= 1  # nothing is pruned: a document's first context stands for its first words
 
@@ -228,6 +236,8 @@ def _explode(docs: DataFrame, codes, hot, order: int, min_count: int, total: int
         if whole and order > 1:
             known -= np.where((own.size > 0) & (own.size >= order - 1), np.log(max(total, 1)), 0.0)
         at, word, ctx, c, first = (x[~done] for x in (at, word, ctx, c, first))
+        packed = (c == 0) & (ctx > 0) & (ctx < 1 << 2 * BITS) & (word > 0)
+        gram = np.where(packed, ctx << BITS | word, word)
         ctx = np.where(c > 0, _hashed(ctx, word), ctx)  # rows of a common context are dealt by their words as well
         open_ = c_end == 0
         end, ctx_end, first_end = end[open_], ctx_end[open_], first_end[open_]
@@ -240,8 +250,8 @@ def _explode(docs: DataFrame, codes, hot, order: int, min_count: int, total: int
         ids = part.column("doc_id")
         no_id = ids.is_null().to_numpy(zero_copy_only=False)
         out = [pa.array(key[doc[together]]),
-               pa.array(column(ctx, ctx_end, _hashed(key, rows))),
-               pa.array(column(word, np.zeros(len(end), np.int64), own.size), mask=marks(False, True, False)),
+               pa.array(column(ctx, ctx_end, _hashed(key, rows)), mask=column(packed, np.zeros(len(end), bool), np.zeros(own.n, bool))),
+               pa.array(column(gram, np.zeros(len(end), np.int64), own.size), mask=marks(False, True, False)),
                pa.array(column(c, np.zeros(len(end), np.int64), ids.fill_null(0).to_numpy()), mask=column(c == 0, np.ones(len(end), bool), no_id)),
                pa.array(column(first, first_end, np.zeros(own.n, bool))),
                pa.array(column(np.zeros(len(at)), np.zeros(len(end)), known), mask=marks(True, True, False))]
@@ -251,7 +261,7 @@ def _explode(docs: DataFrame, codes, hot, order: int, min_count: int, total: int
             out.append(lists.take(pa.array(together)))
         return out
 
-    schema = "row_key bigint, ctx bigint, word bigint, c bigint, first boolean, known double" + ("" if whole else ", ctxs array<bigint>")
+    schema = "row_key bigint, ctx bigint, gram bigint, c bigint, first boolean, known double" + ("" if whole else ", ctxs array<bigint>")
     return _mapped(docs, codes, order, explode, schema)
 
 
@@ -266,6 +276,9 @@ def _first_words(docs: DataFrame, codes, order: int, min_count: int) -> DataFram
         at = np.flatnonzero(asked)
         return [pa.array(part.column("row_key").to_numpy()[own.doc[at]]), pa.array(np.minimum(own.place[at] + 1, order)), pa.array(own.word[at]), _contexts(own, at, order + 1 if order == 1 else order)]
 
+    if 1 < order and min_count <= 1:
+        # fewer than order - 1 words; possessive and anchored, so it reads no further than it must
+        docs = docs.filter(~F.coalesce("text", F.lit("")).rlike(rf"^[{SPACE}]*+[^{SPACE}]++(?:[{SPACE}]++[^{SPACE}]++){{{order - 2}}}"))
     return _mapped(docs, codes, order, ask, "row_key bigint, k bigint, word bigint, ctxs array<bigint>")
 
 
@@ -296,33 +309,36 @@ def score(docs: DataFrame, alpha: float = 0.4, min_count: int = 2, order: int =
     """doc_id, n_words, log_score (sum over words) and mean_log_score for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
-    words = keep(_count_words(docs), "words")
+    counted = keep(_count_words(docs, order), "words")
+    words = counted.filter("i = 2").select(F.col("key").alias("word"), "n")
     total = words.agg(F.sum("n")).first()[0] or 0
     n_all = float(np.log(max(total, 1)))
     frequent = words.filter((F.col("n") * FREQUENT >= total) & F.lit(total > 0)).toArrow()  # FREQUENT rows at most
     word, n = frequent.column("word").to_numpy(), frequent.column("n").to_numpy()
     by_count = np.lexsort((word, -n))
     codes = spark.sparkContext.broadcast(_Codes(word[by_count].view(np.uint64)))
-    hot = spark.sparkContext.broadcast(_hot(docs, codes, order, total) if order > 1 and total else [_Counts([]), _Counts([])])
+    hot = spark.sparkContext.broadcast(_hot(docs, counted, codes, order, total) if order > 1 and total else [_Counts([]), _Counts([])])
 
-    exploded = _explode(docs, codes, hot, order, min_count, total).repartition(-(-total // CHUNK) or 1, "ctx")
+    context = F.coalesce("ctx", F.shiftright("gram", BITS))
+    exploded = _explode(docs, codes, hot, order, min_count, total).repartition(-(-total // CHUNK) or 1, context).withColumn("context", context)
     own = F.col("known").isNotNull()
     one = F.when(own, 0).otherwise(1)
-    # both sums use one sort by context and word
-    whole = Window.partitionBy("ctx").orderBy("word").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    seen = exploded.withColumn("n", F.sum(one).over(Window.partitionBy("ctx", "word"))).withColumn("n_ctx", F.sum(one).over(whole))
+    # both sums use the shuffle above and one sort
+    whole = Window.partitionBy("context").orderBy("gram").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = exploded.withColumn("n", F.sum(one).over(Window.partitionBy("context", "gram"))).withColumn("n_ctx", F.sum(one).over(whole))
     n_ctx = F.coalesce(F.when(~own, F.col("c")), F.col("n_ctx"))
-    is_word = ~own & F.col("word").isNotNull()
+    is_word = ~own & F.col("gram").isNotNull()
     pruned = is_word & (F.col("n") < min_count)
     value = F.when(own, F.col("known")).when(pruned, F.lit(float(np.log(alpha)))).when(is_word, F.log("n") - F.log(n_ctx)).otherwise(F.lit(0.0)) \
         + F.when(F.col("first"), F.log(n_ctx)).otherwise(F.lit(0.0))
     if min_count > 1:
         seen = keep(seen, "counted")
-    scored = [seen.select("row_key", value.alias("v"), F.when(own, F.col("c")).alias("doc_id"), F.when(own, F.col("word")).alias("n_words"))]
+    scored = [seen.select("row_key", value.alias("v"), F.when(own, F.col("c")).alias("doc_id"), F.when(own, F.col("gram")).alias("n_words"))]
 
     starts = keep(_first_words(docs, codes, order, min_count), "first-words")
     asked_at = {r["k"] for r in starts.select("k").distinct().collect()}  # one row for each order at most
-    fallen = seen.filter(pruned).select("row_key", "word", "ctxs") if min_count > 1 else None
+    word_of = F.when(F.col("ctx").isNull(), F.col("gram").bitwiseAND((1 << BITS) - 1)).otherwise(F.col("gram"))
+    fallen = seen.filter(pruned).select("row_key", word_of.alias("word"), "ctxs") if min_count > 1 else None
     for k in range(max(order - 1, 1), 0, -1):
         asked = [starts.filter(F.col("k") == k).select("row_key", "word", "ctxs")] if k in asked_at else []
         asked += [fallen] if fallen is not None else []
