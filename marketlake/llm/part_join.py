@@ -29,6 +29,12 @@ sketch gives a lower bound of the difference, so what it drops cannot link; larg
 sets have a longer one, as long as strangers need to be told apart.  The rest are
 verified exactly on their whole sets.
 
+A key may be held by a third of all sets.  Keys that more than ``PART`` sets hold,
+by an estimate from one row in ``SAMPLE``, are cut into parts by a hash of the set:
+least, largest, hub and members are found in each part, merged by an aggregation
+and joined back to the parts.  The estimate decides where rows lie, never what is
+found.
+
 The result is the components only.  Pairs of one component that met after it had
 formed are not compared, so there is no list of all links, and no number of links
 of a document, to be had from this join.
@@ -63,6 +69,9 @@ BAND = 1.4
 SKETCH = 8  # 64-bit words of parity sketch
 WIDE = 700  # sets of more shingles have a longer sketch as well: so many differences fill the short one
 FILTER_BITS = 24
+SAMPLE = 64      # one row in so many tells which keys are hot
+PART = 8192      # sets of one key, by that estimate, that lie in one part
+MOST_HOT = 1 << 16  # a part is never less than this share of all entries, so fewer keys than this are cut
 #: A stranger shares a shingle that is not common with this chance; a verified pair costs so many entries.
 COMMON, PAIR_COST = 1e-7, 50.0
 
@@ -257,10 +266,24 @@ def _sized(docs: DataFrame, width: int) -> DataFrame:
                      "row_key bigint, doc_id bigint, n bigint, cid bigint, sketch array<bigint>, wide array<bigint>, heavy boolean")
 
 
-def _entries(docs: DataFrame, width: int, plan: dict[int, tuple], common: np.ndarray) -> DataFrame:
-    """(key, cid) index entries; equal sets that one slice of rows holds are indexed once."""
+def _entries(docs: DataFrame, width: int, plan: dict[int, tuple], common: np.ndarray, hot: dict[int, int]) -> DataFrame:
+    """(key, part, cid) index entries; equal sets that one slice of rows holds are indexed once.
+
+    ``hot``: the parts of the keys that are cut; such an entry's part is 1 or more, any other's 0.
+    """
     limits = sorted(plan)
-    known = docs.sparkSession.sparkContext.broadcast(common)  # at most SHARE times the mean size of a set
+    cut = np.array(sorted(hot), np.int64)
+    # common: at most SHARE times the mean size of a set; hot keys: fewer than MOST_HOT
+    known = docs.sparkSession.sparkContext.broadcast((common, cut, np.array([hot[k] for k in cut.tolist()], np.int64)))
+
+    def parts(key: np.ndarray, cid: np.ndarray) -> np.ndarray:
+        _, cut, number = known.value
+        out = np.zeros(len(key), np.int32)
+        if len(cut):
+            at = np.minimum(np.searchsorted(cut, key), len(cut) - 1)
+            own = np.flatnonzero(cut[at] == key)
+            out[own] = 1 + (C.mixed(cid[own].view(np.uint64) + np.uint64(99)) % number[at[own]].astype(np.uint64)).astype(np.int32)
+        return out
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,11 +300,23 @@ def _entries(docs: DataFrame, width: int, plan: dict[int, tuple], common: np.nda
                     n = size[pick]
                     first = np.cumsum(n) - n
                     own = sets[np.repeat(at[pick] - first, n) + np.arange(n.sum())]
-                    row, key = index_keys(np.concatenate(([0], np.cumsum(n))), own, scheme, n1, n2, spare, known.value)
+                    row, key = index_keys(np.concatenate(([0], np.cumsum(n))), own, scheme, n1, n2, spare, known.value[0])
                     for a in range(0, len(row), 500_000):
-                        yield pa.RecordBatch.from_arrays([pa.array(key[a:a + 500_000]), pa.array(cid[pick][row[a:a + 500_000]])], names=["key", "cid"])
+                        own_key, own_cid = key[a:a + 500_000], cid[pick][row[a:a + 500_000]]
+                        yield pa.RecordBatch.from_arrays([pa.array(own_key), pa.array(parts(own_key, own_cid)), pa.array(own_cid)], names=["key", "part", "cid"])
+
+    return map_arrow(docs.select("text"), entries, "key bigint, part int, cid bigint")
+
 
-    return map_arrow(docs.select("text"), entries, "key bigint, cid bigint")
+def _hot_keys(docs: DataFrame, width: int, plan: dict[int, tuple], common: np.ndarray) -> dict[int, int]:
+    """Parts of each key that is to be cut, from the entries of one row in ``SAMPLE``."""
+    some = docs.filter(F.pmod(F.xxhash64("row_key", F.lit(2)), F.lit(SAMPLE)) == 0)
+    counts = keep(_entries(some, width, plan, common, {}).select("key", "cid").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("c")), "sampled-keys")
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    part = max(PART / SAMPLE, total / MOST_HOT)  # the counts add up to total: fewer than MOST_HOT of them exceed it
+    hot = {r["key"]: max(2, math.ceil(r["c"] / part)) for r in counts.filter(F.col("c") > part).collect()}
+    discard(counts)
+    return hot
 
 
 def _plan(sizes: DataFrame, percent: int) -> dict[int, tuple]:
@@ -370,12 +405,34 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
                       (F.col("cid").isNull() | mine).alias("kept"))
 
 
+def _apart(rows: DataFrame, star: int, hot: dict[int, int], name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows (key, part, cid, component) of keys that hold several components, with the key's members and hub.
+
+    Returned are the stored table and what it stands for.  Each part is a window of its own; the parts of a
+    hot key are summed up by an aggregation, and every part gets a copy of the sum.
+    """
+    own = Window.partitionBy("key", "part")
+    rank = lambda cid, comp: F.struct(F.xxhash64(cid, F.lit(star)).alias("h"), F.col(cid).alias("cid"), F.col(comp).alias("component"))
+    met = rows.withColumn("c1", F.min("component").over(own)).withColumn("c2", F.max("component").over(own)) \
+              .withColumn("members", F.count(F.lit(1)).over(own)).withColumn("top", F.min(rank("cid", "component")).over(own))
+    cut = F.col("part") > 0
+    held = keep(met.filter((F.col("c1") != F.col("c2")) | cut)
+                   .select("key", "part", "cid", "component", "members", F.col("top.cid").alias("hub"), F.col("top.component").alias("hub_component"),
+                           F.when(cut, F.col("c1")).alias("c1"), F.when(cut, F.col("c2")).alias("c2")).distinct(), name)
+    if not hot:
+        return held, held
+    total = held.filter(cut).groupBy("key").agg(F.max("part").alias("parts"), F.min("c1").alias("c1"), F.max("c2").alias("c2"),
+                                                F.count(F.lit(1)).alias("members"), F.min(rank("hub", "hub_component")).alias("top")).filter("c1 <> c2")
+    copies = total.select("key", F.explode(F.sequence(F.lit(1), F.col("parts"))).alias("part"), "members",
+                          F.col("top.cid").alias("hub"), F.col("top.component").alias("hub_component"))
+    own_rows = held.filter(cut).select("key", "part", "cid", "component").join(copies, ["key", "part"])
+    return held, held.filter(~cut).drop("c1", "c2").unionByName(own_rows)
+
+
 def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: int, percent: int, common: np.ndarray) -> DataFrame:
-    own = Window.partitionBy("key")
-    seen = _entries(docs, width, plan, common).withColumn("least", F.min("cid").over(own)).withColumn("most", F.max("cid").over(own)) \
-        .withColumn("hub", F.min(F.struct(F.xxhash64("cid", F.lit(0)).alias("h"), "cid")).over(own))
-    left = keep(seen.filter("least <> most").select("key", "cid", F.col("hub.cid").alias("hub"), F.col("cid").alias("component"),
-                                                    F.col("hub.cid").alias("hub_component")).distinct(), "shared-keys")
+    hot = _hot_keys(docs, width, plan, common)
+    seen = _entries(docs, width, plan, common, hot).withColumn("component", F.col("cid"))
+    held, left = _apart(seen, 0, hot, "shared-keys")
     links = None
     for star in range(1, STARS + 1):
         meet = left.filter("component <> hub_component").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
@@ -383,12 +440,9 @@ def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: in
         links = found if links is None else links.unionByName(found)
         # the hub has met all it is not linked with, so it leaves; keys of one component are done
         comp = components(links).withColumnRenamed("node", "cid")
-        placed = left.filter("cid <> hub").select("key", "cid").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        rank = F.struct(F.xxhash64("cid", F.lit(star)).alias("h"), "cid", "component")
-        placed = placed.withColumn("c1", F.min("component").over(own)).withColumn("c2", F.max("component").over(own)) \
-                       .withColumn("members", F.count(F.lit(1)).over(own)).withColumn("hub", F.min(rank).over(own))
-        last, left = left, keep(placed.filter("c1 <> c2").select("key", "cid", F.col("hub.cid").alias("hub"), "component",
-                                                     F.col("hub.component").alias("hub_component"), "members"), "apart-keys")
+        placed = left.filter("cid <> hub").select("key", "part", "cid").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        last = held
+        held, left = _apart(placed, star, hot, "apart-keys")
         discard(last)
         if left.isEmpty():
             return links

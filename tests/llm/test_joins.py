@@ -73,6 +73,36 @@ def test_jaccard_null_ids_and_empty(frame):
     assert part_join.jaccard_components(frame([]), 4, 85).count() == 0
 
 
+def test_jaccard_of_keys_that_a_third_of_all_sets_hold(frame, monkeypatch):
+    """Hot keys are cut into parts: nothing is lost, and no task gets a whole key."""
+    monkeypatch.setattr(part_join, "SAMPLE", 1)
+    monkeypatch.setattr(part_join, "PART", 3)
+    monkeypatch.setattr(part_join, "BLOCK", 4)
+    rng, base, rows = np.random.default_rng(3), words(77, 120), _near_rows()
+    for _ in range(len(rows) // 2):  # near copies of one text, all different
+        own = list(base)
+        for at in rng.integers(0, len(own), int(rng.integers(1, 6))):
+            own[at] = "edit%d" % rng.integers(0, 99)
+        rows.append((1000 - len(rows), " ".join(own)))
+    sets = [_shingles(t, 5) for _, t in rows]
+    links = [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    want = _closure({i for i, _ in rows}, links)
+    hot, largest, apart = [], [], part_join._apart
+
+    def watched(entries, star, keys, name):
+        held, left = apart(entries, star, keys, name)
+        hot.append(len(keys))
+        if keys and not star:
+            largest.append((held.filter("part > 0").groupBy("key").count().agg({"count": "max"}).first()[0],
+                            held.filter("part > 0").groupBy("key", "part").count().agg({"count": "max"}).first()[0]))
+        return held, left
+
+    monkeypatch.setattr(part_join, "_apart", watched)
+    got = part_join.jaccard_components(frame(rows, extra=True), 5, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert hot[0] > 0 and largest[0][0] > 20 and largest[0][1] < largest[0][0] / 2, (hot, largest)
+
+
 @pytest.mark.parametrize("percent", [60, 80, 85])
 def test_keys_meet_for_every_linked_pair(percent):
     """Every pair at or over the threshold shares a key, whatever the mix of segments."""
