@@ -45,3 +45,16 @@ def test_a_lower_limit_stays(spark, limit):
     spark.conf.set(LIMIT, "4000")
     keep_compiled(spark)
     assert spark.conf.get(LIMIT) == "4000"
+
+
+def test_json_files_are_read_about_once(spark, tmp_path):
+    from marketlake.sources import readers
+    records = [f'{{"title":"t{i}","salary_min":{i}.25,"salary_max":{i}.5}}' for i in range(4000)]
+    file = tmp_path / "a.json"
+    file.write_text("[" + ",\n".join(records) + "]")
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics
+    before = sum(s.getBytesRead() for s in stats())
+    good, bad = readers.read_json_checked(spark, str(file), readers.OFFER_SCHEMA)
+    assert sum(s.getBytesRead() for s in stats()) - before < 4 * file.stat().st_size
+    assert good.count() == 4000 and bad.count() == 0
+    assert good.agg({"salary_max": "sum"}).first()[0] == sum(range(4000)) + 2000
