@@ -58,3 +58,14 @@ def test_json_files_are_read_about_once(spark, tmp_path):
     assert sum(s.getBytesRead() for s in stats()) - before < 4 * file.stat().st_size
     assert good.count() == 4000 and bad.count() == 0
     assert good.agg({"salary_max": "sum"}).first()[0] == sum(range(4000)) + 2000
+
+
+@pytest.mark.parametrize("name, scans", [("distinct_keys", 1), ("watermark_state", 0), ("upsert_ignore", 0), ("dq_unique_grain", 0), ("micro_batch_day", 1)])
+def test_observations_are_scanned_once(spark, tmp_path, name, scans):
+    """Parts of a result that need the same parsed rows read them stored: the result's own plan scans the lines at most once."""
+    from marketlake.plans import catalog_gold  # noqa: F401
+    from marketlake.plans.catalog import QUERIES
+    result = QUERIES[name](spark, tables(spark, tmp_path))
+    leaves = result._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert sum("l_orderkey" in leaves.apply(i).toString() for i in range(leaves.size())) == scans
+    assert result.count() > 0
