@@ -69,3 +69,36 @@ def test_observations_are_scanned_once(spark, tmp_path, name, scans):
     leaves = result._jdf.queryExecution().optimizedPlan().collectLeaves()
     assert sum("l_orderkey" in leaves.apply(i).toString() for i in range(leaves.size())) == scans
     assert result.count() > 0
+
+
+def test_rows_are_parsed_after_the_generator(spark, tmp_path, limit):
+    """What a generator or an array lambda computes is interpreted for each row: the generator of all sources only puts items out."""
+    from marketlake.sources import registry
+    obs = adapter.observations(spark, tables(spark, tmp_path))
+    rows = registry.silver_all(obs)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    emits = [line for line in plan.splitlines() if "Generate inline" in line]
+    assert len(emits) == 1 and not any(f in emits[0].lower() for f in ("from_json", "rlike", "regexp", "cast("))
+    assert plan.count("from_json(StructField(results") == 1  # no filter inferred that parses again
+    assert "Lieu" not in plan and rows.count() == 3 * (1 + 2 + 2 + 2 * 2)
+
+
+def test_odd_api_payloads_keep_their_rows(spark):
+    """Null and empty results, and null offers among them, with several sources in one frame."""
+    from pyspark.sql import functions as F
+    from marketlake.operators import cleaners
+    texts = [("a", '{"results":[{"salary_min":1,"salary_max":3,"category":{"label":"X Y"}},null]}'), ("a", '{"results":[]}'),
+             ("a", '{"results":null}'), ("a", "x"), ("a", None), ("b", None), (None, None), ("c", None)]
+    df = spark.createDataFrame([(s, "fr", p) for s, p in texts], "src string, request_country string, payload string")
+    df, items, finish = cleaners.parse_api_pages(df, {c: F.col(c) for c in df.columns}, "a")
+    single = lambda df, _: (df, {"source": F.lit("b"), "skill": F.lit("s")})
+    rows = cleaners.finish_rows(cleaners.emit_rows(df, {"a": (items, finish), "b": (None, single)}, F.col("src"))).collect()
+    got = sorted((r["source"], str(r["country_iso2"]), str(r["skill"]), str(r["salary_eur"])) for r in rows)
+    assert got == [("a", "FR", "None", "None"), ("a", "FR", "x_y", "2.0"), ("b", "None", "s", "None")]
+
+
+def test_tasks_follow_the_lines(spark, tmp_path, limit, monkeypatch):
+    """Rendering and parsing are dealt to tasks by rows: few bytes of them are much work."""
+    monkeypatch.setattr(adapter, "TASK_LINES", 2)
+    obs = adapter.observations(spark, tables(spark, tmp_path, orders=40))
+    assert obs.rdd.getNumPartitions() == 40 * 7 // 2 + 1 and obs.count() == 280
