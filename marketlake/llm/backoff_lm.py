@@ -9,7 +9,8 @@ is in the model; each step to a shorter one costs log(alpha), and a lone word
 scores log(word / all words).  A document's score is the sum over its words.
 
 How it scales, any order but 2: documents are dealt by hash into chunks of about
-CHUNK characters.  A chunk sends each distinct n-gram once, with its count in
+CHUNK characters; a batch's documents of one chunk travel packed, since small rows
+of text shuffle at hardly less than their size.  A chunk sends each distinct n-gram once, with its count in
 the chunk, packed by hash bucket; a bucket adds up its n-grams and sends each
 chunk the totals in the order asked, without the n-grams; the chunk scores its
 documents with them.  A common n-gram is one entry for each chunk, however many
@@ -47,6 +48,8 @@ from .part_join import _ascii
 FREQUENT, HOT = 1 << 19, 1 << 12
 #: Characters of a chunk; buckets for every 64 chunks.
 CHUNK, BUCKETS = 1 << 24, 256
+#: Compression level of packed documents.
+PACK_LEVEL = 9
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +143,31 @@ def _unpacked(packed: bytes, n: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def _pack(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, chunk) as rows (chunk, pack): those of a batch that go to one chunk, compressed."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", PACK_LEVEL))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            chunk = batch.column("chunk").to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            dealt, rows = chunk[order], batch.select(["doc_id", "text"]).take(pa.array(order))
+            at = np.concatenate(([0], np.flatnonzero(dealt[1:] != dealt[:-1]) + 1, [len(dealt)]))
+            for a, b in zip(at[:-1], at[1:]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                    out.write_batch(rows.slice(a, b - a))
+                yield pa.RecordBatch.from_arrays([pa.array(dealt[a:a + 1]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "pack"])
+
+    return map_arrow(docs, pack, "chunk int, pack binary")
+
+
+def _unpack(packs: pa.Table) -> pa.Table:
+    """The documents (doc_id, text) of packs."""
+    return pa.concat_tables([pa.ipc.open_stream(p.as_buffer()).read_all() for p in packs.column("pack")])
+
+
 class _Chunk:
     """The n-grams of a chunk's documents, for each order and word (``grams``)."""
 
@@ -171,10 +199,11 @@ def _score_chunks(docs: DataFrame, alpha: float, min_count: int, order: int) ->
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = -(-chars // CHUNK) or 1
     buckets = BUCKETS * -(-chunks // 64)
-    docs = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    packs = _pack(docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")))
 
     def ask(table: pa.Table) -> pa.Table:
-        chunk, parts = _Chunk(table, order), []
+        chunk, parts = _Chunk(_unpack(table), order), []
         step = (1 << 64) // buckets  # a bucket is a range of hashes of one order; the last one has the rest too
         for k in range(order):
             held, times = chunk.distinct(k)
@@ -199,6 +228,7 @@ def _score_chunks(docs: DataFrame, alpha: float, min_count: int, order: int) ->
                          "counts": pa.array([_packed(total[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary())})
 
     def scored(table: pa.Table, told: pa.Table) -> pa.Table:
+        table = _unpack(table)
         own = _Chunk(table, order)
         told = told.sort_by("bucket")
         told_order = told.column("bucket").to_numpy() // buckets
@@ -223,11 +253,9 @@ def _score_chunks(docs: DataFrame, alpha: float, min_count: int, order: int) ->
                          "v": pa.array(np.bincount(own.doc, weights=value, minlength=own.n).astype(float)),
                          "lone": pa.array(np.bincount(own.doc, weights=lone, minlength=own.n).astype(float))})
 
-    ship(docs.sparkSession)
-    asked = docs.groupBy("chunk").applyInArrow(ask, "bucket int, chunk int, n int, least bigint, gaps binary, times binary")
+    asked = packs.groupBy("chunk").applyInArrow(ask, "bucket int, chunk int, n int, least bigint, gaps binary, times binary")
     told = asked.groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, n int, counts binary")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = keep(docs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(scored, f"doc_id {kind}, n_words bigint, v double, lone double"), "scores")
+    rows = keep(packs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(scored, f"doc_id {kind}, n_words bigint, v double, lone double"), "scores")
     total = rows.agg(F.sum("n_words")).first()[0] or 1
     log_score = F.col("v") - F.col("lone") * F.lit(float(np.log(max(total, 1))))
     return rows.select("doc_id", "n_words", log_score.alias("log_score"), F.when(F.col("n_words") > 0, log_score / F.col("n_words")).alias("mean_log_score"))

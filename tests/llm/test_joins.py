@@ -246,3 +246,12 @@ def test_wide_sketches_bound_differences(spark):
     for r in df.withColumn("d", P.wide_flips(F.col("a"), F.col("b"))).collect():
         real = len(np.setxor1d(sets[r["i"]], sets[r["j"]]))
         assert r["d"] <= real and (r["d"] > 0.3 * min(len(sets[r["i"]]), len(sets[r["j"]])) or real < 1000), (r["i"], r["j"])
+
+
+def test_backoff_chunks_travel_packed(frame, odd_rows):
+    from pyspark.sql import functions as F
+    rows = odd_rows + [(50 + i, " ".join(words(i, 400))) for i in range(200)]
+    packs = backoff_lm._pack(frame(rows).select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(3)).cast("int").alias("chunk")).coalesce(1)).toArrow()
+    assert sorted(map(str, (tuple(r.values()) for r in backoff_lm._unpack(packs).to_pylist()))) == sorted(map(str, rows))
+    assert len(packs) == len(set(packs.column("chunk").to_pylist())) == 3
+    assert packs.nbytes * 3 < sum(len((t or "").encode()) for _, t in rows)
