@@ -181,3 +181,16 @@ def test_sql_functions_match_column_functions(spark):
                   "map_country_iso2(' united kingdom') c, timestamp_to_date_coerce('2026-06-01T09:00:00Z') d, "
                   "usd_prefix_amount(12345.0) e, fill_unknown_company('') f, round2(2.675) g").first()
     assert tuple(r) == ("python_c", 70200.0, "GB", "2026-06-01", 11357.4, "Unknown", 2.68)
+
+
+def test_trimmed_salary_parsers_on_odd_texts(spark):
+    texts = ["1.2.3", ".", "", None, "GBP60k", "usd 5K", "40.5k", "k", "€", "12.", "~7", "Ab9", "45 000", "1,5k0"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(M.normalize_currency("t")).collect()]
+    assert [g is None for g in got] == [t in ("1.2.3", ".", "", None, "€") for t in texts]
+    assert got[6] == 40.5 and got[9] == 12.0 and got[10] == 7.0 and got[11] == 9.0 and got[12] == 45000.0 and got[13] == 150.0
+    ranges = [("$40K–60k€", (40000.0, 60000.0)), ("40kk-5", (5.0, 5.0)), ("k", (None, None)), ("7K", (None, None)), ("", (None, None)), (None, (None, None))]
+    for text, want in ranges:
+        assert tuple(spark.range(1).select(M.parse_salary_range(F.lit(text).cast("string")).alias("r")).first()["r"]) == want
+    labels = [("Node.js", "node_js"), ("go", "go"), ("_", None), ("", None), (None, None), ("C#", "c"), ("É", None)]
+    for text, want in labels:
+        assert spark.range(1).select(M.normalize_skill_label(F.lit(text).cast("string"))).first()[0] == want

@@ -102,3 +102,18 @@ def test_tasks_follow_the_lines(spark, tmp_path, limit, monkeypatch):
     monkeypatch.setattr(adapter, "TASK_LINES", 2)
     obs = adapter.observations(spark, tables(spark, tmp_path, orders=40))
     assert obs.rdd.getNumPartitions() == 40 * 7 // 2 + 1 and obs.count() == 280
+
+
+def test_sources_share_the_columns_of_their_records(spark):
+    import re
+    from marketlake.sources import registry
+    rows = [(5 * i + 1, i, s, "2001-03-01", "GB", "United Kingdom", "Go", "SQL", "Supplier#1", 41234.5)
+            for i, s in enumerate(["adzuna", "indeed", "glassdoor", "so_survey", None])]
+    obs = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, src string, date_posted string, iso2 string, country_name string, "
+                                      "skill_label string, skill2_label string, s_name string, price double")
+    out = registry.silver_all(obs)
+    held = set(re.findall(r"_b_\w+", out._jdf.queryExecution().optimizedPlan().toString()))
+    assert 0 < len(held) <= 5  # fourteen when every source had its own
+    whole = sorted(map(str, out.collect()))
+    assert whole == sorted(str(r) for s in registry.REGISTRY for r in registry.silver_source(obs, s.name).collect())
+    assert len(whole) == 5 and sum("so_survey" in r for r in whole) == 2
