@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 
 LETTER_UPPER, LETTER, DIGIT, SPACE, OTHER = range(5)
 SLICE_BYTES = 1_000_000  # of text at a time: some 100 bytes of arrays for each
+PIECE_BYTES = 250_000  # where no sum over a slice goes out, so that smaller ones cost nothing
 
 
 @lru_cache(1)

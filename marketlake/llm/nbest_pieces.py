@@ -43,6 +43,8 @@ MARK, UNKNOWN_BELOW = 0x2581, 10.0
 LITERAL_MARK = 0x110000  # stands for a U+2581 of the text itself
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CACHE_CHUNKS = 400_000
+CACHE_IDS = 16 * CACHE_CHUNKS  # of their best segmentations
+LIST_IDS = 2 * CACHE_CHUNKS  # of their N best, as Python lists
 
 
 @dataclass
@@ -266,7 +268,8 @@ class _Grown:
 
 
 class Encoder:
-    """Encodes batches of texts; keeps at most ``CACHE_CHUNKS`` chunks."""
+    """Encodes batches of texts; the chunks it keeps from one batch to the next are at most ``CACHE_CHUNKS`` with
+    ``CACHE_IDS`` ids, and ``LIST_IDS`` ids in lists of N best."""
 
     def __init__(self, model: Model, n_best: int):
         self.model, self.n_best = model, n_best
@@ -274,9 +277,16 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.lists = {}, {}
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes, sorted, and where the chunk lies
+        self.lists, self.listed = {}, 0
         self.ids, self.at, self.count, self.score, self.gap = _Grown(np.int32), _Grown(np.int64), _Grown(np.int64), _Grown(np.float64), _Grown(np.float64)
 
+    def _unknown(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the sorted distinct hashes the cache does not hold."""
+        if not len(self.known):
+            return np.arange(len(hashes))
+        return np.flatnonzero(self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] != hashes)
+
     def _learn(self, hashes: np.ndarray, cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
         lattice = Lattices(self.model, cp, start, end)
         forward, back = lattice.forward()
@@ -301,12 +311,16 @@ class Encoder:
         self.count.add(count)
         self.score.add(forward[lattice.last])
         self.gap.add(lattice.gaps(forward, lattice.backward(), path))
-        self.known.update(zip(hashes.tolist(), range(place, place + len(start))))
+        spot = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, spot, hashes)
+        self.place = np.insert(self.place, spot, np.arange(place, place + len(start)))
 
     def encode(self, texts: list[str]) -> dict:
         """Offsets and ids of all texts, score, and per text its N best as (score, [(place, pieces dropped, ids)])."""
-        if len(self.known) > CACHE_CHUNKS:
+        if len(self.known) > CACHE_CHUNKS or self.ids.n > CACHE_IDS:
             self.forget()
+        if self.listed > LIST_IDS:
+            self.lists, self.listed = {}, 0
         n = len(texts)
         cp = np.frombuffer("".join(" " + t if t else "" for t in texts).encode("utf-32-le"), np.uint32)
         size = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
@@ -320,10 +334,10 @@ class Encoder:
         end = np.append(start[1:], len(cp)) if len(start) else start
         hashes = Substrings(cp).of(start, end)
         distinct, seen, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        new = np.array([i for i, h in enumerate(distinct.tolist()) if h not in self.known], np.int64)
+        new = self._unknown(distinct)
         if len(new):
             self._learn(distinct[new], cp, start[seen[new]], end[seen[new]])
-        index = np.array([self.known[h] for h in distinct.tolist()], np.int64)[inverse] if len(distinct) else np.zeros(0, np.int64)
+        index = self.place[np.searchsorted(self.known, distinct)][inverse] if len(distinct) else np.zeros(0, np.int64)
         count = self.count.data[index]
         total = np.concatenate(([0], np.cumsum(count)))
         flat = self.ids.data[np.repeat(self.at.data[index] - total[:-1], count) + np.arange(total[-1])]
@@ -354,6 +368,7 @@ class Encoder:
             forward, _ = lattice.forward()
             for c, h in enumerate(fresh):
                 self.lists[h] = lattice.search(c, forward, self.n_best)
+                self.listed += sum(len(ids) for _, ids in self.lists[h])
         return [self._merge(p, float(score[i]), hashes, total, int(chunk_at[i])) for i, p in enumerate(picks)]
 
     def _merge(self, picks: np.ndarray, best: float, hashes, total, first: int) -> list[tuple]:
@@ -418,7 +433,7 @@ def encode(docs: DataFrame, model: Model, n_best: int = 4, text: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(held.value, n_best)
         for batch in batches:
-            for part in C.slices(batch, text):
+            for part in C.slices(batch, text, C.PIECE_BYTES):
                 plain = pc.fill_null(part.column(text), "")
                 got = encoder.encode(plain.to_pylist())
                 back = decode_ids(encoder.model.pieces, got["at"], got["ids"])

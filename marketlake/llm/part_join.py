@@ -153,6 +153,16 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(doc, np.arange(t.n + 1)), roll
 
 
+def sets_of(part: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of the texts of a slice, which is cut piece by piece: the sets are small, the arrays of their words are not."""
+    ends, held = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)]
+    for piece in C.slices(part, "text", C.PIECE_BYTES):
+        at, sets = shingle_sets(piece.column("text"), width)
+        ends.append(at[1:] + ends[-1][-1])
+        held.append(sets)
+    return np.concatenate(ends), np.concatenate(held)
+
+
 def fingerprints(at: np.ndarray, sets: np.ndarray) -> np.ndarray:
     """64-bit fingerprint of each set (0: empty)."""
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(C.mixed(sets ^ np.uint64(0xA5A5A5A5A5A5A5A5)))))
@@ -244,7 +254,7 @@ def _sized(docs: DataFrame, width: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, "text", 2 * C.SLICE_BYTES):
-                at, held = shingle_sets(part.column("text"), width)
+                at, held = sets_of(part, width)
                 cid = fingerprints(at, held)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row_key"), part.column("doc_id"), pa.array(np.diff(at)), pa.array(cid, mask=np.diff(at) == 0),
@@ -288,7 +298,7 @@ def _entries(docs: DataFrame, width: int, plan: dict[int, tuple], common: np.nda
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, "text"):
-                at, sets = shingle_sets(part.column("text"), width)
+                at, sets = sets_of(part, width)
                 cid, size = fingerprints(at, sets), np.diff(at)
                 once = np.zeros(len(size), bool)
                 once[np.unique(cid, return_index=True)[1]] = True
@@ -360,7 +370,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
         for batch in batches:
             keys = batch.column("row_key").to_numpy()
             hit = (bits.value[(keys & ((1 << FILTER_BITS) - 1)) >> 6] >> (keys & 63)) & 1 == 1
-            for part in C.slices(batch.filter(pa.array(hit)), "text"):
+            for part in C.slices(batch.filter(pa.array(hit)), "text", C.PIECE_BYTES):
                 at, held = shingle_sets(part.column("text"), width)
                 yield pa.RecordBatch.from_arrays([pa.array(fingerprints(at, held)), pa.LargeListArray.from_arrays(pa.array(at), pa.array(held.view(np.int64))).cast(pa.list_(pa.int64()))],
                                                  names=["cid", "set"])

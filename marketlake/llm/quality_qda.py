@@ -102,7 +102,7 @@ def features(df: DataFrame, text: str = "text", extra: tuple[str, ...] = ("doc_i
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.slices(batch, text):
+            for part in C.slices(batch, text, C.PIECE_BYTES):
                 x = text_stats(part.column(text))
                 at = pa.array(np.arange(0, x.size + 1, len(FEATURES), dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in extra], pa.ListArray.from_arrays(at, pa.array(x.ravel()))],
@@ -142,7 +142,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in C.slices(batch, text):
+            for part in C.slices(batch, text, C.PIECE_BYTES):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(text_stats(part.column(text))))],
                                                  names=[*part.schema.names, SCORE])
 

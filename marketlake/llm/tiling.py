@@ -197,7 +197,7 @@ def find(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.6, min_match
             own.__dict__ = held.value
             kinds = pa.list_(pa.struct([(n, pa.int32()) for n in ("item_at", "doc_at", "words")]))
             for batch in batches:
-                for part in C.slices(batch, "text"):
+                for part in C.slices(batch, "text", C.PIECE_BYTES):
                     got = own.findings(part.column("text"), coverage)
                     if got:
                         yield pa.RecordBatch.from_arrays([
@@ -222,7 +222,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.6, min_matc
             own = Block.__new__(Block)
             own.__dict__ = held.value
             for batch in batches:
-                for part in C.slices(batch, "text"):
+                for part in C.slices(batch, "text", C.PIECE_BYTES):
                     ok = np.ones(part.num_rows, bool)
                     ok[[g[0] for g in own.findings(part.column("text"), coverage)]] = False
                     yield part.filter(pa.array(ok))
