@@ -474,7 +474,8 @@ def _cross_pairs(rest: DataFrame, percent: int) -> DataFrame:
         col = lambda c: table.column(c).to_numpy()
         key, low, high, cid, comp, n = (col(c) for c in ("key", "low", "high", "cid", "component", "n"))
         side = np.where(low == high, 2, (col("own") == high).astype(int))
-        sketch = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, SKETCH)
+        # unsigned: numpy counts the bits of a negative number's absolute value, which bounds nothing
+        sketch = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH)
         first = np.flatnonzero(np.concatenate(([True], (np.diff(key) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0))))
         size = np.diff(np.append(first, len(key)))
         after = np.repeat(first + size, size) - np.arange(len(key)) - 1

@@ -103,6 +103,38 @@ def test_jaccard_of_keys_that_a_third_of_all_sets_hold(frame, monkeypatch):
     assert hot[0] > 0 and largest[0][0] > 20 and largest[0][1] < largest[0][0] / 2, (hot, largest)
 
 
+def test_jaccard_of_copies_that_link_with_their_original_only(frame):
+    """Near copies of one text that are no near copies of each other: most meet it only when all pairs of a key are compared."""
+    rng, base = np.random.default_rng(10), words(5, 400)
+    rows = [(1, " ".join(base))]
+    for c in range(60):
+        own = list(base)
+        for at in rng.choice(50, 6, replace=False) * 8:
+            own[at] = "edit%d" % rng.integers(0, 10**6)
+        rows.append((2 + c, " ".join(own)))
+    sets = [_shingles(t, 4) for _, t in rows]
+    linked = [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    assert [e for e in linked if e[1] == 0] == [(i, 0) for i in range(1, len(rows))] and len(linked) < 2 * len(rows)
+    got = part_join.jaccard_components(frame(rows), 4, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: 1 for i, _ in rows}
+
+
+def test_sketches_of_blocks_never_rule_out_a_link(spark):
+    """Every two sets of a key that link come out, sign bits of the sketches' words among what differs; strangers do not."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(1, 2**62, 400).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[at:at + 370], rng.integers(1, 2**62, 15).astype(np.uint64)))) for at in range(0, 31, 2)]
+    sets.append(np.unique(rng.integers(1, 2**62, 385).astype(np.uint64)))
+    at = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    sketch = part_join.sketches(at, np.concatenate(sets))
+    linked = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    assert sum(bool((sketch[i] ^ sketch[j] < 0).any()) for i, j in linked) > 10
+    rest = spark.createDataFrame([(7, i, i, len(sets), len(s), sketch[i].tolist()) for i, s in enumerate(sets)],
+                                 "key long, cid long, component long, members long, n long, sketch array<bigint>")
+    got = {(r["a"], r["b"]) for r in part_join._cross_pairs(rest, 85).collect()}
+    assert linked <= got and all(b < len(sets) - 1 for _, b in got)
+
+
 @pytest.mark.parametrize("percent", [60, 80, 85])
 def test_keys_meet_for_every_linked_pair(percent):
     """Every pair at or over the threshold shares a key, whatever the mix of segments."""
