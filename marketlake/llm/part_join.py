@@ -22,8 +22,10 @@ them is indexed under the further seeds, where only empty segments are left out.
 sets, against the pairs of strangers expected to agree by short segments.
 
 Candidates come from equal keys.  ``STARS`` times every set of a key meets one
-set of it (the hub, by a hash that changes) unless both are linked already; what
-links forms components.  Then all pairs of a key that still lie in different
+set of it (the hub: the one with the most links so far, of several the first by a
+hash that changes) unless both are linked already; what links forms components.
+The text that a group's near copies were made from has the most links, and many
+of them link with nothing else.  Then all pairs of a key that still lie in different
 components are compared by their sketches, in blocks of bounded size: a parity
 sketch gives a lower bound of the difference, so what it drops cannot link; large
 sets have a longer one, as long as strangers need to be told apart.  The rest are
@@ -416,19 +418,20 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 
 
 def _apart(rows: DataFrame, star: int, hot: dict[int, int], name: str) -> tuple[DataFrame, DataFrame]:
-    """The rows (key, part, cid, component) of keys that hold several components, with the key's members and hub.
+    """The rows (key, part, cid, component; later than star 0 with links) of keys that hold several components, with the key's members and hub.
 
-    Returned are the stored table and what it stands for.  Each part is a window of its own; the parts of a
+    The hub is the member with the most links found so far.  Returned are the stored table and what it stands for.  Each part is a window of its own; the parts of a
     hot key are summed up by an aggregation, and every part gets a copy of the sum.
     """
     own = Window.partitionBy("key", "part")
-    rank = lambda cid, comp: F.struct(F.xxhash64(cid, F.lit(star)).alias("h"), F.col(cid).alias("cid"), F.col(comp).alias("component"))
+    fewer = -F.col("links") if star else F.lit(0)  # no links yet
+    rank = lambda cid, comp: F.struct(fewer.alias("fewer"), F.xxhash64(cid, F.lit(star)).alias("h"), F.col(cid).alias("cid"), F.col(comp).alias("component"))
     met = rows.withColumn("c1", F.min("component").over(own)).withColumn("c2", F.max("component").over(own)) \
               .withColumn("members", F.count(F.lit(1)).over(own)).withColumn("top", F.min(rank("cid", "component")).over(own))
     cut = F.col("part") > 0
     held = keep(met.filter((F.col("c1") != F.col("c2")) | cut)
                    .select("key", "part", "cid", "component", "members", F.col("top.cid").alias("hub"), F.col("top.component").alias("hub_component"),
-                           F.when(cut, F.col("c1")).alias("c1"), F.when(cut, F.col("c2")).alias("c2")).distinct(), name)
+                           F.when(cut, F.col("c1")).alias("c1"), F.when(cut, F.col("c2")).alias("c2"), F.when(cut, -F.col("top.fewer")).alias("links")).distinct(), name)
     if not hot:
         return held, held
     total = held.filter(cut).groupBy("key").agg(F.max("part").alias("parts"), F.min("c1").alias("c1"), F.max("c2").alias("c2"),
@@ -436,7 +439,7 @@ def _apart(rows: DataFrame, star: int, hot: dict[int, int], name: str) -> tuple[
     copies = total.select("key", F.explode(F.sequence(F.lit(1), F.col("parts"))).alias("part"), "members",
                           F.col("top.cid").alias("hub"), F.col("top.component").alias("hub_component"))
     own_rows = held.filter(cut).select("key", "part", "cid", "component").join(copies, ["key", "part"])
-    return held, held.filter(~cut).drop("c1", "c2").unionByName(own_rows)
+    return held, held.filter(~cut).drop("c1", "c2", "links").unionByName(own_rows)
 
 
 def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: int, percent: int, common: np.ndarray) -> DataFrame:
@@ -449,8 +452,10 @@ def _find(docs: DataFrame, classes: DataFrame, plan: dict[int, tuple], width: in
         found = _verified(meet, classes, docs, width, percent)
         links = found if links is None else links.unionByName(found)
         # the hub has met all it is not linked with, so it leaves; keys of one component are done
-        comp = components(links).withColumnRenamed("node", "cid")
-        placed = left.filter("cid <> hub").select("key", "part", "cid").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("links"))
+        comp = components(links).join(ends, "node").withColumnRenamed("node", "cid")
+        placed = left.filter("cid <> hub").select("key", "part", "cid").join(comp, "cid", "left") \
+                     .withColumns({"component": F.coalesce("component", "cid"), "links": F.coalesce("links", F.lit(0))})
         last = held
         held, left = _apart(placed, star, hot, "apart-keys")
         discard(last)
